@@ -26,12 +26,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from plinth.functions.sizing import broadcast_if_small
-from plinth.session import cut_lineage
 
 _G = "_qgrp"
 
 
+def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """Persist a small intermediate table (recomputable from lineage if an executor is lost)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    held.append(df)
+    return df
+
+
 def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
     keys = list(keys)
     x = F.col(value).cast("double")
@@ -59,7 +68,8 @@ def group_quantiles(
     """
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
-    data = data.persist()
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
 
     stats = data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
@@ -71,14 +81,14 @@ def group_quantiles(
         .withColumn("_r0", F.floor("_h").cast("long"))
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
     )
-    targets = cut_lineage(targets)
+    targets = _materialize(targets, held)
 
     state = (
         targets.select(*keys, "_n", "_lo", "_hi", F.explode(F.array("_r0", "_r1")).alias("_rank"))
         .dropDuplicates([*keys, "_rank"])
         .select(*keys, "_rank", "_lo", "_hi", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
     )
-    state = cut_lineage(state)
+    state = _materialize(state, held)
 
     open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
     for _ in range(max_rounds):
@@ -100,7 +110,7 @@ def group_quantiles(
             *keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
             before.alias("_below"), F.col("_c").alias("_cnt"),
         )
-        state = cut_lineage(done.unionByName(picked))
+        state = _materialize(done.unionByName(picked), held)
     else:
         raise RuntimeError("quantile refinement did not converge")
 
@@ -114,14 +124,18 @@ def group_quantiles(
         .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))
         .select(*keys, "_rank", F.element_at("_vals", (F.col("_rank") - F.col("_below") + 1).cast("int")).alias("_v"))
     )
-    values = cut_lineage(point.unionByName(picked))
+    values = _materialize(point.unionByName(picked), held)
     data.unpersist()
 
     v0 = values.select(*keys, F.col("_rank").alias("_r0"), F.col("_v").alias("_v0"))
     v1 = values.select(*keys, F.col("_rank").alias("_r1"), F.col("_v").alias("_v1"))
     out = targets.join(v0, [*keys, "_r0"]).join(v1, [*keys, "_r1"])
     q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    return out.select(*user_keys, "p_idx", "p", q.alias("q"))
+    result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
+    result.count()
+    for h in held:
+        h.unpersist()
+    return result
 
 
 def group_quantiles_wide(
@@ -154,3 +168,29 @@ def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], **kw) ->
     rows = group_quantiles(df, [], value, probs, **kw).collect()
     by_idx = {r["p_idx"]: r["q"] for r in rows}
     return [by_idx.get(i) for i in range(len(probs))]
+
+
+def placeholder(dtype: str):
+    """A constant of the given simple type, used as the group value of the global set."""
+    return F.lit("") if dtype == "string" else F.lit(0).cast(dtype)
+
+
+def quantiles_with_global(df: DataFrame, group: str, values: Sequence[str], probs: Sequence[float], **kw):
+    """Per-group AND global quantiles of several columns in one refinement run.
+
+    Rows are stacked once per value column and once per grouping set (the group,
+    and everything), so all statistics share the same passes over the data.
+    Returns ``(group_table, global_table)`` in long form ``[group,] column, p_idx, q``.
+    """
+    dtype = dict(df.dtypes)[group]
+    sets = F.explode(F.array(
+        F.struct(F.lit(0).alias("_set"), F.col(f"`{group}`").alias("_g")),
+        F.struct(F.lit(1).alias("_set"), placeholder(dtype).alias("_g")),
+    ))
+    stack = F.explode(F.array(*[F.struct(F.lit(v).alias("column"), F.col(f"`{v}`").cast("double").alias("_val"))
+                                for v in values]))
+    long = df.select(sets.alias("_s"), stack.alias("_v")).select("_s._set", "_s._g", "_v.column", "_v._val")
+    q = group_quantiles(long, ["_set", "_g", "column"], "_val", probs, **kw)
+    per_group = q.where("_set = 0").select(F.col("_g").alias(group), "column", "p_idx", "q")
+    overall = q.where("_set = 1").select("column", "p_idx", "q")
+    return per_group, overall

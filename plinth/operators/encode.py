@@ -12,22 +12,29 @@ from plinth.operators.clean import is_numeric, text_columns
 from plinth.operators.features import col, with_columns
 
 
-def continuous_columns(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[str] = (),
-                       exact: bool = True) -> list[str]:
-    """Numeric columns whose distinct ratio ``nunique / n_rows`` exceeds ``min_ratio``.
-
-    ``nunique`` skips NULLs, ``n_rows`` does not (pandas).  One aggregate for all
-    columns; ``exact=False`` uses HyperLogLog sketches for very wide/long tables.
+def distinct_ratios(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[str] = (),
+                    exact: bool = True) -> DataFrame:
+    """C01 as a table: ``column, n_unique, n_rows, ratio, continuous`` for the int64/float64
+    columns.  ``nunique`` skips NULLs, ``n_rows`` does not (pandas).  One aggregate for
+    all columns; ``exact=False`` uses HyperLogLog sketches for very wide/long tables.
     """
     ex = set(exclude)
-    cands = [f.name for f in df.schema.fields if is_numeric(f.dataType) and f.name not in ex
-             and isinstance(f.dataType, (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.ShortType))]
-    if not cands:
-        return []
+    cands = [f.name for f in df.schema.fields if f.name not in ex
+             and isinstance(f.dataType, (T.LongType, T.IntegerType, T.DoubleType, T.FloatType))]
     cnt = F.count_distinct if exact else F.approx_count_distinct
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[cnt(col(c)).alias(f"c{i}") for i, c in enumerate(cands)]).first()
-    n = row["_n"] or 0
-    return [c for i, c in enumerate(cands) if n and row[f"c{i}"] / n > min_ratio]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[cnt(col(c)).alias(f"c{i}") for i, c in enumerate(cands)])
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"c{i}").cast("long").alias("n_unique")) for i, c in enumerate(cands)
+    ]))
+    out = row.select(F.col("_n").alias("n_rows"), stack.alias("s")).select("s.column", "s.n_unique", "n_rows")
+    ratio = F.try_divide(F.col("n_unique").cast("double"), F.col("n_rows"))
+    return out.withColumn("ratio", ratio).withColumn("continuous", F.coalesce(ratio > min_ratio, F.lit(False)))
+
+
+def continuous_columns(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[str] = (),
+                       exact: bool = True) -> list[str]:
+    """Names of the continuous columns (a handful of rows reach the driver)."""
+    return [r["column"] for r in distinct_ratios(df, min_ratio, exclude, exact).where("continuous").collect()]
 
 
 def fit_standard_scaler(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -52,20 +59,31 @@ def apply_standard_scaler(df: DataFrame, params: dict[str, tuple[float, float]],
     return with_columns(df, specs)
 
 
-def cardinality_split(frames: Sequence[DataFrame], max_levels: int = 10, exclude: Iterable[str] = ()):
-    """non-numeric columns split into (low, high) by distinct count over all frames."""
+def cardinality_table(frames: Sequence[DataFrame], max_levels: int = 10, exclude: Iterable[str] = ()) -> DataFrame:
+    """F02 as a table: ``column, n_levels, cardinality`` ('low'/'high') for the text
+    columns common to all frames, distinct counts over their union in one aggregate."""
     base = frames[0]
     cols = [c for c in text_columns(base, exclude) if all(c in f.columns for f in frames)]
-    if not cols:
-        return [], []
     u = None
     for f in frames:
         part = f.select(*[col(c) for c in cols])
         u = part if u is None else u.unionByName(part)
-    row = u.agg(*[F.count_distinct(col(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    low = [c for i, c in enumerate(cols) if row[f"c{i}"] <= max_levels]
-    high = [c for i, c in enumerate(cols) if row[f"c{i}"] > max_levels]
-    return low, high
+    row = u.agg(*[F.count_distinct(col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"c{i}").cast("long").alias("n_levels")) for i, c in enumerate(cols)
+    ]))
+    out = row.select(stack.alias("s")).select("s.*")
+    return out.withColumn("cardinality", F.when(F.col("n_levels") <= max_levels, "low").otherwise("high"))
+
+
+def cardinality_split(frames: Sequence[DataFrame], max_levels: int = 10, exclude: Iterable[str] = ()):
+    """non-numeric columns split into (low, high) by distinct count over all frames."""
+    base = frames[0]
+    if not [c for c in text_columns(base, exclude) if all(c in f.columns for f in frames)]:
+        return [], []
+    rows = cardinality_table(frames, max_levels, exclude).collect()
+    return ([r["column"] for r in rows if r["cardinality"] == "low"],
+            [r["column"] for r in rows if r["cardinality"] == "high"])
 
 
 def fit_one_hot(frames: Sequence[DataFrame], cols: Sequence[str]) -> dict[str, list[str]]:

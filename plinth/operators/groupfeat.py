@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.quantile import group_quantiles
+from plinth.functions.quantile import quantiles_with_global
 from plinth.functions.sizing import broadcast_if_small
 from plinth.operators.features import col
 
@@ -30,17 +30,18 @@ HOUSE_BENCHMARKS = [
 ]
 
 
-def _fit_stats(train: DataFrame, group: str | None, values: Sequence[str], stat: str) -> DataFrame:
-    keys = [group] if group else []
+def _fit_stats(train: DataFrame, group: str, values: Sequence[str], stat: str) -> tuple[DataFrame, dict]:
+    """Group table ``group, v1, v2, ...`` and the global values, for mean or median."""
     if stat == "mean":
-        aggs = [F.avg(col(v)).alias(v) for v in values]
-        return train.groupBy(*keys).agg(*aggs) if keys else train.agg(*aggs)
+        table = train.groupBy(col(group)).agg(*[F.avg(col(v)).alias(v) for v in values])
+        glob = train.agg(*[F.avg(col(v)).alias(v) for v in values]).first().asDict()
+        return table, glob
     if stat == "median":
-        out = None
-        for v in values:
-            q = group_quantiles(train, keys, v, [0.5]).select(*keys, F.col("q").alias(v))
-            out = q if out is None else (out.join(q, keys, "full") if keys else out.crossJoin(q))
-        return out
+        per_group, overall = quantiles_with_global(train, group, values, [0.5])
+        table = per_group.groupBy(col(group)).agg(
+            *[F.max(F.when(F.col("column") == v, F.col("q"))).alias(v) for v in values])
+        got = {r["column"]: r["q"] for r in overall.collect()}
+        return table, {v: got.get(v) for v in values}
     raise ValueError(f"unknown statistic {stat!r}")
 
 
@@ -55,9 +56,7 @@ def fit_group_benchmarks(train: DataFrame, configs: Sequence[tuple[str, str, str
             by_key[(g, s)].append(v)
     params = {}
     for (g, s), values in by_key.items():
-        table = _fit_stats(train, g, values, s)
-        glob = _fit_stats(train, None, values, s).first().asDict()
-        params[(g, s)] = (table, glob)
+        params[(g, s)] = _fit_stats(train, g, values, s)
     return params
 
 

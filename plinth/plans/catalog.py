@@ -33,4 +33,5 @@ def load_all() -> None:
         q_clean_features,
         q_groups_encode,
         q_evaluate,
+        q_folds_target,
     )
