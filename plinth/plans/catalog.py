@@ -34,4 +34,5 @@ def load_all() -> None:
         q_groups_encode,
         q_evaluate,
         q_folds_target,
+        q_quality,
     )
