@@ -43,3 +43,97 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     out = ranged.join(F.broadcast(offsets), "_pid")
     return out.withColumn(name, F.col("_off") + pos + 1).drop("_pid", "_mid", "_off")
+
+
+# Rows per contiguous chunk of the global order.  A chunk is the unit a window
+# runs over, so no window partition ever exceeds this many rows, however large
+# one key's share of the table is.
+CHUNK_ROWS = 1_000_000
+
+
+def chunk_order(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], chunk_rows: int = CHUNK_ROWS,
+                partitions: int | None = None) -> DataFrame:
+    """Global row number ``_rn`` over ``by + order`` and its chunk ``_chunk``."""
+    ranked = global_row_number(df, [*[F.col(b) for b in by], *order], "_rn", partitions)
+    return ranked.withColumn("_chunk", F.floor((F.col("_rn") - 1) / chunk_rows).cast("long"))
+
+
+def previous_row(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
+                 prefix: str = "prev_", partitions: int | None = None) -> DataFrame:
+    """``lag(col)`` within ``by`` ordered by ``order``, without a per-key window.
+
+    Rows get a global row number in ``(by, order)``; the previous row is the one
+    numbered ``rn - 1`` when it has the same ``by`` values.  That is an equi-join
+    on a unique, evenly spread key, so a key holding a third of the table is
+    spread over all tasks.
+    """
+    r = global_row_number(df, [*[F.col(b) for b in by], *order], "_rn", partitions)
+    prev = r.select((F.col("_rn") + 1).alias("_rn"), *[F.col(b).alias(f"_pb_{b}") for b in by],
+                    *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    j = r.join(prev, "_rn", "left")
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(f"_pb_{b}").eqNullSafe(F.col(b))
+    out = j.select(*[F.col(c) for c in r.columns],
+                   *[F.when(same, F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in cols])
+    return out.drop("_rn")
+
+
+def running_extreme(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str, how: str = "min",
+                    inclusive: bool = False, name: str = "running", chunk_rows: int = CHUNK_ROWS,
+                    partitions: int | None = None) -> DataFrame:
+    """Running min/max of ``value`` over earlier rows (``inclusive`` adds the current row).
+
+    Windows run per chunk of the global order (bounded size); the carry-in from
+    earlier chunks comes from a table with one row per (chunk, key).
+    """
+    agg = F.min if how == "min" else F.max
+    comb = F.least if how == "min" else F.greatest
+    r = chunk_order(df, by, order, chunk_rows, partitions)
+    w = Window.partitionBy("_chunk", *by).orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    r = r.withColumn("_within", agg(F.col(value)).over(w))
+    per = r.groupBy("_chunk", *by).agg(agg(F.col(value)).alias("_cagg"))
+    wc = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select("_chunk", *by, agg("_cagg").over(wc).alias("_carry"))
+    from plinth.functions.sizing import broadcast_if_small
+    j = r.join(broadcast_if_small(carry), ["_chunk", *by], "left")
+    return j.withColumn(name, comb(F.col("_within"), F.col("_carry"))).drop("_within", "_carry", "_chunk", "_rn")
+
+
+def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str, left_id: str, right_id: str,
+                 chunk_rows: int = CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
+    """For every ``right`` row, the ``left`` row with the same ``by`` values nearest in ``ts``.
+
+    Both sides are unioned and numbered in ``(by, ts)`` order; within each chunk a
+    window finds the last left row before and the first left row after each right
+    row, and a one-row-per-chunk table carries them across chunk borders.  The
+    nearer one wins; on equal distance the earlier one.  No pairs are formed.
+    Returns ``right_id, left_id, diff_us`` (left_id NULL when the key has no left rows).
+    """
+    from plinth.functions.sizing import broadcast_if_small
+    lsel = left.select(*by, F.col(ts).alias("_t"), F.col(left_id).cast("long").alias("_lid"),
+                       F.lit(None).cast("long").alias("_rid"), F.lit(0).alias("_kind"))
+    rsel = right.select(*by, F.col(ts).alias("_t"), F.lit(None).cast("long").alias("_lid"),
+                        F.col(right_id).cast("long").alias("_rid"), F.lit(1).alias("_kind"))
+    u = lsel.unionByName(rsel)
+    r = chunk_order(u, by, [F.col("_t"), F.col("_kind"), F.col("_lid"), F.col("_rid")], chunk_rows, partitions)
+    info = F.when(F.col("_kind") == 0, F.struct(F.unix_micros(F.col("_t").cast("timestamp")).alias("t"), F.col("_lid").alias("id")))
+    wp = Window.partitionBy("_chunk", *by).orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+    wn = Window.partitionBy("_chunk", *by).orderBy("_rn").rowsBetween(1, Window.unboundedFollowing)
+    r = r.withColumn("_pin", F.last(info, ignorenulls=True).over(wp)).withColumn(
+        "_nin", F.first(info, ignorenulls=True).over(wn))
+    lrn = F.when(F.col("_kind") == 0, F.col("_rn"))
+    per = r.groupBy("_chunk", *by).agg(F.max_by(info, lrn).alias("_last"), F.min_by(info, lrn).alias("_first"))
+    wcp = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    wcn = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    carry = per.select("_chunk", *by, F.last("_last", ignorenulls=True).over(wcp).alias("_pc"),
+                       F.first("_first", ignorenulls=True).over(wcn).alias("_nc"))
+    rr = r.where(F.col("_kind") == 1).join(broadcast_if_small(carry), ["_chunk", *by], "left")
+    prev = F.coalesce(F.col("_pin"), F.col("_pc"))
+    nxt = F.coalesce(F.col("_nin"), F.col("_nc"))
+    t = F.unix_micros(F.col("_t").cast("timestamp"))
+    dp, dn = t - prev["t"], nxt["t"] - t
+    take_prev = nxt.isNull() | (prev.isNotNull() & (dp <= dn))
+    return rr.select(F.col("_rid").alias(right_id),
+                     F.when(take_prev, prev["id"]).otherwise(nxt["id"]).alias(left_id),
+                     F.when(take_prev, dp).otherwise(dn).alias("diff_us"))

@@ -35,4 +35,5 @@ def load_all() -> None:
         q_evaluate,
         q_folds_target,
         q_quality,
+        q_runlog,
     )
