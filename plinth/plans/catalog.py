@@ -36,4 +36,5 @@ def load_all() -> None:
         q_folds_target,
         q_quality,
         q_runlog,
+        q_models,
     )
