@@ -37,4 +37,5 @@ def load_all() -> None:
         q_quality,
         q_runlog,
         q_models,
+        q_sources,
     )
