@@ -32,6 +32,10 @@ from plinth.functions.sizing import broadcast_if_small
 
 _G = "_qgrp"
 
+# Above this many probabilities one global sort beats per-rank refinement
+# (every refinement round pairs each row with each open rank of its group).
+SORT_THRESHOLD = 8
+
 
 def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
     """Persist a small intermediate table (recomputable from lineage if an executor is lost)."""
@@ -66,6 +70,8 @@ def group_quantiles(
     Returns ``keys + [p_idx, p, q]``; NULL/NaN values are ignored (pandas and SQL
     semantics).  ``keys`` may be empty for a global quantile.
     """
+    if len(probs) > SORT_THRESHOLD:
+        return sorted_quantiles(df, keys, value, probs)
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -194,3 +200,39 @@ def quantiles_with_global(df: DataFrame, group: str, values: Sequence[str], prob
     per_group = q.where("_set = 0").select(F.col("_g").alias(group), "column", "p_idx", "q")
     overall = q.where("_set = 1").select("column", "p_idx", "q")
     return per_group, overall
+
+
+def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles for MANY probabilities: one range-partitioned sort on ``(keys, value)``
+    gives every row its global position; a group's k-th value is the row at
+    ``group_start + k``.  Only the needed rows are kept (an equi-join on the position
+    against the small table of target positions).  Same output as :func:`group_quantiles`.
+    """
+    from plinth.functions.ordered import global_row_number
+
+    user_keys = list(keys)
+    data, keys = _prepare(df, user_keys, value)
+    order = [F.col(k) for k in keys] + [F.col("_x")]
+    ranked = global_row_number(data, order, "_pos")  # 1-based, groups contiguous
+    starts = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    parr = F.array(*[F.lit(float(p)) for p in probs])
+    targets = starts.select(*keys, "_start", "_n", F.posexplode(parr).alias("p_idx", "p"))
+    targets = (targets.withColumn("_h", F.col("p") * (F.col("_n") - 1))
+               .withColumn("_r0", F.floor("_h").cast("long"))
+               .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
+    held: list[DataFrame] = []
+    targets = _materialize(targets, held)
+    need = targets.select((F.col("_start") + F.col("_r0")).alias("_pos")).unionByName(
+        targets.select((F.col("_start") + F.col("_r1")).alias("_pos"))).distinct()
+    vals = ranked.join(broadcast_if_small(need), "_pos").select("_pos", F.col("_x").alias("_v"))
+    vals = _materialize(vals, held)
+    v0 = vals.select(F.col("_pos").alias("_p0"), F.col("_v").alias("_v0"))
+    v1 = vals.select(F.col("_pos").alias("_p1"), F.col("_v").alias("_v1"))
+    out = (targets.withColumn("_p0", F.col("_start") + F.col("_r0")).withColumn("_p1", F.col("_start") + F.col("_r1"))
+           .join(v0, "_p0").join(v1, "_p1"))
+    q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
+    result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
+    result.count()
+    for h in held:
+        h.unpersist()
+    return result

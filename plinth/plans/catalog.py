@@ -38,4 +38,5 @@ def load_all() -> None:
         q_runlog,
         q_models,
         q_sources,
+        q_shape_cluster,
     )
