@@ -39,4 +39,5 @@ def load_all() -> None:
         q_models,
         q_sources,
         q_shape_cluster,
+        q_pipeline,
     )
