@@ -118,16 +118,18 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     u = lsel.unionByName(rsel)
     r = chunk_order(u, by, [F.col("_t"), F.col("_kind"), F.col("_lid"), F.col("_rid")], chunk_rows, partitions)
     info = F.when(F.col("_kind") == 0, F.struct(F.unix_micros(F.col("_t").cast("timestamp")).alias("t"), F.col("_lid").alias("id")))
+    # both directions use growing frames (O(n)); an UNBOUNDED FOLLOWING frame would
+    # re-aggregate the tail for every row (O(n^2))
     wp = Window.partitionBy("_chunk", *by).orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
-    wn = Window.partitionBy("_chunk", *by).orderBy("_rn").rowsBetween(1, Window.unboundedFollowing)
+    wn = Window.partitionBy("_chunk", *by).orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_pin", F.last(info, ignorenulls=True).over(wp)).withColumn(
-        "_nin", F.first(info, ignorenulls=True).over(wn))
+        "_nin", F.last(info, ignorenulls=True).over(wn))
     lrn = F.when(F.col("_kind") == 0, F.col("_rn"))
     per = r.groupBy("_chunk", *by).agg(F.max_by(info, lrn).alias("_last"), F.min_by(info, lrn).alias("_first"))
     wcp = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    wcn = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    wcn = Window.partitionBy(*by).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select("_chunk", *by, F.last("_last", ignorenulls=True).over(wcp).alias("_pc"),
-                       F.first("_first", ignorenulls=True).over(wcn).alias("_nc"))
+                       F.last("_first", ignorenulls=True).over(wcn).alias("_nc"))
     rr = r.where(F.col("_kind") == 1).join(broadcast_if_small(carry), ["_chunk", *by], "left")
     prev = F.coalesce(F.col("_pin"), F.col("_pc"))
     nxt = F.coalesce(F.col("_nin"), F.col("_nc"))

@@ -45,6 +45,14 @@ def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
     return df
 
 
+def _materialize_with(df: DataFrame, held: list[DataFrame], *aggs) -> tuple[DataFrame, tuple]:
+    """Persist ``df`` and compute a few aggregates over it in the same job."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    row = df.agg(*aggs).first()
+    held.append(df)
+    return df, tuple(row)
+
+
 def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
     keys = list(keys)
     x = F.col(value).cast("double")
@@ -87,42 +95,42 @@ def group_quantiles(
         .withColumn("_r0", F.floor("_h").cast("long"))
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
     )
-    targets = _materialize(targets, held)
+    targets, (n_targets, biggest) = _materialize_with(targets, held, F.count(F.lit(1)), F.max("_n"))
+    n_ranks = 2 * (n_targets or 0)  # upper bound of every state table below
 
+    open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
     state = (
         targets.select(*keys, "_n", "_lo", "_hi", F.explode(F.array("_r0", "_r1")).alias("_rank"))
         .dropDuplicates([*keys, "_rank"])
         .select(*keys, "_rank", "_lo", "_hi", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
     )
-    state = _materialize(state, held)
-
-    open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
-    for _ in range(max_rounds):
-        unresolved = state.where(open_cond)
-        if unresolved.isEmpty():
-            break
-        done = state.where(~open_cond)
-        side = broadcast_if_small(unresolved)
-        width = F.col("_hi") - F.col("_lo")
-        j = data.join(side, keys).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-        b = F.least(F.floor((F.col("_x") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
-        hist = j.groupBy(*keys, "_rank", "_below", b.alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")
-        )
-        w = Window.partitionBy(*keys, "_rank").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(w))
-        before = F.col("_below") + F.col("_cum") - F.col("_c")
-        picked = hist.where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum"))).select(
-            *keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-            before.alias("_below"), F.col("_c").alias("_cnt"),
-        )
-        state = _materialize(done.unionByName(picked), held)
-    else:
-        raise RuntimeError("quantile refinement did not converge")
+    if (biggest or 0) > leaf_rows:
+        state, (n_open,) = _materialize_with(state, held, F.sum(F.when(open_cond, 1).otherwise(0)))
+        rounds = 0
+        while n_open:
+            rounds += 1
+            if rounds > max_rounds:
+                raise RuntimeError("quantile refinement did not converge")
+            done = state.where(~open_cond)
+            side = broadcast_if_small(state.where(open_cond), bound=n_ranks)
+            width = F.col("_hi") - F.col("_lo")
+            j = data.join(side, keys).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+            b = F.least(F.floor((F.col("_x") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
+            hist = j.groupBy(*keys, "_rank", "_below", b.alias("_b")).agg(
+                F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")
+            )
+            w = Window.partitionBy(*keys, "_rank").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+            hist = hist.withColumn("_cum", F.sum("_c").over(w))
+            before = F.col("_below") + F.col("_cum") - F.col("_c")
+            picked = hist.where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum"))).select(
+                *keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                before.alias("_below"), F.col("_c").alias("_cnt"),
+            )
+            state, (n_open,) = _materialize_with(done.unionByName(picked), held,
+                                                 F.sum(F.when(open_cond, 1).otherwise(0)))
 
     point = state.where(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", F.col("_lo").alias("_v"))
-    leaves = state.where(F.col("_lo") < F.col("_hi"))
-    side = broadcast_if_small(leaves)
+    side = broadcast_if_small(state.where(F.col("_lo") < F.col("_hi")), bound=n_ranks)
     picked = (
         data.join(side, keys)
         .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
@@ -130,15 +138,14 @@ def group_quantiles(
         .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))
         .select(*keys, "_rank", F.element_at("_vals", (F.col("_rank") - F.col("_below") + 1).cast("int")).alias("_v"))
     )
-    values = _materialize(point.unionByName(picked), held)
-    data.unpersist()
-
+    values = point.unionByName(picked)
     v0 = values.select(*keys, F.col("_rank").alias("_r0"), F.col("_v").alias("_v0"))
     v1 = values.select(*keys, F.col("_rank").alias("_r1"), F.col("_v").alias("_v1"))
     out = targets.join(v0, [*keys, "_r0"]).join(v1, [*keys, "_r1"])
     q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
     result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
     result.count()
+    data.unpersist()
     for h in held:
         h.unpersist()
     return result
@@ -236,3 +243,25 @@ def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequ
     for h in held:
         h.unpersist()
     return result
+
+
+def quantiles_by_groupings(df: DataFrame, groupings: dict[str, Sequence[str]], probs: Sequence[float], **kw):
+    """Per-group and global quantiles for several (group column -> value columns) at once.
+
+    Every row is stacked once per (grouping, value column) with the group value as
+    text, plus once more into that grouping's global set, so ALL statistics share
+    one refinement run.  Returns ``(per_group, overall)``: ``grouping, gval, column,
+    p_idx, q`` and ``grouping, column, p_idx, q``.
+    """
+    items = []
+    for g, values in groupings.items():
+        for v in values:
+            for glob in (0, 1):
+                gval = F.lit("") if glob else F.col(f"`{g}`").cast("string")
+                items.append(F.struct(F.lit(g).alias("grouping"), F.lit(glob).alias("_set"), gval.alias("gval"),
+                                      F.lit(v).alias("column"), F.col(f"`{v}`").cast("double").alias("_val")))
+    long = df.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
+    q = group_quantiles(long, ["grouping", "_set", "gval", "column"], "_val", probs, **kw)
+    per_group = q.where("_set = 0").select("grouping", "gval", "column", "p_idx", "q")
+    overall = q.where("_set = 1").select("grouping", "column", "p_idx", "q")
+    return per_group, overall

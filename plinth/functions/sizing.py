@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: int | None = None) -> DataFrame:
     """Broadcast ``small`` if it has at most ``max_rows`` rows, else return it as is.
 
-    The count runs on the (already aggregated) parameter table, not on the big
-    side.  Beyond the bound the planner's shuffle join (with AQE skew splitting)
+    ``bound``: a row count already known to the caller (e.g. the size of the table the
+    side was filtered from) -- no job is run then.  Otherwise the side is persisted and
+    counted once, so the join reuses the computed rows instead of recomputing the
+    aggregate.  Beyond the bound the planner's shuffle join (with AQE skew splitting)
     is used instead.
     """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(small)
+    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return small

@@ -29,13 +29,29 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_missing(order_facts(spark, sf_dir), exclude=("okey", "custkey", "is_train"))
 
 
+def group_mean_tables(train: DataFrame, groups: list[str], value: str = "y"):
+    """Means of ``value`` per group for several group columns AND the global mean in ONE
+    aggregate (grouping sets).  Returns ``({group: table}, global_mean, n_rows)``."""
+    from pyspark import StorageLevel
+
+    sets = [[g] for g in groups] + [[]]
+    gs = train.groupingSets(sets, *groups).agg(F.avg(value).alias("_m"), F.grouping_id().alias("_gid"))
+    gs = gs.persist(StorageLevel.MEMORY_AND_DISK)
+    n = gs.count()
+    full = (1 << len(groups)) - 1
+    glob = gs.where(F.col("_gid") == full).first()["_m"]
+    tables = {}
+    for i, g in enumerate(groups):
+        gid = full & ~(1 << (len(groups) - 1 - i))
+        tables[g] = gs.where(F.col("_gid") == gid).select(g, "_m")
+    return tables, glob, n
+
+
 def nation_mean_predictions(f: DataFrame) -> DataFrame:
     """A simple fitted predictor: train mean of ``y`` per nation, unseen -> global train mean.
     Adds ``pred`` and the L02 error columns."""
-    train = f.where("is_train")
-    gm = train.groupBy("nation").agg(F.avg("y").alias("_gm"))
-    glob = train.agg(F.avg("y").alias("_g")).first()["_g"]
-    j = f.join(broadcast_if_small(gm), "nation", "left")
+    tables, glob, n = group_mean_tables(f.where("is_train"), ["nation"])
+    j = f.join(broadcast_if_small(tables["nation"].withColumnRenamed("_m", "_gm"), bound=n), "nation", "left")
     j = j.withColumn("pred", F.coalesce(F.col("_gm"), F.lit(glob))).drop("_gm")
     return with_columns(j, error_columns(F.col("y"), F.col("pred")))
 

@@ -23,8 +23,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_STAGES: dict[tuple, str] = {}
+
+
+def _input_signature(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
+    """Modification time and size of each input (through the Hadoop filesystem API)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sig = []
+    for n in names:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
+        st = p.getFileSystem(conf).getFileStatus(p)
+        sig.append((n, st.getModificationTime(), st.getLen()))
+    return tuple(sig)
+
+
+def stage_table(spark: SparkSession, name: str, sf_dir: str, inputs: list[str], build) -> DataFrame:
+    """A derived table written ONCE per session and input state to the shared checkpoint
+    folder, then read back (column pruning and filter pushdown apply to the re-read, and
+    later jobs do not recompute the joins).  ``PLINTH_STAGE_CACHE=0`` disables it."""
+    import os
+
+    from plinth.session import scratch_path
+
+    if os.environ.get("PLINTH_STAGE_CACHE", "1") == "0":
+        return build()
+    key = (spark.sparkContext.applicationId, name, sf_dir, _input_signature(spark, sf_dir, inputs))
+    path = _STAGES.get(key)
+    if path is None:
+        path = scratch_path(spark, f"stage-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _STAGES[key] = path
+    return spark.read.parquet(path)
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: key, target ``y``, numeric and categorical features, ``is_train``."""
+    """One row per order: key, target ``y``, numeric and categorical features, ``is_train``
+    (materialised once as a stage table, see :func:`stage_table`)."""
+    return stage_table(spark, "order_facts", sf_dir, ["orders", "lineitem", "customer", "nation"],
+                       lambda: build_order_facts(spark, sf_dir))
+
+
+def build_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order-facts plan itself: lineitem aggregated per order, joined to orders,
+    customer and nation."""
     li = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")

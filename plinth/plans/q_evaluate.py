@@ -165,14 +165,16 @@ wide AS (
 
 
 def wide_predictions(spark, d) -> DataFrame:
-    """Three group-mean predictors fitted on the training part, one column each."""
-    e = _errors(spark, d)
-    train = e.where("is_train")
-    glob = train.agg(F.avg("y")).first()[0]
-    out = e.select("okey", "y", "segment", "priority", F.col("pred").alias("pred_nation"))
-    for g in ("segment", "priority"):
-        m = train.groupBy(g).agg(F.avg("y").alias(f"_m_{g}"))
-        out = out.join(broadcast_if_small(m), g, "left").withColumn(
+    """Three group-mean predictors fitted on the training part, one column each (all
+    group means and the global mean come from one grouping-sets aggregate)."""
+    from plinth.plans.common import group_mean_tables
+
+    f = filled(spark, d)
+    tables, glob, n = group_mean_tables(f.where("is_train"), ["nation", "segment", "priority"])
+    out = f.select("okey", "y", "nation", "segment", "priority")
+    for g in ("nation", "segment", "priority"):
+        m = tables[g].withColumnRenamed("_m", f"_m_{g}")
+        out = out.join(broadcast_if_small(m, bound=n), g, "left").withColumn(
             f"pred_{g}", F.coalesce(F.col(f"_m_{g}"), F.lit(glob))).drop(f"_m_{g}")
     return out.select("okey", "y", *MODELS)
 
