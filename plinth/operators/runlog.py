@@ -85,17 +85,30 @@ def feature_hash(features: Column) -> Column:
 
 
 # ---------------------------------------------------------------- A08/A09
-def append_runs(log: DataFrame, new: DataFrame, keys: Sequence[str] = ("model", "rmse", "hyperparams", "feat_hash")
-                ) -> DataFrame:
-    """Append runs not already logged (left-anti join on the duplicate keys; NULL-safe),
-    adding missing columns on either side."""
+DEDUP_KEYS = ("model", "rmse", "hyperparams", "feat_hash")
+
+
+def fresh_runs(log: DataFrame, new: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "run_id") -> DataFrame:
+    """A08 core: the runs of ``new`` whose keys are not in ``log`` (left-anti join, NULL-safe);
+    among new runs sharing keys only the first (lowest ``order``) is kept -- the same result
+    as appending them one at a time.  The within-batch pick is a ``min_by`` aggregate."""
     keys = [k for k in keys if k in log.columns and k in new.columns]
     cond = None
     for k in keys:
         e = new[k].eqNullSafe(log[k])
         cond = e if cond is None else cond & e
     fresh = new.join(log.select(*keys), cond, "left_anti") if cond is not None else new
-    return log.unionByName(fresh, allowMissingColumns=True)
+    if keys and order in fresh.columns:
+        firsts = fresh.groupBy(*[col(k) for k in keys]).agg(
+            F.min_by(F.struct(*[col(c) for c in fresh.columns]), col(order)).alias("_r"))
+        fresh = firsts.select("_r.*")
+    return fresh
+
+
+def append_runs(log: DataFrame, new: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "run_id") -> DataFrame:
+    """Append runs not already logged (see :func:`fresh_runs`), adding missing columns
+    on either side."""
+    return log.unionByName(fresh_runs(log, new, keys, order), allowMissingColumns=True)
 
 
 def set_latest_score(log: DataFrame, model: str, score: float, order: str = "run_id",

@@ -251,3 +251,28 @@ SELECT * FROM (
 def l10_pairwise_differences(spark, d):
     pairs = [("pred_nation", "pred_segment"), ("pred_nation", "pred_priority")]
     return round_doubles(ev.pairwise_differences(wide_predictions(spark, d), pairs))
+
+
+# ---------------------------------------------------------------- B24 / B25
+B24_SQL = f"""WITH {PREDS_CTE},
+mixed AS (SELECT okey, pred_nation, exp(pred_segment) - 1 AS pred_segment FROM wide)
+SELECT okey, round(pred_nation, 6) AS pred_nation, round(ln(1 + greatest(pred_segment, 0.0)), 6) AS pred_segment FROM mixed"""
+
+
+@register("b24_log_space_detection", B24_SQL)
+def b24_log_space_detection(spark, d):
+    from plinth.operators.features import detect_log_space
+    w = wide_predictions(spark, d).select("okey", "pred_nation", F.expm1("pred_segment").alias("pred_segment"))
+    return round_doubles(detect_log_space(w, ["pred_nation", "pred_segment"]))
+
+
+B25_SQL = f"""WITH {PREDS_CTE}
+SELECT okey, round(least(greatest(exp(least(greatest(pred_nation * 1.05, 0.0), 15.0)) - 1, 10000.0), 2000000.0), 4)
+  AS price FROM wide"""
+
+
+@register("b25_bounded_inverse", B25_SQL)
+def b25_bounded_inverse(spark, d):
+    from plinth.operators.features import bounded_inverse
+    w = wide_predictions(spark, d)
+    return w.select("okey", F.round(bounded_inverse(F.col("pred_nation") * 1.05), 4).alias("price"))

@@ -131,9 +131,10 @@ A08_SQL = W("""old AS (SELECT * FROM runlog WHERE "timestamp" < TIMESTAMP '2024-
 new AS (SELECT * FROM runlog WHERE "timestamp" >= TIMESTAMP '2024-01-10')
 SELECT run_id, model, round(rmse, 6) AS rmse FROM old
 UNION ALL
-SELECT n.run_id, n.model, round(n.rmse, 6) FROM new n WHERE NOT EXISTS (
+SELECT min(n.run_id), n.model, round(n.rmse, 6) FROM new n WHERE NOT EXISTS (
   SELECT 1 FROM old o WHERE o.model IS NOT DISTINCT FROM n.model AND o.rmse IS NOT DISTINCT FROM n.rmse
-    AND o.hyperparams IS NOT DISTINCT FROM n.hyperparams AND o.feat_hash IS NOT DISTINCT FROM n.feat_hash)""")
+    AND o.hyperparams IS NOT DISTINCT FROM n.hyperparams AND o.feat_hash IS NOT DISTINCT FROM n.feat_hash)
+GROUP BY n.model, n.rmse, n.hyperparams, n.feat_hash""")
 
 
 @register("a08_append_runs", A08_SQL)
@@ -326,3 +327,24 @@ FROM p""")
 def n12_previous_best(spark, d):
     out = rl.previous_best(submissions(spark, d))
     return round_doubles(out.select("sub_id", "score", "previous_best", "improvement", "status"))
+
+
+# ---------------------------------------------------------------- A08 as a stream
+@register("a08_runlog_stream", A08_SQL)
+def a08_runlog_stream(spark, d):
+    """The same append fed as a file stream: the new runs arrive as five files, each
+    micro-batch is de-duplicated against the log so far and appended idempotently."""
+    from plinth.session import scratch_path
+    from plinth.streaming.runlog_stream import stream_append_runs
+
+    r = log_table(spark, d).drop("features")
+    old = r.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
+    new = r.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
+    src, log_path = scratch_path(spark, "runs-in"), scratch_path(spark, "runlog")
+    old.write.parquet(f"{log_path}/batch=-1")
+    day = F.dayofmonth("timestamp")
+    for i, (lo, hi) in enumerate([(10, 14), (14, 18), (18, 22), (22, 26), (26, 32)]):
+        new.where((day >= lo) & (day < hi)).write.parquet(f"{src}/part={i}")
+    out = stream_append_runs(spark, src, log_path, scratch_path(spark, "runlog-ckpt"), r.schema,
+                             max_files_per_trigger=1)
+    return round_doubles(out.select("run_id", "model", "rmse"))
