@@ -19,9 +19,16 @@ from pyspark.sql import functions as F
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partitions for a global sort: at least the shuffle setting, and at least as
+    many as the input has splits, so a sorted partition is never larger than an input
+    split (a 100 TB input gets hundreds of thousands of ranges, not 200)."""
     if partitions:
         return partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    conf = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    try:
+        return max(conf, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - planning the input can fail for exotic sources
+        return conf
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rn",

@@ -8,7 +8,7 @@ cannot be reproduced and is not attempted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.ordered import global_row_number
@@ -52,10 +52,11 @@ def stratified_kfold(df: DataFrame, key: str, target: str, k: int = 5, n_bins: i
 
 def group_kfold(df: DataFrame, group: str, k: int = 5, name: str = "fold") -> DataFrame:
     """Whole groups per fold, sizes balanced by snake order over groups sorted by
-    size (desc, then name).  The window runs over the group table (one row per group)."""
+    size (desc, then name)."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    rn = F.row_number().over(Window.orderBy(F.desc("_n"), F.col(group))) - 1
-    r = sizes.select(group, rn.alias("_r"))
+    # position of each group in (size desc, name) order; the group table can itself be
+    # large (one row per user, say), so no single-partition window
+    r = global_row_number(sizes, [F.desc("_n"), F.col(group)], "_r1").select(group, (F.col("_r1") - 1).alias("_r"))
     lap, off = F.floor(F.col("_r") / k), F.pmod(F.col("_r"), F.lit(k))
     table = r.select(group, F.when(F.pmod(lap, F.lit(2)) == 0, off).otherwise(k - 1 - off).cast("int").alias(name))
     return df.join(broadcast_if_small(table), group, "left")
