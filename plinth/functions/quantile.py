@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
 from plinth.functions.sizing import broadcast_if_small
+from plinth.session import small_shuffles
 
 _G = "_qgrp"
 
-# Above this many probabilities one global sort beats per-rank refinement
-# (every refinement round pairs each row with each open rank of its group).
-SORT_THRESHOLD = 8
+# Above this many probabilities one global sort is used instead of refinement
+# (the interval tables then get large and every row is tested against many).
+SORT_THRESHOLD = 64
 
 
 def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
@@ -46,13 +47,23 @@ def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
 
 
 def _materialize_with(df: DataFrame, held: list[DataFrame], *aggs) -> tuple[DataFrame, tuple]:
-    """Persist ``df`` and compute a few aggregates over it in the same job."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write a small intermediate table to the reliable checkpoint folder (flat lineage:
+    later rounds plan against the written rows, not the whole history) and compute a
+    few aggregates over it."""
+    df = df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     row = df.agg(*aggs).first()
     held.append(df)
     return df, tuple(row)
 
 
+def _checkpointed_input(data: DataFrame) -> DataFrame:
+    """The prepared ``(keys, x)`` column written once to the checkpoint folder and cached:
+    every refinement pass re-reads it without re-planning or recomputing its lineage."""
+    from plinth.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(data.sparkSession)
+    return data.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
     keys = list(keys)
     x = F.col(value).cast("double")
@@ -63,7 +74,7 @@ def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame,
     return data, keys
 
 
-def group_quantiles(
+def _group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
@@ -77,13 +88,19 @@ def group_quantiles(
 
     Returns ``keys + [p_idx, p, q]``; NULL/NaN values are ignored (pandas and SQL
     semantics).  ``keys`` may be empty for a global quantile.
+
+    Refinement works on value INTERVALS, not on ranks: ranks that sit in the same
+    interval share its histogram, and the open intervals of a group are disjoint, so
+    every row is counted at most once per group and round however many
+    probabilities are asked for.
     """
     if len(probs) > SORT_THRESHOLD:
-        return sorted_quantiles(df, keys, value, probs)
+        return _sorted_quantiles(df, keys, value, probs)
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = _checkpointed_input(data)
     held: list[DataFrame] = []
+    iv_cols = [*keys, "_lo", "_hi", "_below"]
 
     stats = data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
@@ -96,7 +113,7 @@ def group_quantiles(
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
     )
     targets, (n_targets, biggest) = _materialize_with(targets, held, F.count(F.lit(1)), F.max("_n"))
-    n_ranks = 2 * (n_targets or 0)  # upper bound of every state table below
+    n_ranks = 2 * (n_targets or 0)  # upper bound of every state / interval table below
 
     open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
     state = (
@@ -111,33 +128,36 @@ def group_quantiles(
             rounds += 1
             if rounds > max_rounds:
                 raise RuntimeError("quantile refinement did not converge")
-            done = state.where(~open_cond)
-            side = broadcast_if_small(state.where(open_cond), bound=n_ranks)
+            opened = state.where(open_cond)
+            intervals = opened.select(*iv_cols).distinct()
+            j = data.join(broadcast_if_small(intervals, bound=n_ranks), keys) \
+                .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
             width = F.col("_hi") - F.col("_lo")
-            j = data.join(side, keys).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
             b = F.least(F.floor((F.col("_x") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
-            hist = j.groupBy(*keys, "_rank", "_below", b.alias("_b")).agg(
+            hist = j.groupBy(*iv_cols, b.alias("_b")).agg(
                 F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")
             )
-            w = Window.partitionBy(*keys, "_rank").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-            hist = hist.withColumn("_cum", F.sum("_c").over(w))
+            w = Window.partitionBy(*iv_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+            hist = hist.withColumn("_cum", F.sum("_c").over(w))  # <= buckets rows per interval
             before = F.col("_below") + F.col("_cum") - F.col("_c")
-            picked = hist.where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum"))).select(
-                *keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                before.alias("_below"), F.col("_c").alias("_cnt"),
-            )
-            state, (n_open,) = _materialize_with(done.unionByName(picked), held,
+            picked = opened.select(*iv_cols, "_rank").join(hist, iv_cols) \
+                .where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum"))) \
+                .select(*keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                        before.alias("_below"), F.col("_c").alias("_cnt"))
+            state, (n_open,) = _materialize_with(state.where(~open_cond).unionByName(picked), held,
                                                  F.sum(F.when(open_cond, 1).otherwise(0)))
 
     point = state.where(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", F.col("_lo").alias("_v"))
-    side = broadcast_if_small(state.where(F.col("_lo") < F.col("_hi")), bound=n_ranks)
-    picked = (
-        data.join(side, keys)
+    leaves = state.where(F.col("_lo") < F.col("_hi"))
+    intervals = leaves.select(*iv_cols).distinct()
+    sorted_vals = (
+        data.join(broadcast_if_small(intervals, bound=n_ranks), keys)
         .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*keys, "_rank", "_below")
-        .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))
-        .select(*keys, "_rank", F.element_at("_vals", (F.col("_rank") - F.col("_below") + 1).cast("int")).alias("_v"))
+        .groupBy(*iv_cols)
+        .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))  # <= leaf_rows values per interval
     )
+    picked = leaves.select(*iv_cols, "_rank").join(sorted_vals, iv_cols).select(
+        *keys, "_rank", F.element_at("_vals", (F.col("_rank") - F.col("_below") + 1).cast("int")).alias("_v"))
     values = point.unionByName(picked)
     v0 = values.select(*keys, F.col("_rank").alias("_r0"), F.col("_v").alias("_v0"))
     v1 = values.select(*keys, F.col("_rank").alias("_r1"), F.col("_v").alias("_v1"))
@@ -209,7 +229,7 @@ def quantiles_with_global(df: DataFrame, group: str, values: Sequence[str], prob
     return per_group, overall
 
 
-def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+def _sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles for MANY probabilities: one range-partitioned sort on ``(keys, value)``
     gives every row its global position; a group's k-th value is the row at
     ``group_start + k``.  Only the needed rows are kept (an equi-join on the position
@@ -219,6 +239,8 @@ def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequ
 
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
+    # the sort samples its input and then shuffles it: read both from one written copy
+    data = _checkpointed_input(data)
     order = [F.col(k) for k in keys] + [F.col("_x")]
     ranked = global_row_number(data, order, "_pos")  # 1-based, groups contiguous
     starts = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
@@ -228,10 +250,10 @@ def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequ
                .withColumn("_r0", F.floor("_h").cast("long"))
                .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
     held: list[DataFrame] = []
-    targets = _materialize(targets, held)
+    targets, (n_targets,) = _materialize_with(targets, held, F.count(F.lit(1)))
     need = targets.select((F.col("_start") + F.col("_r0")).alias("_pos")).unionByName(
         targets.select((F.col("_start") + F.col("_r1")).alias("_pos"))).distinct()
-    vals = ranked.join(broadcast_if_small(need), "_pos").select("_pos", F.col("_x").alias("_v"))
+    vals = ranked.join(broadcast_if_small(need, bound=2 * n_targets), "_pos").select("_pos", F.col("_x").alias("_v"))
     vals = _materialize(vals, held)
     v0 = vals.select(F.col("_pos").alias("_p0"), F.col("_v").alias("_v0"))
     v1 = vals.select(F.col("_pos").alias("_p1"), F.col("_v").alias("_v1"))
@@ -240,6 +262,7 @@ def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequ
     q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
     result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
     result.count()
+    data.unpersist()
     for h in held:
         h.unpersist()
     return result
@@ -265,3 +288,16 @@ def quantiles_by_groupings(df: DataFrame, groupings: dict[str, Sequence[str]], p
     per_group = q.where("_set = 0").select("grouping", "gval", "column", "p_idx", "q")
     overall = q.where("_set = 1").select("grouping", "column", "p_idx", "q")
     return per_group, overall
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], **kw) -> DataFrame:
+    """Exact per-group quantiles (see :func:`_group_quantiles`); the helper's own small
+    shuffles run without adaptive re-planning."""
+    with small_shuffles(df.sparkSession):
+        return _group_quantiles(df, keys, value, probs, **kw)
+
+
+def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles through one global sort (see :func:`_sorted_quantiles`)."""
+    with small_shuffles(df.sparkSession):
+        return _sorted_quantiles(df, keys, value, probs)
