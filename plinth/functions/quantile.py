@@ -10,7 +10,8 @@ refinement instead:
    buckets of the current value interval (again map-side combined), and a
    running sum over at most ``B`` rows per target picks the bucket holding the
    rank;
-3. once an interval holds at most ``leaf_rows`` values (or a single value),
+3. once an interval holds at most ``leaf_rows`` values (250k doubles, ~2 MB: a fixed
+   bound per task whatever the data size) or a single value,
    those few values are collected and the rank is read off directly.
 
 Every step is a DataFrame aggregate or a join against a parameter table whose
@@ -46,12 +47,18 @@ def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
     return df
 
 
-def _materialize_with(df: DataFrame, held: list[DataFrame], *aggs) -> tuple[DataFrame, tuple]:
-    """Write a small intermediate table to the reliable checkpoint folder (flat lineage:
-    later rounds plan against the written rows, not the whole history) and compute a
-    few aggregates over it."""
-    df = df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+def _materialize_with(df: DataFrame, held: list[DataFrame], *aggs, checkpoint: bool = True) -> tuple[DataFrame, tuple]:
+    """Persist a small intermediate table and compute a few aggregates over it.  With
+    ``checkpoint`` it is also written to the reliable checkpoint folder (flat lineage:
+    later rounds plan against the written rows, not the whole history)."""
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # computed once: count + checkpoint write read it
+    if checkpoint:
+        df = src.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        df = src
     row = df.agg(*aggs).first()
+    if checkpoint:
+        src.unpersist()
     held.append(df)
     return df, tuple(row)
 
@@ -61,7 +68,11 @@ def _checkpointed_input(data: DataFrame) -> DataFrame:
     every refinement pass re-reads it without re-planning or recomputing its lineage."""
     from plinth.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(data.sparkSession)
-    return data.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    src = data.persist(StorageLevel.MEMORY_AND_DISK)  # without it the checkpoint recomputes the input
+    out = src.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    src.unpersist()
+    return out
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
@@ -81,7 +92,7 @@ def _group_quantiles(
     probs: Sequence[float],
     *,
     buckets: int = 1024,
-    leaf_rows: int = 20_000,
+    leaf_rows: int = 250_000,
     max_rounds: int = 24,
 ) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` group, long format.
@@ -98,7 +109,7 @@ def _group_quantiles(
         return _sorted_quantiles(df, keys, value, probs)
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
-    data = _checkpointed_input(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     held: list[DataFrame] = []
     iv_cols = [*keys, "_lo", "_hi", "_below"]
 
@@ -112,8 +123,14 @@ def _group_quantiles(
         .withColumn("_r0", F.floor("_h").cast("long"))
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
     )
-    targets, (n_targets, biggest) = _materialize_with(targets, held, F.count(F.lit(1)), F.max("_n"))
+    targets, (n_targets, biggest) = _materialize_with(targets, held, F.count(F.lit(1)), F.max("_n"),
+                                                      checkpoint=False)
     n_ranks = 2 * (n_targets or 0)  # upper bound of every state / interval table below
+    if (biggest or 0) > leaf_rows:
+        # several refinement passes follow: give them a written, lineage-free input
+        cached = data
+        data = _checkpointed_input(cached)
+        cached.unpersist()
 
     open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
     state = (

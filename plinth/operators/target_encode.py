@@ -63,41 +63,37 @@ def encode_many(train: DataFrame, test: DataFrame, cats: Sequence[str], target:
 STATS = ("mean", "median", "std", "min", "max")
 
 
-def _group_stats(rows: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
-    """mean, sample std, min, max (one partial aggregate) and exact median per key."""
-    base = rows.groupBy(*keys).agg(F.avg(col(target)).alias("mean"), F.stddev_samp(col(target)).alias("std"),
-                                   F.min(col(target)).alias("min"), F.max(col(target)).alias("max"))
-    med = group_quantiles(rows, keys, target, [0.5]).select(*keys, F.col("q").alias("median"))
-    return base.join(med, list(keys), "left")
-
-
 def oof_group_stats(train: DataFrame, test: DataFrame, group: str, target: str, k: int, fold: str = "fold",
                     prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold mean/median/std/min/max of ``target`` per ``group``.
 
-    Each training row is replicated to the ``k - 1`` folds it trains, then one
-    grouped aggregate over ``(fold, group)`` yields every fold's statistics.
-    Fallbacks: NULL std -> global std; unseen group -> global mean (mean),
-    global median (median), global std (std, min and max -- the reference's rule).
+    Each training row is stacked once per fold it trains (``k - 1`` copies), once for
+    the full-train statistics (slot ``-1``, used by test rows) and once for the global
+    statistics (slot ``-2``).  ONE grouped aggregate and ONE exact quantile run over
+    ``(slot, group)`` then give every statistic.  Fallbacks: NULL std -> global std;
+    unseen group -> global mean (mean), global median (median), global std (std, min
+    and max -- the reference's rule).
     """
     prefix = prefix or group
     names = {s: f"{prefix}_{s}_{target}" for s in STATS}
-    glob = train.agg(F.avg(col(target)).alias("m"), F.stddev_samp(col(target)).alias("s")).first()
-    gmed = group_quantiles(train, [], target, [0.5]).first()["q"]
-    g = {"mean": glob["m"], "median": gmed, "std": glob["s"], "min": glob["s"], "max": glob["s"]}
-
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != col(fold))
-    rep = train.select(col(group), col(target), F.explode(others).alias("_for"))
-    per_fold = _group_stats(rep, [group, "_for"], target)
-    per_fold = per_fold.withColumn("std", F.coalesce("std", F.lit(g["std"])))
-    per_fold = per_fold.select(group, F.col("_for").alias(fold), *[F.col(s).alias(names[s]) for s in STATS])
-    tr = train.join(broadcast_if_small(per_fold), [group, fold], "left")
-    tr = with_columns(tr, [(names[s], F.coalesce(col(names[s]), F.lit(g[s]))) for s in STATS])
-
-    full = _group_stats(train, [group], target).withColumn("std", F.coalesce("std", F.lit(g["std"])))
-    full = full.select(group, *[F.col(s).alias(names[s]) for s in STATS])
-    te = test.join(broadcast_if_small(full), group, "left")
-    te = with_columns(te, [(names[s], F.coalesce(col(names[s]), F.lit(g[s]))) for s in STATS])
+    gtype = dict(train.dtypes)[group]
+    slots = F.concat(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != col(fold)),
+                     F.array(F.lit(-1), F.lit(-2)))
+    rep = train.select(col(group).cast("string").alias("_g"), col(target).alias("_t"), F.explode(slots).alias("_slot"))
+    rep = rep.withColumn("_g", F.when(F.col("_slot") == -2, F.lit("")).otherwise(F.col("_g")))
+    base = rep.groupBy("_slot", "_g").agg(F.avg("_t").alias("mean"), F.stddev_samp("_t").alias("std"),
+                                          F.min("_t").alias("min"), F.max("_t").alias("max"))
+    med = group_quantiles(rep, ["_slot", "_g"], "_t", [0.5]).select("_slot", "_g", F.col("q").alias("median"))
+    stats = base.join(med, ["_slot", "_g"], "left").persist()
+    glob = stats.where(F.col("_slot") == -2).first()  # the one global row
+    g = {"mean": glob["mean"], "median": glob["median"], "std": glob["std"], "min": glob["std"], "max": glob["std"]}
+    stats = stats.withColumn("std", F.coalesce("std", F.lit(g["std"])))
+    out = [F.col("_g").cast(gtype).alias(group)] + [F.col(s).alias(names[s]) for s in STATS]
+    per_fold = stats.where(F.col("_slot") >= 0).select(*out, F.col("_slot").alias(fold))
+    full = stats.where(F.col("_slot") == -1).select(*out)
+    fill = [(names[s], F.coalesce(col(names[s]), F.lit(g[s]))) for s in STATS]
+    tr = with_columns(train.join(broadcast_if_small(per_fold), [group, fold], "left"), fill)
+    te = with_columns(test.join(broadcast_if_small(full), group, "left"), fill)
     return tr, te
 
 
