@@ -265,7 +265,7 @@ def k01_align_predictions(spark, d):
 
 
 WEIGHTS = {"pred_nation": 0.5, "pred_segment": 0.0, "pred_priority": 0.3}
-W_SQL = " UNION ALL ".join(f"SELECT '{m}' AS model, {w} AS weight" for m, w in WEIGHTS.items())
+W_SQL = " UNION ALL ".join(f"SELECT '{m}' AS model, CAST({w} AS DOUBLE) AS weight" for m, w in WEIGHTS.items())
 
 K02_SQL = f"""WITH {PREDS_CTE}, wt AS ({W_SQL}),
 lp AS (SELECT okey, model, pred FROM wide UNPIVOT (pred FOR model IN ({', '.join(MODELS)})))
