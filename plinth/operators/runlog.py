@@ -189,12 +189,23 @@ def change_vs_previous(log: DataFrame, metric: str = "rmse", features: str = "fe
 
 
 # ---------------------------------------------------------------- N07
+# The reference's fallback names for models without runs of their own.
+MODEL_ALIASES = {"STACKING_META": "stacking", "blending": "blend"}
+
+
 def attach_nearest_scores(runs: DataFrame, subs: DataFrame, score: str = "score", ts: str = "timestamp",
                           run_id: str = "run_id", sub_id: str = "sub_id", score_col: str = "kaggle_score",
-                          **kw) -> DataFrame:
-    """Each submission's score goes to the run of the same model nearest in time; when
-    several submissions hit one run, the last one in log order wins; unchanged scores are
-    left alone.  Returns ``runs`` with ``score_col`` (and ``matched_sub``)."""
+                          aliases: Mapping[str, str] = MODEL_ALIASES, **kw) -> DataFrame:
+    """Each submission's score goes to the run of the same model nearest in time (a
+    model without runs is looked up under its alias); when several submissions hit one
+    run, the last one in log order wins; unchanged scores are left alone.  Returns
+    ``runs`` with ``score_col`` (and ``matched_sub``)."""
+    if aliases:
+        logged = runs.select("model").distinct()  # one row per model
+        hit = subs.join(logged.withColumn("_has", F.lit(True)), "model", "left")
+        alias = F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])
+        subs = hit.withColumn("model", F.when(F.col("_has").isNull(), F.coalesce(alias[F.col("model")], F.col("model")))
+                              .otherwise(F.col("model"))).drop("_has")
     m = asof_nearest(runs, subs, ["model"], ts, run_id, sub_id, **kw)
     m = m.where(F.col(run_id).isNotNull()).join(subs.select(col(sub_id), col(score)), sub_id)
     winner = m.groupBy(run_id).agg(F.max_by(F.struct(col(score).alias("s"), col(sub_id).alias("i")), col(sub_id)).alias("_w"))

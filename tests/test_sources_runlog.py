@@ -55,3 +55,14 @@ def test_append_runs_sequential_semantics(spark):
                                 log.schema)
     out = rl.append_runs(log, new)
     assert sorted(r["run_id"] for r in out.collect()) == [1, 3]
+
+
+def test_nearest_scores_with_alias(spark):
+    runs = spark.createDataFrame([(1, "stacking", "2024-01-01 00:00:00"), (2, "stacking", "2024-01-03 00:00:00"),
+                                  (3, "ridge", "2024-01-02 00:00:00")], "run_id long, model string, timestamp string") \
+        .withColumn("timestamp", F.to_timestamp("timestamp"))
+    subs = spark.createDataFrame([(10, "STACKING_META", "2024-01-02 20:00:00", 0.12), (11, "ridge", "2024-01-01 00:00:00", 0.2)],
+                                 "sub_id long, model string, timestamp string, score double") \
+        .withColumn("timestamp", F.to_timestamp("timestamp"))
+    out = {r["run_id"]: (r["kaggle_score"], r["matched_sub"]) for r in rl.attach_nearest_scores(runs, subs).collect()}
+    assert out == {1: (None, None), 2: (0.12, 10), 3: (0.2, 11)}
