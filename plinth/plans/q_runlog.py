@@ -348,3 +348,19 @@ def a08_runlog_stream(spark, d):
     out = stream_append_runs(spark, src, log_path, scratch_path(spark, "runlog-ckpt"), r.schema,
                              max_files_per_trigger=1)
     return round_doubles(out.select("run_id", "model", "rmse"))
+
+
+# ---------------------------------------------------------------- N11 as a stream
+@register("n11_daily_quota_stream", N11_SQL)
+def n11_daily_quota_stream(spark, d):
+    """The daily quota as a windowed streaming count: submissions arrive as weekly files."""
+    from plinth.session import scratch_path
+    from plinth.streaming.quota_stream import stream_daily_quota
+
+    subs = submissions(spark, d)
+    src = scratch_path(spark, "subs-in")
+    week = F.floor((F.dayofmonth("timestamp") - 1) / 7)
+    subs.withColumn("_w", week).write.partitionBy("_w").parquet(src)
+    schema = subs.schema
+    return stream_daily_quota(spark, src, scratch_path(spark, "quota"), scratch_path(spark, "quota-ckpt"), schema,
+                              max_files_per_trigger=2)
