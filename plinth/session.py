@@ -27,6 +27,8 @@ def get_spark(master: str | None = None, app: str = "plinth", shuffle_partitions
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of dropped intermediates are deleted, not left to pile up
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
