@@ -251,6 +251,3 @@ def raise_on_failure(results: DataFrame, leakage_checks: Iterable[str] = ("key_o
         raise DataIntegrityError("; ".join(f"{r['check']}({r['column']}): {r['detail']}" for r in failed))
 
 
-def numeric_feature_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    ex = set(exclude)
-    return [f.name for f in df.schema.fields if is_numeric(f.dataType) and f.name not in ex]

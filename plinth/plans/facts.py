@@ -157,11 +157,3 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("hyperparams"),
         F.col("user_id").alias("feat_count"),
     )
-
-
-RUNLOG_CTE = """
-runlog AS (
-  SELECT event_id AS run_id, ts AS "timestamp", event_type AS model, value AS rmse,
-         props AS hyperparams, user_id AS feat_count
-  FROM events
-)"""

@@ -63,21 +63,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/plinth-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side filesystem calls in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or os.environ.get("PLINTH_LOCAL") == "1"
-
-
 class small_shuffles:
     """Context for helper jobs whose shuffles carry only pre-aggregated, small data
     (histograms, per-group parameters, one row per partition): adaptive re-planning has

@@ -66,3 +66,16 @@ def test_nearest_scores_with_alias(spark):
         .withColumn("timestamp", F.to_timestamp("timestamp"))
     out = {r["run_id"]: (r["kaggle_score"], r["matched_sub"]) for r in rl.attach_nearest_scores(runs, subs).collect()}
     assert out == {1: (None, None), 2: (0.12, 10), 3: (0.2, 11)}
+
+
+def test_pending_split_history_and_manifest(spark):
+    cands = spark.createDataFrame([(1,), (2,), (3,)], "f long")
+    done = spark.createDataFrame([(2,)], "f long")
+    sub, pend = rl.pending_split(cands, done, "f")
+    assert [r[0] for r in sub.collect()] == [2] and sorted(r[0] for r in pend.collect()) == [1, 3]
+    log = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-03"), (3, "2024-01-02")], "run_id long, timestamp string")
+    assert [r[0] for r in rl.history_newest_first(log).collect()] == [2, 3, 1]
+    empty = fs.manifest_reset(spark, "stage string, version int, n long")
+    upd = spark.createDataFrame([("s1", 1, 5), ("s1", 2, 7), ("s2", 1, 3)], empty.schema)
+    got = {r["stage"]: (r["version"], r["n"]) for r in fs.manifest_upsert(empty, upd).collect()}
+    assert got == {"s1": (2, 7), "s2": (1, 3)}
