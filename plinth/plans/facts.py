@@ -27,15 +27,19 @@ _STAGES: dict[tuple, str] = {}
 
 
 def _input_signature(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
-    """Modification time and size of each input (through the Hadoop filesystem API)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sig = []
-    for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
-        st = p.getFileSystem(conf).getFileStatus(p)
-        sig.append((n, st.getModificationTime(), st.getLen()))
-    return tuple(sig)
+    """Modification time and size of each input (through the Hadoop filesystem API).
+    Sessions without a local JVM gateway (Spark Connect) fall back to the paths alone."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        sig = []
+        for n in names:
+            p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{n}.parquet")
+            st = p.getFileSystem(conf).getFileStatus(p)
+            sig.append((n, st.getModificationTime(), st.getLen()))
+        return tuple(sig)
+    except Exception:  # noqa: BLE001
+        return tuple(names)
 
 
 def stage_table(spark: SparkSession, name: str, sf_dir: str, inputs: list[str], build) -> DataFrame:
@@ -48,7 +52,11 @@ def stage_table(spark: SparkSession, name: str, sf_dir: str, inputs: list[str],
 
     if os.environ.get("PLINTH_STAGE_CACHE", "1") == "0":
         return build()
-    key = (spark.sparkContext.applicationId, name, sf_dir, _input_signature(spark, sf_dir, inputs))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        app = id(spark)
+    key = (app, name, sf_dir, _input_signature(spark, sf_dir, inputs))
     path = _STAGES.get(key)
     if path is None:
         path = scratch_path(spark, f"stage-{name}")
