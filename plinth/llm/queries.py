@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import bpe, exact_dedup, html_extract, near_dedup, packing, quality, toxicity, warc
+from plinth.llm import bpe, exact_dedup, html_extract, near_dedup, ngram_lm, packing, quality, resample, toxicity, warc
 from plinth.llm.text import worker_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,8 +28,10 @@ def _register(fn: Callable[[SparkSession, str], DataFrame], sql: str | None = No
 _register(html_extract.op1_html_extract)
 _register(packing.op2_packing)
 _register(near_dedup.op3_near_dedup)
+_register(ngram_lm.op4_ngram_lm)
 _register(exact_dedup.op5_exact_dedup, exact_dedup.SQL)
 _register(bpe.op6_bpe)
 _register(warc.op7_warc, warc.SQL)
+_register(resample.op8_importance_resampling)
 _register(quality.op9_quality_rules)
 _register(toxicity.op10_toxicity)
