@@ -104,9 +104,13 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one row per doc_id."""
-    kept = exact_dedup(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
-    return rows.dropDuplicates(["doc_id"])
+    return one_row_each(docs, exact_dedup(docs.select("doc_id", "text")).where("kept"))
+
+
+def one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``kept``, one a doc_id."""
+    ids = kept.select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi").dropDuplicates(["doc_id"])
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
