@@ -32,6 +32,9 @@ MOST_KEYS = 5000
 #: Bounds of a word's and a tag's weight, and the weight of a tag that no labelled page has.
 WORD_LEAST, WORD_MOST, TAG_LEAST, TAG_MOST, TAG_UNKNOWN = 0.5, 2.0, -8.0, -0.02, -0.5
 
+#: Stands where an element was left out: it ends a block, and costs next to nothing.
+LEFT_OUT = "/"
+
 # Element and attribute names.
 CONTENT = frozenset("article main".split())
 NEVER = frozenset("nav footer aside form script style noscript template title iframe object svg canvas button select "
@@ -100,7 +103,7 @@ def read_page(html: str) -> tuple[list[Token], bool]:
                     if not hidden:
                         out.append(Token("/" + name, name in BLOCKS, "", marked > 0))
                     elif not dropped:
-                        out.append(Token("/", True, "", marked > 0))
+                        out.append(Token(LEFT_OUT, True, "", marked > 0))
                     break
             continue
         if name in CONTENT and dropped:  # an unclosed element that was left out ends here
@@ -114,7 +117,7 @@ def read_page(html: str) -> tuple[list[Token], bool]:
             kind = ".".join([name, *sorted(names)[:2]]) if names else name
             out.append(Token(kind, name in BLOCKS, "", marked > 0))
         elif not dropped:
-            out.append(Token("/", True, "", marked > 0))
+            out.append(Token(LEFT_OUT, True, "", marked > 0))
         if name not in VOID and not m["attrs"].endswith("/"):
             mark = name in CONTENT and not dropped
             labelled |= mark
@@ -134,6 +137,8 @@ def count_tokens(pages: DataFrame) -> DataFrame:
             for html in field(batch, "html").to_pylist():
                 tokens, labelled = read_page(html or "")
                 for t in tokens if labelled else ():
+                    if t.key == LEFT_OUT:
+                        continue
                     total[t.key or "#word", t.inside] += 1 if t.key else t.words
         keys = sorted({k for k, _ in total})
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())] + [pa.array([total[k, x] for k in keys], pa.int64()) for x in (True, False)],
@@ -146,7 +151,7 @@ def count_tokens(pages: DataFrame) -> DataFrame:
 def fit(pages: DataFrame) -> dict[str, float]:
     """The weight of each tag key and of ``#word``."""
     rows = count_tokens(pages).orderBy((F.col("inside") + F.col("outside")).desc(), "key").limit(MOST_KEYS).collect()
-    out = {}
+    out = {LEFT_OUT: TAG_MOST}
     for r in rows:
         odds = math.log((r["inside"] + 1) / (r["outside"] + 1))
         low, high = (WORD_LEAST, WORD_MOST) if r["key"] == "#word" else (TAG_LEAST, TAG_MOST)
