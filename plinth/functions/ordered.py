@@ -13,22 +13,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plinth.functions.sizing import hold
+
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partitions for a global sort: at least the shuffle setting, and at least as
-    many as the input has splits, so a sorted partition is never larger than an input
-    split (a 100 TB input gets hundreds of thousands of ranges, not 200)."""
+    """Range partitions for a global sort: at least the shuffle setting, and one for every
+    ``RANGE_BYTES`` of the sources that the optimised plan reads (a 100 TB input gets hundreds of
+    thousands of ranges, not 200).  Only the plan is looked at; nothing runs."""
     if partitions:
         return partitions
     conf = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    try:
-        return max(conf, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - planning the input can fail for exotic sources
-        return conf
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [s for s in sizes if s < 1 << 60]  # a source of unknown size estimates the largest number
+    return max(conf, sum(known) // RANGE_BYTES)
+
+
+RANGE_BYTES = 128 << 20
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rn",
@@ -41,8 +45,8 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
         .sortWithinPartitions(*cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    ranged = hold(ranged)  # read twice: once for the partition counts, once for the rows
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     # one row per partition: a window over this tiny table is fine
     before = F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
@@ -66,24 +70,26 @@ def chunk_order(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 
 
 def previous_row(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
-                 prefix: str = "prev_", partitions: int | None = None) -> DataFrame:
+                 prefix: str = "prev_", chunk_rows: int = CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
     """``lag(col)`` within ``by`` ordered by ``order``, without a per-key window.
 
-    Rows get a global row number in ``(by, order)``; the previous row is the one
-    numbered ``rn - 1`` when it has the same ``by`` values.  That is an equi-join
-    on a unique, evenly spread key, so a key holding a third of the table is
-    spread over all tasks.
+    ``lag`` runs within bounded chunks of the global order; the row before a chunk's first comes
+    from a table with one row per chunk.  It counts as the previous row when it has the same
+    ``by`` values, so a key holding a third of the table is spread over all tasks.
     """
-    r = global_row_number(df, [*[F.col(b) for b in by], *order], "_rn", partitions)
-    prev = r.select((F.col("_rn") + 1).alias("_rn"), *[F.col(b).alias(f"_pb_{b}") for b in by],
-                    *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    j = r.join(prev, "_rn", "left")
-    same = F.lit(True)
-    for b in by:
-        same = same & F.col(f"_pb_{b}").eqNullSafe(F.col(b))
-    out = j.select(*[F.col(c) for c in r.columns],
-                   *[F.when(same, F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in cols])
-    return out.drop("_rn")
+    from plinth.functions.sizing import broadcast_if_small
+
+    r = chunk_order(df, by, order, chunk_rows, partitions)
+    row = F.struct(*[F.col(b).alias(f"b{i}") for i, b in enumerate(by)], *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    w = Window.partitionBy("_chunk").orderBy("_rn")
+    edge = r.groupBy("_chunk").agg(F.max_by(row, "_rn").alias("_edge")).withColumn("_chunk", F.col("_chunk") + 1)
+    j = r.withColumn("_prev", F.lag(row).over(w)).join(broadcast_if_small(edge), "_chunk", "left") \
+        .withColumn("_prev", F.coalesce("_prev", "_edge"))
+    same = F.col("_prev").isNotNull()
+    for i, b in enumerate(by):
+        same = same & F.col(f"_prev.b{i}").eqNullSafe(F.col(b))
+    return j.select(*[F.col(c) for c in df.columns],
+                    *[F.when(same, F.col(f"_prev.c{i}")).alias(f"{prefix}{c}") for i, c in enumerate(cols)])
 
 
 def running_extreme(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str, how: str = "min",

@@ -3,19 +3,25 @@
 Spark's exact ``percentile``/``median`` keeps every distinct value of a group in
 one aggregation buffer, so a group holding a third of a 100 TB table would land
 in a single task.  Here each needed order statistic is found by histogram
-refinement instead:
-
-1. one aggregate gives ``n``, ``min``, ``max`` per group (map-side combined);
-2. every round counts rows per (group, rank, bucket) over ``B`` equal-width
-   buckets of the current value interval (again map-side combined), and a
-   running sum over at most ``B`` rows per target picks the bucket holding the
-   rank;
+refinement over the *ordered integer image* of the doubles (``image``):
+
+1. one aggregate gives ``n`` and the smallest and largest image per group
+   (map-side combined);
+2. every round counts rows per (group, open interval, bucket), where a bucket is
+   the image shifted right so that an interval has about ``buckets`` of them
+   (again map-side combined), and a running sum over at most ``buckets`` rows per
+   interval picks the bucket holding the rank.  A round shrinks an interval by
+   that factor, so 64-bit images need 7 rounds at most, whatever the values
+   (infinities, denormals and hundreds of decades included);
 3. once an interval holds at most ``leaf_rows`` values (250k doubles, ~2 MB: a fixed
-   bound per task whatever the data size) or a single value,
-   those few values are collected and the rank is read off directly.
-
-Every step is a DataFrame aggregate or a join against a parameter table whose
-size is counted before it is broadcast.  The result equals linear
+   bound per task whatever the data size) or a single image, those few values are
+   collected and the rank is read off directly.
+
+Every step is a DataFrame aggregate or a null-safe join against a parameter table
+whose size is known before it is broadcast; NULL keys are a group like any other.
+Beyond ``SORT_THRESHOLD`` probabilities one range-partitioned sort is used instead,
+because every row would be held against too many intervals; the tests hold both
+ways and both sides of ``leaf_rows`` against each other.  The result equals linear
 interpolation between the two neighbouring order statistics, like DuckDB's
 ``quantile_cont`` and Spark's ``percentile``.
 """
@@ -24,13 +30,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
 from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from plinth.functions.sizing import broadcast_if_small
-from plinth.session import small_shuffles
+from plinth.functions.sizing import broadcast_if_small, hold
+from plinth.session import ensure_checkpoint_dir
 
 _G = "_qgrp"
 
@@ -38,41 +43,43 @@ _G = "_qgrp"
 # (the interval tables then get large and every row is tested against many).
 SORT_THRESHOLD = 64
 
+_MANTISSA = 2**52
 
-def _materialize(df: DataFrame, held: list[DataFrame]) -> DataFrame:
-    """Persist a small intermediate table (recomputable from lineage if an executor is lost)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    held.append(df)
-    return df
 
+def image(x: Column) -> Column:
+    """A long in the order of the doubles: sign, exponent and mantissa as in IEEE 754, negated below zero.
 
-def _materialize_with(df: DataFrame, held: list[DataFrame], *aggs, checkpoint: bool = True) -> tuple[DataFrame, tuple]:
-    """Persist a small intermediate table and compute a few aggregates over it.  With
-    ``checkpoint`` it is also written to the reliable checkpoint folder (flat lineage:
-    later rounds plan against the written rows, not the whole history)."""
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # computed once: count + checkpoint write read it
-    if checkpoint:
-        df = src.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-    else:
-        df = src
-    row = df.agg(*aggs).first()
+    Equal doubles have equal images and only they (-0.0 equals 0.0).  Powers of two and divisions by
+    them are exact, so the expression needs no access to the bits.
+    """
+    a = F.abs(x)
+    guess = F.floor(F.log2(a))
+    # log2 rounds near powers of two
+    e = guess + F.when(F.pow(F.lit(2.0), guess) > a, -1).when(F.pow(F.lit(2.0), guess + 1) <= a, 1).otherwise(0)
+    e = F.greatest(F.least(e, F.lit(1023)), F.lit(-1022)).cast("long")
+    scale = F.pow(F.lit(2.0), e)
+    normal = (e + 1023) * F.lit(_MANTISSA) + ((a / scale - 1) * F.lit(float(_MANTISSA))).cast("long")
+    tiny = (a / F.lit(2.0**-1074)).cast("long")
+    size = (F.when(a == float("inf"), F.lit(2047 * _MANTISSA)).when(a < F.lit(2.0**-1022), tiny).otherwise(normal))
+    return F.when(x < 0, -size).otherwise(size)
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on ``keys``; the keys of ``left`` stay."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _hold(df: DataFrame, held: list[DataFrame], *aggs, checkpoint: bool = False) -> tuple[DataFrame, tuple]:
+    """Persist a small table and compute a few aggregates over it.  With ``checkpoint`` it is
+    written to the reliable checkpoint folder first (flat lineage for the rounds that follow)."""
     if checkpoint:
-        src.unpersist()
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     held.append(df)
-    return df, tuple(row)
-
-
-def _checkpointed_input(data: DataFrame) -> DataFrame:
-    """The prepared ``(keys, x)`` column written once to the checkpoint folder and cached:
-    every refinement pass re-reads it without re-planning or recomputing its lineage."""
-    from plinth.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(data.sparkSession)
-    src = data.persist(StorageLevel.MEMORY_AND_DISK)  # without it the checkpoint recomputes the input
-    out = src.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    src.unpersist()
-    return out
+    return df, tuple(df.agg(*aggs).first())
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
@@ -85,7 +92,23 @@ def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame,
     return data, keys
 
 
-def _group_quantiles(
+def _targets(stats: DataFrame, keys: Sequence[str], probs: Sequence[float], *extra: str) -> DataFrame:
+    """One row per group and probability with the two ranks it lies between."""
+    parr = F.array(*[F.lit(float(p)) for p in probs])
+    return (stats.select(*keys, "_n", *extra, F.posexplode(parr).alias("p_idx", "p"))
+            .withColumn("_h", F.col("p") * (F.col("_n") - 1))
+            .withColumn("_r0", F.floor("_h").cast("long"))
+            .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
+
+
+def _interpolated() -> Column:
+    """The value between ``_v0`` and ``_v1`` at ``_h``; without overflow, and infinite only where a value is."""
+    f, v0, v1 = F.col("_h") - F.col("_r0"), F.col("_v0"), F.col("_v1")
+    gap = v1 - v0
+    return F.when((f == 0) | (v0 == v1), v0).when(F.abs(gap) == float("inf"), v0 * (1 - f) + v1 * f).otherwise(v0 + f * gap)
+
+
+def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
@@ -93,12 +116,13 @@ def _group_quantiles(
     *,
     buckets: int = 1024,
     leaf_rows: int = 250_000,
-    max_rounds: int = 24,
+    keep_input: bool = True,
 ) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` group, long format.
 
     Returns ``keys + [p_idx, p, q]``; NULL/NaN values are ignored (pandas and SQL
-    semantics).  ``keys`` may be empty for a global quantile.
+    semantics).  ``keys`` may be empty for a global quantile.  ``keep_input`` caches the
+    values between the passes; callers that derive them from a cached table turn it off.
 
     Refinement works on value INTERVALS, not on ranks: ranks that sit in the same
     interval share its histogram, and the open intervals of a group are disjoint, so
@@ -106,83 +130,66 @@ def _group_quantiles(
     probabilities are asked for.
     """
     if len(probs) > SORT_THRESHOLD:
-        return _sorted_quantiles(df, keys, value, probs)
+        return sorted_quantiles(df, keys, value, probs)
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.withColumn("_i", image(F.col("_x")))
+    if keep_input:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     held: list[DataFrame] = []
     iv_cols = [*keys, "_lo", "_hi", "_below"]
 
-    stats = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
-    )
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = stats.select(*keys, "_n", "_lo", "_hi", F.posexplode(parr).alias("p_idx", "p"))
-    targets = (
-        targets.withColumn("_h", F.col("p") * (F.col("_n") - 1))
-        .withColumn("_r0", F.floor("_h").cast("long"))
-        .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
-    )
-    targets, (n_targets, biggest) = _materialize_with(targets, held, F.count(F.lit(1)), F.max("_n"),
-                                                      checkpoint=False)
+    stats = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_lo"), F.max("_i").alias("_hi"),
+                                    F.min("_x").alias("_v"))
+    targets, (n_targets, biggest) = _hold(_targets(stats, keys, probs, "_lo", "_hi", "_v"), held, F.count(F.lit(1)), F.max("_n"))
     n_ranks = 2 * (n_targets or 0)  # upper bound of every state / interval table below
-    if (biggest or 0) > leaf_rows:
-        # several refinement passes follow: give them a written, lineage-free input
-        cached = data
-        data = _checkpointed_input(cached)
-        cached.unpersist()
 
     open_cond = (F.col("_cnt") > leaf_rows) & (F.col("_lo") < F.col("_hi"))
     state = (
-        targets.select(*keys, "_n", "_lo", "_hi", F.explode(F.array("_r0", "_r1")).alias("_rank"))
+        targets.select(*keys, "_n", "_lo", "_hi", "_v", F.explode(F.array("_r0", "_r1")).alias("_rank"))
         .dropDuplicates([*keys, "_rank"])
-        .select(*keys, "_rank", "_lo", "_hi", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
+        .select(*keys, "_rank", "_lo", "_hi", "_v", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
     )
+    opened_ranks = F.sum(F.when(open_cond, 1).otherwise(0))
+    n_open = 0
     if (biggest or 0) > leaf_rows:
-        state, (n_open,) = _materialize_with(state, held, F.sum(F.when(open_cond, 1).otherwise(0)))
-        rounds = 0
-        while n_open:
-            rounds += 1
-            if rounds > max_rounds:
-                raise RuntimeError("quantile refinement did not converge")
-            opened = state.where(open_cond)
-            intervals = opened.select(*iv_cols).distinct()
-            j = data.join(broadcast_if_small(intervals, bound=n_ranks), keys) \
-                .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-            width = F.col("_hi") - F.col("_lo")
-            b = F.least(F.floor((F.col("_x") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
-            hist = j.groupBy(*iv_cols, b.alias("_b")).agg(
-                F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")
-            )
-            w = Window.partitionBy(*iv_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-            hist = hist.withColumn("_cum", F.sum("_c").over(w))  # <= buckets rows per interval
-            before = F.col("_below") + F.col("_cum") - F.col("_c")
-            picked = opened.select(*iv_cols, "_rank").join(hist, iv_cols) \
-                .where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum"))) \
-                .select(*keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                        before.alias("_below"), F.col("_c").alias("_cnt"))
-            state, (n_open,) = _materialize_with(state.where(~open_cond).unionByName(picked), held,
-                                                 F.sum(F.when(open_cond, 1).otherwise(0)))
-
-    point = state.where(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", F.col("_lo").alias("_v"))
+        state, (n_open,) = _hold(state, held, opened_ranks, checkpoint=True)
+    while n_open:  # an interval's width shrinks by about ``buckets`` each time
+        opened = state.where(open_cond)
+        width = F.col("_hi").cast("double") - F.col("_lo").cast("double")
+        shift = F.greatest(F.ceil(F.log2(width + 1)) - (buckets.bit_length() - 1), F.lit(0)).cast("int")
+        intervals = opened.select(*iv_cols).distinct().withColumn("_s", shift)
+        j = _same(data, broadcast_if_small(intervals, bound=n_ranks), keys).where(F.col("_i").between(F.col("_lo"), F.col("_hi")))
+        hist = j.groupBy(*iv_cols, F.expr("shiftright(_i, _s) - shiftright(_lo, _s)").alias("_b")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_bmin"), F.max("_i").alias("_bmax"), F.min("_x").alias("_bv"))
+        w = Window.partitionBy(*iv_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("_cum", F.sum("_c").over(w))  # about ``buckets`` rows per interval
+        before = F.col("_below") + F.col("_cum") - F.col("_c")
+        picked = (_same(hist, opened.select(*iv_cols, "_rank"), iv_cols)
+                  .where((before <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_cum")))
+                  .select(*keys, "_rank", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"), F.col("_bv").alias("_v"),
+                          before.alias("_below"), F.col("_c").alias("_cnt")))
+        state, (n_open,) = _hold(state.where(~open_cond).unionByName(picked), held, opened_ranks, checkpoint=True)
+
+    point = state.where(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", "_v")
     leaves = state.where(F.col("_lo") < F.col("_hi"))
     intervals = leaves.select(*iv_cols).distinct()
     sorted_vals = (
-        data.join(broadcast_if_small(intervals, bound=n_ranks), keys)
-        .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        _same(data, broadcast_if_small(intervals, bound=n_ranks), keys)
+        .where(F.col("_i").between(F.col("_lo"), F.col("_hi")))
         .groupBy(*iv_cols)
         .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))  # <= leaf_rows values per interval
     )
-    picked = leaves.select(*iv_cols, "_rank").join(sorted_vals, iv_cols).select(
+    picked = _same(sorted_vals, leaves.select(*iv_cols, "_rank"), iv_cols).select(
         *keys, "_rank", F.element_at("_vals", (F.col("_rank") - F.col("_below") + 1).cast("int")).alias("_v"))
     values = point.unionByName(picked)
-    v0 = values.select(*keys, F.col("_rank").alias("_r0"), F.col("_v").alias("_v0"))
-    v1 = values.select(*keys, F.col("_rank").alias("_r1"), F.col("_v").alias("_v1"))
-    out = targets.join(v0, [*keys, "_r0"]).join(v1, [*keys, "_r1"])
-    q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
+    at = lambda r, v: values.select(*keys, F.col("_rank").alias(r), F.col("_v").alias(v))
+    out = _same(_same(targets.drop("_v"), at("_r0", "_v0"), [*keys, "_r0"]), at("_r1", "_v1"), [*keys, "_r1"])
+    result = out.select(*user_keys, "p_idx", "p", _interpolated().alias("q"))
+    result = hold(result)
     result.count()
-    data.unpersist()
+    if keep_input:
+        data.unpersist()
     for h in held:
         h.unpersist()
     return result
@@ -239,14 +246,16 @@ def quantiles_with_global(df: DataFrame, group: str, values: Sequence[str], prob
     ))
     stack = F.explode(F.array(*[F.struct(F.lit(v).alias("column"), F.col(f"`{v}`").cast("double").alias("_val"))
                                 for v in values]))
-    long = df.select(sets.alias("_s"), stack.alias("_v")).select("_s._set", "_s._g", "_v.column", "_v._val")
-    q = group_quantiles(long, ["_set", "_g", "column"], "_val", probs, **kw)
+    source = df.select(*[F.col(f"`{c}`") for c in sorted({group, *values})]).persist(StorageLevel.MEMORY_AND_DISK)
+    long = source.select(sets.alias("_s"), stack.alias("_v")).select("_s._set", "_s._g", "_v.column", "_v._val")
+    q = group_quantiles(long, ["_set", "_g", "column"], "_val", probs, keep_input=False, **kw)
+    source.unpersist()
     per_group = q.where("_set = 0").select(F.col("_g").alias(group), "column", "p_idx", "q")
     overall = q.where("_set = 1").select("column", "p_idx", "q")
     return per_group, overall
 
 
-def _sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles for MANY probabilities: one range-partitioned sort on ``(keys, value)``
     gives every row its global position; a group's k-th value is the row at
     ``group_start + k``.  Only the needed rows are kept (an equi-join on the position
@@ -256,30 +265,21 @@ def _sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
 
     user_keys = list(keys)
     data, keys = _prepare(df, user_keys, value)
-    # the sort samples its input and then shuffles it: read both from one written copy
-    data = _checkpointed_input(data)
     order = [F.col(k) for k in keys] + [F.col("_x")]
     ranked = global_row_number(data, order, "_pos")  # 1-based, groups contiguous
     starts = ranked.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = starts.select(*keys, "_start", "_n", F.posexplode(parr).alias("p_idx", "p"))
-    targets = (targets.withColumn("_h", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_r0", F.floor("_h").cast("long"))
-               .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1)))
     held: list[DataFrame] = []
-    targets, (n_targets,) = _materialize_with(targets, held, F.count(F.lit(1)))
-    need = targets.select((F.col("_start") + F.col("_r0")).alias("_pos")).unionByName(
-        targets.select((F.col("_start") + F.col("_r1")).alias("_pos"))).distinct()
-    vals = ranked.join(broadcast_if_small(need, bound=2 * n_targets), "_pos").select("_pos", F.col("_x").alias("_v"))
-    vals = _materialize(vals, held)
+    targets, (n_targets,) = _hold(_targets(starts, keys, probs, "_start"), held, F.count(F.lit(1)))
+    targets = targets.withColumn("_p0", F.col("_start") + F.col("_r0")).withColumn("_p1", F.col("_start") + F.col("_r1"))
+    need = targets.select(F.explode(F.array("_p0", "_p1")).alias("_pos")).distinct()
+    vals, _ = _hold(ranked.join(broadcast_if_small(need, bound=2 * (n_targets or 0)), "_pos").select("_pos", F.col("_x").alias("_v")),
+                    held, F.count(F.lit(1)))
     v0 = vals.select(F.col("_pos").alias("_p0"), F.col("_v").alias("_v0"))
     v1 = vals.select(F.col("_pos").alias("_p1"), F.col("_v").alias("_v1"))
-    out = (targets.withColumn("_p0", F.col("_start") + F.col("_r0")).withColumn("_p1", F.col("_start") + F.col("_r1"))
-           .join(v0, "_p0").join(v1, "_p1"))
-    q = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    result = out.select(*user_keys, "p_idx", "p", q.alias("q")).persist(StorageLevel.MEMORY_AND_DISK)
+    out = targets.join(v0, "_p0").join(v1, "_p1")
+    result = out.select(*user_keys, "p_idx", "p", _interpolated().alias("q"))
+    result = hold(result)
     result.count()
-    data.unpersist()
     for h in held:
         h.unpersist()
     return result
@@ -300,21 +300,12 @@ def quantiles_by_groupings(df: DataFrame, groupings: dict[str, Sequence[str]], p
                 gval = F.lit("") if glob else F.col(f"`{g}`").cast("string")
                 items.append(F.struct(F.lit(g).alias("grouping"), F.lit(glob).alias("_set"), gval.alias("gval"),
                                       F.lit(v).alias("column"), F.col(f"`{v}`").cast("double").alias("_val")))
-    long = df.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
-    q = group_quantiles(long, ["grouping", "_set", "gval", "column"], "_val", probs, **kw)
+    used = sorted({*groupings, *(v for values in groupings.values() for v in values)})
+    source = df.select(*[F.col(f"`{c}`") for c in used]).persist(StorageLevel.MEMORY_AND_DISK)
+    # rows are spread over the sets in every pass, right below the map-side combine; only the source is cached
+    long = source.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
+    q = group_quantiles(long, ["grouping", "_set", "gval", "column"], "_val", probs, keep_input=False, **kw)
+    source.unpersist()
     per_group = q.where("_set = 0").select("grouping", "gval", "column", "p_idx", "q")
     overall = q.where("_set = 1").select("grouping", "column", "p_idx", "q")
     return per_group, overall
-
-
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], **kw) -> DataFrame:
-    """Exact per-group quantiles (see :func:`_group_quantiles`); the helper's own small
-    shuffles run without adaptive re-planning."""
-    with small_shuffles(df.sparkSession):
-        return _group_quantiles(df, keys, value, probs, **kw)
-
-
-def sorted_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles through one global sort (see :func:`_sorted_quantiles`)."""
-    with small_shuffles(df.sparkSession):
-        return _sorted_quantiles(df, keys, value, probs)

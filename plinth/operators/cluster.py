@@ -56,16 +56,13 @@ def kmeans_feature(train: DataFrame, test: DataFrame, cols: Sequence[str], k: in
 def multi_kmeans(train: DataFrame, test: DataFrame, configs: Mapping[str, tuple[Sequence[str], Sequence[int]]],
                  seed: int = 42, restarts: int = 1) -> tuple[DataFrame, DataFrame]:
     """Per named feature set and each k, a train-only fit; sets with fewer than two
-    usable columns are skipped, a failing fit is ignored.  Integer ids ``<set>_k<k>``."""
+    usable columns are skipped.  Integer ids ``<set>_k<k>``."""
     for name, (cols, ks) in configs.items():
         usable = [c for c in cols if c in train.columns and c in test.columns]
         if len(usable) < 2:
             continue
         for k in ks:
-            try:
-                model, params = fit_kmeans(train.select(*usable), usable, k, restarts, seed)
-            except Exception:  # noqa: BLE001 - the reference skips failing configurations
-                continue
+            model, params = fit_kmeans(train.select(*usable), usable, k, restarts, seed)
             col_name = f"{name}_k{k}"
             train = assign_clusters(train, model, params, usable, col_name, as_label=False)
             test = assign_clusters(test, model, params, usable, col_name, as_label=False)

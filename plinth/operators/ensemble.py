@@ -7,9 +7,12 @@ tables joined on the key.  Blend weights are solved from ONE Gram aggregate
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +26,13 @@ class AlignmentError(ValueError):
 
 def align_predictions(frames: Mapping[str, DataFrame], key: str, pred: str = "pred",
                       strict: bool = True) -> DataFrame:
-    """Full outer join of every model's predictions on ``key``; a key missing from
+    """Every model's predictions side by side, one shuffle on ``key`` however many models; a key missing from
     any model is an error (``strict``) or left NULL."""
-    out = None
-    for name, f in frames.items():
-        part = f.select(col(key), col(pred).alias(name))
-        out = part if out is None else out.join(part, key, "full")
+    long = _union([f.select(col(key), F.lit(name).alias("_model"), col(pred).alias("_p")) for name, f in frames.items()])
+    # two predictions of a model for a key are an error, not a choice
+    one = F.when(F.count(F.lit(1)) <= 1, F.first("_p")).otherwise(
+        F.raise_error(F.lit("more than one prediction for a key and model")).cast("double"))
+    out = long.groupBy(col(key)).pivot("_model", list(frames)).agg(one)
     if strict:
         miss = out.agg(*[F.sum(F.when(col(n).isNull(), 1).otherwise(0)).alias(n) for n in frames]).first().asDict()
         bad = {k: v for k, v in miss.items() if v}
@@ -84,27 +88,52 @@ def project_simplex(v: np.ndarray) -> np.ndarray:
     return np.maximum(v - theta, 0.0)
 
 
-def optimize_weights(wide: DataFrame, models: Sequence[str], y: str, iters: int = 5000,
-                     tol: float = 1e-12) -> dict[str, float]:
+def optimize_weights(wide: DataFrame, models: Sequence[str], y: str) -> dict[str, float]:
     """Weights on the simplex minimising the blend RMSE.
 
-    The objective ``(w'Gw - 2 w'b + yy) / n`` needs only the Gram aggregate; projected
-    gradient descent then runs on a k x k problem on the driver.
+    The objective ``(w'Gw - 2 w'b + yy) / n`` needs only the Gram aggregate; what is left is a k x k
+    quadratic program, solved exactly by an active set on the driver.
     """
-    g, b, yy, n = gram(wide, models, y)
-    k = len(models)
-    w = np.full(k, 1.0 / k)
-    step = 1.0 / max(np.linalg.eigvalsh(g).max(), 1e-12)
-    for _ in range(iters):
-        grad = g @ w - b
-        nw = project_simplex(w - step * grad)
-        if np.abs(nw - w).max() < tol:
-            w = nw
-            break
-        w = nw
+    g, b, _, _ = gram(wide, models, y)
+    w = simplex_qp(g, b)
     return {m: float(w[i]) for i, m in enumerate(models)}
 
 
+def simplex_qp(g: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``argmin w'Gw/2 - w'b`` over ``{w >= 0, sum w = 1}``, by a primal active-set method.
+
+    Starts at the best single model and moves between faces of the simplex; the objective falls with
+    every face, so it ends.  Raises if rounding keeps it from ending.
+    """
+    k = len(b)
+    start = int(np.argmin(np.diag(g) / 2 - b))
+    w, free = np.eye(k)[start], [start]
+    scale = max(np.abs(g).max(), np.abs(b).max(), 1e-300)
+    for _ in range(50 * k + 50):
+        m = len(free)
+        kkt = np.zeros((m + 1, m + 1))
+        kkt[:m, :m], kkt[:m, m], kkt[m, :m] = g[np.ix_(free, free)] / scale, 1.0, 1.0
+        goal = np.linalg.lstsq(kkt, np.append(b[free] / scale, 1.0), rcond=None)[0][:m]
+        step = goal - w[free]
+        falling = step < -1e-15
+        ratio = np.min(np.where(falling, -w[free] / np.where(falling, step, -1.0), np.inf), initial=np.inf)
+        if ratio < 1:  # a weight reaches zero first: leave its face
+            w[free] += ratio * step
+            gone = free[int(np.argmin(np.where(falling, w[free], np.inf)))]
+            w[gone] = 0.0
+            free.remove(gone)
+            continue
+        w[free] = goal
+        grad = (g @ w - b) / scale
+        level = grad[free].mean()
+        out = [i for i in range(k) if i not in free]
+        best = min(out, key=lambda i: grad[i], default=None)
+        if best is None or grad[best] >= level - 1e-12:
+            return np.maximum(w, 0.0) / np.maximum(w, 0.0).sum()
+        free.append(best)
+    raise RuntimeError("blend weights did not converge")
+
+
 def blend_rmse(wide: DataFrame, models: Sequence[str], y: str, weights: Mapping[str, float]) -> float:
     g, b, yy, n = gram(wide, models, y)
     w = np.array([weights[m] for m in models])
@@ -145,13 +174,25 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def input_fingerprint(df: DataFrame, *settings: str) -> str:
+    """A digest of a table's rows (in any order) and of the settings used on it, in one aggregate."""
+    names = sorted(df.columns)
+    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*[col(c) for c in names]).cast("decimal(38,0)")),
+                 F.sum(F.hash(*[col(c) for c in names]).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((names, df.dtypes, tuple(map(str, row)), settings)).encode()).hexdigest()[:32]
+
+
 def cached_oof(spark, path: str, fingerprint: str, compute) -> DataFrame:
-    """Reuse an OOF table written under ``path/<fingerprint>`` (the fingerprint covers the
-    inputs, so a changed input never reads a stale cache); otherwise compute and write it."""
+    """Reuse an OOF table written under ``path/<fingerprint>``; otherwise compute and write it.
+
+    The fingerprint must cover the input rows (:func:`input_fingerprint`), so a changed input never
+    reads a stale cache.  Only a folder without a finished table counts as missing."""
     target = f"{path.rstrip('/')}/{fingerprint}"
     try:
         return spark.read.parquet(target)
-    except Exception:  # noqa: BLE001 - missing cache
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         df = compute()
         df.write.mode("overwrite").parquet(target)
         return spark.read.parquet(target)

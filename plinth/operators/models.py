@@ -13,6 +13,8 @@ always with ``standardization=False`` (features are scaled upstream).
 
 from __future__ import annotations
 
+import inspect
+
 import itertools
 import random
 from collections.abc import Callable, Mapping, Sequence
@@ -74,10 +76,7 @@ def make_tree(kind: str = "gbt", seed: int = 42, **params):
 
 
 def _estimator(factory: Callable, train: DataFrame):
-    try:
-        return factory(train)
-    except TypeError:
-        return factory()
+    return factory(train) if inspect.signature(factory).parameters else factory()
 
 
 def cv_predictions(data: DataFrame, factory: Callable, fold: str = "fold", key: str | None = None) -> DataFrame:

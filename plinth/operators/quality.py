@@ -8,10 +8,13 @@ counts as text.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plinth.functions.sizing import broadcast_if_small, hold
 from plinth.operators.clean import is_numeric
 from plinth.operators.features import col
 
@@ -36,19 +39,25 @@ def _table(agg_row: DataFrame, rows: list[Column]) -> DataFrame:
 
 
 def raw_integrity(df: DataFrame, key: Sequence[str], target: str | None) -> DataFrame:
-    """Rows > 0, no duplicate rows, key unique, target present / non-null / positive."""
+    """Rows > 0, no duplicate rows, key unique, target present / non-null / positive.
+
+    Equal rows have equal keys, so only rows of keys that occur more than once are compared whole."""
     key = list(key)
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.count_distinct(F.struct(*[col(c) for c in df.columns])).alias("nd"),
-            F.count_distinct(F.struct(*[col(c) for c in key])).alias("nk")]
     has_t = target is not None and target in df.columns
+    aggs = [F.count(F.lit(1)).alias("_n")]
     if has_t:
-        aggs += [F.sum(F.when(col(target).isNull(), 1).otherwise(0)).alias("tn"),
-                 F.sum(F.when(col(target) <= 0, 1).otherwise(0)).alias("tp")]
-    a = df.agg(*aggs)
-    n, nd, nk = F.col("n"), F.col("nd"), F.col("nk")
+        aggs += [F.sum(F.when(col(target).isNull(), 1).otherwise(0)).alias("_tn"),
+                 F.sum(F.when(col(target) <= 0, 1).otherwise(0)).alias("_tp")]
+    per_key = df.groupBy(*[col(c) for c in key]).agg(*aggs)
+    repeated = per_key.where("_n > 1").select(*[col(c).alias(f"_k_{i}") for i, c in enumerate(key)])
+    same = reduce(and_, [col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(key)])
+    whole = df.join(broadcast_if_small(repeated), same, "left_semi").groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_c"))
+    extra = whole.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
+    a = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("nk"),
+                    *([F.sum("_tn").alias("tn"), F.sum("_tp").alias("tp")] if has_t else [])).crossJoin(extra)  # one row each
+    n, nk = F.col("n"), F.col("nk")
     rows = [_row("rows_nonzero", None, n > 0, n),
-            _row("no_duplicate_rows", None, n == nd, n - nd),
+            _row("no_duplicate_rows", None, F.col("dup") == 0, F.col("dup")),
             _row("key_unique", ",".join(key), n == nk, n - nk),
             _row("target_present", target, F.lit(has_t), F.lit(None))]
     if has_t:
@@ -190,9 +199,13 @@ def prediction_sanity(df: DataFrame, pred: str, log_space: bool = True, min_std:
 
 def submission_format(sub: DataFrame, ids: DataFrame, key: str, value: str,
                       order: str | None = None) -> DataFrame:
-    """Required columns, size, no NULL, all positive, id set equal (full outer join);
+    """Required columns (without them that is the only row), size, no NULL, all positive, id
+    set equal (full outer join);
     the order check runs only when an ordinal column ``order`` exists on both sides."""
-    cols_ok = key in sub.columns and value in sub.columns
+    absent = [c for c in (key, value) if c not in sub.columns]
+    if absent:
+        one = sub.agg(F.count(F.lit(1)).alias("n"))
+        return _table(one, [_row("columns", None, F.lit(False), F.lit(",".join(absent)))])
     j = sub.select(col(key), col(value), *( [col(order).alias("_os")] if order else [])) \
         .join(ids.select(col(key), F.lit(1).alias("_in"), *([col(order).alias("_oi")] if order else [])), key, "full")
     aggs = [F.sum(F.when(F.col("_in").isNull(), 1).otherwise(0)).alias("extra"),
@@ -202,7 +215,7 @@ def submission_format(sub: DataFrame, ids: DataFrame, key: str, value: str,
     if order:
         aggs.append(F.sum(F.when(F.col("_os") != F.col("_oi"), 1).otherwise(0)).alias("misordered"))
     a = j.agg(*aggs)
-    rows = [_row("columns", None, F.lit(cols_ok), F.lit(",".join(sub.columns))),
+    rows = [_row("columns", None, F.lit(True), F.lit(",".join(sub.columns))),
             _row("size", None, F.col("n") == F.col("m"), F.col("n")),
             _row("no_nulls", value, F.col("missing") == 0, F.col("missing")),
             _row("positive", value, F.col("nonpos") == 0, F.col("nonpos")),
@@ -237,13 +250,14 @@ def stage_gate(results: Sequence[DataFrame], stage: str) -> DataFrame:
     u = results[0]
     for r in results[1:]:
         u = u.unionByName(r)
+    u = hold(u)  # a few rows; read for the result and for its summary
     summary = u.agg(F.bool_and("passed").alias("ok"), F.sum(F.when(~F.col("passed"), 1).otherwise(0)).alias("bad"))
     return u.unionByName(_table(summary, [_row("stage_gate", stage, F.col("ok"), F.col("bad"))]))
 
 
 def raise_on_failure(results: DataFrame, leakage_checks: Iterable[str] = ("key_overlap", "leakage_corr")) -> None:
     """Raise like the reference (leakage vs integrity) when any check failed."""
-    failed = results.where(~F.col("passed")).limit(50).collect()
+    failed = results.where(~F.col("passed")).collect()  # one row per check and column
     leak = [r for r in failed if r["check"] in set(leakage_checks)]
     if leak:
         raise DataLeakageError("; ".join(f"{r['check']}({r['column']}): {r['detail']}" for r in leak))

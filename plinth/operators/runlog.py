@@ -86,6 +86,12 @@ def feature_hash(features: Column) -> Column:
 
 # ---------------------------------------------------------------- A08/A09
 DEDUP_KEYS = ("model", "rmse", "hyperparams", "feat_hash")
+#: Decimal places to which a key is compared.
+KEY_PLACES = {"rmse": 6}
+
+
+def _key(name: str):
+    return F.round(col(name), KEY_PLACES[name]) if name in KEY_PLACES else col(name)
 
 
 def fresh_runs(log: DataFrame, new: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: str = "run_id") -> DataFrame:
@@ -95,11 +101,12 @@ def fresh_runs(log: DataFrame, new: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     keys = [k for k in keys if k in log.columns and k in new.columns]
     cond = None
     for k in keys:
-        e = new[k].eqNullSafe(log[k])
+        e = _key(k).eqNullSafe(F.col(f"_log_{k}"))
         cond = e if cond is None else cond & e
-    fresh = new.join(log.select(*keys), cond, "left_anti") if cond is not None else new
+    logged = log.select(*[_key(k).alias(f"_log_{k}") for k in keys])
+    fresh = new.join(logged, cond, "left_anti") if cond is not None else new
     if keys and order in fresh.columns:
-        firsts = fresh.groupBy(*[col(k) for k in keys]).agg(
+        firsts = fresh.groupBy(*[_key(k).alias(f"_k_{k}") for k in keys]).agg(
             F.min_by(F.struct(*[col(c) for c in fresh.columns]), col(order)).alias("_r"))
         fresh = firsts.select("_r.*")
     return fresh
@@ -200,6 +207,7 @@ def attach_nearest_scores(runs: DataFrame, subs: DataFrame, score: str = "score"
     model without runs is looked up under its alias); when several submissions hit one
     run, the last one in log order wins; unchanged scores are left alone.  Returns
     ``runs`` with ``score_col`` (and ``matched_sub``)."""
+    subs = subs.where(col(score).isNotNull())  # a submission without a score has nothing to give
     if aliases:
         logged = runs.select("model").distinct()  # one row per model
         hit = subs.join(logged.withColumn("_has", F.lit(True)), "model", "left")
@@ -263,24 +271,29 @@ def rank_and_quantile(board: DataFrame, score: str = "score", higher_is_better:
     return board.join(ranked.select(score, rank.alias("rank"), q.alias("quantile")), score, "left")
 
 
+def _plain(name):
+    return F.regexp_replace(F.lower(F.trim(name)), "[ _]", "")
+
+
 def match_to_leaderboard(mine: DataFrame, board: DataFrame, name_col: str = "name", score: str = "score",
                          tol: float = 1e-4) -> DataFrame:
-    """Match by normalised team/model name first, else by the board entry with the
-    nearest score within ``tol``.  ``board`` must carry ``rank`` (see rank_and_quantile)."""
-    b = board.select(F.lower(F.trim(col(name_col))).alias("_bn"), col(score).alias("_bs"), "rank")
-    by_name = mine.join(b, F.lower(F.trim(mine[name_col])) == F.col("_bn"), "left") \
-        .groupBy(*[mine[c] for c in mine.columns]).agg(F.min("rank").alias("_rank_name"))
-    # score match as a banded equi-join: buckets of width ``tol``, each row probes its
-    # bucket and both neighbours, so no pair outside the band is ever formed
-    ranked_scores = board.groupBy(col(score).alias("_bs")).agg(F.min("rank").alias("_r")) \
+    """Match by name first (letter case, spaces and underscores don't count), else by the board
+    entry with the nearest score within ``tol`` (of equally near ones the better rank).  ``board`` must
+    carry ``rank`` (see rank_and_quantile).  One row per row of ``mine``, equal rows included."""
+    names = board.groupBy(_plain(col(name_col)).alias("_bn")).agg(F.min("rank").alias("_rank_name"))
+    # a value row is matched once however many rows have it
+    scores = mine.select(col(score).alias("_ms")).where("_ms IS NOT NULL").distinct()
+    ranked = board.groupBy(col(score).alias("_bs")).agg(F.min("rank").alias("_r")) \
         .withColumn("_bk", F.floor(F.col("_bs") / tol).cast("long"))
-    probe = by_name.withColumn("_pk", F.explode(F.array(*[F.floor(col(score) / tol).cast("long") + d
-                                                          for d in (-1, 0, 1)])))
-    cand = probe.join(ranked_scores, probe["_pk"] == ranked_scores["_bk"], "left") \
-        .where(F.col("_bs").isNull() | (F.abs(col(score) - F.col("_bs")) <= tol))
-    keys = [c for c in by_name.columns]
-    scored = cand.groupBy(*keys).agg(F.min_by("_r", F.abs(col(score) - F.col("_bs"))).alias("_rank_score"))
-    return scored.withColumn("rank", F.coalesce("_rank_name", "_rank_score")).drop("_rank_name", "_rank_score")
+    # a banded equi-join: buckets of width ``tol``, each score probes its bucket and both
+    # neighbours, so no pair outside the band is ever formed
+    probe = scores.withColumn("_bk", F.explode(F.array(*[F.floor(F.col("_ms") / tol).cast("long") + d for d in (-1, 0, 1)])))
+    gap = F.abs(F.col("_ms") - F.col("_bs"))
+    near = probe.join(ranked, "_bk").where(gap <= tol) \
+        .groupBy("_ms").agg(F.min(F.struct(gap.alias("gap"), F.col("_r").alias("r"))).alias("_near"))
+    out = mine.join(names, _plain(mine[name_col]) == F.col("_bn"), "left") \
+        .join(near, mine[score] == F.col("_ms"), "left")
+    return out.select(*[mine[c] for c in mine.columns], F.coalesce("_rank_name", "_near.r").alias("rank"))
 
 
 # ---------------------------------------------------------------- N10

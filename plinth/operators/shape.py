@@ -34,6 +34,10 @@ def box_cox(x: Column, lam: float) -> Column:
     return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1) / lam
 
 
+#: Widest range of lambdas that is searched; beyond it powers overflow.
+MAX_BRACKET = 320.0
+
+
 def _fit_lambda(df: DataFrame, c: str, kind: str, lo: float = -5.0, hi: float = 5.0, points: int = 25,
                 rounds: int = 4) -> float | None:
     """MLE lambda by grid refinement; each round is one aggregate over the column."""
@@ -46,8 +50,8 @@ def _fit_lambda(df: DataFrame, c: str, kind: str, lo: float = -5.0, hi: float =
         data = df.where(x > 0)
         jac = F.sum(F.log(x))
         tf = box_cox
-    best = None
-    for _ in range(rounds):
+    left, best = rounds, None
+    while left > 0:
         grid = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
         row = data.agg(F.count(F.lit(1)).alias("n"), jac.alias("j"),
                        *[F.var_pop(tf(x, lam)).alias(f"v{i}") for i, lam in enumerate(grid)]).first()
@@ -64,7 +68,11 @@ def _fit_lambda(df: DataFrame, c: str, kind: str, lo: float = -5.0, hi: float =
             return None
         _, best = max(scores)
         step = (hi - lo) / (points - 1)
+        if best in (grid[0], grid[-1]) and hi - lo < MAX_BRACKET:
+            lo, hi = best - (hi - lo), best + (hi - lo)  # the optimum may lie outside: look there, wider
+            continue
         lo, hi = best - step, best + step
+        left -= 1
     return best
 
 
@@ -74,11 +82,7 @@ def fit_power(train: DataFrame, cols: Sequence[str], kind: str = "yeo-johnson")
     are marked for the ``log1p(max(x, 0))`` fallback."""
     params = {}
     for c in cols:
-        lam = None
-        try:
-            lam = _fit_lambda(train, c, kind)
-        except Exception:  # noqa: BLE001 - numerical failure -> fallback, as the reference does
-            lam = None
+        lam = _fit_lambda(train, c, kind)  # None where no grid point has a finite likelihood
         if lam is None:
             params[c] = {"fallback": True}
             continue
@@ -200,7 +204,9 @@ def apply_quantile_normal(df: DataFrame, c: str, xs: Sequence[float], ys: Sequen
 
 
 # ---------------------------------------------------------------- C05
+# Limits a metric has to keep, and the remarks of the report.
 DEFAULT_THRESHOLDS = {"abs_skew": 0.5, "abs_excess_kurt": 1.0, "jb_pvalue": 0.05, "ks_norm": 0.08}
+REMARKS = {"jb_stat": "smaller is better", "jb_pvalue": ">= alpha passes"}
 
 
 def moments(df: DataFrame, by: str, value: str) -> DataFrame:
@@ -214,49 +220,65 @@ def moments(df: DataFrame, by: str, value: str) -> DataFrame:
                                   F.avg(d * d).alias("m2"), F.avg(d * d * d).alias("m3"), F.avg(d * d * d * d).alias("m4"))
 
 
+def _metric(name: str, value: Column, limit: float | None) -> Column:
+    """A report row: p-values must reach their limit, other metrics must not pass it; without a limit no verdict."""
+    verdict = F.lit(None) if limit is None else (value >= limit if name.endswith("pvalue") else value <= limit)
+    return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"), F.lit(limit).cast("double").alias("threshold"),
+                    verdict.cast("boolean").alias("pass"), F.lit(REMARKS.get(name, "")).alias("note"))
+
+
 def evaluate_many(df: DataFrame, by: str, value: str, thresholds: dict | None = None,
                   include_ks: bool = False) -> DataFrame:
     """Per series |skew| and |excess kurtosis| (bias-corrected), Jarque-Bera statistic
     and p-value (uncorrected moments, chi2(2) tail = exp(-JB/2)), optionally the KS distance
-    to a fitted normal (MLlib), and ``overall_pass`` over the metrics with a verdict."""
-    th = {**DEFAULT_THRESHOLDS, **(thresholds or {})}
+    to a fitted normal, and ``overall_pass`` over the metrics with a verdict."""
+    limits = DEFAULT_THRESHOLDS | (thresholds or {})
     m = moments(df, by, value)
     n = F.col("n").cast("double")
-    g1 = F.col("m3") / F.pow(F.col("m2"), 1.5)
-    g2 = F.col("m4") / (F.col("m2") * F.col("m2")) - 3
-    skew_c = g1 * F.sqrt(n * (n - 1)) / (n - 2)
-    kurt_c = ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))
-    jb = n / 6 * (g1 * g1 + g2 * g2 / 4)
-    rows = [
-        F.struct(F.lit("abs_skew").alias("metric"), F.abs(skew_c).alias("value"), F.lit(th["abs_skew"]).alias("threshold"),
-                 (F.abs(skew_c) <= th["abs_skew"]).alias("pass"), F.lit("").alias("note")),
-        F.struct(F.lit("abs_excess_kurt").alias("metric"), F.abs(kurt_c).alias("value"),
-                 F.lit(th["abs_excess_kurt"]).alias("threshold"), (F.abs(kurt_c) <= th["abs_excess_kurt"]).alias("pass"),
-                 F.lit("").alias("note")),
-        F.struct(F.lit("jb_stat").alias("metric"), jb.alias("value"), F.lit(None).cast("double").alias("threshold"),
-                 F.lit(None).cast("boolean").alias("pass"), F.lit("smaller is better").alias("note")),
-        F.struct(F.lit("jb_pvalue").alias("metric"), F.exp(-jb / 2).alias("value"), F.lit(th["jb_pvalue"]).alias("threshold"),
-                 (F.exp(-jb / 2) >= th["jb_pvalue"]).alias("pass"), F.lit(">= alpha passes").alias("note")),
-    ]
-    out = m.select(col(by).alias("series"), F.explode(F.array(*rows)).alias("r")).select("series", "r.*")
+    skew = F.col("m3") / F.pow(F.col("m2"), 1.5)
+    excess = F.col("m4") / (F.col("m2") * F.col("m2")) - 3
+    jb = n * (skew * skew + excess * excess / 4) / 6
+    metrics = {"abs_skew": F.abs(skew * F.sqrt(n * (n - 1)) / (n - 2)),
+               "abs_excess_kurt": F.abs(((n + 1) * excess + 6) * (n - 1) / ((n - 2) * (n - 3))),
+               "jb_stat": jb, "jb_pvalue": F.exp(-jb / 2)}
+    report = m.select(col(by).alias("series"), F.inline(F.array(*[_metric(k, v, limits.get(k)) for k, v in metrics.items()])))
     if include_ks:
-        out = out.unionByName(ks_normal(df, by, value, th["ks_norm"]))
-    out = out.withColumn("value", F.round("value", 3))
-    overall = out.groupBy("series").agg(F.coalesce(F.bool_and("pass"), F.lit(False)).alias("overall_pass"))
-    return out.join(overall, "series", "left")
+        report = report.unionByName(ks_normal(df, by, value, limits["ks_norm"]))
+    report = report.withColumn("value", F.round("value", 3))
+    overall = report.groupBy("series").agg(F.coalesce(F.bool_and("pass"), F.lit(False)).alias("overall_pass"))
+    return report.join(overall, "series", "left")
+
+
+# Coefficients of a published rational approximation of erf (error below 1.5e-7).
+ERF_P, ERF_A = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+
+def normal_cdf(z: Column) -> Column:
+    """Standard normal distribution function, within 1e-7."""
+    a = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + ERF_P * a)
+    poly = F.lit(0.0)
+    for c in reversed(ERF_A):
+        poly = (poly + c) * t
+    erf = 1 - poly * F.exp(-a * a)
+    return F.when(z < 0, (1 - erf) / 2).otherwise((1 + erf) / 2)
 
 
 def ks_normal(df: DataFrame, by: str, value: str, threshold: float = 0.08) -> DataFrame:
-    """C05 KS part: distance to a normal with the series' mean and population std (MLlib's
-    distributed one-sample KS test), one test per series."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
-
-    m = moments(df, by, value).collect()  # one row per series
-    rows = []
-    for r in m:
-        sd = math.sqrt(r["m2"]) if r["m2"] else 0.0
-        part = df.where(col(by) == r[by]).select(col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-        stat = KolmogorovSmirnovTest.test(part, "_x", "norm", float(r["mean"]), float(sd or 1e-12)).first()["statistic"]
-        rows.append((r[by], "ks_norm", float(stat), threshold, bool(stat <= threshold), ""))
-    return df.sparkSession.createDataFrame(
-        rows, "series string, metric string, value double, threshold double, pass boolean, note string")
+    """C05 KS part: distance of each series to a normal with its mean and population std.
+
+    All series share one ordered pass: a global row number over (series, value) gives each value its
+    rank, and the distance is the largest gap to the distribution function on either side of a value."""
+    from plinth.functions.ordered import global_row_number
+
+    x = col(value).cast("double")
+    data = df.where(x.isNotNull() & ~F.isnan(x)).select(col(by).alias("series"), x.alias("_x"))
+    m = moments(df, by, value).select(col(by).alias("_by"), "n", "mean", F.sqrt("m2").alias("sd"))
+    ranked = global_row_number(data, ["series", "_x"], "_rn")
+    first = ranked.groupBy("series").agg(F.min("_rn").alias("_first")).withColumnRenamed("series", "_of")
+    params = m.join(first, F.col("_by").eqNullSafe(F.col("_of"))).drop("_of")
+    j = ranked.join(broadcast_if_small(params), F.col("series").eqNullSafe(F.col("_by")))
+    below = (F.col("_rn") - F.col("_first")) / F.col("n")
+    p = normal_cdf((F.col("_x") - F.col("mean")) / F.greatest(F.col("sd"), F.lit(1e-12)))
+    stat = F.max(F.greatest(p - below, below + 1 / F.col("n") - p))
+    return j.groupBy("series").agg(stat.alias("_d")).select("series", F.inline(F.array(_metric("ks_norm", F.col("_d"), threshold))))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.functions.quantile import group_quantiles
-from plinth.functions.sizing import broadcast_if_small
+from plinth.functions.sizing import broadcast_if_small, hold
 from plinth.operators.features import col, with_columns
 
 
@@ -84,7 +84,7 @@ def oof_group_stats(train: DataFrame, test: DataFrame, group: str, target: str,
     base = rep.groupBy("_slot", "_g").agg(F.avg("_t").alias("mean"), F.stddev_samp("_t").alias("std"),
                                           F.min("_t").alias("min"), F.max("_t").alias("max"))
     med = group_quantiles(rep, ["_slot", "_g"], "_t", [0.5]).select("_slot", "_g", F.col("q").alias("median"))
-    stats = base.join(med, ["_slot", "_g"], "left").persist()
+    stats = hold(base.join(med, ["_slot", "_g"], "left"))
     glob = stats.where(F.col("_slot") == -2).first()  # the one global row
     g = {"mean": glob["mean"], "median": glob["median"], "std": glob["std"], "min": glob["std"], "max": glob["std"]}
     stats = stats.withColumn("std", F.coalesce("std", F.lit(g["std"])))

@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plinth.functions.sizing import release_held
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,9 +25,9 @@ def register(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # queries are independent jobs: intermediates cached by earlier ones are
-            # released first (stage tables live on disk and are not affected)
-            spark.catalog.clearCache()
+            # queries are independent jobs: intermediates that the library cached for earlier
+            # ones are released first (the caller's caches and stage tables are not affected)
+            release_held()
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.functions.sizing import broadcast_if_small
+from plinth.functions.sizing import broadcast_if_small, hold
 from plinth.operators.clean import fill_missing
 from plinth.operators.evaluate import error_columns
 from plinth.operators.features import with_columns
@@ -32,11 +32,9 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_mean_tables(train: DataFrame, groups: list[str], value: str = "y"):
     """Means of ``value`` per group for several group columns AND the global mean in ONE
     aggregate (grouping sets).  Returns ``({group: table}, global_mean, n_rows)``."""
-    from pyspark import StorageLevel
-
     sets = [[g] for g in groups] + [[]]
     gs = train.groupingSets(sets, *groups).agg(F.avg(value).alias("_m"), F.grouping_id().alias("_gid"))
-    gs = gs.persist(StorageLevel.MEMORY_AND_DISK)
+    gs = hold(gs)
     n = gs.count()
     full = (1 << len(groups)) - 1
     glob = gs.where(F.col("_gid") == full).first()["_m"]

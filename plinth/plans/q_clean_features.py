@@ -337,7 +337,7 @@ SELECT okey, round((2.0 * n_lines + 1.5 * order_month + 1.0 * priority_Score + 1
 @register("b22_weighted_quality", B22_SQL)
 def b22_weighted_quality(spark, d):
     s = scored(spark, d)
-    w = fe.quality_weights(s, primary="n_lines", secondary="order_month")
+    w = fe.weight_table(s.columns, {"n_lines": 2.0, "order_month": 1.5}, fe.SCORE_WEIGHTS)
     return round_doubles(s.select("okey", fe.weighted_row_mean("WeightedQualityScore", w)[1].alias("WeightedQualityScore")))
 
 

@@ -341,7 +341,7 @@ def k05_oof_predictions(spark, d):
 def k06_cached_oof(spark, d):
     train, _ = model_frame(spark, d)
     data = mo.assemble(train, MODEL_FEATS)
-    fp = train.select(F.sha2(F.concat_ws("|", F.lit(d), *[F.lit(f) for f in MODEL_FEATS]), 256)).first()[0][:16]
+    fp = ens.input_fingerprint(train.select("okey", "fold", "y", *MODEL_FEATS), "ridge", "10.0")
     path = scratch_path(spark, "oof")
     first = ens.cached_oof(spark, path, fp, lambda: ens.oof_predictions(data, {"ridge": mo.linear_factory("ridge", 10.0)},
                                                                         "okey", "fold")[0])

@@ -132,9 +132,9 @@ new AS (SELECT * FROM runlog WHERE "timestamp" >= TIMESTAMP '2024-01-10')
 SELECT run_id, model, round(rmse, 6) AS rmse FROM old
 UNION ALL
 SELECT min(n.run_id), n.model, round(n.rmse, 6) FROM new n WHERE NOT EXISTS (
-  SELECT 1 FROM old o WHERE o.model IS NOT DISTINCT FROM n.model AND o.rmse IS NOT DISTINCT FROM n.rmse
+  SELECT 1 FROM old o WHERE o.model IS NOT DISTINCT FROM n.model AND round(o.rmse, 6) IS NOT DISTINCT FROM round(n.rmse, 6)
     AND o.hyperparams IS NOT DISTINCT FROM n.hyperparams AND o.feat_hash IS NOT DISTINCT FROM n.feat_hash)
-GROUP BY n.model, n.rmse, n.hyperparams, n.feat_hash""")
+GROUP BY n.model, round(n.rmse, 6), n.hyperparams, n.feat_hash""")
 
 
 @register("a08_append_runs", A08_SQL)
@@ -205,6 +205,19 @@ def n04_latest_feature_sets(spark, d):
     return out.select("feat_hash", F.unix_micros(F.col("last_used").cast("timestamp")).alias("last_used_us"), "runs")
 
 
+N04_HISTORY_SQL = W("""SELECT run_id, model, feat_hash, CAST(row_number() OVER (ORDER BY "timestamp" DESC, run_id DESC) AS BIGINT) AS position
+FROM runlog""")
+
+
+@register("n04_history_newest_first", N04_HISTORY_SQL)
+def n04_history_newest_first(spark, d):
+    """The whole history with each run's place in it, newest first."""
+    from plinth.functions.ordered import global_row_number
+
+    r = log_table(spark, d)
+    return global_row_number(r, [F.desc("timestamp"), F.desc("run_id")], "position").select("run_id", "model", "feat_hash", "position")
+
+
 # ---------------------------------------------------------------- N05
 N05_SQL = W("""SELECT model, run_id, kaggle_score, param, json_extract_string(hyperparams, '$."' || param || '"') AS value
 FROM (SELECT *, unnest(json_keys(hyperparams)) AS param FROM runlog WHERE kaggle_score IS NOT NULL)""")
@@ -289,6 +302,28 @@ def n09_rank_quantile(spark, d):
     return round_doubles(out.select("run_id", "rank", "quantile"))
 
 
+N09_MATCH_SQL = W("""mine AS (SELECT run_id, CASE WHEN run_id % 3 = 0 THEN 'Team_' || run_id ELSE 'nobody' END AS name, rmse + 0.00004 AS score FROM runlog),
+board AS (SELECT 'team ' || run_id AS name, rmse AS score, rank() OVER (ORDER BY rmse) AS rank FROM runlog),
+names AS (SELECT replace(replace(lower(trim(name)), ' ', ''), '_', '') AS n, min(rank) AS r FROM board GROUP BY 1),
+scores AS (SELECT score, min(rank) AS r FROM board GROUP BY 1 ORDER BY 1),
+lo AS (SELECT m.run_id, m.score, s.score AS s, s.r FROM mine m ASOF LEFT JOIN scores s ON m.score >= s.score),
+hi AS (SELECT m.run_id, s.score AS s, s.r FROM mine m ASOF LEFT JOIN scores s ON m.score <= s.score)
+SELECT m.run_id, coalesce(n.r, CASE
+  WHEN coalesce(m.score - lo.s, 1) <= 0.0001 AND coalesce(m.score - lo.s, 1) <= coalesce(hi.s - m.score, 1) THEN lo.r
+  WHEN coalesce(hi.s - m.score, 1) <= 0.0001 THEN hi.r END) AS rank
+FROM mine m LEFT JOIN names n ON n.n = replace(replace(lower(trim(m.name)), ' ', ''), '_', '')
+JOIN lo ON lo.run_id = m.run_id JOIN hi ON hi.run_id = m.run_id""")
+
+
+@register("n09_leaderboard_match", N09_MATCH_SQL)
+def n09_leaderboard_match(spark, d):
+    r = log_table(spark, d)
+    board = rl.rank_and_quantile(r.select(F.concat(F.lit("team "), F.col("run_id")).alias("name"), F.col("rmse").alias("score")), "score")
+    name = F.when(F.col("run_id") % 3 == 0, F.concat(F.lit("Team_"), F.col("run_id"))).otherwise(F.lit("nobody"))
+    mine = r.select("run_id", name.alias("name"), (F.col("rmse") + 0.00004).alias("score"))
+    return rl.match_to_leaderboard(mine, board.select("name", "score", "rank")).select("run_id", "rank")
+
+
 # ---------------------------------------------------------------- N10
 N10_SQL = W("""SELECT count(rmse) AS n, round(min(rmse), 6) AS min, round(max(rmse), 6) AS max, round(avg(rmse), 6) AS mean,
   round(avg(CASE WHEN rmse > 20 THEN 1.0 ELSE 0.0 END), 6) AS own_percentile,
@@ -314,6 +349,16 @@ def n11_daily_quota(spark, d):
                       F.col("remaining").cast("long").alias("remaining"), "quota_reached")
 
 
+N11_PENDING_SQL = W("""SELECT r.run_id, CASE WHEN r.run_id IN (SELECT sub_id FROM subs) THEN 'submitted' ELSE 'pending' END AS part FROM runlog r""")
+
+
+@register("n11_pending_split", N11_PENDING_SQL)
+def n11_pending_split(spark, d):
+    done, pending = rl.pending_split(log_table(spark, d), submissions(spark, d).select(F.col("sub_id").alias("run_id")), "run_id")
+    part = lambda df, name: df.select("run_id", F.lit(name).alias("part"))
+    return part(done, "submitted").unionByName(part(pending, "pending"))
+
+
 # ---------------------------------------------------------------- N12
 N12_SQL = W("""p AS (SELECT sub_id, score, min(score) OVER (ORDER BY "timestamp", sub_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb
   FROM subs)
@@ -342,9 +387,9 @@ def a08_runlog_stream(spark, d):
     new = r.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
     src, log_path = scratch_path(spark, "runs-in"), scratch_path(spark, "runlog")
     old.write.parquet(f"{log_path}/batch=-1")
-    day = F.dayofmonth("timestamp")
-    for i, (lo, hi) in enumerate([(10, 14), (14, 18), (18, 22), (22, 26), (26, 32)]):
-        new.where((day >= lo) & (day < hi)).write.parquet(f"{src}/part={i}")
+    day = F.datediff("timestamp", F.lit("2024-01-10"))
+    for i, (lo, hi) in enumerate([(0, 4), (4, 8), (8, 12), (12, 16), (16, None)]):  # the last file has all later days
+        new.where((day >= lo) & (F.lit(hi is None) | (day < (hi or 0)))).write.parquet(f"{src}/part={i}")
     out = stream_append_runs(spark, src, log_path, scratch_path(spark, "runlog-ckpt"), r.schema,
                              max_files_per_trigger=1)
     return round_doubles(out.select("run_id", "model", "rmse"))
@@ -359,8 +404,10 @@ def n11_daily_quota_stream(spark, d):
 
     subs = submissions(spark, d)
     src = scratch_path(spark, "subs-in")
-    week = F.floor((F.dayofmonth("timestamp") - 1) / 7)
-    subs.withColumn("_w", week).write.partitionBy("_w").parquet(src)
+    first, last = subs.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first()
+    week = F.floor(F.datediff("timestamp", F.lit(first)) / 7)
+    for i in range((last - first).days // 7 + 1):  # weeks arrive in order, as a log grows
+        subs.where(week == i).write.parquet(f"{src}/week={i}")
     schema = subs.schema
     return stream_daily_quota(spark, src, scratch_path(spark, "quota"), scratch_path(spark, "quota-ckpt"), schema,
                               max_files_per_trigger=2)

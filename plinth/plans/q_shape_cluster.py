@@ -127,9 +127,23 @@ def c05_distribution_report(spark, d):
     return sh.evaluate_many(table(spark, d, "events"), "event_type", "value")
 
 
-@register("c05_ks_normal")
+_T = "(1 / (1 + 0.3275911 * abs(z) / sqrt(2.0)))"
+_ERF = f"""(1 - ((((1.061405429 * {_T} - 1.453152027) * {_T} + 1.421413741) * {_T} - 0.284496736) * {_T} + 0.254829592) * {_T}
+  * exp(-z * z / 2))"""
+C05_KS_SQL = f"""WITH s AS (SELECT event_type AS series, count(value) AS n, avg(value) AS m, stddev_pop(value) AS sd FROM events
+  WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1),
+r AS (SELECT s.series, n, (value - m) / greatest(sd, 1e-12) AS z,
+  row_number() OVER (PARTITION BY s.series ORDER BY value) - 1 AS k FROM events e JOIN s ON s.series = e.event_type
+  WHERE value IS NOT NULL AND NOT isnan(value)),
+p AS (SELECT series, n, k, CASE WHEN z < 0 THEN (1 - {_ERF}) / 2 ELSE (1 + {_ERF}) / 2 END AS p FROM r)
+SELECT series, 'ks_norm' AS metric, round(max(greatest(p - k / n, (k + 1) / n - p)), 3) AS value, CAST(0.08 AS DOUBLE) AS threshold,
+  max(greatest(p - k / n, (k + 1) / n - p)) <= 0.08 AS pass, '' AS note FROM p GROUP BY 1"""
+
+
+@register("c05_ks_normal", C05_KS_SQL)
 def c05_ks_normal(spark, d):
-    return sh.evaluate_many(table(spark, d, "events"), "event_type", "value", include_ks=True)
+    out = sh.ks_normal(table(spark, d, "events"), "event_type", "value")
+    return out.withColumn("value", F.round("value", 3))
 
 
 # ---------------------------------------------------------------- E01 / E02 (R)

@@ -71,11 +71,15 @@ def a05_prediction_files(spark, d):
     return fs.predictions_wide(long, "Id", "SalePrice", [f"{i + 1}_{m}" for i, m in enumerate(MODELS)])
 
 
-@register("a14_prediction_file_listing")
+_FOLDERS = [f"{i + 1}_{m}" for i, m in enumerate(MODELS)] + ["notes"]
+A14_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{x}', '{x.lstrip('0123456789').lstrip('_').replace('_', ' ').title()}')" for x in _FOLDERS) + ") t(folder, display_name)"
+
+
+@register("a14_prediction_file_listing", A14_SQL)
 def a14_prediction_file_listing(spark, d):
     root = _write_prediction_files(spark, d)
-    return fs.list_prediction_files(spark, root).groupBy("folder", "display_name").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return fs.list_prediction_files(spark, root).select("folder", "display_name").distinct()
 
 
 # ---------------------------------------------------------------- A06 / A07
@@ -88,7 +92,7 @@ FROM wide w JOIN filled f ON f.okey = w.okey WHERE NOT f.is_train"""
 def a06_create_submission(spark, d):
     w = wide_predictions(spark, d)
     ids = filled(spark, d).where("NOT is_train").select("okey")
-    sub = fs.create_submission(w.select("okey", F.col("pred_nation").alias("pred")), ids, key="okey")
+    sub = fs.create_submission(w.join(ids, "okey", "left_semi").select("okey", F.col("pred_nation").alias("pred")), ids, key="okey")
     fs.write_submission(sub, scratch_path(spark, "submission"))
     return sub.select("Id", F.round("SalePrice", 4).alias("SalePrice"))
 

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not str(sc.master).startswith("local") or "cluster" in str(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="plinth-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,32 +63,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/plinth-{name}-{uuid.uuid4().hex[:12]}"
-
-
-class small_shuffles:
-    """Context for helper jobs whose shuffles carry only pre-aggregated, small data
-    (histograms, per-group parameters, one row per partition): adaptive re-planning has
-    nothing to gain there but adds a planning round per stage, so it is switched off and
-    the shuffle width capped; the session settings are restored on exit."""
-
-    def __init__(self, spark: SparkSession, max_partitions: int = 64):
-        self.spark = spark
-        self.max_partitions = max_partitions
-        self.saved: dict[str, str | None] = {}
-
-    def __enter__(self):
-        conf = self.spark.conf
-        for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"):
-            self.saved[k] = conf.get(k, None)
-        conf.set("spark.sql.adaptive.enabled", "false")
-        cur = int(self.saved["spark.sql.shuffle.partitions"] or "200")
-        conf.set("spark.sql.shuffle.partitions", str(min(cur, self.max_partitions)))
-        return self
-
-    def __exit__(self, *exc):
-        for k, v in self.saved.items():
-            if v is None:
-                self.spark.conf.unset(k)
-            else:
-                self.spark.conf.set(k, v)
-        return False

@@ -7,7 +7,9 @@ under the session's ``spark.checkpoint.dir`` (see :func:`plinth.session.scratch_
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +61,7 @@ def load_stage(spark: SparkSession, base: str, stage: int, train: bool = True, c
     p = stage_path(base, stage, train)
     try:
         df = spark.read.parquet(p)
-    except Exception as e:  # noqa: BLE001 - analysis error on a missing path
+    except AnalysisException as e:
         raise FileNotFoundError(f"stage {stage} ({'train' if train else 'test'}) not found at {p}") from e
     if check_empty and df.isEmpty():
         raise StageError(f"stage {stage} table at {p} is empty")
@@ -77,22 +79,26 @@ def read_prediction_files(spark: SparkSession, root: str, key: str = "Id", value
     """Every CSV below ``root``; the model name is the parent folder; files whose header
     lacks ``key`` or ``value`` are skipped.  Long result ``(model, key, value)``.
 
-    One text scan: header lines (first field not numeric) give each file's column
-    positions (a table with one row per file), data lines are split and joined to it.
+    A file's header is its first line.  Files are grouped by header (a scan of first lines only decides
+    the groups) and each group is read by the CSV reader, so quoted fields and any data line count; a
+    value that is no number becomes NULL.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("path")))
-    fields = F.split(F.col("value"), ",")
-    is_header = ~F.trim(fields[0]).rlike(r"^-?[0-9.eE+-]+$")
-    headers = lines.where(is_header).groupBy("path").agg(F.first("value").alias("header"))
-    hf = F.split(F.col("header"), ",")
-    headers = headers.select("path", F.array_position(hf, key).alias("_ki"), F.array_position(hf, value).alias("_vi"),
-                             F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("model"))
-    headers = headers.where((F.col("_ki") > 0) & (F.col("_vi") > 0))
-    data = lines.where(~is_header).join(F.broadcast(headers), "path")
-    f = F.split(F.col("value"), ",")
-    return data.select("model", F.element_at(f, F.col("_ki").cast("int")).cast("long").alias(key),
-                       F.element_at(f, F.col("_vi").cast("int")).cast("double").alias(value))
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    first = (files.text(root).where("_metadata.file_block_start = 0")
+             .select(F.col("value"), F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_at"))
+             .groupBy("path").agg(F.min_by("value", "_at").alias("header")))
+    # one row per layout; the file names are those the driver has listed anyway
+    layouts = first.groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect()
+    parts = []
+    for layout in layouts:
+        rows = spark.read.option("header", True).csv(layout["paths"])
+        if key in rows.columns and value in rows.columns:
+            model = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+            parts.append(rows.select(F.url_decode(model).alias("model"), col(key).try_cast("long").alias(key),
+                                     col(value).try_cast("double").alias(value)))
+    if not parts:
+        return spark.createDataFrame([], f"model string, `{key}` long, `{value}` double")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def predictions_wide(long: DataFrame, key: str = "Id", value: str = "SalePrice",
@@ -100,7 +106,10 @@ def predictions_wide(long: DataFrame, key: str = "Id", value: str = "SalePrice",
     """Long predictions -> one column per model (pivot values listed when known)."""
     g = long.groupBy(col(key))
     p = g.pivot("model", list(models)) if models else g.pivot("model")
-    return p.agg(F.first(col(value)))
+    # two rows for a key and model are an error, not a choice
+    one = F.when(F.count(F.lit(1)) <= 1, F.first(col(value))).otherwise(
+        F.raise_error(F.lit("more than one prediction for a key and model")).cast("double"))
+    return p.agg(one)
 
 
 def list_prediction_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -124,15 +133,17 @@ def create_submission(preds: DataFrame, ids: DataFrame, key: str = "Id", pred: s
                       out_value: str = "SalePrice") -> DataFrame:
     """``(Id, SalePrice)`` for every id; ``expm1`` when predictions are in log space.
     Validation (one aggregate): every id predicted exactly once, no NULL/NaN/Inf, all > 0."""
-    j = ids.select(col(key)).join(preds.select(col(key), col(pred)), key, "left")
+    j = ids.select(col(key), F.lit(True).alias("_want")).join(preds.select(col(key), col(pred)), key, "full")
     v = F.expm1(col(pred)) if log_space else col(pred)
-    sub = j.select(col(key).alias(out_key), v.alias(out_value))
+    sub = j.where("_want").select(col(key).alias(out_key), v.alias(out_value))
     if validate:
         r = sub.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(col(out_key)).alias("nk"),
                     F.sum(F.when(col(out_value).isNull() | F.isnan(col(out_value))
                                  | (F.abs(col(out_value)) == float("inf")), 1).otherwise(0)).alias("bad"),
                     F.sum(F.when(col(out_value) <= 0, 1).otherwise(0)).alias("nonpos")).first()
-        ids_n = ids.select(key).count()
+        ids_n, surplus = ids.select(key).count(), j.where("_want IS NULL").count()
+        if surplus:
+            raise SubmissionError(f"length mismatch: {surplus} predictions for ids that were not asked for")
         if r["n"] != ids_n or r["nk"] != r["n"]:
             raise SubmissionError(f"length mismatch: {r['n']} predictions ({r['nk']} distinct ids) for {ids_n} ids")
         if r["bad"]:

@@ -1,9 +1,9 @@
 """Daily submission counts against a quota as a windowed streaming aggregate.
 
-Submissions arrive as files; a one-day tumbling window counts them with a
-watermark bounding the state.  Each micro-batch writes the complete table of
-windows (overwrite, so a re-run batch is idempotent), and the result is read
-back when all available files have been processed.
+Submissions arrive as files; a one-day tumbling window counts them in ``update``
+mode, so the watermark drops the state of days that are over.  Each micro-batch
+writes the days that it changed to ``<out>/batch=<id>`` (a re-run batch overwrites
+its own folder), and a day's figures are those of the last batch that has it.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ def stream_daily_quota(spark: SparkSession, source: str, out_path: str, checkpoi
         out = batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "submitted")
         out = out.withColumn("remaining", F.greatest(F.lit(quota) - F.col("submitted"), F.lit(0)).cast("long")) \
             .withColumn("quota_reached", F.col("submitted") >= quota)
-        out.write.mode("overwrite").parquet(out_path)
+        out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+    q = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    days = spark.read.parquet(out_path)
+    fields = [c for c in days.columns if c not in ("day", "batch")]
+    last = days.groupBy("day").agg(F.max_by(F.struct(*fields), "batch").alias("r"))
+    return last.select("day", "r.*")

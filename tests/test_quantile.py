@@ -1,43 +1,84 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from plinth.functions.quantile import global_quantiles, group_quantiles, sorted_quantiles
+from plinth.functions.quantile import (global_quantiles, group_quantiles, image, quantiles_by_groupings,
+                                       sorted_quantiles)
+
+INF = float("inf")
 
 
 def _frame(spark, seed=0):
     rng = np.random.default_rng(seed)
     rows = []
-    # a hot group holding most rows, a small one, one with heavy ties, one single-row group
-    for g, n in (("hot", 3000), ("small", 37), ("ties", 500), ("one", 1)):
-        vals = rng.exponential(10, n) if g != "ties" else rng.integers(0, 3, n).astype(float)
+    # a hot group holding most rows, a small one, heavy ties, one row, infinities, extremes, many decades, a NULL key
+    groups = {"hot": rng.exponential(10, 3000), "small": rng.normal(size=37), "ties": rng.integers(0, 3, 500).astype(float),
+              "one": np.array([4.0]), "inf": np.array([*range(100), INF], float), "both": np.array([-INF, -1, 0, 1, INF]),
+              "huge": np.array([-1.5e308, 1.5e308, 0.0, 1e300]), "tiny": np.array([5e-324, 1e-310, -5e-324, 0.0, 2.3e-308]),
+              "decades": np.array([s * 10.0**k for k in range(-300, 300) for s in (1, -1)]), None: rng.normal(size=400)}
+    for g, vals in groups.items():
         rows += [(g, float(v)) for v in vals]
-    rows.append(("hot", None))
-    return spark.createDataFrame(rows, "g string, x double"), rows
+    rows += [("hot", None), (None, None), ("none", None)]
+    return spark.createDataFrame(rows, "g string, x double"), groups
 
 
-@pytest.mark.parametrize("leaf", [20000, 50, 2])
-def test_group_quantiles_match_numpy(spark, leaf):
-    df, rows = _frame(spark)
-    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {(r["g"], r["p_idx"]): r["q"] for r in group_quantiles(df, ["g"], "x", probs, leaf_rows=leaf).collect()}
-    for g in ("hot", "small", "ties", "one"):
-        vals = np.array([v for k, v in rows if k == g and v is not None])
+def _want(vals, p):
+    """Linear interpolation between order statistics, infinite only where a value is."""
+    v = np.sort(vals)
+    h = p * (len(v) - 1)
+    a, b, f = v[int(h)], v[min(int(h) + 1, len(v) - 1)], h - int(h)
+    return a if f == 0 or a == b else a * (1 - f) + b * f
+
+
+def _check(got, groups, probs):
+    assert set(got) == {(g, i) for g in groups for i in range(len(probs))}
+    for g, vals in groups.items():
         for i, p in enumerate(probs):
-            assert got[(g, i)] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12, abs=1e-12)
+            want = _want(vals, p)
+            if np.isnan(want):
+                assert np.isnan(got[(g, i)])
+            else:
+                assert got[(g, i)] == pytest.approx(want, rel=1e-9, abs=1e-290 if g == "decades" else 1e-320)
+
+
+@pytest.mark.parametrize("leaf,buckets", [(250_000, 1024), (3000, 1024), (50, 64), (2, 1024), (2, 4)])
+def test_group_quantiles_at_any_limit(spark, leaf, buckets):
+    df, groups = _frame(spark)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {(r["g"], r["p_idx"]): r["q"] for r in group_quantiles(df, ["g"], "x", probs, leaf_rows=leaf, buckets=buckets).collect()}
+    _check(got, groups, probs)
 
 
-def test_sorted_quantiles_match_numpy(spark):
-    df, rows = _frame(spark, 1)
+def test_sorted_quantiles_agree(spark):
+    df, groups = _frame(spark, 1)
     probs = [i / 20 for i in range(21)]
-    got = {(r["g"], r["p_idx"]): r["q"] for r in sorted_quantiles(df, ["g"], "x", probs).collect()}
-    for g in ("hot", "small", "ties", "one"):
-        vals = np.array([v for k, v in rows if k == g and v is not None])
-        for i, p in enumerate(probs):
-            assert got[(g, i)] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12, abs=1e-12)
+    _check({(r["g"], r["p_idx"]): r["q"] for r in sorted_quantiles(df, ["g"], "x", probs).collect()}, groups, probs)
+
+
+def test_many_probabilities_take_the_sort_and_agree(spark):
+    df, groups = _frame(spark, 2)
+    probs = [i / 64 for i in range(65)]
+    many = {(r["g"], r["p_idx"]): r["q"] for r in group_quantiles(df, ["g"], "x", probs).collect()}
+    few = {(r["g"], r["p_idx"]): r["q"] for r in group_quantiles(df, ["g"], "x", probs[:64], leaf_rows=100).collect()}
+    assert set(few) < set(many)
+    assert all(many[k] == few[k] or (np.isnan(many[k]) and np.isnan(few[k])) for k in few)
+
+
+def test_image_keeps_the_order_of_doubles(spark):
+    rng = np.random.default_rng(3)
+    values = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 2.0, np.nextafter(2.0, 0), np.nextafter(2.0, 3),
+              1.7976931348623157e308, INF, *rng.standard_normal(300), *np.exp(rng.uniform(-700, 700, 300)), *(2.0 ** np.arange(-1074, 1024, 13))]
+    values += [-v for v in values]
+    got = spark.createDataFrame([(float(v),) for v in values], "x double").select("x", image(F.col("x")).alias("i")).collect()
+    bits = lambda v: int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1)
+    assert all(r["i"] == bits(r["x"]) for r in got)
 
 
-def test_global_quantiles(spark):
-    df, rows = _frame(spark, 2)
-    vals = np.array([v for _, v in rows if v is not None])
+def test_global_and_grouped_quantiles_in_one_run(spark):
+    df, groups = _frame(spark, 2)
+    vals = np.concatenate(list(groups.values()))
     got = global_quantiles(df, "x", [0.25, 0.75])
-    assert got == pytest.approx([np.percentile(vals, 25), np.percentile(vals, 75)])
+    assert got == pytest.approx([_want(vals, 0.25), _want(vals, 0.75)])
+    per, overall = quantiles_by_groupings(df, {"g": ["x"]}, [0.5], leaf_rows=100)
+    assert {r["gval"]: r["q"] for r in per.collect()}["small"] == pytest.approx(_want(groups["small"], 0.5))
+    assert overall.first()["q"] == pytest.approx(_want(vals, 0.5))
