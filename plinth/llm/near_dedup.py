@@ -6,16 +6,18 @@ a key cost ``2 * SIDE * ROWS`` minima.  At similarity 0.8 a pair shares a key wi
 ``(1 - (1 - 0.8 ** ROWS) ** SIDE) ** 2`` = 0.9994, at 0.85 with 0.99993.
 
 Documents with equal shingle sets form a class first; only one representative of a class goes on, so
-copies are never expanded.  In a bucket of representatives the smallest one is the centre: first each
-member is compared with it.  Then the links found so far are contracted, and in buckets that still hold
-several components the pairs across components that have not been compared are.  So every two members of
-a bucket are compared or known to be connected.  Candidates must agree in ``AGREE`` of the
-``2 * SIDE`` hashes (probability 0.9998 at similarity 0.8) before their sets are fetched.
+copies are never expanded.  In a bucket of representatives the smallest one is the centre, and each
+member is a candidate with it if ``AGREE`` of their ``2 * SIDE`` hashes agree (probability 0.9998 at
+similarity 0.8).  Candidates are confirmed on their full sets, which gives components of links.  Members
+of a bucket may also be linked with each other and not with its centre: the candidates form clusters,
+and in a cluster with several components all members outside its largest component are compared with all
+members of other components, exactly and in blocks of ``CHUNK`` by ``CHUNK`` documents.  A block returns
+links that join components only, so no block gives all pairs.
 
 Defined results: a null or empty text has no shingles and is linked with nothing; a text of fewer words
 than a shingle is one shingle; rows repeated with one doc_id are one document: they get the same
-answer, and ``kept_documents`` returns one of them; an empty table gives an empty result; other columns
-are ignored, whatever their names.
+answer, and ``kept_documents`` returns one of them; a null doc_id
+counts as larger than any other; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm.exact_dedup import one_row_each
 from plinth.llm.graph import answer, components, written
 from plinth.llm.text import Texts, chunks, field, mix, small_side, sums, windows
 
@@ -35,6 +38,7 @@ PERCENT = 80
 SIDE = 8
 ROWS = 2
 AGREE = 4
+CHUNK = 1024
 
 _seeds = np.random.default_rng(7).integers(0, 2**63, (2, 2 * SIDE * ROWS), dtype=np.uint64)
 _ODD, _SALT = _seeds[0] * np.uint64(2) + np.uint64(1), _seeds[1]
@@ -127,37 +131,90 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(rows, "a long, b long")
 
 
+def block_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of one cluster, by comparing blocks of documents exactly."""
+    member = (clusters.select("node", F.col("component").alias("cluster")).join(found, "node", "left")
+              .select("node", "cluster", F.coalesce("component", "node").alias("component")))
+    parts = member.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    # a cluster of two documents in two components has been compared
+    mixed = (parts.groupBy("cluster").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"),
+                                          F.max(F.struct("n", "component")).alias("main"))
+             .where("parts > 1 and all > 2")
+             .select("cluster", F.col("main.component").alias("main"), F.ceil(F.col("main.n") / CHUNK).alias("mains"),
+                     F.ceil((F.col("all") - F.col("main.n")) / CHUNK).alias("others")))
+    rows = member.join(mixed, "cluster")
+    own = F.col("component") == F.col("main")
+    chunk = F.pmod(F.xxhash64("node"), F.when(own, F.col("mains")).otherwise(F.col("others"))).alias("chunk")
+    block = lambda left, kind, right, role: F.struct(left.alias("left"), F.lit(kind).alias("kind"), right.alias("right"), role.alias("role"))
+    each = F.sequence(F.lit(0).cast("long"), F.col("others") - 1)
+    c = F.col("chunk")
+    among = F.transform(each, lambda x: block(F.least(c, x), 0, F.greatest(c, x), (x < c).cast("int")))
+    against = F.transform(F.sequence(F.lit(0).cast("long"), F.col("mains") - 1), lambda x: block(c, 1, x, F.lit(0)))
+    mains = F.transform(each, lambda x: block(x, 1, c, F.lit(1)))
+    dealt = (rows.select("node", "cluster", "component", "mains", "others", own.alias("own"), chunk)
+             .join(sets, F.col("node") == F.col("doc_id"))
+             .select("cluster", "node", "component", "shingles",
+                     F.explode(F.when(F.col("own"), mains).otherwise(F.concat(among, against))).alias("block"))
+             .select("cluster", "node", "component", "shingles", "block.*"))
+
+    def links(group: pa.Table) -> pa.Table:
+        node, part, role = (group[x].to_numpy() for x in ("node", "component", "role"))
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["shingles"].combine_chunks()]
+        size = np.array([x.size for x in own])
+        base = np.flatnonzero(role == 1)
+        if not base.size and group["left"][0] == group["right"][0] and group["kind"][0].as_py() == 0:
+            base = np.arange(node.size)  # one chunk with itself
+        if not base.size:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        value = np.concatenate([own[i] for i in base])
+        owner = np.repeat(base, size[base])
+        order = np.argsort(value, kind="stable")
+        value, owner = value[order], owner[order]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in root:
+                x = root[x]
+            return x
+
+        out = []
+        for i in np.flatnonzero(role == 0):
+            lo, hi = np.searchsorted(value, own[i], "left"), np.searchsorted(value, own[i], "right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=node.size)
+            near = np.flatnonzero((both > 0) & (part != part[i]) & (100 * both >= percent * (size[i] + size - both)))
+            for j in near.tolist():
+                x, y = find(int(part[i])), find(int(part[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return dealt.groupBy("cluster", "left", "kind", "right").applyInArrow(links, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     spark = docs.sparkSession
     signed = written(spark, signatures(docs, shingle), "signatures")
     total = signed.count()
     some = signed.where("n_shingles > 0")
-    best = F.min(F.struct("doc_id", "n_shingles", "hashes"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "hashes"))
     classes = written(spark, some.groupBy("set_a", "set_b").agg(best.alias("best"), F.count(F.lit(1)).alias("size"))
                       .select("set_a", "set_b", "size", F.col("best.doc_id").alias("rep"), "best.n_shingles", "best.hashes"),
                       "classes")
     reps = classes.select("rep", "n_shingles", "hashes")
     keys = table_keys(reps)
     centre = keys.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = written(spark, keys.join(centre, "key").select("key", "members", "a", F.col("rep").alias("b")), "buckets")
-
-    pairs = written(spark, agreeing(buckets.where("a < b").select("a", "b").distinct(), reps, percent), "pairs")
-    links = written(spark, _links(docs, pairs, shingle, percent), "links")
-    found = components(spark, links)
-    # pairs across components in buckets of three or more that still hold several
-    member = (buckets.where("members > 2").join(found.withColumnRenamed("node", "b"), "b", "left")
-              .select("key", "a", "b", F.coalesce("component", "b").alias("component")))
-    mixed = member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    member = member.join(mixed.select("key"), "key", "left_semi")
-    across = (member.select("key", F.col("b").alias("x"), F.col("component").alias("cx"))
-              .join(member.select("key", F.col("b").alias("y"), F.col("component").alias("cy"), "a"), "key")
-              .where("x < y and cx <> cy and x <> a").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-    more = written(spark, agreeing(across.join(pairs, ["a", "b"], "left_anti"), reps, percent), "pairs")
-    if not more.isEmpty():
-        extra = written(spark, _links(docs, more, shingle, percent), "links")
-        if not extra.isEmpty():
-            found = components(spark, links.unionByName(extra))
+    star = keys.join(centre, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct()
+    pairs = written(spark, agreeing(star, reps, percent), "pairs")
+    sets = written(spark, shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle), "sets")
+    links = written(spark, confirmed(pairs, sets, percent), "links")
+    found = written(spark, components(spark, links), "components")
+    extra = written(spark, block_links(components(spark, pairs), found, sets, percent), "links")
+    if not extra.isEmpty():
+        found = components(spark, links.unionByName(extra))
     named = (classes.select("set_a", "set_b", "size", "rep")
              .join(found.withColumnRenamed("node", "rep"), "rep", "left")
              .select("set_a", "set_b", "size", F.coalesce("component", "rep").alias("component_id")))
@@ -167,17 +224,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return confirmed(pairs, shingle_sets(docs, ids, shingle), percent)
-
-
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay (the smallest doc_id of each component), with all their columns."""
-    kept = near_duplicates(docs.select("doc_id", "text"), shingle, percent).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id"))).drop("_kept_id")
-    return rows.dropDuplicates(["doc_id"])
+    return one_row_each(docs, near_duplicates(docs.select("doc_id", "text"), shingle, percent).where("kept"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
