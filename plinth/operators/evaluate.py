@@ -112,8 +112,12 @@ def error_summary(errors: DataFrame) -> DataFrame:
 
 
 def feature_suggestions(worst: DataFrame, year_col: str, year_cut: int, by_group: DataFrame | None = None,
-                        share: float = 0.3, top: int = 5) -> DataFrame:
-    """Rule table ``(rule, fired, detail)`` from conditional aggregates over the worst rows."""
+                        share: float = 0.3, top: int = 5, quality: str | None = None, remodelled: str | None = None,
+                        by_quality: DataFrame | None = None, this_year: int = 2024) -> DataFrame:
+    """Rule table ``(rule, fired, detail)`` from conditional aggregates over the worst rows.
+
+    Rules on a column that is not named or not there do not appear; ``by_quality`` (errors by the
+    quality column) brings in its square."""
     row = worst.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.when(col(year_col) > year_cut, 1).otherwise(0)).alias("new")).first()
     n, new = row["n"] or 0, row["new"] or 0
@@ -121,6 +125,13 @@ def feature_suggestions(worst: DataFrame, year_col: str, year_cut: int, by_group
     if by_group is not None:
         names = [r[0] for r in by_group.orderBy(F.desc("mean_error_log_abs"), "feature_value").limit(top).collect()]
         rules.append(("HighError groups", bool(names), ", ".join(map(str, names))))
+    if quality in worst.columns:
+        rules.append(("Quality x age", True, f"{quality} * ({this_year} - {year_col})"))
+    if remodelled in worst.columns:
+        rules.append(("Remodel age", True, f"{remodelled} - {year_col}"))
+        rules.append(("Is remodelled", True, f"{remodelled} != {year_col}"))
+    if by_quality is not None and not by_quality.isEmpty():
+        rules.append(("Squared quality", True, f"{quality} ** 2"))
     return worst.sparkSession.createDataFrame(rules, "rule string, fired boolean, detail string")
 
 

@@ -17,15 +17,18 @@ from pyspark.sql import functions as F
 from plinth.functions.quantile import group_quantiles
 from plinth.functions.sizing import broadcast_if_small, hold
 from plinth.operators.features import col, with_columns
+from plinth.operators.shape import norm_ppf
 
 
 def oof_target_encode(train: DataFrame, test: DataFrame, cat: str, target: str, fold: str = "fold",
                       smoothing: float = 1.0, noise_level: float = 0.0, seed: int = 42,
-                      name: str | None = None) -> tuple[DataFrame, DataFrame]:
+                      name: str | None = None, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Smoothed out-of-fold mean ``(sum + g*m) / (n + m)``; unseen -> global mean ``g``.
 
     Train rows get the statistics of the other folds (plus optional Gaussian noise
-    with sd ``noise_level * std`` of the fold's encoded values, seeded per fold);
+    with sd ``noise_level * std`` of the fold's encoded values; it derives from a hash of the
+    row's ``key`` (without one: all its columns), its fold and ``seed``, so a recomputed or
+    repartitioned row gets the same noise);
     test rows get the full-train statistics and no noise.
     """
     name = name or f"{cat}_TargetEnc"
@@ -41,7 +44,8 @@ def oof_target_encode(train: DataFrame, test: DataFrame, cat: str, target: str,
     if noise_level > 0:
         sd = tr.groupBy(fold).agg(F.stddev_samp(col(name)).alias("_sd"))
         tr = tr.join(broadcast_if_small(sd), fold, "left")
-        noise = F.randn(seed) * F.lit(noise_level) * F.coalesce(F.col("_sd"), F.lit(0.0))
+        row = F.xxhash64(*([col(key)] if key else [col(c) for c in train.columns]), col(fold), F.lit(seed))
+        noise = norm_ppf((F.pmod(row, F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))) * F.lit(noise_level) * F.coalesce(F.col("_sd"), F.lit(0.0))
         tr = with_columns(tr, [(name, col(name) + noise)]).drop("_sd")
 
     full = train.groupBy(col(cat)).agg(F.sum(col(target)).alias("_s"), F.count(col(target)).alias("_c"))

@@ -141,6 +141,9 @@ r2 AS (
   FROM (SELECT top5.nation, seg.m FROM top5 JOIN seg USING (nation))
 )
 SELECT * FROM r1 UNION ALL SELECT * FROM r2
+UNION ALL SELECT * FROM (VALUES ('Quality x age', true, 'n_lines * (2024 - order_year)'), ('Remodel age', true, 'order_month - order_year'),
+  ('Is remodelled', true, 'order_month != order_year'), ('Squared quality', true, 'n_lines ** 2')) v(rule, fired, detail)
+WHERE EXISTS (SELECT 1 FROM worst)
 """
 
 
@@ -149,7 +152,8 @@ def l06_feature_suggestions(spark, d):
     e = _errors(spark, d)
     worst = e.orderBy(F.desc("error_log_abs"), "okey").limit(50)
     by_nation = ev.errors_by_feature(e, "nation")
-    return ev.feature_suggestions(worst, "order_year", 1995, by_nation)
+    return ev.feature_suggestions(worst, "order_year", 1995, by_nation, quality="n_lines", remodelled="order_month",
+                                  by_quality=ev.errors_by_feature(e, "priority"))
 
 
 # ---------------------------------------------------------------- L07-L10: several fitted predictors

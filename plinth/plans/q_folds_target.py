@@ -88,6 +88,24 @@ def i05_cv_dispatch(spark, d):
     return fo.cv_strategy(filled(spark, d), "group", key="okey", group="segment", k=5).select("okey", "fold")
 
 
+@register("i05_cv_dispatch_kfold", I01_SQL)
+def i05_cv_dispatch_kfold(spark, d):
+    return fo.cv_strategy(filled(spark, d), "kfold", key="okey", k=5, seed=42).select("okey", "fold")
+
+
+@register("i05_cv_dispatch_stratified", I02_SQL)
+def i05_cv_dispatch_stratified(spark, d):
+    f = filled(spark, d).select("okey", "y")
+    out = fo.cv_strategy(f, "stratified", key="okey", target="y", k=5, seed=42, n_bins=10, keep_bin=True)
+    return out.select("okey", F.col("_bin").alias("bin"), "fold")
+
+
+@register("i05_cv_dispatch_repeated", I04_SQL)
+def i05_cv_dispatch_repeated(spark, d):
+    f = filled(spark, d).select("okey", "y")
+    return fo.cv_strategy(f, "repeated", key="okey", target="y", k=5, seed=42, repeats=3, n_bins=10).select("okey", "fold", "repeat")
+
+
 # ---------------------------------------------------------------- H01
 def _te_sql(cat: str, target: str = "y", src_tr: str = "tr", src_te: str = "te", name: str | None = None) -> str:
     name = name or f"{cat}_TargetEnc"

@@ -257,6 +257,26 @@ def m11_submission_format(spark, d):
     return a.unionByName(b)
 
 
+M11_ORDER_SQL = f"""WITH {FILLED_CTE},
+t AS (SELECT okey, okey - min(okey) OVER () AS pos FROM filled WHERE NOT is_train),
+a AS (SELECT count(*) AS n, sum(CASE WHEN okey % 2 = 0 THEN 1 ELSE 0 END) AS bad FROM t)
+{rows_sql('a', [('columns', None, 'true', "'okey,price,pos'"), ('size', None, 'true', 'n'), ('no_nulls', 'price', 'true', "'0'"),
+                ('positive', 'price', 'true', "'0'"), ('id_set_match', 'okey', 'true', "'0'"), ('id_order_match', 'okey', 'bad = 0', 'bad')])}
+UNION ALL SELECT 'columns' AS "check", CAST(NULL AS VARCHAR) AS "column", false AS passed, 'price' AS detail"""
+
+
+@register("m11_submission_order", M11_ORDER_SQL)
+def m11_submission_order(spark, d):
+    """The same gate with an ordinal column that disagrees on even keys, and without the value column."""
+    f = filled(spark, d).where("NOT is_train")
+    low = f.agg(F.min("okey")).first()[0]
+    pos = F.col("okey") - F.lit(low)
+    sub = f.select("okey", F.expm1("y").alias("price"), F.when(F.col("okey") % 2 == 0, pos + 1).otherwise(pos).alias("pos"))
+    want = f.select("okey", pos.alias("pos"))
+    return qa.submission_format(sub, want, "okey", "price", "pos").unionByName(
+        qa.submission_format(sub.drop("price"), want, "okey", "price"))
+
+
 # ---------------------------------------------------------------- M12
 M12_FEATS = ["n_lines", "sum_qty", "acctbal"]
 M12_SQL = f"""WITH {FILLED_CTE},

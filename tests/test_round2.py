@@ -208,3 +208,16 @@ def test_row_numbers_run_no_job_before_the_sort(spark):
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_encoding_noise_belongs_to_the_row(spark):
+    from plinth.operators.target_encode import oof_target_encode
+
+    rows = [(i, f"c{i % 4}", float(i % 7), i % 5) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, cat string, y double, fold int")
+    enc = lambda d, **kw: {r["id"]: r["cat_TargetEnc"] for r in oof_target_encode(d, df.limit(3), "cat", "y", key="id", **kw)[0].collect()}
+    plain, noisy = enc(df), enc(df, noise_level=0.5)
+    again = enc(df.orderBy(F.desc("id")).repartition(7), noise_level=0.5)
+    assert all(abs(noisy[i] - again[i]) < 1e-12 for i in noisy) and enc(df, noise_level=0.5, seed=1) != noisy
+    gap = np.array([noisy[i] - plain[i] for i in plain])
+    assert 0 < gap.std() and abs(gap.mean()) < 3 * gap.std() / 20
