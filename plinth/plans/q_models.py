@@ -179,31 +179,34 @@ def j02_ols_cv(spark, d):
     return mo.fold_rmse(preds, real_space=True, clip=(0.0, 15.0))
 
 
+# The grids of the linear models.
+RIDGE_ALPHAS = [0.01, 0.1, *map(float, range(1, 31))]
+LASSO_ALPHAS = RIDGE_ALPHAS
+NET_ALPHAS = [0.0001, 0.0005, 0.0007, 0.0008, 0.0009, 0.001, 0.0011, 0.0012, 0.0013, 0.0015, 0.002, 0.005, 0.01]
+NET_L1_RATIOS = [0.1, 0.3, 0.5, 0.7, 0.9]
+
+
+def _linear_grid(spark, d, name: str, grid: list[dict], real_space: bool) -> DataFrame:
+    train, _ = model_frame(spark, d)
+    res = mo.linear_grid(train, MODEL_FEATS, grid, real_space=real_space)
+    show = lambda p: str({k: v for k, v in p.items() if k != "kind"})
+    return _cv_table(spark, [(name, show(p), m, s) for p, m, s in res])
+
+
 @register("j03_ridge_grid")
 def j03_ridge_grid(spark, d):
-    train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
-    grid = [{"alpha": a} for a in (0.01, 0.1, 1.0, 10.0, 30.0)]
-    res = mo.grid_search(data, grid, lambda p: mo.linear_factory("ridge", p["alpha"]), real_space=True)
-    return _cv_table(spark, [("ridge", str(p), m, s) for p, m, s in res])
+    return _linear_grid(spark, d, "ridge", [{"kind": "ridge", "alpha": a} for a in RIDGE_ALPHAS], True)
 
 
 @register("j04_lasso_grid")
 def j04_lasso_grid(spark, d):
-    train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
-    grid = [{"alpha": a} for a in (1e-4, 1e-3, 1e-2)]
-    res = mo.grid_search(data, grid, lambda p: mo.linear_factory("lasso", p["alpha"]))
-    return _cv_table(spark, [("lasso", str(p), m, s) for p, m, s in res])
+    return _linear_grid(spark, d, "lasso", [{"kind": "lasso", "alpha": a} for a in LASSO_ALPHAS], False)
 
 
 @register("j05_elasticnet_grid")
 def j05_elasticnet_grid(spark, d):
-    train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
-    grid = [{"alpha": a, "l1": l} for a in (1e-3, 1e-2) for l in (0.2, 0.8)]
-    res = mo.grid_search(data, grid, lambda p: mo.linear_factory("elasticnet", p["alpha"], p["l1"]), real_space=True)
-    return _cv_table(spark, [("elastic_net", str(p), m, s) for p, m, s in res])
+    grid = [{"kind": "elasticnet", "alpha": a, "l1": r} for a in NET_ALPHAS for r in NET_L1_RATIOS]
+    return _linear_grid(spark, d, "elastic_net", grid, True)
 
 
 @register("j06_random_forest_cv")

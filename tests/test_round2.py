@@ -221,3 +221,23 @@ def test_encoding_noise_belongs_to_the_row(spark):
     assert all(abs(noisy[i] - again[i]) < 1e-12 for i in noisy) and enc(df, noise_level=0.5, seed=1) != noisy
     gap = np.array([noisy[i] - plain[i] for i in plain])
     assert 0 < gap.std() and abs(gap.mean()) < 3 * gap.std() / 20
+
+
+def test_linear_grid_matches_the_fits_it_replaces(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 4))
+    y = x @ np.array([1.0, -0.5, 0.0, 0.2]) + 2 + rng.normal(0, 0.3, 600)
+    rows = [(*map(float, v), float(t), i % 5) for i, (v, t) in enumerate(zip(x, y))]
+    feats = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, label double, fold int")
+    grid = [{"kind": "ridge", "alpha": 5.0}, {"kind": "lasso", "alpha": 0.1}, {"kind": "elasticnet", "alpha": 0.05, "l1": 0.3}, {"kind": "ols", "alpha": 0.0}]
+    for real in (False, True):
+        got = {p["kind"]: (m, s) for p, m, s in mo.linear_grid(df, feats, grid, real_space=real)}
+        for p in grid:
+            want = mo.cv_rmse(mo.assemble(df, feats), mo.linear_factory(p["kind"], p["alpha"], p.get("l1", 0.5)), real_space=real)
+            assert got[p["kind"]] == pytest.approx(want, rel=2e-3)
+    # optimality of the lasso on all rows: |gradient| <= alpha, equal on its support
+    n, s, g = (sum(v[i] for v in mo.fold_moments(df, feats).values()) for i in range(3))
+    w, c = mo.solve_linear(n, s, g, "lasso", 0.1)
+    grad = x.T @ (y - x @ w - c) / len(y)
+    assert np.all(np.abs(grad) <= 0.1 + 1e-9) and np.allclose(grad[w != 0], 0.1 * np.sign(w[w != 0]))
