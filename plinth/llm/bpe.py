@@ -72,14 +72,9 @@ class Codec(PieceIds):
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
         self.decimal = [str(i) for i in range(len(self.bytes))]
-        self.words: dict[str, np.ndarray] = {}
         self.path = path
         self._library = None
 
-    def clear(self) -> None:
-        super().clear()
-        self.words = {}
-
     def split(self, text: str) -> list[str]:
         parts = self.marks.split(text) if self.marks and self.marks.search(text) else [text]
         out: list[str] = []
@@ -94,7 +89,9 @@ class Codec(PieceIds):
                 out += [" " + x for x in own[1:]]
         return out
 
-    def _words(self, piece: str) -> list[str]:
+    def words_of(self, piece: str) -> list[str]:
+        if piece in self.special:
+            return [piece]
         if max(piece, default="") < _NEWER:
             return WORD.findall(piece)
         if self._library is None:
@@ -103,14 +100,10 @@ class Codec(PieceIds):
             self._library = Tokenizer.from_file(self.path).pre_tokenizer
         return [piece[a:b] for _, (a, b) in self._library.pre_tokenize_str(piece)]
 
-    def ids_of(self, new: list[str]) -> list[np.ndarray]:
-        cut = [[x] if x in self.special else self._words(x) for x in new]
-        fresh = list({w for own in cut for w in own}.difference(self.words, self.special))
-        self.words.update(zip(fresh, self.merge([w.encode() for w in fresh])))
-        for token, i in self.special.items():
-            self.words[token] = np.array([i], np.uint16)
-        none = np.empty(0, np.uint16)
-        return [self.words[own[0]] if len(own) == 1 else np.concatenate([self.words[w] for w in own]) if own else none for own in cut]
+    def ids_of(self, words: list[str]) -> list[np.ndarray]:
+        marks = {w: np.array([self.special[w]], np.uint16) for w in words if w in self.special}
+        plain = [w for w in words if w not in marks]
+        return list(map((dict(zip(plain, self.merge([w.encode() for w in plain]))) | marks).__getitem__, words))
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word, all merged together through the pair occurrence index."""

@@ -17,6 +17,7 @@ others; an empty table gives an empty result; other columns are ignored, whateve
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm.graph import written
-from plinth.llm.text import chunks, field, sums
+from plinth.llm.pieces import PieceIds
+from plinth.llm.text import chunks, field
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -36,21 +38,17 @@ WINDOW = 2048
 SHARD_DOCS = 1024
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
-
 SHARDS = "shard long, doc_ids array<long>, lengths array<long>, ids binary, terms binary, counts binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class WordTokenizer:
-    """ids of texts by a tokenizer that never joins characters across a space or line break.
+class WordTokenizer(PieceIds):
+    """ids of texts by a tokenizer of lower-cased words; the library sees each distinct word once per worker.
 
-    Each distinct piece between spaces goes through the library once per worker (up to the cache's size).
+    Plain Latin text is cut by the tokenizer's own word pattern, restricted to those letters.  Any other
+    text is cut between spaces only (no token crosses them) and its pieces go to the library whole.
     """
 
-    _own: dict[str, "WordTokenizer"] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -58,50 +56,25 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.clear()
-
-    @classmethod
-    def of(cls, path: str) -> "WordTokenizer":
-        """This worker's instance, with what it remembers."""
-        if path not in cls._own:
-            cls._own[path] = cls(path)
-        return cls._own[path]
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.uint16)
-        self.start = np.zeros(1, np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        got = [np.array(e.ids, np.uint16) for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        ends = self.start[-1] + np.cumsum([g.size for g in got])
-        if ends[-1] > self.ids.size:
-            self.ids = np.resize(self.ids, max(2 * self.ids.size, int(ends[-1])))
-        self.ids[self.start[-1] : ends[-1]] = np.concatenate(got)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.start = np.concatenate([self.start, ends])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
-        words: list[str] = []
-        count = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.replace("\n", " ").split(" ")
-            count[i] = len(own)
-            words += own
-        new = list(set(words).difference(self.known))
-        if new and len(self.known) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
-        if not words:
-            return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
-        word = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        size = self.start[word + 1] - self.start[word]
-        before = np.cumsum(size) - size
-        ids = self.ids[np.repeat(self.start[word] - before, size) + np.arange(size.sum())]
-        return ids, sums(size, np.concatenate([[0], np.cumsum(count)]))
+        super().__init__(path)
+
+    def split(self, text: str) -> list[str]:
+        if "<|" not in text and not _OTHER.search(text):
+            return _WORD.findall(text.lower())
+        return text.replace("\n", " ").split(" ")
+
+    def words_of(self, piece: str) -> tuple[str, ...]:
+        return (piece,)
+
+    def ids_of(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint16) for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+
+# The word pattern of the tokenizer, its character classes spelt out below U+0130.
+_LETTER, _DIGIT = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u012f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
+# Beyond those classes, and controls that are white space to one side only.
+_OTHER = re.compile("[\x1c-\x1f\u0130-\U0010ffff]")
 
 
 def shards(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:

@@ -6,15 +6,16 @@ import numpy as np
 
 from plinth.llm.text import sums
 
-#: Pieces whose ids a worker remembers.
-CACHE_PIECES = 1_000_000
+#: Entries (pieces and their words) that a worker remembers, some 200 bytes each.
+CACHE_PIECES = 600_000
 
 
 class PieceIds:
-    """Ids of texts, where a text is cut into pieces that tokenise independently of each other.
+    """Ids of texts, where a text is cut into pieces and a piece into words that tokenise independently.
 
-    Subclasses give ``split`` (the pieces of a text) and ``ids_of`` (the ids of new pieces).  Each distinct
-    piece is tokenised once per worker; beyond ``CACHE_PIECES`` pieces the memory starts anew.
+    Subclasses give ``split`` (the pieces of a text), ``words_of`` (the words of a piece) and ``ids_of``
+    (the ids of new words).  Each distinct word is tokenised once per worker; when a worker remembers
+    ``CACHE_PIECES`` entries its memory starts anew.
     """
 
     _own: dict[tuple[type, str], "PieceIds"] = {}
@@ -32,22 +33,39 @@ class PieceIds:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.uint16)
-        self.start = np.zeros(1, np.int64)
+        self.start = np.zeros(1 << 12, np.int64)
 
     def split(self, text: str) -> list[str]:
         raise NotImplementedError
 
-    def ids_of(self, new: list[str]) -> list[np.ndarray]:
+    def words_of(self, piece: str) -> tuple[str, ...] | list[str]:
         raise NotImplementedError
 
-    def _learn(self, new: list[str]) -> None:
-        got = self.ids_of(new)
-        ends = self.start[-1] + np.cumsum([g.size for g in got])
-        if ends[-1] > self.ids.size:
+    def ids_of(self, words: list[str]) -> list[np.ndarray]:
+        raise NotImplementedError
+
+    def _add(self, new: list[str], got: list[np.ndarray]) -> None:
+        n = len(self.known)
+        ends = self.start[n] + np.cumsum([g.size for g in got], dtype=np.int64)
+        if ends.size and ends[-1] > self.ids.size:
             self.ids = np.resize(self.ids, max(2 * self.ids.size, int(ends[-1])))
-        self.ids[self.start[-1] : ends[-1]] = np.concatenate(got)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.start = np.concatenate([self.start, ends])
+        if n + len(new) >= self.start.size:
+            self.start = np.resize(self.start, max(2 * self.start.size, n + len(new) + 1))
+        if new:
+            self.ids[self.start[n] : ends[-1]] = np.concatenate(got)
+            self.start[n + 1 : n + 1 + len(new)] = ends
+            self.known.update(zip(new, range(n, n + len(new))))
+
+    def _recall(self, word: str) -> np.ndarray:
+        i = self.known[word]
+        return self.ids[self.start[i] : self.start[i + 1]]
+
+    def _learn(self, new: list[str]) -> None:
+        cut = [self.words_of(x) for x in new]
+        fresh = list({w for own in cut for w in own}.difference(self.known))
+        self._add(fresh, self.ids_of(fresh))
+        rest = [(x, own) for x, own in zip(new, cut) if x not in self.known]
+        self._add([x for x, _ in rest], [np.concatenate([np.empty(0, np.uint16), *map(self._recall, own)]) for _, own in rest])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
