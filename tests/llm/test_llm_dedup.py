@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from llm_cases import MEDIUM, SMALL, SPACE, documents, frame, lower, prose, session, words  # noqa: F401
 
-from plinth.llm import exact_dedup, near_dedup
+from plinth.llm import exact_dedup, graph, near_dedup
 from plinth.llm.graph import components
 
 
@@ -134,7 +134,9 @@ def test_near_query_on_tables(session):
     assert near_dedup.op3_near_dedup(session, MEDIUM).count() == 1000
 
 
-def test_components_of_a_long_path_and_a_star(session):
+@pytest.mark.parametrize("edges", [500_000, 7])
+def test_components_of_a_long_path_and_a_star(session, monkeypatch, edges):
+    monkeypatch.setattr(graph, "LOCAL_EDGES", edges)
     path = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(8, 30)]
     links = session.createDataFrame(path[::-1] + star + [(50, 50)], "a long, b long")
