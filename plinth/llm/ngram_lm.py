@@ -43,7 +43,7 @@ from plinth.session import scratch_path
 
 FOLDS = 10
 BLOCK_TOKENS = 1_000_000
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 DISCOUNT_2, DISCOUNT_3 = 0.75, 0.9
 _END = np.uint64(0x5DEECE66D1CE4E5B)
 #: Ids of what stands before a text and of words without training count; other words have larger ones.
@@ -128,6 +128,11 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def word_part(words: np.ndarray, parts: int) -> np.ndarray:
+    """The word part of each hash: ranges of hashes, so that a block's sorted words are in part order."""
+    return ((words >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def word_counts(table: DataFrame, parts: int) -> DataFrame:
     """For each block and word part: ids and training counts of the block's words, in the block's order.
 
@@ -139,14 +144,12 @@ def word_counts(table: DataFrame, parts: int) -> DataFrame:
             for i in range(batch.num_rows):
                 words = np.frombuffer(field(batch, "words")[i].as_buffer(), np.uint64)
                 (own,) = _unsqueeze(field(batch, "counts")[i].as_py())
-                part = (words % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(parts + 1))
+                cut = np.searchsorted(word_part(words, parts), np.arange(parts + 1))
                 used = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used.astype(np.int32)), pa.array([field(batch, "block")[i].as_py()] * used.size, pa.int64()),
-                     _binary([words[order[cut[p] : cut[p + 1]]].tobytes() for p in used]),
-                     _binary([_squeeze(own[order[cut[p] : cut[p + 1]]]) for p in used])], ["part", "block", "words", "counts"])
+                     _binary([words[cut[p] : cut[p + 1]].tobytes() for p in used]),
+                     _binary([_squeeze(own[cut[p] : cut[p + 1]]) for p in used])], ["part", "block", "words", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         part = group["part"][0].as_py()
@@ -195,18 +198,15 @@ class Unigrams:
 
 def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame:
     """(shard, block, kind, body): tokens with their contexts for the shards, and one row of plain sums a block."""
-    shards, parts = words.shards, words.shards
+    shards = words.shards
 
     def route(block: pa.Table, answers: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int, bytes]] = []
-        own = {p: _unsqueeze(x) for p, x in zip(answers["part"].to_pylist(), answers["counts"].to_pylist())}
+        # a block's words are sorted by hash, and so are its answers, part by part
+        own = [_unsqueeze(x) for _, x in sorted(zip(answers["part"].to_pylist(), answers["counts"].to_pylist()))]
+        number, seen = (np.concatenate(x) for x in zip(*own))
         for i in range(block.num_rows):
-            vocabulary = np.frombuffer(block["words"][i].as_buffer(), np.uint64)
             size, train, token = _unsqueeze(block["body"][i].as_py())
-            part = (vocabulary % np.uint64(parts)).astype(np.int64)
-            number, seen = np.empty(vocabulary.size, np.int64), np.empty(vocabulary.size, np.int64)
-            for p, (a, b) in own.items():
-                number[part == p], seen[part == p] = a, b
             number_block = block["block"][i].as_py()
             w, count = number[token], seen[token]
             doc = np.repeat(np.arange(size.size), size)
@@ -253,7 +253,7 @@ def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame
         return pa.table({"shard": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([x[1] for x in out], pa.int64()),
                          "kind": pa.array([x[2] for x in out], pa.int32()), "body": _binary([x[3] for x in out])})
 
-    left = table.select("block", "words", "body").groupBy("block")
+    left = table.select("block", "body").groupBy("block")
     return left.cogroup(counted.where("block >= 0").groupBy("block")).applyInArrow(route, "shard int, block long, kind int, body binary")
 
 
@@ -355,7 +355,7 @@ def shard_scores(asked: DataFrame, folder: str, keep: bool) -> DataFrame:
             u, w, code, doc = (np.concatenate([c[j] for _, c in plain]) for j in (1, 2, 3, 4))
             hot = [np.concatenate([c[j] for _, c in plain]) for j in (6, 7, 8)]
             ends = np.cumsum([k.size for k in key])
-            key = np.concatenate(key)
+            key, plain = np.concatenate(key), [name for name, _ in plain]
             log_chance = -code / _STEP
             learn = (doc & 1) > 0
             parts = build_trie(key[learn], u[learn], w[learn], 10 ** log_chance[learn],
@@ -368,7 +368,7 @@ def shard_scores(asked: DataFrame, folder: str, keep: bool) -> DataFrame:
             finally:
                 if not keep:
                     store.delete_file(path)
-            for (name, c), a, b in zip(plain, np.append(0, ends[:-1]), ends):
+            for name, a, b in zip(plain, np.append(0, ends[:-1]), ends):
                 own, where = np.unique(doc[a:b] >> 1, return_inverse=True)
                 if own.size:
                     out.append((name, 0, _squeeze(own), np.bincount(where, weights=got[a:b]).astype(np.float32).tobytes()))
