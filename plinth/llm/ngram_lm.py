@@ -43,7 +43,7 @@ from plinth.session import scratch_path
 
 FOLDS = 10
 BLOCK_TOKENS = 1_000_000
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 500_000
 DISCOUNT_2, DISCOUNT_3 = 0.75, 0.9
 _END = np.uint64(0x5DEECE66D1CE4E5B)
 #: Ids of what stands before a text and of words without training count; other words have larger ones.
@@ -350,12 +350,13 @@ def shard_scores(asked: DataFrame, folder: str, keep: bool) -> DataFrame:
         names, kinds, bodies = (group[c].to_pylist() for c in ("block", "kind", "body"))
         out = [(b, 1, b"", x) for b, k, x in zip(names, kinds, bodies) if k]
         plain = [(b, _unsqueeze(x)) for b, k, x in zip(names, kinds, bodies) if not k]
+        del bodies
         if plain:
             key, hot_key = ([np.cumsum(c[j]) for _, c in plain] for j in (0, 5))
             u, w, code, doc = (np.concatenate([c[j] for _, c in plain]) for j in (1, 2, 3, 4))
             hot = [np.concatenate([c[j] for _, c in plain]) for j in (6, 7, 8)]
             ends = np.cumsum([k.size for k in key])
-            key, plain = np.concatenate(key), [name for name, _ in plain]
+            key, plain, names = np.concatenate(key), [name for name, _ in plain], None
             log_chance = -code / _STEP
             learn = (doc & 1) > 0
             parts = build_trie(key[learn], u[learn], w[learn], 10 ** log_chance[learn],
