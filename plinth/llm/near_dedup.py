@@ -7,12 +7,13 @@ a key cost ``2 * SIDE * ROWS`` minima.  At similarity 0.8 a pair shares a key wi
 
 Documents with equal shingle sets form a class first; only one representative of a class goes on, so
 copies are never expanded.  In a bucket of representatives the smallest one is the centre, and each
-member is a candidate with it if ``AGREE`` of their ``2 * SIDE`` hashes agree (probability 0.9998 at
-similarity 0.8).  Candidates are confirmed on their full sets, which gives components of links.  Members
-of a bucket may also be linked with each other and not with its centre: the candidates form clusters,
-and in a cluster with several components all members outside its largest component are compared with all
-members of other components, exactly and in blocks of ``CHUNK`` by ``CHUNK`` documents.  A block returns
-links that join components only, so no block gives all pairs.
+member is compared with it if their sizes allow a link and ``AGREE`` of their ``2 * SIDE`` hashes agree
+(probability 0.9998 at similarity 0.8).  These are confirmed on their full sets, which gives components of
+links.  Members of a bucket may also be linked with each other and not with its centre, whether or not
+they were compared with it: all members of a bucket are of one cluster, and in a cluster with several
+components all members outside its largest component are compared with all members of other components,
+exactly and in blocks of ``CHUNK`` by ``CHUNK`` documents.  A block returns links that join components
+only, so no block gives all pairs.
 
 Defined results: a null or empty text has no shingles and is linked with nothing; a text of fewer words
 than a shingle is one shingle; rows repeated with one doc_id are one document: they get the same
@@ -207,12 +208,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reps = classes.select("rep", "n_shingles", "hashes")
     keys = table_keys(reps)
     centre = keys.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    star = keys.join(centre, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct()
+    star = written(spark, keys.join(centre, "key").where("a < rep").select("a", F.col("rep").alias("b")).distinct(), "star")
     pairs = written(spark, agreeing(star, reps, percent), "pairs")
-    sets = written(spark, shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle), "sets")
+    # a member without a pair stays in its cluster: it may be linked with others of the bucket
+    sets = written(spark, shingle_sets(docs, star.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle), "sets")
     links = written(spark, confirmed(pairs, sets, percent), "links")
     found = written(spark, components(spark, links), "components")
-    extra = written(spark, block_links(components(spark, pairs), found, sets, percent), "links")
+    extra = written(spark, block_links(components(spark, star), found, sets, percent), "links")
     if not extra.isEmpty():
         found = components(spark, links.unionByName(extra))
     named = (classes.select("set_a", "set_b", "size", "rep")

@@ -117,6 +117,23 @@ def test_near_random_edits_against_brute_force(session):
     assert got == brute_near(rows, 5)
 
 
+def test_near_links_of_members_whose_centre_is_a_short_stub(session):
+    rng = random.Random(11)
+    rows = []
+    for family in range(30):
+        words_of = lambda name, n: [f"{name}{family}x{i}" for i in range(n)]  # noqa: E731, B023
+        body = words_of("s", 160)
+        rng.shuffle(body)
+        # both long documents begin with the stub, which has less than 80 % of their shingles
+        stub, own = body[:142], 20
+        rows += [(10 * family, " ".join(stub)), (10 * family + 1, " ".join(body + words_of("l", own))),
+                 (10 * family + 2, " ".join(body + words_of("r", own - 2)))]
+    got = sorted(map(tuple, near_dedup.near_duplicates(session.createDataFrame(rows, "doc_id long, text string")).collect()))
+    want = brute_near(rows, 5)
+    assert sum(not kept for *_, kept in want) == 30
+    assert got == want
+
+
 def test_near_keeps_one_document_of_each_component(session):
     rows = documents()
     docs = frame(session, rows)
