@@ -398,7 +398,7 @@ def a08_runlog_stream(spark, d):
 # ---------------------------------------------------------------- N11 as a stream
 @register("n11_daily_quota_stream", N11_SQL)
 def n11_daily_quota_stream(spark, d):
-    """The daily quota as a windowed streaming count: submissions arrive as weekly files."""
+    """The daily quota as a stream of partial counts: submissions arrive as weekly files."""
     from plinth.session import scratch_path
     from plinth.streaming.quota_stream import stream_daily_quota
 

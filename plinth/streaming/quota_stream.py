@@ -1,9 +1,10 @@
-"""Daily submission counts against a quota as a windowed streaming aggregate.
+"""Daily submission counts against a quota, counted as a stream.
 
-Submissions arrive as files; a one-day tumbling window counts them in ``update``
-mode, so the watermark drops the state of days that are over.  Each micro-batch
-writes the days that it changed to ``<out>/batch=<id>`` (a re-run batch overwrites
-its own folder), and a day's figures are those of the last batch that has it.
+Submissions arrive as files in any order.  Each micro-batch counts its own rows by
+day and writes these partial counts to ``<out>/batch=<id>`` (a re-run batch
+overwrites its own folder); a day's count is the sum of its partial counts.  The
+stream holds no state and has no watermark, so no row is too late to be counted.
+A row without a timestamp belongs to no day.
 """
 
 from __future__ import annotations
@@ -14,27 +15,22 @@ from pyspark.sql import types as T
 
 
 def stream_daily_quota(spark: SparkSession, source: str, out_path: str, checkpoint: str, schema: T.StructType,
-                       ts: str = "timestamp", quota: int = 10, watermark: str = "2 days",
-                       max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+                       ts: str = "timestamp", quota: int = 10, max_files_per_trigger: int | None = None,
+                       fmt: str = "parquet") -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    # event time must be a zoned timestamp; naive (NTZ) input is read in the session zone
-    subs = reader.load(source).withColumn(ts, F.col(ts).cast("timestamp"))
-    counts = (subs.withWatermark(ts, watermark)
-              .groupBy(F.window(F.col(ts), "1 day").alias("w"))
-              .agg(F.count(F.lit(1)).alias("submitted")))
+    # a day is one of the session zone; naive (NTZ) input is read in it
+    days = reader.load(source).select(F.date_format(F.col(ts).cast("timestamp"), "yyyy-MM-dd").alias("day")).where("day is not null")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "submitted")
-        out = out.withColumn("remaining", F.greatest(F.lit(quota) - F.col("submitted"), F.lit(0)).cast("long")) \
-            .withColumn("quota_reached", F.col("submitted") >= quota)
-        out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        counts = batch.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
 
-    q = (counts.writeStream.outputMode("update").foreachBatch(write)
+    q = (days.writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    days = spark.read.parquet(out_path)
-    fields = [c for c in days.columns if c not in ("day", "batch")]
-    last = days.groupBy("day").agg(F.max_by(F.struct(*fields), "batch").alias("r"))
-    return last.select("day", "r.*")
+    parts = spark.read.schema("day string, n long").parquet(out_path)
+    out = parts.groupBy("day").agg(F.sum("n").alias("submitted"))
+    return (out.withColumn("remaining", F.greatest(F.lit(quota) - F.col("submitted"), F.lit(0)).cast("long"))
+            .withColumn("quota_reached", F.col("submitted") >= quota))

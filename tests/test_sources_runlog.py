@@ -79,3 +79,19 @@ def test_pending_split_history_and_manifest(spark):
     upd = spark.createDataFrame([("s1", 1, 5), ("s1", 2, 7), ("s2", 1, 3)], empty.schema)
     got = {r["stage"]: (r["version"], r["n"]) for r in fs.manifest_upsert(empty, upd).collect()}
     assert got == {"s1": (2, 7), "s2": (1, 3)}
+
+
+def test_quota_stream_counts_late_days_of_later_files(spark, tmp_path):
+    from plinth.streaming.quota_stream import stream_daily_quota
+
+    files = [["2024-01-20"] * 2, ["2024-01-20", "2024-01-27"], ["2024-01-01"] * 3 + ["2024-01-20"], ["2024-01-27", "2024-01-01", None]]
+    for i, days in enumerate(files):
+        rows = spark.createDataFrame([(d,) for d in days], "d string").select(F.to_timestamp("d").alias("timestamp"))
+        rows.coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    schema = spark.read.parquet(f"{tmp_path}/in/0").schema
+    run = lambda: stream_daily_quota(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ckpt", schema, quota=4, max_files_per_trigger=1)
+    want = [("2024-01-01", 4, 0, True), ("2024-01-20", 4, 0, True), ("2024-01-27", 2, 2, False)]
+    assert sorted(map(tuple, run().collect())) == want
+    # a later run counts the new file only
+    spark.read.parquet(f"{tmp_path}/in/1").write.parquet(f"{tmp_path}/in/4")
+    assert sorted(map(tuple, run().collect())) == [want[0], ("2024-01-20", 5, 0, True), ("2024-01-27", 3, 1, False)]
