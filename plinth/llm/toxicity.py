@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 A clause is read as a sequence of token classes: O other, I insult, T threat verb, P person addressed,
-N negation, Q reporting verb.  Four transducers are composed into one:
+N negation, Q reporting verb.  A look-ahead transducer reads the clause from its end and marks insults
+and threat verbs whose target follows; then four transducers, composed into one, read it from its begin:
 
 * reported speech: after Q, insults and threats of the clause count less;
 * negation: within a few tokens after N they count less;
-* target: within a few tokens of P an insult counts more, and a threat verb becomes a threat;
+* target: within ``SPAN`` tokens of P, before or after it, an insult counts more (once), and a threat verb
+  becomes a threat;
 * the insult and threat reader: accepts I and a threat with its target, and drops all else.
 
 The insult reader's lexicon is weighted: it holds stems (a word that begins with the stem matches).
@@ -35,6 +37,10 @@ from plinth.llm.text import Texts, chunks, field, small_side, span_hashes
 from plinth.llm.transducer import Transducer, countdown
 
 SYMBOLS = "OITPNQ"
+#: With the marks of the look-ahead: J an insult and U a threat verb whose target follows.
+MARKED = SYMBOLS + "JU"
+#: Tokens between a person and an insult or threat verb that make it their target.
+SPAN = 5
 STEMS = (4, 5, 6, 7, 8, 9, 10)
 #: Labelled rows of each class that the weights are fitted on.
 SAMPLE = 10_000
@@ -58,14 +64,16 @@ _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?;:\n"]] = True
 
 
-def grammar() -> Transducer:
-    """The composed transducer: reads token classes, writes H (a hit) or other symbols, with weights."""
-    damped = lambda w: {"I": ("I", w), "T": ("T", w)}
-    reported = Transducer({0: {"Q": (1, "Q", 1.0)}, 1: {"I": (1, "I", REPORTED), "T": (1, "T", REPORTED)}})
-    negation = countdown("N", 3, SYMBOLS, damped(NEGATED))
-    target = countdown("P", 5, SYMBOLS, {"I": ("H", TARGETED), "T": ("H", 1.0)})
-    reader = Transducer({0: {"I": (0, "H", 1.0), "T": (0, "O", 0.0)}})
-    return reported.compose(negation, SYMBOLS).compose(target, SYMBOLS).compose(reader, SYMBOLS)
+def grammar() -> tuple[Transducer, Transducer]:
+    """The look-ahead, which reads a clause's token classes from right to left, and the composed transducer,
+    which reads the look-ahead's symbols from left to right and writes H (a hit) or others, with weights."""
+    ahead = countdown("P", SPAN, SYMBOLS, {"I": ("J", 1.0), "T": ("U", 1.0)})
+    damped = lambda w: {x: (x, w) for x in "ITJU"}
+    reported = Transducer({0: {"Q": (1, "Q", 1.0)}, 1: {x: (1, x, REPORTED) for x in "ITJU"}})
+    negation = countdown("N", 3, MARKED, damped(NEGATED))
+    target = countdown("P", SPAN, MARKED, {"I": ("H", TARGETED), "T": ("H", 1.0)})
+    reader = Transducer({0: {"I": (0, "H", 1.0), "T": (0, "O", 0.0), "J": (0, "H", TARGETED), "U": (0, "H", 1.0)}})
+    return ahead, reported.compose(negation, MARKED).compose(target, MARKED).compose(reader, MARKED)
 
 
 class Words(Texts):
@@ -193,8 +201,9 @@ class Lexicon:
         return kind, stem
 
 
-def clause_weights(col: pa.Array, lexicon: Lexicon, machine: Transducer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def clause_weights(col: pa.Array, lexicon: Lexicon, machines: tuple[Transducer, Transducer]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, weight) of all accepted patterns; feature ``len(stems)`` is threats."""
+    ahead, machine = machines
     t = Words(col)
     kind, stem = lexicon.read(t)
     hits = np.flatnonzero((kind == 1) | (kind == 2))
@@ -202,9 +211,14 @@ def clause_weights(col: pa.Array, lexicon: Lexicon, machine: Transducer) -> tupl
     text, feature, weight = [], [], []
     for clause in np.unique(t.clause[hits]) if hits.size else ():
         a, b = np.searchsorted(t.clause, [clause, clause + 1])
+        read = [SYMBOLS[k] for k in kind[a:b].tolist()]
+        if "P" in read:
+            state = 0
+            for i in reversed(range(b - a)):
+                state, read[i], _ = ahead.step(state, read[i])
         state = 0
-        for i in range(a, b):
-            state, out, w = machine.step(state, SYMBOLS[kind[i]])
+        for i, symbol in enumerate(read, a):
+            state, out, w = machine.step(state, symbol)
             if out == "H" and w:
                 text.append(owner[i])
                 feature.append(stem[i] if stem[i] >= 0 else len(lexicon.stems))

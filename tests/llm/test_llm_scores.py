@@ -103,6 +103,18 @@ def test_clause_weights_depend_on_the_clause():
     assert score("not. an idiot")[0] == pytest.approx(plain)  # negation ends with its clause
 
 
+def test_targets_before_and_after_their_hit():
+    model = toxicity.Model(["idiot"], np.array([2.0, 3.0]), -3.0)
+    score = lambda *t: model.score(__import__("pyarrow").array(list(t)))
+    none, plain, targeted, threat = score("a fine day", "what an idiot", "you are an idiot", "they hurt")
+    assert np.allclose(score("i will hurt you", "I will kill you!", "going to hurt him"), threat) and threat > none
+    assert np.allclose(score("what an idiot you are", "idiot, that is you", "you idiot you"), targeted) and targeted > plain
+    # too far, or in another clause
+    assert np.allclose(score("hurt a b c d e you", "they said it. will hurt. you", "will hurt"), none)
+    assert none < score("i will never hurt you")[0] < threat
+    assert none < score("someone said i will hurt you")[0] < threat
+
+
 def test_toxicity_cases(session):
     rows = documents() + [(90, "you idiot. " * 30), (91, "You IDIOT, stupid scum!")]
     docs, lab = frame(session, rows), labels(session, rows)
