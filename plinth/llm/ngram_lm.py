@@ -5,13 +5,15 @@ is the probability of the unknown word.  Training counts come from the documents
 fold, over their whole texts; every document is scored.
 
 All data moves in blocks of about ``BLOCK_TOKENS`` tokens and in as many shards as the tokens need at
-``SHARD_TOKENS`` each, so memory does not depend on the input:
+``SHARD_TOKENS`` each, so memory does not depend on the input as long as no pair of words (u, v) has more
+than a shard's tokens after it (they go to one shard; the start of a text is split):
 
 1. A block lists its distinct words and counts them.  Word counts are summed by hash shard (a word costs
    a row a block, however frequent) and every block gets back its words' counts and compact ids.
 2. Each block sends every token with its two predecessors to the shard of the middle word: the shard
    has all there is about that word as a context.  A context word with more than half a shard's tokens
    is split by the word before it; its two-gram counts, added up per block, then go to all its parts.
+   The start of a text, which has no such word, is split by document: its two-grams are its three-grams.
 3. A shard counts, builds the trie of its contexts in a file of the shared folder, maps it into memory and
    looks its tokens up; it returns the sum of log probabilities per document and block.
 
@@ -227,7 +229,9 @@ def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame
             out.append((number_block % shards, number_block, 1, text))
             code = np.minimum(np.round(-np.log10(chance) * _STEP), 65535).astype(np.int64)
             split = words.parts(before)
-            key = v << _PARTS | (mix(u.astype(np.uint64)) % split.astype(np.uint64)).astype(np.int64)
+            # all first words have one (u, v): they are dealt by document
+            dealt = np.where(v == _START, doc, u).astype(np.uint64)
+            key = v << _PARTS | (mix(dealt) % split.astype(np.uint64)).astype(np.int64)
             asked = np.flatnonzero(v != _UNKNOWN)
             home = (mix(key.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
             order = asked[np.lexsort((key[asked], home[asked]))]
@@ -264,7 +268,10 @@ def build_trie(key: np.ndarray, u: np.ndarray, w: np.ndarray, chance: np.ndarray
     """The levels of a shard from its training tokens and the two-gram counts (key, w, n, chance) of split contexts."""
     whole = ~np.isin(key, hot[0])
     size = int(max(w.max(initial=0), hot[1].max(initial=0))) + 1
-    names, place = np.unique(key, return_inverse=True)
+    # every part of a split start has all its two-grams, which are its three-grams too; its keys come first
+    begun = np.unique(hot[0][hot[0] >> _PARTS == _START])
+    names = np.union1d(key, begun)
+    place = np.searchsorted(names, key)
     # two-grams of contexts that are not here at all come with split contexts; their keys hold no token
     known = np.isin(hot[0], names)
     hot_key, hot_w, hot_n, hot_chance = (x[known] for x in hot)
@@ -279,14 +286,22 @@ def build_trie(key: np.ndarray, u: np.ndarray, w: np.ndarray, chance: np.ndarray
     weight2 = DISCOUNT_2 * kinds / np.maximum(total, 1)
     p2 = (n2 - DISCOUNT_2) / total[context] + weight2[context] * p1
     # words before each context word, and three-grams under them
+    if begun.size:
+        later = place >= begun.size
+        place, u, w = place[later], u[later], w[later]
     spread = int(u.max(initial=0)) + 1
     history, of = np.unique(place * spread + u, return_inverse=True)
+    history, of = np.concatenate([np.arange(begun.size) * spread + _START, history]), of + begun.size
     child = np.searchsorted(pair, place * size + w) - first[place]
-    wide = int(child.max(initial=0)) + 1
+    wide = int(max(child.max(initial=0), kinds[: begun.size].max(initial=0))) + 1
     triple, n3 = np.unique(of * wide + child, return_counts=True)
+    starts = np.arange(first[begun.size])
+    triple = np.concatenate([context[starts] * wide + starts - first[context[starts]], triple])
+    n3 = np.concatenate([n2[starts], n3])
     owner = triple // wide
     begin = np.searchsorted(owner, np.arange(history.size + 1))
-    total3, kinds3 = np.bincount(of, minlength=history.size), np.diff(begin)
+    total3, kinds3 = np.bincount(of, minlength=history.size).astype(float), np.diff(begin)
+    total3[: begun.size] = total[: begun.size]
     weight3 = DISCOUNT_3 * kinds3 / np.maximum(total3, 1)
     above = history // spread
     p3 = (n3 - DISCOUNT_3) / total3[owner] + weight3[owner] * p2[first[above[owner]] + triple % wide]

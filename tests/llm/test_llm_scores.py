@@ -253,6 +253,26 @@ def test_language_model_against_brute_force(session, monkeypatch, shard, block):
         assert abs(a[6] - b[6]) <= 0.08 * b[2] + 0.05, (a, b)  # 8-bit probabilities
 
 
+def test_language_model_splits_the_start_of_texts(session, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join([rng.choice(["the", "the", "a", f"x{i % 40}"]), *rng.choices("abcdefgh", k=rng.randint(0, 3))])) for i in range(900)]
+    docs = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    table = ngram_lm.blocks(docs)
+    tokens = table.groupBy().sum("tokens").first()[0]
+    words_of = ngram_lm.Unigrams(60, tokens, 10, 10, 810, 10)
+    got = ngram_lm.requests(table, ngram_lm.word_counts(table, 10), words_of).where("kind = 0").select("shard", "body").collect()
+    starts = Counter()
+    for r in got:
+        starts[r["shard"]] += int((np.cumsum(ngram_lm._unsqueeze(bytes(r["body"]))[0]) >> ngram_lm._PARTS == ngram_lm._START).sum())
+    assert sum(starts.values()) == 900 and max(starts.values()) < 600
+    # the same scores as in one shard, also with every part smaller than the start
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", tokens // 10)
+    monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 1000)
+    key = lambda r: r[0]
+    for a, b in zip(sorted(map(tuple, ngram_lm.score_documents(docs).collect()), key=key), sorted(brute_lm(rows)[0], key=key)):
+        assert a[:5] == b[:5] and abs(a[6] - b[6]) <= 0.08 * b[2] + 0.05, (a, b)
+
+
 def test_language_model_without_rows_or_training(session):
     assert ngram_lm.score_documents(frame(session, [])).count() == 0
     held = next(i for i in range(100) if fold(i, 10) == 0)
