@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import bpe, exact_dedup, html_extract, near_dedup, ngram_lm, packing, quality, resample, toxicity, warc
+from plinth.llm import bpe, exact_dedup, html_extract, near_dedup, ngram_lm, packing, quality, resample, runs, toxicity, url_rules, variants, warc
 from plinth.llm.text import worker_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,6 @@ _register(warc.op7_warc, warc.SQL)
 _register(resample.op8_importance_resampling)
 _register(quality.op9_quality_rules)
 _register(toxicity.op10_toxicity)
+_register(url_rules.op11_url_rules)
+_register(runs.op12_periodic_runs)
+_register(variants.op13_spelling_variants)
