@@ -75,7 +75,9 @@ def make_tree(kind: str = "gbt", seed: int = 42, **params):
 
 
 def _estimator(factory: Callable, train: DataFrame):
-    return factory(train) if inspect.signature(factory).parameters else factory()
+    """``factory(train)`` where it has a parameter without a default, else ``factory()``."""
+    needed = [p for p in inspect.signature(factory).parameters.values() if p.default is p.empty and p.kind not in (p.VAR_POSITIONAL, p.VAR_KEYWORD)]
+    return factory(train) if needed else factory()
 
 
 def cv_predictions(data: DataFrame, factory: Callable, fold: str = "fold", key: str | None = None) -> DataFrame:

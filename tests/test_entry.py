@@ -1,5 +1,4 @@
 import math
-import os
 
 import duckdb
 import pandas as pd
@@ -10,7 +9,6 @@ from conftest import SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-SLOW = ("p0", "j0", "k05", "k06", "k07", "g01", "g03", "g07", "g08", "g10", "e0", "b06", "c03", "op", "pipeline")
 
 
 def test_entry_runs(spark):
@@ -56,12 +54,6 @@ def test_query_matches_oracle(spark, con, name):
     assert got[1] == exp[1]
 
 
-@pytest.mark.skipif(os.environ.get("PLINTH_SLOW") != "1", reason="set PLINTH_SLOW=1 for the model/pipeline queries")
 @pytest.mark.parametrize("name", sorted(n for n in E.queries() if n not in E.oracle_sql() and not n.startswith(("op", "pipeline"))))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SMALL).count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n not in E.oracle_sql() and not n.startswith(SLOW)))
-def test_fast_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SMALL).count() > 0
