@@ -15,6 +15,8 @@ from plinth.operators import runlog as rl
 from plinth.plans.catalog import register
 from plinth.plans.common import round_doubles
 from plinth.plans.facts import run_log
+from plinth.session import scratch_path
+from plinth.sources.commit_log import CommitLog
 
 
 def log_table(spark, d) -> DataFrame:
@@ -157,6 +159,15 @@ def a09_set_latest_score(spark, d):
     return out.select("run_id", "kaggle_score")
 
 
+@register("a09_bucket_update", A09_SQL)
+def a09_bucket_update(spark, d):
+    """The same update on a stored log: only the model's bucket is rewritten."""
+    log = CommitLog(spark, scratch_path(spark, "runlog"), key="model")
+    log.append(log_table(spark, d))
+    log.update("purchase", lambda rows: rl.set_latest_score(rows, "purchase", 0.12609), txn="score")
+    return log.read().select("run_id", "kaggle_score")
+
+
 # ---------------------------------------------------------------- N01
 N01_SQL = W("""SELECT model, round(min(rmse), 6) AS best_rmse, count(*) AS runs, arg_min(run_id, rmse * 1e12 + run_id) AS run_id,
   epoch_us(arg_min("timestamp", rmse * 1e12 + run_id)) AS ts_us FROM runlog GROUP BY model""")
@@ -399,7 +410,6 @@ def a08_runlog_stream(spark, d):
 @register("n11_daily_quota_stream", N11_SQL)
 def n11_daily_quota_stream(spark, d):
     """The daily quota as a stream of partial counts: submissions arrive as weekly files."""
-    from plinth.session import scratch_path
     from plinth.streaming.quota_stream import stream_daily_quota
 
     subs = submissions(spark, d)

@@ -14,6 +14,7 @@ from plinth.plans.facts import FILLED_CTE, table
 from plinth.plans.q_evaluate import MODELS, PREDS_CTE, wide_predictions
 from plinth.session import scratch_path
 from plinth.sources import files as fs
+from plinth.sources.commit_log import CommitLog
 
 CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -126,6 +127,19 @@ def a10_manifest_upsert(spark, d):
     return fs.manifest_upsert(m, u)
 
 
+@register("a10_manifest_log", A10_SQL)
+def a10_manifest_log(spark, d):
+    """The same upsert through a commit log: the newest commit of a stage counts."""
+    f = filled(spark, d)
+    log = CommitLog(spark, scratch_path(spark, "manifest"), key="stage")
+    m = f.groupBy(F.col("nation").alias("stage")).agg(F.lit(1).alias("version"), F.count(F.lit(1)).alias("n"))
+    u = f.where("is_train").groupBy(F.col("nation").alias("stage")).agg(
+        F.lit(2).alias("version"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 480)
+    log.append(m)
+    log.append(u)
+    return log.latest("stage")
+
+
 # ---------------------------------------------------------------- A11
 A11_SQL = """SELECT event_id AS sub_id, event_type AS file, round(value / 100, 6) AS score, 'batch1' AS message FROM events
 WHERE ts < TIMESTAMP '2024-01-16'
@@ -135,16 +149,21 @@ SELECT event_id, event_type, round(value / 100, 6), 'batch2' FROM events WHERE t
 
 @register("a11_json_log", A11_SQL)
 def a11_json_log(spark, d):
+    """The first batch is the array file, the second is appended to its own log in two parts, one of them twice."""
     ev = table(spark, d, "events")
     entry = ev.select(F.col("event_id").alias("sub_id"), F.col("event_type").alias("file"),
                       F.round(F.col("value") / 100, 6).alias("score"), "ts")
     cut = F.lit("2024-01-16").cast("timestamp")
     path = scratch_path(spark, "sublog")
-    entry.where(F.col("ts") < cut).drop("ts").withColumn("message", F.lit("batch1")).write.json(path)
-    log = spark.read.schema("sub_id long, file string, score double, message string").json(path)
+    first = entry.where(F.col("ts") < cut).drop("ts").withColumn("message", F.lit("batch1"))
+    arrays = first.groupBy(F.floor(F.col("sub_id") / 10_000).alias("part")).agg(F.to_json(F.collect_list(F.struct(*first.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)  # array files of 10,000 entries at most
     new = entry.where(F.col("ts") >= cut).drop("ts").withColumn("message", F.lit("batch2"))
-    out = fs.append_json_log(log, new, scratch_path(spark, "sublog2"))
-    return out.select("sub_id", "file", "score", "message")
+    schema = "sub_id long, file string, score double, message string"
+    log = fs.json_log(spark, path, schema)
+    log.append(new.where("sub_id % 2 = 0"), txn="even")
+    log.append(new.where("sub_id % 2 = 0"), txn="even")
+    return fs.append_json_log(spark, path, schema, new.where("sub_id % 2 <> 0"), txn="odd").select("sub_id", "file", "score", "message")
 
 
 # ---------------------------------------------------------------- A12
@@ -170,3 +189,12 @@ def a12_fingerprint_registry(spark, d):
         .unionByName(docs.select(F.col("doc_id").alias("name"), F.lit(2).alias("timestamp"), h2.alias("hash")))
     out = fs.already_submitted(cur, log)
     return out.select(F.col("name").alias("doc_id"), "hash", "submitted")
+
+
+@register("a12_table_files")
+def a12_table_files(spark, d):
+    """Fingerprints of the input files themselves; the log's newest entry of a name decides."""
+    cur = fs.fingerprint_files(spark, d, "*.parquet").withColumn("file", F.concat_ws("/", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), "name"))
+    log = cur.select("file", F.lit(1).alias("timestamp"), "hash").unionByName(
+        cur.where(F.col("name").rlike("^[a-m]")).select("file", F.lit(2).alias("timestamp"), F.md5("hash").alias("hash")))
+    return fs.already_submitted(cur, log, name="file").select("file", "length", "hash", "submitted")

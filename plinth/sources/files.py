@@ -6,9 +6,13 @@ under the session's ``spark.checkpoint.dir`` (see :func:`plinth.session.scratch_
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +20,7 @@ from pyspark.sql import types as T
 
 from plinth.operators.clean import NA_TOKENS
 from plinth.operators.features import col
+from plinth.sources.commit_log import CommitLog
 
 STAGES = range(1, 9)
 
@@ -190,19 +195,48 @@ def read_json_log(spark: SparkSession, path: str, schema: T.StructType | str | N
     return r.json(path)
 
 
-def append_json_log(log: DataFrame, entries: DataFrame, path: str) -> DataFrame:
-    """Append entries (missing columns added) and rewrite the log as JSON lines."""
-    out = log.unionByName(entries, allowMissingColumns=True)
-    out.write.mode("overwrite").json(path)
-    return out.sparkSession.read.schema(out.schema).json(path)
+def json_log(spark: SparkSession, path: str, schema: T.StructType | str) -> CommitLog:
+    """The submission log kept in the JSON array file ``path``, which is only read; new entries lie in a
+    commit log beside it."""
+    return CommitLog(spark, f"{path.rstrip('/')}.log", fmt="json", base=path, base_schema=schema)
+
+
+def append_json_log(spark: SparkSession, path: str, schema: T.StructType | str, entries: DataFrame, txn: str | None = None) -> DataFrame:
+    """Append entries (missing columns added) to the log of ``path`` and return all its entries."""
+    log = json_log(spark, path, schema)
+    log.append(entries, txn)
+    return log.read()
 
 
 # ---------------------------------------------------------------- A12
+#: Bytes of a file that a task holds at a time.
+CHUNK_BYTES = 4 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = []
+        for path in batch.column(0).to_pylist():
+            store, at = (fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+            state = hashlib.md5(usedforsecurity=False)
+            with store.open_input_stream(at) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    state.update(chunk)
+            hashes.append(state.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.string())], ["path", "length", "hash"])
+
+
 def fingerprint_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """MD5 of every file's content (``binaryFile``), with its name."""
+    """(name, path, length, hash) of every file: MD5 of its content.
+
+    The listing reads no content; tasks stream the files chunk by chunk and carry the MD5 state on, so
+    memory does not depend on a file's size.  Spark lists no empty files.
+    """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-             .load(root))
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.md5("content").alias("hash"))
+             .load(root).select("path", "length"))
+    dealt = files.repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+    out = dealt.mapInArrow(_digests, "path string, length long, hash string")
+    return out.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "path", "length", "hash")
 
 
 def already_submitted(current: DataFrame, log: DataFrame, name: str = "name", hash_col: str = "hash",

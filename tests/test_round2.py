@@ -144,6 +144,7 @@ def test_factory_errors_are_not_retried():
     with pytest.raises(TypeError, match="inside"):
         mo._estimator(factory, None)
     assert mo._estimator(lambda: 5, None) == 5 and mo._estimator(lambda t: t, 6) == 6
+    assert mo._estimator(lambda loss="squared": loss, None) == "squared" and mo._estimator(lambda t, loss=1: (t, loss), 6) == (6, 1)
 
 
 def test_simplex_weights_are_optimal():
