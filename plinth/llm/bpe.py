@@ -133,8 +133,9 @@ class Codec(PieceIds):
         before = np.arange(-1, n - 1)
         before[ends[:-1]] = -1
         sym, nxt, prv, ranks = symbol.tolist(), after.tolist(), before.tolist(), self.ranks
+        get, push, pop = place.get, heapq.heappush, heapq.heappop
         while active:
-            pair = rank_of[heapq.heappop(active)]
+            pair = rank_of[pop(active)]
             a, b, c = pair >> 20, pair & 0xFFFFF, ranks[pair][1]
             for at in place.pop(pair):
                 right = nxt[at]
@@ -142,27 +143,32 @@ class Codec(PieceIds):
                     continue  # an earlier merge took one of them
                 sym[at], sym[right] = c, -1
                 far = nxt[at] = nxt[right]
+                near = prv[at]
+                # the pairs with both neighbours enter their lists; a pair met first becomes active
                 if far >= 0:
                     prv[far] = at
-                    self._note(c << 20 | sym[far], at, place, rank_of, active)
-                near = prv[at]
+                    made = c << 20 | sym[far]
+                    held = get(made)
+                    if held is not None:
+                        held.append(at)
+                    elif made in ranks:
+                        place[made] = [at]
+                        rank_of[rank := ranks[made][0]] = made
+                        push(active, rank)
                 if near >= 0:
-                    self._note(sym[near] << 20 | c, near, place, rank_of, active)
+                    made = sym[near] << 20 | c
+                    held = get(made)
+                    if held is not None:
+                        held.append(near)
+                    elif made in ranks:
+                        place[made] = [near]
+                        rank_of[rank := ranks[made][0]] = made
+                        push(active, rank)
         left = np.array(sym)
         kept = left >= 0
         size = np.add.reduceat(kept, ends - [len(w) for w in words])
         return np.split(left[kept].astype(np.uint16), np.cumsum(size)[:-1])
 
-    def _note(self, pair: int, at: int, place: dict, rank_of: dict, active: list) -> None:
-        """Add a position to the list of a pair; a pair seen first becomes active."""
-        if pair in place:
-            place[pair].append(at)
-        elif pair in self.ranks:
-            place[pair] = [at]
-            rank = self.ranks[pair][0]
-            rank_of[rank] = pair
-            heapq.heappush(active, rank)
-
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 

@@ -14,8 +14,9 @@ class PieceIds:
     """Ids of texts, where a text is cut into pieces and a piece into words that tokenise independently.
 
     Subclasses give ``split`` (the pieces of a text), ``words_of`` (the words of a piece) and ``ids_of``
-    (the ids of new words).  Each distinct word is tokenised once per worker; when a worker remembers
-    ``CACHE_PIECES`` entries its memory starts anew.
+    (the ids of new words).  A worker remembers at most ``CACHE_PIECES`` entries (pieces and words), or what one batch
+    needs.  When the next batch would not fit, the entries that were used again since they were learned move to
+    the older generation, the most used ones first and half of the room at most, and the rest are forgotten.
     """
 
     _own: dict[tuple[type, str], "PieceIds"] = {}
@@ -34,6 +35,7 @@ class PieceIds:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.uint16)
         self.start = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int64)
 
     def split(self, text: str) -> list[str]:
         raise NotImplementedError
@@ -50,20 +52,47 @@ class PieceIds:
         if ends.size and ends[-1] > self.ids.size:
             self.ids = np.resize(self.ids, max(2 * self.ids.size, int(ends[-1])))
         if n + len(new) >= self.start.size:
-            self.start = np.resize(self.start, max(2 * self.start.size, n + len(new) + 1))
+            room = max(2 * self.start.size, n + len(new) + 1)
+            self.start, self.uses = np.resize(self.start, room), np.resize(self.uses, room)
         if new:
             self.ids[self.start[n] : ends[-1]] = np.concatenate(got)
             self.start[n + 1 : n + 1 + len(new)] = ends
+            self.uses[n : n + len(new)] = 0
             self.known.update(zip(new, range(n, n + len(new))))
 
     def _recall(self, word: str) -> np.ndarray:
         i = self.known[word]
+        self.uses[i] += 1
         return self.ids[self.start[i] : self.start[i + 1]]
 
-    def _learn(self, new: list[str]) -> None:
+    def _forget(self) -> None:
+        """Keep the entries that were used more than once, the most used first, half of the room at most."""
+        n = len(self.known)
+        used = self.uses[:n]
+        keep = np.flatnonzero(used > 1)
+        if keep.size > CACHE_PIECES // 2:
+            keep = np.sort(keep[np.argsort(-used[keep], kind="stable")[: CACHE_PIECES // 2]])
+        names, ids, start = list(self.known), self.ids, self.start
+        self.clear()
+        self._add([names[i] for i in keep.tolist()], [ids[start[i] : start[i + 1]] for i in keep.tolist()])
+        self.uses[: keep.size] = used[keep] // 2
+
+    def _missing(self, pieces: set[str]) -> tuple[list[str], list, list[str]]:
+        """(pieces without ids, the words of each, words without ids)."""
+        new = list(pieces.difference(self.known))
         cut = [self.words_of(x) for x in new]
-        fresh = list({w for own in cut for w in own}.difference(self.known))
-        self._add(fresh, self.ids_of(fresh))
+        return new, cut, list({w for own in cut for w in own}.difference(self.known))
+
+    def _learn(self, pieces: set[str]) -> None:
+        new, cut, fresh = self._missing(pieces)
+        if len(self.known) + len(fresh) + sum(len(own) > 1 for own in cut) > CACHE_PIECES:
+            self._forget()
+            new, cut, fresh = self._missing(pieces)
+            if self.known and len(self.known) + len(fresh) + sum(len(own) > 1 for own in cut) > CACHE_PIECES:
+                self.clear()
+                new, cut, fresh = self._missing(pieces)
+        for at in range(0, len(fresh), 20_000):
+            self._add(fresh[at : at + 20_000], self.ids_of(fresh[at : at + 20_000]))
         rest = [(x, own) for x, own in zip(new, cut) if x not in self.known]
         self._add([x for x, _ in rest], [np.concatenate([np.empty(0, np.uint16), *map(self._recall, own)]) for _, own in rest])
 
@@ -75,15 +104,11 @@ class PieceIds:
             own = self.split(text)
             count[i] = len(own)
             pieces += own
-        new = list(set(pieces).difference(self.known))
-        if new and len(self.known) + len(new) > CACHE_PIECES:
-            self.clear()
-            new = list(set(pieces))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        self._learn(set(pieces))
         if not pieces:
             return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
         piece = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[: len(self.known)] += np.bincount(piece, minlength=len(self.known))
         size = self.start[piece + 1] - self.start[piece]
         before = np.cumsum(size) - size
         ids = self.ids[np.repeat(self.start[piece] - before, size) + np.arange(size.sum())]
