@@ -108,7 +108,7 @@ def _engineer(tr: DataFrame, ts: DataFrame) -> tuple[DataFrame, DataFrame]:
                     *fe.ratios_plus_one([("price_per_qty", "sum_price", "sum_qty")], tr)]
     tr, ts = fe.with_columns(tr, specs_common), fe.with_columns(ts, specs_common)
     tr, ts = groupfeat.group_benchmarks(tr, [tr, ts], [("nation", "sum_qty", "median"), ("nation", "Age", "median")])
-    tr, ts = cluster.kmeans_feature(tr, ts, ["n_lines", "sum_qty", "sum_price"], k=4, restarts=2)
+    tr, ts = cluster.kmeans_feature(tr, ts, ["n_lines", "sum_qty", "sum_price"], k=4)
     return tr, ts
 
 

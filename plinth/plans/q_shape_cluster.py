@@ -153,7 +153,7 @@ E_COLS = ["n_lines", "sum_qty", "sum_price", "avg_disc", "acctbal", "order_year"
 @register("e01_kmeans_clusters")
 def e01_kmeans_clusters(spark, d):
     f = filled(spark, d)
-    tr, te = cl.kmeans_feature(f.where("is_train"), f.where("NOT is_train"), E_COLS, k=4, restarts=3)
+    tr, te = cl.kmeans_feature(f.where("is_train"), f.where("NOT is_train"), E_COLS, k=4)
     return tr.unionByName(te).select("okey", "Cluster")
 
 
