@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plinth.functions.distinct import few_values, many_values
 from plinth.operators.clean import is_numeric, text_columns
 from plinth.operators.features import col, with_columns
 
@@ -31,10 +32,13 @@ def distinct_ratios(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[st
     return out.withColumn("ratio", ratio).withColumn("continuous", F.coalesce(ratio > min_ratio, F.lit(False)))
 
 
-def continuous_columns(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[str] = (),
-                       exact: bool = True) -> list[str]:
-    """Names of the continuous columns (a handful of rows reach the driver)."""
-    return [r["column"] for r in distinct_ratios(df, min_ratio, exclude, exact).where("continuous").collect()]
+def continuous_columns(df: DataFrame, min_ratio: float = 0.05, exclude: Iterable[str] = ()) -> list[str]:
+    """Names of the continuous columns: those of :func:`distinct_ratios`, by sketches, with exact counts only for
+    columns near the ratio."""
+    ex = set(exclude)
+    cands = [f.name for f in df.schema.fields if f.name not in ex
+             and isinstance(f.dataType, (T.LongType, T.IntegerType, T.DoubleType, T.FloatType))]
+    return many_values(df, cands, min_ratio)
 
 
 def fit_standard_scaler(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -77,13 +81,16 @@ def cardinality_table(frames: Sequence[DataFrame], max_levels: int = 10, exclude
 
 
 def cardinality_split(frames: Sequence[DataFrame], max_levels: int = 10, exclude: Iterable[str] = ()):
-    """non-numeric columns split into (low, high) by distinct count over all frames."""
-    base = frames[0]
-    if not [c for c in text_columns(base, exclude) if all(c in f.columns for f in frames)]:
+    """non-numeric columns split into (low, high) by distinct count over all frames (as in
+    :func:`cardinality_table`); only columns with about ``max_levels`` values or fewer are counted exactly."""
+    cols = [c for c in text_columns(frames[0], exclude) if all(c in f.columns for f in frames)]
+    if not cols:
         return [], []
-    rows = cardinality_table(frames, max_levels, exclude).collect()
-    return ([r["column"] for r in rows if r["cardinality"] == "low"],
-            [r["column"] for r in rows if r["cardinality"] == "high"])
+    u = frames[0].select(*[col(c) for c in cols])
+    for f in frames[1:]:
+        u = u.unionByName(f.select(*[col(c) for c in cols]))
+    low = few_values(u, cols, max_levels)
+    return [c for c in cols if c in low], [c for c in cols if c not in low]
 
 
 def fit_one_hot(frames: Sequence[DataFrame], cols: Sequence[str]) -> dict[str, list[str]]:
