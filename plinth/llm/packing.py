@@ -1,6 +1,9 @@
 """Lexical retrieval packing: documents that share rare terms fill a window together.
 
-The corpus is cut into shards of at most ``SHARD_DOCS`` documents as it is read.  Each shard has a BM25
+Documents are dealt to shards by content: a document's key is its rarest term that any other document
+has, and keys in the order of their rarity are cut into shards of at most ``SHARD_DOCS`` documents and ``SHARD_TOKENS``
+tokens, so documents that share a rare term meet wherever they were read.  A key with more than a shard's
+documents is split over several shards.  Each shard has a BM25
 inverted index over token ids; document frequencies and the mean length are those of the whole corpus.
 A shard's first unused document seeds a window of ``window`` tokens; the index returns its unused
 neighbours, best first (ties: the earlier document), which fill the window greedily.  The neighbour that
@@ -8,7 +11,9 @@ does not fit is cut, and its rest seeds the next window.  Documents of a whole w
 windows first; only what remains of them is packed.  A shard's last tokens are cut into sequences whose
 lengths are powers of two, which need no padding.
 
-The tokenised shards are written to the shared folder once; no document is shuffled.
+The tokenised documents are written to the shared folder once, in blocks as they are read.  Two light passes
+over them follow: the keys' documents and tokens (one row a key at most, as many as the vocabulary has), and one
+shuffle of 16-bit ids to the shards.
 
 Defined results: a null or empty text is the one end id; ties and repeated rows are packed like any
 others; an empty table gives an empty result; other columns are ignored, whatever their names.
@@ -38,7 +43,8 @@ WINDOW = 2048
 SHARD_DOCS = 1024
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
-SHARDS = "shard long, doc_ids array<long>, lengths array<long>, ids binary, terms binary, counts binary"
+BLOCK_DOCS, BLOCK_TOKENS = 1024, 2_000_000
+SHARDS = "doc_ids array<long>, lengths array<long>, ids binary, terms binary, counts binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -77,25 +83,24 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETT
 _OTHER = re.compile("[\x1c-\x1f\u0130-\U0010ffff]")
 
 
-def shards(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """One row a shard: its documents' ids (16 bits each, end id included) and the terms' document counts."""
+def blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
+    """One row a block of documents: their ids (16 bits each, end id included) and the terms' document counts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, number = WordTokenizer.of(path), 0
-        task = TaskContext.get().partitionId() << 40
-
-        def shard(held: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
-            nonlocal number
-            owner = np.repeat(np.arange(len(held)), [x.size for _, x in held])
-            cells = np.unique(owner * 65536 + np.concatenate([x for _, x in held]))
-            terms, counts = np.unique(cells % 65536, return_counts=True)
-            number += 1
+        tokenizer = WordTokenizer.of(path)
+
+        def block(held: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
+            owner = np.repeat(np.arange(len(held), dtype=np.uint32), [x.size for _, x in held])
+            cells = np.sort(owner << np.uint32(16) | np.concatenate([x for _, x in held]))
+            n = np.bincount(cells[np.append(True, cells[1:] != cells[:-1])] & np.uint32(0xFFFF), minlength=65536)
+            terms = np.flatnonzero(n)
+            counts = n[terms]
             return pa.RecordBatch.from_arrays(
-                [pa.array([task | (number << 20)]), pa.array([[i for i, _ in held]], pa.list_(pa.int64())),
+                [pa.array([[i for i, _ in held]], pa.list_(pa.int64())),
                  pa.array([[x.size for _, x in held]], pa.list_(pa.int64())),
                  pa.array([b"".join(x.tobytes() for _, x in held)], pa.binary()),
                  pa.array([terms.astype(np.uint16).tobytes()], pa.binary()), pa.array([counts.astype(np.int64).tobytes()], pa.binary())],
-                ["shard", "doc_ids", "lengths", "ids", "terms", "counts"])
+                ["doc_ids", "lengths", "ids", "terms", "counts"])
 
         held, tokens = [], 0
         for batch in chunks(batches):
@@ -103,19 +108,19 @@ def shards(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             ends = np.cumsum(n)
             for doc, a, b in zip(field(batch, "doc_id").to_pylist(), ends - n, ends):
                 own = np.append(ids[a:b], np.uint16(end_id))
-                if held and (len(held) >= SHARD_DOCS or tokens + own.size > SHARD_TOKENS):
-                    yield shard(held)
+                if held and (len(held) >= BLOCK_DOCS or tokens + own.size > BLOCK_TOKENS):
+                    yield block(held)
                     held, tokens = [], 0
                 held.append((doc, own))
                 tokens += own.size
         if held:
-            yield shard(held)
+            yield block(held)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SHARDS)
 
 
 def corpus_statistics(table: DataFrame) -> tuple[np.ndarray, int, int]:
-    """(document count of each term, documents, tokens) of all shards; one number per id of the vocabulary."""
+    """(document count of each term, documents, tokens) of all blocks; one number per id of the vocabulary."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(65536, np.int64)
@@ -133,6 +138,73 @@ def corpus_statistics(table: DataFrame) -> tuple[np.ndarray, int, int]:
     return n, both["d"] or 0, both["t"] or 0
 
 
+def _documents(batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(doc_ids, lengths, ids) of each block of a batch."""
+    for names, lengths, ids in zip(field(batch, "doc_ids"), field(batch, "lengths"), field(batch, "ids")):
+        yield names.as_py(), lengths.values.to_numpy(zero_copy_only=False), np.frombuffer(ids.as_buffer(), np.uint16)
+
+
+def rarity(n: np.ndarray) -> np.ndarray:
+    """The place of each term when terms that two documents or more have are ordered by rarity; all others come last."""
+    order = np.lexsort((np.arange(n.size), n))
+    place = np.empty(n.size, np.int32)
+    place[order] = np.arange(n.size, dtype=np.int32)
+    return np.where(n > 1, place, np.int32(n.size))
+
+
+def _keys(lengths: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The key of each document: the place of its rarest term (every document has an id at least)."""
+    return np.minimum.reduceat(place[ids], np.cumsum(lengths) - lengths)
+
+
+def shard_plan(table: DataFrame, place: np.ndarray, docs: int, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first shard, number of shards) of each key, from the keys' documents and tokens."""
+    size = place.size + 1
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d, t = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for batch in batches:
+            for _, lengths, ids in _documents(batch):
+                key = _keys(lengths, ids, place)
+                d += np.bincount(key, minlength=size)
+                np.add.at(t, key, lengths)
+        used = np.flatnonzero(d)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(d[used]), pa.array(t[used])], ["key", "docs", "tokens"])
+
+    got = table.select("doc_ids", "lengths", "ids").mapInArrow(add, "key int, docs long, tokens long").groupBy("key").agg(
+        F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).orderBy("key").collect()  # a row a term at most
+    first, parts = np.zeros(size, np.int64), np.ones(size, np.int64)
+    at, d, t = 0, 0, 0
+    for key, n_docs, n_tokens in got:
+        need = max(-(-n_docs // docs), -(-n_tokens // tokens))
+        if d and (need > 1 or d + n_docs > docs or t + n_tokens > tokens):
+            at, d, t = at + 1, 0, 0
+        first[key], parts[key] = at, need
+        if need > 1:
+            at += need
+        else:
+            d, t = d + n_docs, t + n_tokens
+    return first, parts
+
+
+def dealt(table: DataFrame, place: np.ndarray, first: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """(shard, key, doc_id, ids) of every document; those of a split key are dealt in turn."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            for names, lengths, ids in _documents(batch):
+                key = _keys(lengths, ids, place)
+                ends = np.cumsum(lengths)
+                shard = first[key] + (turn + np.arange(key.size)) % parts[key]
+                turn += key.size
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int64()), pa.array(key, pa.int32()), pa.array(names, pa.int64()),
+                     pa.array([ids[b - n : b].tobytes() for b, n in zip(ends.tolist(), lengths.tolist())], pa.binary())], ["shard", "key", "doc_id", "ids"])
+
+    return table.select("doc_ids", "lengths", "ids").mapInArrow(rows, "shard long, key int, doc_id long, ids binary")
+
+
 class Index:
     """BM25 over one shard: postings (document, weight) by term."""
 
@@ -208,41 +280,43 @@ def pack_shard(lengths: np.ndarray, scores, window: int) -> list[list[tuple[int,
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False,
+         shard_docs: int = SHARD_DOCS) -> DataFrame:
     """The pieces of all packed sequences; ``with_ids`` adds each piece's ids as an array."""
     spark = docs.sparkSession
-    table = written(spark, shards(docs, tokenizer or public_tokenizers.path(TOKENIZER), end_id), "shards")
+    table = written(spark, blocks(docs, tokenizer or public_tokenizers.path(TOKENIZER), end_id), "tokenised")
     n, total, tokens = corpus_statistics(table)
     idf = np.log1p((total - n + 0.5) / (n + 0.5))
     mean = tokens / max(total, 1)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                shard = field(batch, "shard")[i].as_py()
-                names = field(batch, "doc_ids")[i].as_py()
-                lengths = np.array(field(batch, "lengths")[i].as_py(), np.int64)
-                ids = np.frombuffer(field(batch, "ids")[i].as_buffer(), np.uint16)
-                index = Index(ids, lengths, idf, mean)
-                begin = np.cumsum(lengths) - lengths
-                out: dict[str, list] = {x.split()[0]: [] for x in PIECES.split(", ")}
-                cut = []
-                for k, sequence in enumerate(pack_shard(lengths, index.scores, window)):
-                    offset = 0
-                    for d, a, m in sequence:
-                        own = ids[begin[d] + a : begin[d] + a + m].astype("<u4")
-                        for name, value in zip(out, (names[d], a, m, zlib.crc32(own.tobytes()), int(lengths[d]), shard + k, offset)):
-                            out[name].append(value)
-                        offset += m
-                        if with_ids:
-                            cut.append(own.astype(np.int32))
-                columns = [pa.array(x, pa.int64()) for x in out.values()]
+    place = rarity(n)
+    first, parts = shard_plan(table, place, shard_docs, SHARD_TOKENS)
+
+    def packed(shard: pa.Table) -> pa.Table:
+        # equal keys lie together; among them ties are broken by content, then id
+        texts, names = shard.column("ids").to_pylist(), shard.column("doc_id").to_pylist()
+        key = shard.column("key").to_pylist()
+        order = sorted(range(len(texts)), key=lambda i: (key[i], zlib.crc32(texts[i]), -1 if names[i] is None else names[i]))
+        texts, names = [texts[i] for i in order], [names[i] for i in order]
+        lengths = np.array([len(x) // 2 for x in texts], np.int64)
+        ids = np.frombuffer(b"".join(texts), np.uint16)
+        index = Index(ids, lengths, idf, mean)
+        begin = np.cumsum(lengths) - lengths
+        number = shard.column("shard")[0].as_py() << 32
+        out: dict[str, list] = {x.split()[0]: [] for x in PIECES.split(", ")}
+        cut = []
+        for k, sequence in enumerate(pack_shard(lengths, index.scores, window)):
+            offset = 0
+            for d, a, m in sequence:
+                own = ids[begin[d] + a : begin[d] + a + m].astype("<u4")
+                for name, value in zip(out, (names[d], a, m, zlib.crc32(own.tobytes()), int(lengths[d]), number + k, offset)):
+                    out[name].append(value)
+                offset += m
                 if with_ids:
-                    columns.append(pa.array(cut, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, [*out, *["ids"] * with_ids])
+                    cut.append(own.astype(np.int32))
+        columns = {name: pa.array(x, pa.int64()) for name, x in out.items()}
+        return pa.table(columns | ({"ids": pa.array(cut, pa.list_(pa.int32()))} if with_ids else {}))
 
-    return (table.select("shard", "doc_ids", "lengths", "ids")
-            .mapInArrow(rows, PIECES + ", ids array<int>" * with_ids))
+    return dealt(table, place, first, parts).groupBy("shard").applyInArrow(packed, PIECES + ", ids array<int>" * with_ids)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

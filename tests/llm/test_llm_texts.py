@@ -151,6 +151,39 @@ def test_windows_take_the_best_unused_neighbours():
     assert all(sum(n for *_, n in own) in (1, 2, 4, 8, 10) for own in out)
 
 
+def vocabulary_words(n):
+    known = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)).get_vocab()
+    plain = sorted(w.removesuffix("</w>") for w in known if re.fullmatch("[a-z]{4,}(</w>)?", w))
+    lib = library(packing.TOKENIZER)
+    random.Random(9).shuffle(plain)
+    return [w for w in dict.fromkeys(plain) if len(lib.encode(w, add_special_tokens=False).ids) == 1][:n]
+
+
+def test_neighbours_meet_wherever_they_were_read(session):
+    rng, pairs = random.Random(7), 800
+    vocabulary = vocabulary_words(3 * pairs + 60)
+    common, own = vocabulary[:60], [vocabulary[60 + 3 * i : 63 + 3 * i] for i in range(pairs)]
+    text = lambda i: " ".join(rng.sample(own[i] + rng.choices(common, k=50), 53))
+    rows = [(i, text(i)) for i in range(pairs)] + [(pairs + i, text(i)) for i in range(pairs)]
+    pieces = packing.pack(frame(session, rows), window=112, shard_docs=64).collect()
+    where = {}
+    for r in pieces:
+        where.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+    met = sum(bool(where[i] & where[pairs + i]) for i in range(pairs))
+    assert met >= 0.9 * pairs
+    # brute force: the partner is the best neighbour of each of these documents
+    assert sum(r["length"] for r in pieces) == 54 * 2 * pairs
+
+
+def test_a_hot_key_is_split(session):
+    rows = [(i, "same few words in each copy") for i in range(300)] + [(1000 + i, f"other {i}") for i in range(50)]
+    table = packing.blocks(frame(session, rows), public_tokenizers.path(packing.TOKENIZER)).persist()
+    place = packing.rarity(packing.corpus_statistics(table)[0])
+    got = packing.dealt(table, place, *packing.shard_plan(table, place, 64, 2_000_000)).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in got) == len(rows) and max(r["count"] for r in got) <= 2 * 64
+    table.unpersist()
+
+
 def test_packing_query_wastes_nothing(session):
     rows = [tuple(r) for r in session.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     pieces = packing.op2_packing(session, SMALL).collect()
