@@ -100,15 +100,19 @@ class Codec(PieceIds):
             self._library = Tokenizer.from_file(self.path).pre_tokenizer
         return [piece[a:b] for _, (a, b) in self._library.pre_tokenize_str(piece)]
 
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        marks = {w: np.array([self.special[w]], np.uint16) for w in words if w in self.special}
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        marks = self.special.keys() & set(words)
+        if not marks:
+            return self.merge([w.encode() for w in words])
         plain = [w for w in words if w not in marks]
-        return list(map((dict(zip(plain, self.merge([w.encode() for w in plain]))) | marks).__getitem__, words))
+        ids, size = self.merge([w.encode() for w in plain])
+        own = dict(zip(plain, np.split(ids, np.cumsum(size)[:-1]))) | {w: np.array([self.special[w]], np.uint16) for w in marks}
+        return np.concatenate([own[w] for w in words]), np.array([own[w].size for w in words])
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, all merged together through the pair occurrence index."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each): all merged together through the pair occurrence index."""
         if not words:
-            return []
+            return np.empty(0, np.uint16), np.zeros(0, np.int64)
         symbol = np.array(self.of_byte, np.int64)[np.frombuffer(b"".join(words), np.uint8)]
         ends = np.cumsum([len(w) for w in words])
         last = np.zeros(symbol.size, bool)
@@ -167,7 +171,7 @@ class Codec(PieceIds):
         left = np.array(sym)
         kept = left >= 0
         size = np.add.reduceat(kept, ends - [len(w) for w in words])
-        return np.split(left[kept].astype(np.uint16), np.cumsum(size)[:-1])
+        return left[kept].astype(np.uint16), size
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")

@@ -41,6 +41,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 WINDOW = 2048
 SHARD_DOCS = 1024
+#: Words that go to the library as one text.
+JOINED = 500
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 BLOCK_DOCS, BLOCK_TOKENS = 1024, 2_000_000
@@ -51,8 +53,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordTokenizer(PieceIds):
     """ids of texts by a tokenizer of lower-cased words; the library sees each distinct word once per worker.
 
-    Plain Latin text is cut by the tokenizer's own word pattern, restricted to those letters.  Any other
-    text is cut between spaces only (no token crosses them) and its pieces go to the library whole.
+    Text is cut at white space (no token crosses it).  Pieces of plain Latin text are cut into words by the tokenizer's
+    own word pattern, restricted to those letters; any other piece goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -62,18 +64,41 @@ class WordTokenizer(PieceIds):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        known = self.library.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, bool)
+        self.ends[[i for token, i in known.items() if token.endswith("</w>")]] = True
         super().__init__(path)
 
     def split(self, text: str) -> list[str]:
         if "<|" not in text and not _OTHER.search(text):
-            return _WORD.findall(text.lower())
+            return text.lower().split()
         return text.replace("\n", " ").split(" ")
 
-    def words_of(self, piece: str) -> tuple[str, ...]:
-        return (piece,)
-
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint16) for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def words_of(self, piece: str) -> tuple[str, ...] | list[str]:
+        return (piece,) if "<|" in piece or _OTHER.search(piece) else _WORD.findall(piece.lower())
+
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library gets many words as one text; the last id of each word is marked as a word's end.  Whatever it does
+        not take as one word goes alone."""
+        one = np.array([bool(_WORD.fullmatch(w)) and not _OTHER.search(w) and w == w.lower() for w in words], bool)
+        joined = [w for w, x in zip(words, one) if x]
+        texts = [" ".join(joined[i : i + JOINED]) for i in range(0, len(joined), JOINED)]
+        ids = np.concatenate([np.empty(0, np.uint16), *(np.array(e.ids, np.uint16) for e in self._encoded(texts))])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if ends.size != len(joined):
+            one[:], ids, ends = False, ids[:0], ends[:0]
+        sizes = np.zeros(len(words), np.int64)
+        sizes[one] = np.diff(ends, prepend=0)
+        if one.all():
+            return ids, sizes
+        alone = [np.array(e.ids, np.uint16) for e in self._encoded([w for w, x in zip(words, one) if not x])]
+        sizes[~one] = [x.size for x in alone]
+        out, of_one = np.empty(sizes.sum(), np.uint16), np.repeat(one, sizes)
+        out[of_one], out[~of_one] = ids, np.concatenate(alone)
+        return out, sizes
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
 
 
 # The word pattern of the tokenizer, its character classes spelt out below U+0130.

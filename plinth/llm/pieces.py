@@ -43,27 +43,33 @@ class PieceIds:
     def words_of(self, piece: str) -> tuple[str, ...] | list[str]:
         raise NotImplementedError
 
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, number of ids of each)."""
         raise NotImplementedError
 
-    def _add(self, new: list[str], got: list[np.ndarray]) -> None:
+    def _add(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> None:
         n = len(self.known)
-        ends = self.start[n] + np.cumsum([g.size for g in got], dtype=np.int64)
+        ends = self.start[n] + np.cumsum(size, dtype=np.int64)
         if ends.size and ends[-1] > self.ids.size:
             self.ids = np.resize(self.ids, max(2 * self.ids.size, int(ends[-1])))
         if n + len(new) >= self.start.size:
             room = max(2 * self.start.size, n + len(new) + 1)
             self.start, self.uses = np.resize(self.start, room), np.resize(self.uses, room)
         if new:
-            self.ids[self.start[n] : ends[-1]] = np.concatenate(got)
+            self.ids[self.start[n] : ends[-1]] = ids
             self.start[n + 1 : n + 1 + len(new)] = ends
             self.uses[n : n + len(new)] = 0
             self.known.update(zip(new, range(n, n + len(new))))
 
-    def _recall(self, word: str) -> np.ndarray:
-        i = self.known[word]
-        self.uses[i] += 1
-        return self.ids[self.start[i] : self.start[i + 1]]
+    def _recall(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the entries one after the other, number of ids of each); they count as used."""
+        at = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        self.uses[: len(self.known)] += np.bincount(at, minlength=len(self.known))
+        return self._taken(at)
+
+    def _taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.start[at + 1] - self.start[at]
+        return self.ids[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
 
     def _forget(self) -> None:
         """Keep the entries that were used more than once, the most used first, half of the room at most."""
@@ -72,9 +78,9 @@ class PieceIds:
         keep = np.flatnonzero(used > 1)
         if keep.size > CACHE_PIECES // 2:
             keep = np.sort(keep[np.argsort(-used[keep], kind="stable")[: CACHE_PIECES // 2]])
-        names, ids, start = list(self.known), self.ids, self.start
+        names, kept = list(self.known), self._taken(keep)
         self.clear()
-        self._add([names[i] for i in keep.tolist()], [ids[start[i] : start[i + 1]] for i in keep.tolist()])
+        self._add([names[i] for i in keep.tolist()], *kept)
         self.uses[: keep.size] = used[keep] // 2
 
     def _missing(self, pieces: set[str]) -> tuple[list[str], list, list[str]]:
@@ -92,9 +98,10 @@ class PieceIds:
                 self.clear()
                 new, cut, fresh = self._missing(pieces)
         for at in range(0, len(fresh), 20_000):
-            self._add(fresh[at : at + 20_000], self.ids_of(fresh[at : at + 20_000]))
+            self._add(fresh[at : at + 20_000], *self.ids_of(fresh[at : at + 20_000]))
         rest = [(x, own) for x, own in zip(new, cut) if x not in self.known]
-        self._add([x for x, _ in rest], [np.concatenate([np.empty(0, np.uint16), *map(self._recall, own)]) for _, own in rest])
+        ids, size = self._recall([w for _, own in rest for w in own])
+        self._add([x for x, _ in rest], ids, sums(size, np.cumsum([0, *(len(own) for _, own in rest)])))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -107,9 +114,5 @@ class PieceIds:
         self._learn(set(pieces))
         if not pieces:
             return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
-        piece = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        self.uses[: len(self.known)] += np.bincount(piece, minlength=len(self.known))
-        size = self.start[piece + 1] - self.start[piece]
-        before = np.cumsum(size) - size
-        ids = self.ids[np.repeat(self.start[piece] - before, size) + np.arange(size.sum())]
+        ids, size = self._recall(pieces)
         return ids, sums(size, np.concatenate([[0], np.cumsum(count)]))
