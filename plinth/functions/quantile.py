@@ -178,11 +178,15 @@ class _Selection:
                                                 F.kll_merge_agg_bigint("_sketch", F.lit(self.k)).alias("_sketch"))
         return rows.select(*self.slot, "_n", "_lo", "_hi", "_sketch")
 
-    def _brackets(self, todo: DataFrame) -> DataFrame:
+    def _brackets(self, todo: DataFrame, sketched: bool) -> DataFrame:
         """(keys, _cuts, _in): the sorted ends of a group's brackets, and for the gap after each number of ends whether it is inside one."""
         n, (down, up) = grid_steps(self.k), margins(self.k)
-        grid = F.kll_sketch_get_quantile_bigint("_sketch", F.array(*[F.lit(i / n) for i in range(n + 1)]))
-        todo = todo.withColumn("_grid", F.when(F.col("_cnt") > self.k, grid))  # without a sketch: null
+        if sketched:
+            places = F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(n + 1))})")
+            grid = F.when(F.col("_cnt") > self.k, F.kll_sketch_get_quantile_bigint("_sketch", places))  # without a sketch: null
+        else:
+            grid = F.lit(None).cast("array<bigint>")
+        todo = todo.withColumn("_grid", grid)
         step = F.floor((F.col("_rank") - F.col("_below") + 0.5) / F.col("_cnt") * n).cast("int")
         at = lambda by: F.get("_grid", F.greatest(F.lit(0), F.least(F.lit(n), step + by)))
         ends = todo.select(*self.keys, F.struct(F.coalesce(at(down), "_lo").alias("a"), F.coalesce(at(up), "_hi").alias("b")).alias("_e"))
@@ -191,10 +195,10 @@ class _Selection:
         inside = F.transform("_cuts", lambda c: F.exists("_e", lambda e: (e["a"] <= c) & (c < e["b"])))
         return per.select(*self.keys, "_cuts", F.array_insert(inside, 1, F.lit(False)).alias("_in"))
 
-    def _cells(self, todo: DataFrame, n_ranks: int, collect: bool) -> DataFrame:
+    def _cells(self, todo: DataFrame, n_ranks: int, collect: bool, sketched: bool) -> DataFrame:
         """One pass: (slot, _c, _cnt, _lo, _hi, _vals | _sketch), ``_c`` numbers the cells of a group in order."""
         self.passes.append("collect" if collect else "narrow")
-        j = _same(self.data, broadcast_if_small(self._brackets(todo), bound=n_ranks), self.keys)
+        j = _same(self.data, broadcast_if_small(self._brackets(todo, sketched), bound=n_ranks), self.keys)
         before = F.size(F.filter("_cuts", lambda c: c <= F.col("_i")))
         j = j.withColumn("_j", before).withColumn("_on", F.coalesce(F.get("_cuts", F.col("_j") - 1) == F.col("_i"), F.lit(False)))
         inner = F.when(~F.col("_on") & F.get("_in", F.col("_j")), F.col("_i"))
@@ -225,7 +229,7 @@ class _Selection:
             most, = todo.agg(weight).first()
             if most is None:
                 return out.select(*self.slot, "_rank", value_of(F.col("_i")).alias("_v"))
-            cells = self._cells(todo, n_ranks, most <= self.leaf_rows)
+            cells = self._cells(todo, n_ranks, most <= self.leaf_rows, most > 0)
             w = Window.partitionBy(*self.slot).orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
             cells = cells.withColumn("_to", F.sum("_cnt").over(w)).withColumn("_below", F.col("_to") - F.col("_cnt"))
             found = _same(cells, todo.select(*self.slot, "_rank"), self.slot).where((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_to")))
