@@ -1,9 +1,9 @@
 """Distribution-shape transforms and reports (stage 3): B05, B06, C02-C05.
 
 Power-transform parameters are fitted by maximum likelihood without sorting or
-collecting rows: the log-likelihood of a whole grid of lambdas is ONE aggregate
-(a stable ``var_pop`` per lambda plus one shared sum), and the grid is refined
-around the best point a few times.
+collecting rows: the log-likelihood of a grid of lambdas of ALL columns is one
+aggregate (a stable ``var_pop`` per lambda plus one shared mean), and each
+column's grid is refined around its best point a few times.
 """
 
 from __future__ import annotations
@@ -38,59 +38,97 @@ def box_cox(x: Column, lam: float) -> Column:
 MAX_BRACKET = 320.0
 
 
-def _fit_lambda(df: DataFrame, c: str, kind: str, lo: float = -5.0, hi: float = 5.0, points: int = 25,
-                rounds: int = 4) -> float | None:
-    """MLE lambda by grid refinement; each round is one aggregate over the column."""
-    x = col(c).cast("double")
-    if kind == "yeo-johnson":
-        data = df.where(x.isNotNull() & ~F.isnan(x))
-        jac = F.sum(F.signum(x) * F.log1p(F.abs(x)))
-        tf = yeo_johnson
-    else:
-        data = df.where(x > 0)
-        jac = F.sum(F.log(x))
-        tf = box_cox
-    left, best = rounds, None
-    while left > 0:
-        grid = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
-        row = data.agg(F.count(F.lit(1)).alias("n"), jac.alias("j"),
-                       *[F.var_pop(tf(x, lam)).alias(f"v{i}") for i, lam in enumerate(grid)]).first()
-        n = row["n"]
-        if not n:
-            return None
-        scores = []
-        for i, lam in enumerate(grid):
-            v = row[f"v{i}"]
-            if v is None or not math.isfinite(v) or v <= 0:
-                continue
-            scores.append((-n / 2 * math.log(v) + (lam - 1) * row["j"], lam))
-        if not scores:
-            return None
-        _, best = max(scores)
-        step = (hi - lo) / (points - 1)
-        if best in (grid[0], grid[-1]) and hi - lo < MAX_BRACKET:
-            lo, hi = best - (hi - lo), best + (hi - lo)  # the optimum may lie outside: look there, wider
-            continue
-        lo, hi = best - step, best + step
-        left -= 1
-    return best
+def _power(kind: str, x: Column, lam: Column) -> Column:
+    """The transform with a lambda that is itself a column, and so may differ by row."""
+    if kind == "box-cox":
+        return F.when(F.abs(lam) < 1e-12, F.log(x)).otherwise((F.pow(x, lam) - 1) / lam)
+    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
+    neg = F.when(F.abs(lam - 2) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - lam) - 1) / (2 - lam))
+    return F.when(x >= 0, pos).otherwise(neg)
+
+
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(c, x): a row per value that is not missing, ``c`` the column's position.  Only ever aggregated by ``c``, so
+    it is combined before the shuffle to one row a column and task."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), col(c).cast("double").alias("x")) for i, c in enumerate(cols)])
+    return df.select(F.inline(pairs)).where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _by_column(values: Sequence[float]) -> Column:
+    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("c") + 1)
+
+
+def _peak(lams: Sequence[float], scores: Sequence[float]) -> float:
+    """Summit of the parabola through the best of equally spaced points and its two neighbours."""
+    i = max(range(len(lams)), key=scores.__getitem__)
+    if 0 < i < len(lams) - 1 and all(map(math.isfinite, scores[i - 1 : i + 2])):
+        before, best, after = scores[i - 1 : i + 2]
+        bend = before - 2 * best + after
+        if bend < 0:
+            return lams[i] + (lams[1] - lams[0]) * (before - after) / bend / 2
+    return lams[i]
+
+
+def fit_lambdas(df: DataFrame, cols: Sequence[str], kind: str = "yeo-johnson", lo: float = -5.0, hi: float = 5.0,
+                points: int = 25, rounds: int = 3) -> dict[str, float | None]:
+    """Maximum-likelihood lambda of every column; None where no lambda has a finite likelihood.
+
+    All columns and all lambdas of a round share one aggregate, so the number of jobs does not grow with the
+    columns: each column has its own range, which a round narrows to the two steps around its best point, or
+    widens where that lies on the border.  The last round's best three points give the summit.  Variances are
+    Spark's (shifted, merged pairwise), so large means cost no digits.  Missing values, and for Box-Cox values
+    that are not positive, are left out of the likelihood.
+    """
+    ranges = {c: (lo, hi) for c in cols}
+    left = dict.fromkeys(cols, rounds)
+    out: dict[str, float | None] = {}
+    while len(out) < len(cols):
+        todo = [c for c in cols if c not in out]
+        data = _long(df, todo)
+        x = F.col("x")
+        if kind == "box-cox":
+            data, slope = data.where(x > 0), F.avg(F.log(x))
+        else:
+            slope = F.avg(F.signum(x) * F.log1p(F.abs(x)))
+        start = _by_column([ranges[c][0] for c in todo])
+        step = _by_column([(ranges[c][1] - ranges[c][0]) / (points - 1) for c in todo])
+        rows = {r["c"]: r for r in data.groupBy("c").agg(
+            slope.alias("slope"), (F.min(x) < F.max(x)).alias("varies"), *[F.var_pop(_power(kind, x, start + step * i)).alias(f"v{i}") for i in range(points)]).collect()}
+        for i, c in enumerate(todo):
+            low, high = ranges[c]
+            grid = [low + (high - low) / (points - 1) * j for j in range(points)]
+            scores = [-math.inf] * points
+            if i in rows and rows[i]["varies"]:  # the variance of equal values may be a rounding error above 0
+                spread = [rows[i][f"v{j}"] for j in range(points)]
+                scores = [-math.log(v) / 2 + (lam - 1) * rows[i]["slope"] if v is not None and math.isfinite(v) and v > 0 else -math.inf
+                          for lam, v in zip(grid, spread)]
+            best = max(range(points), key=scores.__getitem__)
+            if scores[best] == -math.inf:
+                out[c] = None
+            elif best in (0, points - 1) and high - low < MAX_BRACKET:
+                ranges[c] = grid[best] - (high - low), grid[best] + (high - low)  # the optimum may lie outside
+            elif left[c] == 1:
+                out[c] = _peak(grid, scores)
+            else:
+                left[c] -= 1
+                ranges[c] = grid[best] - (grid[1] - grid[0]), grid[best] + (grid[1] - grid[0])
+    return out
 
 
 def fit_power(train: DataFrame, cols: Sequence[str], kind: str = "yeo-johnson") -> dict[str, dict]:
     """C02/B05 fit: lambda per column, then mean/std (population) of the transformed train
-    column for standardisation; columns whose fit fails or whose transformed std <= 1e-6
-    are marked for the ``log1p(max(x, 0))`` fallback."""
-    params = {}
-    for c in cols:
-        lam = _fit_lambda(train, c, kind)  # None where no grid point has a finite likelihood
-        if lam is None:
-            params[c] = {"fallback": True}
-            continue
-        tf = yeo_johnson if kind == "yeo-johnson" else box_cox
-        r = train.agg(F.avg(tf(col(c), lam)).alias("m"), F.stddev_pop(tf(col(c), lam)).alias("s"),
-                      F.count_distinct(tf(col(c), lam)).alias("d")).first()
-        ok = r["s"] is not None and math.isfinite(r["s"]) and r["s"] > 1e-6 and r["d"] > 1
-        params[c] = {"fallback": not ok, "lambda": lam, "mean": r["m"], "std": r["s"]}
+    column for standardisation (one aggregate for all columns); columns whose fit fails or whose
+    transformed std <= 1e-6 are marked for the ``log1p(max(x, 0))`` fallback."""
+    lams = fit_lambdas(train, cols, kind)
+    params: dict[str, dict] = {c: {"fallback": True} for c in cols}
+    known = [c for c in cols if lams[c] is not None]
+    if not known:
+        return params
+    t = _power(kind, F.col("x"), _by_column([lams[c] for c in known]))
+    for r in _long(train, known).select("c", t.alias("t")).groupBy("c").agg(
+            F.avg("t").alias("m"), F.stddev_pop("t").alias("s"), (F.min("t") < F.max("t")).alias("varies")).collect():
+        ok = r["s"] is not None and math.isfinite(r["s"]) and r["s"] > 1e-6 and r["varies"]
+        params[known[r["c"]]] = {"fallback": not ok, "lambda": lams[known[r["c"]]], "mean": r["m"], "std": r["s"]}
     return params
 
 

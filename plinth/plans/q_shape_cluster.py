@@ -61,6 +61,42 @@ def b05_box_cox(spark, d):
     return out.withColumn("lambda", F.lit(params["o_totalprice"].get("lambda")).cast("double"))
 
 
+# ---------------------------------------------------------------- C02 / B05: the fitted lambda against a grid (S)
+LAMBDA_GRID = "SELECT (i - 100) / CAST(20 AS DOUBLE) AS lam FROM range(201) AS t(i)"
+
+
+def _best_lambda_sql(name: str, rows: str, transform: str, slope: str) -> str:
+    """The lambda of a grid (-5 to 5 by 0.05) with the largest likelihood."""
+    return f"""SELECT '{name}' AS "column", arg_max(lam, score) AS lambda FROM (
+  SELECT lam, -ln(var_pop({transform})) / 2 + (lam - 1) * avg({slope}) AS score
+  FROM ({rows}) AS x CROSS JOIN ({LAMBDA_GRID}) AS g GROUP BY lam)"""
+
+
+YJ_GRID_SQL = """CASE WHEN x >= 0 THEN CASE WHEN lam = 0 THEN ln(1 + x) ELSE (pow(x + 1, lam) - 1) / lam END
+             ELSE CASE WHEN lam = 2 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - lam) - 1) / (2 - lam) END END"""
+FITTED_COLS = {"value": "value", "user_id": "CAST(user_id AS DOUBLE)", "k": """CAST(regexp_extract(props, '"k": (\\d+)', 1) AS DOUBLE)"""}
+C02L_SQL = " UNION ALL ".join(
+    _best_lambda_sql(c, f"SELECT {x} AS x FROM events WHERE ts < TIMESTAMP '{CUT}'", YJ_GRID_SQL, "sign(x) * ln(1 + abs(x))")
+    for c, x in FITTED_COLS.items())
+B05L_SQL = _best_lambda_sql("o_totalprice", "SELECT o_totalprice AS x FROM orders WHERE o_totalprice > 0",
+                            "CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END", "ln(x)")
+
+
+def _nearest_on_grid(spark, lambdas: dict[str, float]) -> DataFrame:
+    return spark.createDataFrame([(c, round(v * 20) / 20 + 0.0) for c, v in lambdas.items()], "column string, lambda double")
+
+
+@register("c02_fitted_lambdas", C02L_SQL)
+def c02_fitted_lambdas(spark, d):
+    tr, _ = event_pair(spark, d)
+    return _nearest_on_grid(spark, sh.fit_lambdas(tr, list(FITTED_COLS)))
+
+
+@register("b05_fitted_lambda", B05L_SQL)
+def b05_fitted_lambda(spark, d):
+    return _nearest_on_grid(spark, sh.fit_lambdas(table(spark, d, "orders"), ["o_totalprice"], "box-cox"))
+
+
 # ---------------------------------------------------------------- B06 / C03 (R)
 @register("b06_quantile_normal_target")
 def b06_quantile_normal_target(spark, d):
