@@ -13,12 +13,17 @@ always with ``standardization=False`` (features are scaled upstream).
 
 from __future__ import annotations
 
+import functools
 import inspect
 import itertools
+import operator
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,56 +132,102 @@ def linear_factory(kind: str, alpha: float = 0.0, l1_ratio: float = 0.5):
 
 def ridge_closed_form(df: DataFrame, features: Sequence[str], label: str, alpha: float):
     """J01 reference solution ``(X'X + alpha I)^-1 X'y`` with an unpenalised intercept, from
-    one Gram aggregate (p x p, p = number of features) -- used to verify the MLlib mapping."""
-    import numpy as np
-
-    p = len(features)
-    xs = [col(f).cast("double") for f in features]
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(col(label)).alias("my")] + [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
-    st = df.agg(*aggs).first()
-    cx = [x - F.lit(st[f"m{i}"]) for i, x in enumerate(xs)]
-    cy = col(label) - F.lit(st["my"])
-    g = df.agg(*[F.sum(cx[i] * cx[j]).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)],
-               *[F.sum(cx[i] * cy).alias(f"b{i}") for i in range(p)]).first()
-    gram = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            gram[i, j] = gram[j, i] = g[f"g{i}_{j}"]
-    b = np.array([g[f"b{i}"] for i in range(p)])
-    w = np.linalg.solve(gram + alpha * np.eye(p), b)
-    intercept = st["my"] - sum(w[i] * st[f"m{i}"] for i in range(p))
-    return w, intercept
-
-
-def fold_moments(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> dict:
-    """Per fold ``n``, sums and cross products of ``[features, label]``: all that a linear fit needs, in one aggregate."""
-    import numpy as np
-
-    xs = [col(f).cast("double") for f in features] + [col(label).cast("double")]
-    p = len(xs)
-    rows = df.groupBy(col(fold).alias("_f")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)],
-        *[F.sum(xs[i] * xs[j]).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]).collect()  # one row a fold
-    out = {}
-    for r in rows:
-        g = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                g[i, j] = g[j, i] = r[f"g{i}_{j}"]
-        out[r["_f"]] = (r["n"], np.array([r[f"s{i}"] for i in range(p)]), g)
-    return out
+    the moments of all rows -- used to verify the MLlib mapping."""
+    moments = fold_moments(df.withColumn("_all", F.lit(0)), features, label, "_all")[0]
+    return solve_linear(*moments, "ridge", alpha)
+
+
+#: Numbers of one row of partial cross products; a longer row of the matrix is cut into several.
+GRAM_WIDTH = 64
+#: Rows of one Arrow batch, so that a batch of ``p`` doubles a row stays small.
+GRAM_BATCH = 2048
+
+
+class Moments(NamedTuple):
+    """``n``, sums and cross products of ``[features, label]`` less ``shift``."""
+
+    n: int
+    s: np.ndarray
+    g: np.ndarray
+    shift: np.ndarray
+
+    def __sub__(self, other: Moments) -> Moments:
+        return Moments(self.n - other.n, self.s - other.s, self.g - other.g, self.shift)
+
+    def __add__(self, other: Moments) -> Moments:
+        return Moments(self.n + other.n, self.s + other.s, self.g + other.g, self.shift)
 
 
-def solve_linear(n: int, s, g, kind: str, alpha: float, l1_ratio: float = 0.5, tol: float = 1e-12):
-    """(weights, intercept) from the moments of the training rows, with sklearn's objectives.
+def _matrix_rows(df: DataFrame, features: Sequence[str], label: str, fold: str) -> DataFrame:
+    """(f, v): fold and ``[features, label]`` as one array; a missing feature counts as 0, rows without label are left out."""
+    xs = [F.coalesce(F.nanvl(col(f).cast("double"), F.lit(0.0)), F.lit(0.0)) for f in features]
+    y = col(label).cast("double")
+    return df.where(y.isNotNull() & ~F.isnan(y) & col(fold).isNotNull()).select(
+        col(fold).cast("long").alias("f"), F.array(*xs, y).alias("v"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """(fold, matrix of its rows) for pieces of the batches."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, GRAM_BATCH):
+            part = batch.slice(at, GRAM_BATCH)
+            folds = part.column(0).to_numpy(zero_copy_only=False)
+            m = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(folds), -1)
+            for k in np.unique(folds):
+                yield int(k), m[folds == k]
+
+
+def fold_moments(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> dict[int, Moments]:
+    """Per fold the moments of ``[features, label]``: all that a linear fit needs, in one pass.
+
+    Tasks multiply blocks of rows less a first estimate of the means (of a few rows), so columns of large mean and
+    small spread lose no digits.  Partial matrices travel as rows of at most ``GRAM_WIDTH`` numbers, which Spark
+    adds up: the plan has the same size for 5 and for 5,000 features.  The driver receives p x p numbers a fold.
+    A missing feature counts as 0; rows without label or fold are left out.
+    """
+    p = len(features) + 1
+    rows = _matrix_rows(df, features, label, fold)
+    few = [r["v"] for r in rows.limit(100).collect()]
+    shift = np.mean(few, axis=0) if few else np.zeros(p)
+    pieces = -(-p // GRAM_WIDTH)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for k, m in _blocks(batches):
+            d = m - shift
+            t = total.setdefault(k, [0, np.zeros(p), np.zeros((p, p))])
+            t[0] += len(d)
+            t[1] += d.sum(axis=0)
+            t[2] += d.T @ d
+        for k, (n, s, g) in total.items():
+            table = np.zeros((p + 1, pieces * GRAM_WIDTH))  # the sums are the last row
+            table[:p, :p], table[p, :p] = g, s
+            table = table.reshape(-1, GRAM_WIDTH)
+            ids = np.arange(len(table))
+            columns = [pa.array(np.full(len(ids), k)), pa.array(ids // pieces), pa.array(ids % pieces), pa.array(np.full(len(ids), n))]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(table[:, j]) for j in range(GRAM_WIDTH)],
+                                             ["f", "i", "piece", "n"] + [f"c{j}" for j in range(GRAM_WIDTH)])
+
+    schema = "f long, i long, piece long, n long, " + ", ".join(f"c{j} double" for j in range(GRAM_WIDTH))
+    sums = rows.mapInArrow(partial, schema).groupBy("f", "i", "piece").agg(F.sum("n").alias("n"), *[F.sum(f"c{j}").alias(f"c{j}") for j in range(GRAM_WIDTH)])
+    tables: dict[int, np.ndarray] = {}
+    counts: dict[int, int] = {}
+    for r in sums.collect():
+        table = tables.setdefault(r["f"], np.zeros((p + 1, pieces * GRAM_WIDTH)))
+        table[r["i"], r["piece"] * GRAM_WIDTH : (r["piece"] + 1) * GRAM_WIDTH] = r[4:]
+        counts[r["f"]] = r["n"]
+    return {k: Moments(counts[k], t[p, :p], t[:p, :p], shift) for k, t in sorted(tables.items())}
+
+
+def solve_linear(n: int, s, g, shift, kind: str, alpha: float, l1_ratio: float = 0.5, tol: float = 1e-12):
+    """(weights, intercept) from the :class:`Moments` of the training rows, with sklearn's objectives.
 
     ols and ridge are linear solves; lasso and elastic net run coordinate descent on the p x p moments
     until no weight moves by more than ``tol``.
     """
-    import numpy as np
-
     mean = s / n
     cov = g / n - np.outer(mean, mean)
+    mean = mean + shift
     a, b = cov[:-1, :-1], cov[:-1, -1]
     if kind in ("ols", "ridge"):
         w = np.linalg.lstsq(a + (alpha if kind == "ridge" else 0.0) / n * np.eye(len(b)), b, rcond=None)[0]
@@ -199,33 +250,38 @@ def solve_linear(n: int, s, g, kind: str, alpha: float, l1_ratio: float = 0.5, t
 
 
 def linear_grid(df: DataFrame, features: Sequence[str], grid: Sequence[Mapping], label: str = "label", fold: str = "fold",
-                real_space: bool = False) -> list[tuple[Mapping, float, float]]:
+                real_space: bool = False, moments: dict[int, Moments] | None = None) -> list[tuple[Mapping, float, float]]:
     """Every point of a linear grid (``kind``, ``alpha``, ``l1``) by mean CV RMSE, in two passes.
 
-    One aggregate gives each fold's moments; a point's fit on the other folds is a small solve.  One
-    more aggregate scores all points on their validation rows (with ``expm1`` in ``real_space``).
+    One pass gives each fold's moments; a point's fit on the other folds is a small solve.  One more pass scores
+    all points on their validation rows as products of row blocks and weights (with ``expm1`` in ``real_space``);
+    a task sends one row a fold and point.  ``moments``: those of :func:`fold_moments`, if known.
     """
-    import numpy as np
-
-    moments = fold_moments(df, features, label, fold)
-    folds = sorted(moments)
-    whole = [sum(m[i] for m in moments.values()) for i in range(3)]
-    fits = [[solve_linear(*(t - m for t, m in zip(whole, moments[k])), p["kind"], p["alpha"], p.get("l1", 0.5)) for k in folds] for p in grid]
-    place = F.array_position(F.array(*[F.lit(k) for k in folds]), col(fold)).cast("int")
-    target = F.expm1(col(label)) if real_space else col(label)
-
-    def error(fit):
-        # coefficients of the row's fold, by feature
-        pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), place)
-        pred = pick([c for _, c in fit])
-        for i, f in enumerate(features):
-            pred = pred + pick([w[i] for w, _ in fit]) * col(f).cast("double")
-        return target - (F.expm1(pred) if real_space else pred)
-
-    rows = df.groupBy(col(fold)).agg(*[F.sqrt(F.avg(error(fit) * error(fit))).alias(f"e{i}") for i, fit in enumerate(fits)]).collect()
-    table = np.array([[r[f"e{i}"] for i in range(len(grid))] for r in rows])
-    out = [(p, float(m), float(s)) for p, m, s in zip(grid, table.mean(axis=0), table.std(axis=0))]
-    return sorted(out, key=lambda r: r[1])
+    moments = moments or fold_moments(df, features, label, fold)
+    whole = functools.reduce(operator.add, moments.values())
+    weights, intercepts = {}, {}
+    for k, m in moments.items():
+        fits = [solve_linear(*(whole - m), p["kind"], p["alpha"], p.get("l1", 0.5)) for p in grid]
+        weights[k], intercepts[k] = np.array([w for w, _ in fits]).T, np.array([c for _, c in fits])
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for k, m in _blocks(batches):
+            pred, y = m[:, :-1] @ weights[k] + intercepts[k], m[:, -1:]
+            d = np.expm1(y) - np.expm1(pred) if real_space else y - pred
+            t = total.setdefault(k, [0, np.zeros(len(grid))])
+            t[0] += len(d)
+            t[1] += (d * d).sum(axis=0)
+        for k, (n, e) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), x)) for x in (k, n)] + [pa.array(np.arange(len(e))), pa.array(e)],
+                                             ["f", "n", "point", "e"])
+
+    rows = _matrix_rows(df, features, label, fold).mapInArrow(errors, "f long, n long, point long, e double")
+    rmse = rows.groupBy("f", "point").agg(F.sqrt(F.sum("e") / F.sum("n")).alias("rmse")).collect()  # folds x grid
+    table: list[list[float]] = [[] for _ in grid]
+    for r in sorted(rmse, key=lambda r: (r["f"], r["point"])):
+        table[r["point"]].append(r["rmse"])
+    return sorted(((p, float(np.mean(e)), float(np.std(e))) for p, e in zip(grid, table)), key=lambda r: r[1])
 
 
 def grid_search(data: DataFrame, grid: Sequence[Mapping], factory_for: Callable[[Mapping], Callable],

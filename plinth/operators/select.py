@@ -7,6 +7,8 @@ lasso, CV RMSE of a subset) come from MLlib fits over a ``fold`` column.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -106,15 +108,23 @@ def tree_importance(df: DataFrame, target: str, features: Sequence[str], fold: s
 
 
 def lasso_importance(df: DataFrame, target: str, features: Sequence[str], fold: str = "fold",
-                     alphas: Sequence[float] = (1e-4, 1e-3, 1e-2, 1e-1), method: str = "lasso") -> DataFrame:
-    """|coefficients| of a lasso at the CV-chosen alpha (coordinate-descent parity:
-    ``elasticNetParam=1, regParam=alpha, standardization=False``)."""
-    from plinth.operators.models import assemble, cv_rmse, fit_linear
-
-    data = assemble(df, features).select("features", col(target).alias("label"), col(fold)).persist()
-    best = min(alphas, key=lambda a: cv_rmse(data, lambda: fit_linear("lasso", alpha=a), fold)[0])
-    coefs = fit_linear("lasso", alpha=best).fit(data).coefficients.toArray()
-    data.unpersist()
+                     alphas: Sequence[float] | None = None, method: str = "lasso") -> DataFrame:
+    """|coefficients| of a lasso at the CV-chosen alpha.  Without ``alphas``: 100 of them, evenly spaced in
+    the logarithm, from the least that leaves no feature down to a thousandth of it.
+
+    One pass gives the folds' cross products, on which coordinate descent solves all alphas and folds; one more
+    pass scores them (``models.linear_grid``)."""
+    import numpy as np
+
+    from plinth.operators.models import fold_moments, linear_grid, solve_linear
+
+    moments = fold_moments(df, features, target, fold)
+    whole = functools.reduce(operator.add, moments.values())
+    if alphas is None:
+        top = np.abs(whole.g[:-1, -1] / whole.n - whole.s[:-1] * whole.s[-1] / whole.n**2).max()
+        alphas = [float(a) for a in np.geomspace(top, top / 1000, 100)] if top > 0 else [1.0]
+    best, _, _ = linear_grid(df, features, [{"kind": "lasso", "alpha": a} for a in alphas], target, fold, moments=moments)[0]
+    coefs, _ = solve_linear(*whole, "lasso", best["alpha"])
     rows = [(f, method, abs(float(coefs[i]))) for i, f in enumerate(features)]
     return df.sparkSession.createDataFrame(rows, "feature string, method string, score double")
 

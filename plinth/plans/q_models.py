@@ -131,7 +131,7 @@ def g01_tree_importance(spark, d):
 @register("g03_lasso_importance")
 def g03_lasso_importance(spark, d):
     train, _ = model_frame(spark, d)
-    return se.lasso_importance(train, "y", MODEL_FEATS, "fold", alphas=(1e-3, 1e-2))
+    return se.lasso_importance(train, "y", MODEL_FEATS, "fold")
 
 
 @register("g07_subset_cv_rmse")

@@ -1,6 +1,8 @@
 """Paths that once lost rows, read stale data or changed results."""
 
+import functools
 import math
+import operator
 import os
 
 import numpy as np
@@ -168,7 +170,7 @@ def test_lambda_outside_the_first_bracket_is_found(spark, power):
     z = rng.normal(0, 0.02, 2000)
     x = np.power(1 + power * z, 1 / power)
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
-    lam = sh._fit_lambda(df, "x", "box-cox")
+    lam = sh.fit_lambdas(df, ["x"], "box-cox")["x"]
 
     def loss(q):
         t = (x**q - 1) / q
@@ -238,7 +240,7 @@ def test_linear_grid_matches_the_fits_it_replaces(spark):
             want = mo.cv_rmse(mo.assemble(df, feats), mo.linear_factory(p["kind"], p["alpha"], p.get("l1", 0.5)), real_space=real)
             assert got[p["kind"]] == pytest.approx(want, rel=2e-3)
     # optimality of the lasso on all rows: |gradient| <= alpha, equal on its support
-    n, s, g = (sum(v[i] for v in mo.fold_moments(df, feats).values()) for i in range(3))
-    w, c = mo.solve_linear(n, s, g, "lasso", 0.1)
+    whole = functools.reduce(operator.add, mo.fold_moments(df, feats).values())
+    w, c = mo.solve_linear(*whole, "lasso", 0.1)
     grad = x.T @ (y - x @ w - c) / len(y)
     assert np.all(np.abs(grad) <= 0.1 + 1e-9) and np.allclose(grad[w != 0], 0.1 * np.sign(w[w != 0]))
