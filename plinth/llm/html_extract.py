@@ -6,7 +6,10 @@ content (``article``, ``main``); pages without such an element are only scored.
 contiguous region with the largest sum, and the blocks that lie in it are the text.
 
 Elements that never are content (menus, forms, scripts, ...) are left out before the scan, by name or by
-a word of their class, id or role; an unclosed one ends where content or an outer element begins or ends.
+their class, id or role; an unclosed one ends where content or an outer element begins or ends.  A name
+counts only where it says what the element is: ``sidebar``, ``left-sidebar`` or ``ad-slot``, but not
+``with-sidebar``, ``no-comments``, ``entry-header`` or ``notice-of-motion``.  Everything else about classes
+is learned: each word of a tag's class has its own weight, and the strongest known one counts.
 
 Defined results: a null or empty page has the empty text; markup that ends in the middle is read as far
 as it goes; a text without any tag is one block; equal regions: the first; repeated rows are extracted
@@ -46,17 +49,35 @@ NEVER_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb b
 BLOCKS = frozenset("address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 "
                    "h4 h5 h6 head header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-RAW = "script|style|noscript|template|title|textarea|iframe|svg"
+RAW = "script|style|noscript|template|title|textarea|iframe"
+# elements that never are content and end a block
+LEFT_BLOCKS = BLOCKS | frozenset("nav footer aside form dialog menu".split())
+# first words of names that tell of a layout; heads that belong to the content; what follows a word that names a part
+STATES = frozenset("no not without with has have is show hide".split())
+HEADED = frozenset("entry post article story content section chapter news title".split())
+HOLDERS = frozenset("area bar block body box button buttons column container content field form group icons inner item items "
+                    "left link links list menu module outer panel posts right row section slot stories strip text this unit "
+                    "widget widgets wrap wrapper".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def names_a_part(token: str, in_content: bool) -> bool:
+    """Whether a class, id or role names a part that never is content; a header belongs to the content it lies in."""
+    words = [w.lower() for w in _NAME.findall(token)]
+    if not words or words[0] in STATES:
+        return False
+    if words[-1] in NEVER_WORDS:
+        return words[-1] != "header" or not (in_content or words[0] in HEADED)
+    return len(words) > 1 and words[0] in NEVER_WORDS and words[1] in HOLDERS
 
 
 class Token:
@@ -103,21 +124,21 @@ def read_page(html: str) -> tuple[list[Token], bool]:
                     if not hidden:
                         out.append(Token("/" + name, name in BLOCKS, "", marked > 0))
                     elif not dropped:
-                        out.append(Token(LEFT_OUT, True, "", marked > 0))
+                        out.append(Token(LEFT_OUT, name in LEFT_BLOCKS, "", marked > 0))
                     break
             continue
         if name in CONTENT and dropped:  # an unclosed element that was left out ends here
             close(next(i for i, x in enumerate(path) if x[1]))
         if name in ("p", "li") and path and path[-1][0] == name:
             close(len(path) - 1)
-        names = {w for _, value in _ATTR.findall(m["attrs"]) for w in _NAME.findall(value.lower())} if m["attrs"] else ()
+        names = {x for _, value in _ATTR.findall(m["attrs"]) for x in value.strip("\"'").split()} if m["attrs"] else ()
         drop = name in NEVER or (name == "header" and not marked) or (
-            name not in CONTENT and name not in ("html", "body") and not NEVER_WORDS.isdisjoint(names))
+            name not in CONTENT and name not in ("html", "body") and any(names_a_part(x, marked > 0) for x in names))
         if not dropped and not drop:
-            kind = ".".join([name, *sorted(names)[:2]]) if names else name
-            out.append(Token(kind, name in BLOCKS, "", marked > 0))
+            words = sorted({w.lower() for x in names for w in _NAME.findall(x)})
+            out.append(Token(".".join([name, *words]), name in BLOCKS, "", marked > 0))
         elif not dropped:
-            out.append(Token(LEFT_OUT, True, "", marked > 0))
+            out.append(Token(LEFT_OUT, name in LEFT_BLOCKS, "", marked > 0))
         if name not in VOID and not m["attrs"].endswith("/"):
             mark = name in CONTENT and not dropped
             labelled |= mark
@@ -128,6 +149,18 @@ def read_page(html: str) -> tuple[list[Token], bool]:
     return out, labelled
 
 
+def features(key: str) -> list[str]:
+    """The keys that weights are kept for: ``name.word`` for each word of a tag's class, id and role, else its name."""
+    name, *words = key.split(".")
+    return [f"{name}.{w}" for w in words] or [name] * bool(name)
+
+
+def weight_of(key: str, weights: dict[str, float]) -> float:
+    """The strongest known weight of a tag's features, else that of its name."""
+    known = [weights[x] for x in features(key) if x in weights]
+    return max(known, key=abs) if known else weights.get(key.split(".")[0], TAG_UNKNOWN)
+
+
 def count_tokens(pages: DataFrame) -> DataFrame:
     """(key, inside, outside): tags and words (key ``#word``) of the pages that mark their content."""
 
@@ -139,7 +172,8 @@ def count_tokens(pages: DataFrame) -> DataFrame:
                 for t in tokens if labelled else ():
                     if t.key == LEFT_OUT:
                         continue
-                    total[t.key or "#word", t.inside] += 1 if t.key else t.words
+                    for key in features(t.key) or ["#word"]:
+                        total[key, t.inside] += 1 if t.key else t.words
         keys = sorted({k for k, _ in total})
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())] + [pa.array([total[k, x] for k in keys], pa.int64()) for x in (True, False)],
                                          ["key", "inside", "outside"])
@@ -175,7 +209,7 @@ def extract(html: str | None, weights: dict[str, float]) -> str:
     """The main text of one page: its region's blocks, joined by line breaks."""
     tokens, _ = read_page(html or "")
     word = weights.get("#word", 1.0)
-    scores = [word * t.words if not t.key else weights.get(t.key, weights.get(t.key.split(".")[0], TAG_UNKNOWN)) for t in tokens]
+    scores = [word * t.words if not t.key else weights[t.key] if t.key in weights else weight_of(t.key, weights) for t in tokens]
     a, b = best_region(scores)
     blocks, held = [], []
     for t in tokens[a:b]:

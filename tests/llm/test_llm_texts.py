@@ -211,12 +211,30 @@ WEIGHTS = {"#word": 1.0, html_extract.LEFT_OUT: -0.02, "p": -0.02, "/p": -0.02,
     ("<nav>never closed <article><p>inside</p></article>", "inside"),
     ("<header>top words of the page</header><main><p>m</p></main>", "m"),
     ("<article><p></p><p>   </p></article>", ""),
+    # names that only begin like a raw element
+    ("<article><svg-icon></svg-icon><title-bar>t</title-bar><p>one</p><style-guide>s</style-guide><svg/><p>two</p></article>", "t\none\ns\ntwo"),
+    # names that tell of the layout or of something else than a part of the page
+    ("<div class='layout with-sidebar'><div class='post no-comments'><p>all of these words</p></div></div>", "all of these words"),
+    ("<article><div class='entry-header'><h1>Head of the whole page</h1></div><p class='notice-of-motion'>it was moved</p><div id=header>four words on top</div></article>", "Head of the whole page\nit was moved\nfour words on top"),
+    ("<article><p>a</p><div class='commentList'>c</div><div class='left-sidebar'>s</div><div class='x ad-slot-3'>ad</div><p>b</p></article>", "a\nb"),
+    # left-out inline elements end no block
+    ("<article><p>before <button>click</button>and <span class='share'>share</span>after <svg><path/></svg>end</p></article>", "before and after end"),
     ("", ""),
 ])
 def test_main_text_of_pages(body, want):
     assert html_extract.extract(page(body), WEIGHTS) == want
 
 
+def test_every_class_word_is_a_feature_of_its_tag():
+    weights = {**WEIGHTS, "div.zebra": -8.0, "div.alpha": -0.1}
+    assert html_extract.weight_of("div.alpha.beta.zebra", weights) == -8.0
+    assert html_extract.weight_of("div.alpha.beta", weights) == -0.1
+    assert html_extract.weight_of("div.beta", weights) == weights["div"]
+    assert html_extract.weight_of("new.beta", weights) == html_extract.TAG_UNKNOWN
+    body = "<div class='zebra alpha beta'>two words</div><p>four words of text</p>"
+    assert html_extract.extract(page(body), weights) == "four words of text"
+
+
 def test_best_region_is_the_maximum_sum():
     rng = random.Random(0)
     for _ in range(300):
