@@ -102,13 +102,21 @@ def target_transform_check(df: DataFrame, raw: str, logged: str, rtol: float = 1
     return _table(a, [_row("target_transform", logged, F.col("bad") == 0, F.col("bad"))])
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's correlation of the rows that have both; NULL where one of them is constant (``corr`` raises there
+    in ANSI mode)."""
+    a, b = F.when(y.isNotNull(), x.cast("double")), F.when(x.isNotNull(), y.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def leakage_correlation(train: DataFrame, target: str, features: Sequence[str], test: DataFrame | None = None,
                         threshold: float = 0.99, max_features: int | None = None) -> DataFrame:
     """|corr(feature, target)| above ``threshold`` is suspicious; a feature missing in
     test is an error.  ``max_features`` caps how many are checked (the reference checks 20)."""
     feats = list(features)[:max_features] if max_features else list(features)
-    a = train.agg(*[F.corr(col(f), col(target)).alias(f"c{i}") for i, f in enumerate(feats)])
-    rows = [_row("leakage_corr", f, F.coalesce(F.abs(F.col(f"c{i}")) <= threshold, F.lit(True)),
+    a = train.agg(*[correlation(col(f), col(target)).alias(f"c{i}") for i, f in enumerate(feats)])
+    # an undefined correlation (a constant or infinite feature) is no sign of a leak
+    rows = [_row("leakage_corr", f, F.coalesce(F.abs(F.nanvl(F.col(f"c{i}"), F.lit(0.0))) <= threshold, F.lit(True)),
                  F.round(F.col(f"c{i}"), 6)) for i, f in enumerate(feats)]
     if test is not None:
         rows += [_row("feature_in_test", f, F.lit(f in test.columns), F.lit(None)) for f in feats]

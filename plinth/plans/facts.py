@@ -60,10 +60,18 @@ def stage_table(spark: SparkSession, name: str, sf_dir: str, inputs: list[str],
     return spark.read.parquet(path)
 
 
+FACT_INPUTS = ["orders", "lineitem", "customer", "nation"]
+
+
+def input_signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """What identifies the state of the order facts' inputs."""
+    return _input_signature(spark, sf_dir, FACT_INPUTS)
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: key, target ``y``, numeric and categorical features, ``is_train``
     (materialised once as a stage table, see :func:`stage_table`)."""
-    return stage_table(spark, "order_facts", sf_dir, ["orders", "lineitem", "customer", "nation"],
+    return stage_table(spark, "order_facts", sf_dir, FACT_INPUTS,
                        lambda: build_order_facts(spark, sf_dir))
 
 

@@ -2,36 +2,57 @@
 
 from __future__ import annotations
 
+import functools
+import json
+import os
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.plans import pipeline as pl
 from plinth.plans.catalog import register
 from plinth.plans.common import filled, round_doubles
-from plinth.plans.facts import FILLED_CTE, order_facts
+from plinth.plans.facts import FILLED_CTE, input_signature, order_facts
 from plinth.session import scratch_path
 from plinth.sources import files as fs
 
 
+_BASES: dict[str, str] = {}
+
+
 def _stage8(spark, d, fe=True):
-    base = scratch_path(spark, "pipeline")
-    tr, ts, gates = pl.preprocess(spark, order_facts(spark, d), base, feature_engineering=fe)
+    """Stage 8 of the input; queries of one session resume each other's runs (not with ``PLINTH_STAGE_CACHE=0``)."""
+    facts = order_facts(spark, d)
+    if os.environ.get("PLINTH_STAGE_CACHE", "1") == "0":
+        base, mark = scratch_path(spark, "pipeline"), None
+    else:
+        base = _BASES.setdefault(spark.sparkContext.applicationId, scratch_path(spark, "pipeline"))
+        mark = json.dumps([d, input_signature(spark, d)])
+    tr, ts, gates = pl.preprocess(spark, facts, base, feature_engineering=fe, input_id=mark)
     return tr, ts, gates, base
 
 
+def _both(tr, ts):
+    return tr.select(F.lit(True).alias("is_train"), "*").unionByName(
+        ts.select(F.lit(False).alias("is_train"), "*"), allowMissingColumns=True)
+
+
 @register("p01_preprocess")
 def p01_preprocess(spark, d):
     tr, ts, _, _ = _stage8(spark, d)
-    return tr.select(F.lit(True).alias("is_train"), "*").unionByName(
-        ts.select(F.lit(False).alias("is_train"), "*"), allowMissingColumns=True)
+    return _both(tr, ts)
+
+
+@register("p01_stage_gates")
+def p01_stage_gates(spark, d):
+    _, _, gates, _ = _stage8(spark, d)
+    return functools.reduce(DataFrame.unionByName, gates)
 
 
 @register("p02_preprocess_raw")
 def p02_preprocess_raw(spark, d):
-    tr, ts, gates, _ = _stage8(spark, d, fe=False)
-    g = gates[0]
-    for x in gates[1:]:
-        g = g.unionByName(x)
-    return g.where(F.col("check") == "stage_gate")
+    tr, ts, _, _ = _stage8(spark, d, fe=False)
+    return _both(tr, ts)
 
 
 def _model_inputs(spark, d):
@@ -53,6 +74,12 @@ def p04_ensemble(spark, d):
     return pl.ensemble(spark, tr, ts, feats, "stack")
 
 
+@register("p04_blend")
+def p04_blend(spark, d):
+    tr, ts, feats, _ = _model_inputs(spark, d)
+    return pl.ensemble(spark, tr, ts, feats, "blend")
+
+
 # ---------------------------------------------------------------- A03 / A04
 A03_SQL = f"WITH {FILLED_CTE} SELECT okey, is_train, round(y, 6) AS y FROM filled"
 
