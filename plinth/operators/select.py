@@ -113,7 +113,7 @@ def lasso_importance(df: DataFrame, target: str, features: Sequence[str], fold:
     """|coefficients| of a lasso at the CV-chosen alpha.  Without ``alphas``: 100 of them, evenly spaced in
     the logarithm, from the least that leaves no feature down to a thousandth of it.
 
-    One pass gives the folds' cross products, on which coordinate descent solves all alphas and folds; one more
+    One pass gives the folds' cross products, on which all alphas and folds are solved; one more
     pass scores them (``models.linear_grid``)."""
     import numpy as np
 
