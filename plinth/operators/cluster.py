@@ -50,6 +50,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             yield x[at : at + BLOCK_ROWS]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row a block, as bytes: later passes don't turn values into rows and back."""
+    for x in _blocks(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())], ["x"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for x in batch.column(0):
+            yield np.frombuffer(x.as_buffer()).reshape(-1, width)
+
+
 def _nearest(x: np.ndarray, run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(the run's columns, nearest centre, squared distance to it)."""
     own = x[:, run.cols]
@@ -68,25 +80,77 @@ def _uniform(rows: np.ndarray, *salt: int) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) / 2.0**53
 
 
-def _sums(data: DataFrame, runs: Sequence[Run], passes: list) -> None:
+#: Numbers of the distance table that a task holds at a time, so that it stays in the processor's cache.
+TABLE_CELLS = 1 << 18
+
+
+def _first_of_ties(hit: np.ndarray, starts: np.ndarray) -> None:
+    """Leaves the first of the centres of a run that are equally near to a row."""
+    tied = np.flatnonzero(hit.sum(0) != len(starts))
+    some = hit[:, tied]
+    for a, b in zip(starts, [*starts[1:], len(hit)]):
+        first = some[a:b].argmax(0)
+        some[a:b] = False
+        some[a + first, np.arange(len(tied))] = True
+    hit[:, tied] = some
+
+
+def _add(x: np.ndarray, group: Sequence[Run]) -> tuple[np.ndarray, np.ndarray]:
+    """(a row a centre of the runs, which share their columns: sums and count of its rows; cost a run), as two matrix products."""
+    own = np.ascontiguousarray(x[:, group[0].cols])
+    centres = np.concatenate([r.centres for r in group])
+    sizes = [len(r.centres) for r in group]
+    starts = np.cumsum([0, *sizes[:-1]])
+    half = (centres * centres).sum(1)[:, None] / 2
+    total, cost = np.zeros((len(centres), own.shape[1] + 1)), np.zeros(len(group))
+    step = min(len(own), max(64, TABLE_CELLS // len(centres)))
+    spans = [slice(a, a + n) for a, n in zip(starts, sizes)]
+    # tables are made once: fresh memory for every step would cost more than the products
+    table, hit, ones = np.empty((len(centres), step)), np.empty((len(centres), step), bool), np.ones((step, own.shape[1] + 1))
+    least = np.empty((len(group), step))
+    for at in range(0, len(own), step):
+        rows = own[at : at + step]
+        t, h, m, n = table[:, : len(rows)], hit[:, : len(rows)], least[:, : len(rows)], len(rows)
+        np.subtract(half, centres @ rows.T, out=t)  # half the squared distance, less half the row's square
+        for j, span in enumerate(spans):
+            t[span].min(axis=0, out=m[j])
+            np.equal(t[span], m[j], out=h[span])
+        if np.count_nonzero(h) != m.size:
+            _first_of_ties(h, starts)
+        np.copyto(t, h)
+        ones[:n, :-1] = rows
+        total += t @ ones[:n]
+        cost += np.maximum(2 * m + (rows * rows).sum(1), 0.0).sum(1)
+    return total, cost
+
+
+def _sums(data: DataFrame, runs: Sequence[Run], passes: list, columns: int) -> None:
     """One pass: cost, counts and new centres of all runs (a centre without rows stays)."""
     passes.append("sums")
     width = max(len(r.cols) for r in runs)
+    alike: dict[tuple, list[int]] = {}
+    for i, r in enumerate(runs):
+        if len(r.centres):
+            alike.setdefault(tuple(r.cols), []).append(i)
 
     def add(batches):
-        sums = [np.zeros((len(r.centres), len(r.cols))) for r in runs]
-        counts, cost = [np.zeros(len(r.centres)) for r in runs], np.zeros(len(runs))
-        for x in _blocks(batches):
-            for i, r in enumerate(runs):
-                own, best, d = _nearest(x, r)
-                counts[i] += np.bincount(best, minlength=len(r.centres))
-                cost[i] += d.sum()
-                for j in range(own.shape[1]):
-                    sums[i][:, j] += np.bincount(best, own[:, j], len(r.centres))
-        rows = [(i, c, float(counts[i][c]), float(cost[i]) if c == 0 else 0.0, [*s[c], *[0.0] * (width - s.shape[1])]) for i, s in enumerate(sums) for c in range(len(s))]
+        groups = [[runs[i] for i in places] for places in alike.values()]
+        totals: list = [None] * len(groups)
+        for x in _unpacked(batches, columns):
+            for g, group in enumerate(groups):
+                new = _add(x, group)
+                totals[g] = new if totals[g] is None else (totals[g][0] + new[0], totals[g][1] + new[1])
+        rows = []
+        for places, found in zip(alike.values(), totals):
+            at = 0
+            for j, i in enumerate(places if found else ()):
+                for c in range(len(runs[i].centres)):
+                    *s, n = found[0][at].tolist()
+                    rows.append((i, c, n, float(found[1][j]) if c == 0 else 0.0, *s, *[0.0] * (width - len(s))))
+                    at += 1
         names = ["run", "centre", "n", "cost", *[f"s{j}" for j in range(width)]]
-        cols = [*zip(*[(a, b, n, q, *s) for a, b, n, q, s in rows])]
         kinds = [pa.int32(), pa.int32(), *[pa.float64()] * (2 + width)]
+        cols = zip(*rows) if rows else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     schema = "run int, centre int, n double, cost double, " + ", ".join(f"s{j} double" for j in range(width))
@@ -105,13 +169,13 @@ def _sums(data: DataFrame, runs: Sequence[Run], passes: list) -> None:
         run.cost, run.counts, run.next = float(cost[i]), counts[i], new[i]
 
 
-def _draw(data: DataFrame, runs: Sequence[Run], choose: Callable, passes: list, round_: int) -> list[np.ndarray]:
+def _draw(data: DataFrame, runs: Sequence[Run], choose: Callable, passes: list, round_: int, columns: int) -> list[np.ndarray]:
     """One pass: the distinct rows that ``choose(run, rows, distance, u, number)`` takes for each run."""
     passes.append("draw")
 
     def pick(batches):
         part = TaskContext.get().partitionId()
-        for x in _blocks(batches):
+        for x in _unpacked(batches, columns):
             x, n = np.unique(x, axis=0, return_counts=True)
             out = []
             for i, r in enumerate(runs):
@@ -140,7 +204,7 @@ def _weighted_seeds(points: np.ndarray, weights: np.ndarray, k: int, seed: int)
     return points[chosen]
 
 
-def _seed(data: DataFrame, runs: Sequence[Run], passes: list) -> None:
+def _seed(data: DataFrame, runs: Sequence[Run], passes: list, columns: int) -> None:
     def one(run, d, u, n):
         return lambda x, u: [(u.min(), x[u.argmin()])] if len(x) else []
 
@@ -149,13 +213,13 @@ def _seed(data: DataFrame, runs: Sequence[Run], passes: list) -> None:
         taken = u < 1 - (1 - p) ** n
         return lambda x, u: zip(u[taken], x[taken])
 
-    for run, first in zip(runs, _draw(data, runs, one, passes, -1)):
+    for run, first in zip(runs, _draw(data, runs, one, passes, -1, columns)):
         run.centres = first
     for round_ in range(SEED_ROUNDS):
-        _sums(data, runs, passes)
-        for run, more in zip(runs, _draw(data, runs, far, passes, round_)):
+        _sums(data, runs, passes, columns)
+        for run, more in zip(runs, _draw(data, runs, far, passes, round_, columns)):
             run.centres = np.unique(np.concatenate([run.centres, more]), axis=0)
-    _sums(data, runs, passes)
+    _sums(data, runs, passes, columns)
     for run in runs:
         run.centres = _weighted_seeds(run.centres, run.counts, run.k, run.seed)
 
@@ -170,21 +234,22 @@ def fit_many(data: DataFrame, fits: Mapping[str, tuple[Sequence[str], int]], res
     passes = passes if passes is not None else []
     cols = list(dict.fromkeys(c for own, _ in fits.values() for c in own))
     params = fit_standard_scaler(data, cols)
-    vec = data.select(*[_scaled(c, params).alias(f"x{i}") for i, c in enumerate(cols)]).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = data.select(*[_scaled(c, params).alias(f"x{i}") for i, c in enumerate(cols)])
+    vec = vec.mapInArrow(_packed, "x binary").persist(StorageLevel.MEMORY_AND_DISK)
     place = {c: i for i, c in enumerate(cols)}
     every = {n: [Run(np.array([place[c] for c in own]), k, seed + 1009 * r, np.empty((0, len(own)))) for r in range(restarts)] for n, (own, k) in fits.items()}
     runs = [r for own in every.values() for r in own]
     if not vec.isEmpty():
-        _seed(vec, runs, passes)
+        _seed(vec, runs, passes, len(cols))
         active = runs
         for _ in range(max_iter):
-            _sums(vec, active, passes)
+            _sums(vec, active, passes, len(cols))
             for r in active:
                 r.centres = r.next
             active = [r for r in active if r.moved > tol]
             if not active:
                 break
-        _sums(vec, runs, passes)  # the cost of the final centres
+        _sums(vec, runs, passes, len(cols))  # the cost of the final centres
     vec.unpersist()
     best = {n: min(own, key=lambda r: r.cost) for n, own in every.items()}
     return {n: (r.centres, {c: params[c] for c in fits[n][0]}, r.cost) for n, r in best.items()}
