@@ -1,16 +1,20 @@
 """Distribution-shape transforms and reports (stage 3): B05, B06, C02-C05.
 
 Power-transform parameters are fitted by maximum likelihood without sorting or
-collecting rows: the log-likelihood of a grid of lambdas of ALL columns is one
-aggregate (a stable ``var_pop`` per lambda plus one shared mean), and each
-column's grid is refined around its best point a few times.
+collecting rows: one pass gives the log-likelihood of a grid of lambdas of ALL
+columns (tasks transform blocks of values and send mean and squared deviations
+per lambda), and each column's grid is refined around its best point a few times.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,49 +73,109 @@ def _peak(lams: Sequence[float], scores: Sequence[float]) -> float:
     return lams[i]
 
 
+#: Rows that a task transforms by all lambdas of a round at a time.
+BLOCK_ROWS = 4096
+
+
+class Spread(NamedTuple):
+    """Number, sum of the slope's terms, least and largest value, and mean and squared deviations of each lambda's transforms."""
+
+    n: int
+    slope: float
+    low: float
+    high: float
+    mean: np.ndarray
+    m2: np.ndarray
+
+    def __add__(self, other: Spread) -> Spread:
+        n, gap = self.n + other.n, other.mean - self.mean
+        return Spread(n, self.slope + other.slope, min(self.low, other.low), max(self.high, other.high), self.mean + gap * (other.n / n),
+                      self.m2 + other.m2 + gap * gap * (self.n / n * other.n))
+
+
+def _spread(x: np.ndarray, lams: np.ndarray, kind: str) -> Spread | None:
+    """The spread of a block of values; missing ones, and for Box-Cox those that are not positive, are left out."""
+    x = x[x > 0] if kind == "box-cox" else x[~np.isnan(x)]
+    if not x.size:
+        return None
+    size = np.log(x) if kind == "box-cox" else np.log1p(np.abs(x))
+    sign = np.ones(len(x)) if kind == "box-cox" else np.where(x >= 0, 1.0, -1.0)
+    t = np.empty((len(lams), len(x)))
+    for side, powers in ((sign > 0, lams), (sign < 0, 2 - lams)):
+        if side.any():
+            p, u = np.where(np.abs(powers) < 1e-12, 1.0, powers)[:, None], size[side]
+            t[:, side] = np.where(np.abs(powers)[:, None] < 1e-12, u, np.expm1(p * u) / p)
+    t *= sign
+    mean = t.mean(axis=1)
+    return Spread(len(x), float((sign * size).sum()), float(x.min()), float(x.max()), mean, ((t - mean[:, None]) ** 2).sum(axis=1))
+
+
+def _spreads(data: DataFrame, places: Sequence[int], lams: np.ndarray, kind: str) -> dict[int, Spread]:
+    """The :class:`Spread` of each column of ``places`` under its row of ``lams``, in one pass.  A task sends one row a
+    column; blocks and tasks are merged pairwise, so large means cost no digits."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, Spread] = {}
+        with np.errstate(all="ignore"):  # a power that overflows has no finite likelihood
+            for batch in batches:
+                for i, c in enumerate(places):
+                    x = batch.column(c).to_numpy(zero_copy_only=False)
+                    for at in range(0, len(x), BLOCK_ROWS):
+                        s = _spread(x[at : at + BLOCK_ROWS].astype(np.float64), lams[i], kind)
+                        if s is not None:
+                            total[i] = total[i] + s if i in total else s
+        rows = [(i, s.n, s.slope, s.low, s.high, s.mean.tolist(), s.m2.tolist()) for i, s in total.items()]
+        kinds = [pa.int32(), pa.int64(), *[pa.float64()] * 3, *[pa.list_(pa.float64())] * 2]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)],
+                                         ["i", "n", "slope", "low", "high", "mean", "m2"])
+
+    out: dict[int, Spread] = {}
+    with np.errstate(all="ignore"):
+        for r in data.mapInArrow(add, "i int, n long, slope double, low double, high double, mean array<double>, m2 array<double>").collect():
+            s = Spread(r["n"], r["slope"], r["low"], r["high"], np.array(r["mean"]), np.array(r["m2"]))
+            out[r["i"]] = out[r["i"]] + s if r["i"] in out else s
+    return out
+
+
 def fit_lambdas(df: DataFrame, cols: Sequence[str], kind: str = "yeo-johnson", lo: float = -5.0, hi: float = 5.0,
                 points: int = 25, rounds: int = 3) -> dict[str, float | None]:
     """Maximum-likelihood lambda of every column; None where no lambda has a finite likelihood.
 
-    All columns and all lambdas of a round share one aggregate, so the number of jobs does not grow with the
+    All columns and all lambdas of a round share one pass over the cached values, so the number of jobs does not grow with the
     columns: each column has its own range, which a round narrows to the two steps around its best point, or
-    widens where that lies on the border.  The last round's best three points give the summit.  Variances are
-    Spark's (shifted, merged pairwise), so large means cost no digits.  Missing values, and for Box-Cox values
-    that are not positive, are left out of the likelihood.
+    widens where that lies on the border.  The last round's best three points give the summit.  Missing values, and
+    for Box-Cox values that are not positive, are left out of the likelihood.
     """
+    if not cols:
+        return {}
     ranges = {c: (lo, hi) for c in cols}
     left = dict.fromkeys(cols, rounds)
     out: dict[str, float | None] = {}
-    while len(out) < len(cols):
-        todo = [c for c in cols if c not in out]
-        data = _long(df, todo)
-        x = F.col("x")
-        if kind == "box-cox":
-            data, slope = data.where(x > 0), F.avg(F.log(x))
-        else:
-            slope = F.avg(F.signum(x) * F.log1p(F.abs(x)))
-        start = _by_column([ranges[c][0] for c in todo])
-        step = _by_column([(ranges[c][1] - ranges[c][0]) / (points - 1) for c in todo])
-        rows = {r["c"]: r for r in data.groupBy("c").agg(
-            slope.alias("slope"), (F.min(x) < F.max(x)).alias("varies"), *[F.var_pop(_power(kind, x, start + step * i)).alias(f"v{i}") for i in range(points)]).collect()}
-        for i, c in enumerate(todo):
-            low, high = ranges[c]
-            grid = [low + (high - low) / (points - 1) * j for j in range(points)]
-            scores = [-math.inf] * points
-            if i in rows and rows[i]["varies"]:  # the variance of equal values may be a rounding error above 0
-                spread = [rows[i][f"v{j}"] for j in range(points)]
-                scores = [-math.log(v) / 2 + (lam - 1) * rows[i]["slope"] if v is not None and math.isfinite(v) and v > 0 else -math.inf
-                          for lam, v in zip(grid, spread)]
-            best = max(range(points), key=scores.__getitem__)
-            if scores[best] == -math.inf:
-                out[c] = None
-            elif best in (0, points - 1) and high - low < MAX_BRACKET:
-                ranges[c] = grid[best] - (high - low), grid[best] + (high - low)  # the optimum may lie outside
-            elif left[c] == 1:
-                out[c] = _peak(grid, scores)
-            else:
-                left[c] -= 1
-                ranges[c] = grid[best] - (grid[1] - grid[0]), grid[best] + (grid[1] - grid[0])
+    data = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        while len(out) < len(cols):
+            todo = [c for c in cols if c not in out]
+            grids = [[ranges[c][0] + (ranges[c][1] - ranges[c][0]) / (points - 1) * j for j in range(points)] for c in todo]
+            found = _spreads(data, [cols.index(c) for c in todo], np.array(grids), kind)
+            for i, c in enumerate(todo):
+                (low, high), grid = ranges[c], grids[i]
+                scores = [-math.inf] * points
+                if i in found and found[i].low < found[i].high:  # the variance of equal values may be a rounding error above 0
+                    slope = found[i].slope / found[i].n
+                    scores = [-math.log(v) / 2 + (lam - 1) * slope if math.isfinite(v) and v > 0 else -math.inf
+                              for lam, v in zip(grid, (found[i].m2 / found[i].n).tolist())]
+                best = max(range(points), key=scores.__getitem__)
+                if scores[best] == -math.inf:
+                    out[c] = None
+                elif best in (0, points - 1) and high - low < MAX_BRACKET:
+                    ranges[c] = grid[best] - (high - low), grid[best] + (high - low)  # the optimum may lie outside
+                elif left[c] == 1:
+                    out[c] = _peak(grid, scores)
+                else:
+                    left[c] -= 1
+                    ranges[c] = grid[best] - (grid[1] - grid[0]), grid[best] + (grid[1] - grid[0])
+    finally:
+        data.unpersist()
     return out
 
 
