@@ -109,18 +109,37 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+def long_form(df: DataFrame, cols: Sequence[str], *keep: Column) -> DataFrame:
+    """(i, x) and ``keep``: a row per value, ``i`` the column's position.  Only ever aggregated by ``i``, so it is
+    combined before the shuffle to one row a column and task, and the generated code has one size for any number of columns."""
+    return df.select(*keep, F.inline(F.array(*[F.struct(F.lit(i).alias("i"), col(c).cast("double").alias("x")) for i, c in enumerate(cols)])))
+
+
+def correlations(df: DataFrame, target: str, features: Sequence[str]) -> list[float | None]:
+    """:func:`correlation` of every feature with the target, in one pass; the driver receives a number a feature."""
+    if not features:
+        return []
+    x, y = F.when(F.col("_y").isNotNull(), F.col("x")), F.when(F.col("x").isNotNull(), F.col("_y").cast("double"))
+    # partial means of equal values may differ by a rounding error, whose correlation is noise
+    varies = [(F.min(v) < F.max(v)) | F.isnan(F.max(v)) for v in (x, y)]
+    pairs = long_form(df, features, col(target).alias("_y")).groupBy("i").agg(
+        F.when(varies[0] & varies[1], correlation(F.col("x"), F.col("_y"))).alias("c"))
+    found = {r["i"]: r["c"] for r in pairs.collect()}
+    return [found.get(i) for i in range(len(features))]
+
+
 def leakage_correlation(train: DataFrame, target: str, features: Sequence[str], test: DataFrame | None = None,
                         threshold: float = 0.99, max_features: int | None = None) -> DataFrame:
     """|corr(feature, target)| above ``threshold`` is suspicious; a feature missing in
     test is an error.  ``max_features`` caps how many are checked (the reference checks 20)."""
     feats = list(features)[:max_features] if max_features else list(features)
-    a = train.agg(*[correlation(col(f), col(target)).alias(f"c{i}") for i, f in enumerate(feats)])
+    known = correlations(train, target, feats)
     # an undefined correlation (a constant or infinite feature) is no sign of a leak
-    rows = [_row("leakage_corr", f, F.coalesce(F.abs(F.nanvl(F.col(f"c{i}"), F.lit(0.0))) <= threshold, F.lit(True)),
-                 F.round(F.col(f"c{i}"), 6)) for i, f in enumerate(feats)]
+    rows = [_row("leakage_corr", f, F.coalesce(F.abs(F.nanvl(c, F.lit(0.0))) <= threshold, F.lit(True)), F.round(c, 6))
+            for f, c in ((f, F.lit(v).cast("double")) for f, v in zip(feats, known))]
     if test is not None:
         rows += [_row("feature_in_test", f, F.lit(f in test.columns), F.lit(None)) for f in feats]
-    return _table(a, rows)
+    return _table(train.sparkSession.range(1), rows)
 
 
 def null_counts(df: DataFrame, cols: Iterable[str] | None = None, check: str = "nulls") -> DataFrame:
@@ -149,30 +168,31 @@ def feature_sanity(df: DataFrame, cols: Sequence[str], area_cols: Sequence[str]
                    sigmas: float = 5.0, max_share: float = 0.01) -> DataFrame:
     """Non-finite values, share beyond ``sigmas`` std over ``max_share``, negative areas,
     ages outside [0, 200].  Pass 1: mean/std; pass 2: conditional counts."""
-    st = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                *[F.stddev_samp(col(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    n = st["_n"]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = col(c).cast("double")
-        aggs.append(F.sum(F.when(F.isnan(x) | (F.abs(x) == float("inf")), 1).otherwise(0)).alias(f"nf{i}"))
-        m, s = st[f"m{i}"], st[f"s{i}"]
-        if m is not None and s:
-            aggs.append(F.sum(F.when(F.abs(x - m) > sigmas * s, 1).otherwise(0)).alias(f"o{i}"))
-        else:
-            aggs.append(F.lit(0).alias(f"o{i}"))
-    for j, c in enumerate(area_cols):
-        aggs.append(F.sum(F.when(col(c) < 0, 1).otherwise(0)).alias(f"neg{j}"))
-    for j, c in enumerate(age_cols):
-        aggs.append(F.sum(F.when((col(c) < 0) | (col(c) > 200), 1).otherwise(0)).alias(f"age{j}"))
-    a = df.agg(*aggs)
+    st = {r["i"]: r for r in long_form(df, cols).groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).collect()} if cols else {}
+    n = st[0]["n"] if st else 0
+    spread = [(st[i]["m"], st[i]["s"]) if i in st and st[i]["m"] is not None and st[i]["s"] else (None, None) for i in range(len(cols))]
+
+    def own(values: list[float | None]) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast("double") for v in values]), F.col("i") + 1)
+
+    found = {}
+    if st:
+        x = F.col("x")
+        far = F.abs(x - own([m for m, _ in spread])) > sigmas * own([s for _, s in spread])
+        found = {r["i"]: r for r in long_form(df, cols).groupBy("i").agg(
+            F.sum(F.when(F.isnan(x) | (F.abs(x) == float("inf")), 1).otherwise(0)).alias("nf"),
+            F.sum(F.when(far, 1).otherwise(0)).alias("o")).collect()}
     rows = []
     for i, c in enumerate(cols):
-        rows.append(_row("finite", c, F.col(f"nf{i}") == 0, F.col(f"nf{i}")))
-        rows.append(_row("outliers_5sigma", c, F.col(f"o{i}") <= F.lit(max_share * n), F.col(f"o{i}")))
+        nf, o = F.lit(found[i]["nf"] if i in found else None).cast("long"), F.lit(found[i]["o"] if i in found else 0).cast("long")
+        rows.append(_row("finite", c, nf == 0, nf))
+        rows.append(_row("outliers_5sigma", c, o <= F.lit(max_share * n), o))
+    aggs = [F.sum(F.when(col(c) < 0, 1).otherwise(0)).alias(f"neg{j}") for j, c in enumerate(area_cols)]
+    aggs += [F.sum(F.when((col(c) < 0) | (col(c) > 200), 1).otherwise(0)).alias(f"age{j}") for j, c in enumerate(age_cols)]
     rows += [_row("non_negative_area", c, F.col(f"neg{j}") == 0, F.col(f"neg{j}")) for j, c in enumerate(area_cols)]
     rows += [_row("age_in_range", c, F.col(f"age{j}") == 0, F.col(f"age{j}")) for j, c in enumerate(age_cols)]
-    return _table(a, rows)
+    return _table(df.agg(*aggs) if aggs else df.sparkSession.range(1), rows)
 
 
 def fold_validity(df: DataFrame, key: str, fold: str, k: int) -> DataFrame:

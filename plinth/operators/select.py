@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.operators.features import col
-from plinth.operators.quality import correlation
+from plinth.operators.quality import correlations
 
 # The reference's method weights for combining importances.
 DEFAULT_WEIGHTS = {"xgboost": 2.0, "lightgbm": 2.0, "catboost": 2.0, "shap": 1.5, "correlation": 1.0, "lasso": 1.5}
@@ -23,13 +23,10 @@ DEFAULT_WEIGHTS = {"xgboost": 2.0, "lightgbm": 2.0, "catboost": 2.0, "shap": 1.5
 
 def correlation_importance(df: DataFrame, target: str, features: Sequence[str], floor: float = 0.01,
                            method: str = "correlation") -> DataFrame:
-    """``max(|corr(feature, target)|, floor)`` for every feature in one aggregate."""
-    a = df.agg(*[correlation(col(f), col(target)).alias(f"c{i}") for i, f in enumerate(features)])
-    stack = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"c{i}").alias("corr"))
-                                for i, f in enumerate(features)]))
-    out = a.select(stack.alias("s")).select("s.*")
-    return out.select("feature", F.lit(method).alias("method"),
-                      F.greatest(F.abs(F.coalesce("corr", F.lit(0.0))), F.lit(floor)).alias("score"))
+    """``max(|corr(feature, target)|, floor)`` for every feature in one pass."""
+    rows = [(f, method, c) for f, c in zip(features, correlations(df, target, features))]
+    out = df.sparkSession.createDataFrame(rows, "feature string, method string, corr double")
+    return out.select("feature", "method", F.greatest(F.abs(F.coalesce("corr", F.lit(0.0))), F.lit(floor)).alias("score"))
 
 
 def combine_scores(scores: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
