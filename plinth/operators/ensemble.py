@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.sizing import broadcast_if_small
+from plinth.functions.sizing import broadcast_if_small, hold
 from plinth.operators.features import bounded_inverse, col
 
 
@@ -144,26 +144,29 @@ def oof_predictions(data: DataFrame, factories: Mapping[str, object], key: str,
                     test: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Out-of-fold predictions of every base model (wide, ``pred_<model>``) and, for the
     test rows, the mean of the k fold models' predictions."""
-    from plinth.operators.models import _estimator
-
-    folds = [r[0] for r in data.select(fold).distinct().orderBy(fold).collect()]
-    oof_parts, test_parts = [], []
-    for name, factory in factories.items():
-        for k in folds:
-            train = data.where(col(fold) != k)
-            m = _estimator(factory, train).fit(train)
-            oof_parts.append(m.transform(data.where(col(fold) == k)).select(
-                col(key), F.lit(name).alias("model"), F.col("prediction").alias("pred")))
-            if test is not None:
-                test_parts.append(m.transform(test).select(col(key), F.lit(name).alias("model"),
-                                                           F.lit(k).alias("_k"), F.col("prediction").alias("pred")))
+    from plinth.operators.models import fit_folds, is_cached
+
     names = list(factories)
-    oof = _union(oof_parts).groupBy(col(key)).pivot("model", names).agg(F.first("pred"))
-    oof = oof.select(col(key), *[col(n).alias(f"pred_{n}") for n in names])
+    data = data if is_cached(data) else hold(data)
+    models = fit_folds(data, factories, fold)
+    folds = list(dict.fromkeys(k for _, k in models))
+
+    def beside(df: DataFrame, units: Sequence[tuple]) -> DataFrame:
+        """The predictions of some models as columns ``_p0``, ``_p1``, ...: no row is copied."""
+        for i, u in enumerate(units):
+            df = models[u].transform(df).withColumnRenamed("prediction", f"_p{i}")
+        return df
+
+    # rows keep their place: one shuffle of the finished rows makes one row of repeated keys
+    parts = [beside(data.where(col(fold) == k), [(n, k) for n in names])
+             .select(col(key), *[F.col(f"_p{i}").alias(f"pred_{n}") for i, n in enumerate(names)]) for k in folds]
+    oof = _union(parts).groupBy(col(key)).agg(*[F.first(col(f"pred_{n}")).alias(f"pred_{n}") for n in names])
     tst = None
     if test is not None:
-        tst = _union(test_parts).groupBy(col(key)).pivot("model", names).agg(F.avg("pred"))
-        tst = tst.select(col(key), *[col(n).alias(f"pred_{n}") for n in names])
+        units = [(n, k) for n in names for k in folds]
+        mean = [sum(F.col(f"_p{units.index((n, k))}") for k in folds) / len(folds) for n in names]
+        wide = beside(test, units).select(col(key), *[m.alias(f"_m{i}") for i, m in enumerate(mean)])
+        tst = wide.groupBy(col(key)).agg(*[F.avg(f"_m{i}").alias(f"pred_{n}") for i, n in enumerate(names)])
     return oof, tst
 
 

@@ -24,10 +24,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plinth.functions.sizing import hold
 from plinth.operators.features import col
 
 
@@ -85,18 +87,37 @@ def _estimator(factory: Callable, train: DataFrame):
     return factory(train) if needed else factory()
 
 
+#: Fits of a cross-validation that run at a time.
+FIT_THREADS = 4
+
+
+def is_cached(df: DataFrame) -> bool:
+    return df.storageLevel != StorageLevel.NONE
+
+
+def fit_folds(data: DataFrame, factories: Mapping[str, Callable], fold: str = "fold") -> dict[tuple, object]:
+    """The fitted model of every (name, fold ``k``), on the rows with ``fold != k``.  ``data`` should be cached: every fit reads
+    it several times.  The fits are independent and run from a small pool of driver threads."""
+    folds = [r[0] for r in data.select(fold).distinct().orderBy(fold).collect()]  # k values
+
+    def fit(unit):
+        name, k = unit
+        train = data.where(col(fold) != k)
+        return _estimator(factories[name], train).fit(train)
+
+    units = [(name, k) for name in factories for k in folds]
+    with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+        return dict(zip(units, pool.map(inheritable_thread_target(data.sparkSession)(fit), units)))
+
+
 def cv_predictions(data: DataFrame, factory: Callable, fold: str = "fold", key: str | None = None) -> DataFrame:
     """Out-of-fold predictions: for each fold ``k`` fit on ``fold != k`` and predict ``fold == k``.
 
     ``factory(train)`` (or ``factory()``) returns an unfitted estimator.  One fit
-    per fold; the union of the validation parts is the OOF table.
+    per fold; the union of the validation parts is the OOF table.  Fits and predictions read ``data`` from a cache.
     """
-    folds = [r[0] for r in data.select(fold).distinct().orderBy(fold).collect()]  # k values
-    parts = []
-    for k in folds:
-        train = data.where(col(fold) != k)
-        model = _estimator(factory, train).fit(train)
-        parts.append(model.transform(data.where(col(fold) == k)))
+    data = data if is_cached(data) else hold(data)
+    parts = [m.transform(data.where(col(fold) == k)) for (_, k), m in fit_folds(data, {"": factory}, fold).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -126,8 +147,15 @@ def cv_fold_rmse(data: DataFrame, factory: Callable, k, fold: str = "fold", **kw
 
 def cv_rmse(data: DataFrame, factory: Callable, fold: str = "fold", **kw) -> tuple[float, float]:
     """Mean and (population) std of the per-fold RMSE."""
-    per = fold_rmse(cv_predictions(data, factory, fold), fold, **kw)
-    r = per.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
+    kept = not is_cached(data)
+    if kept:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        per = fold_rmse(cv_predictions(data, factory, fold), fold, **kw)
+        r = per.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
+    finally:
+        if kept:
+            data.unpersist()
     return float(r["m"]), float(r["s"] or 0.0)
 
 

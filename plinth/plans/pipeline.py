@@ -213,7 +213,7 @@ def ensemble(spark: SparkSession, train: DataFrame, test: DataFrame, features: S
 
     tr = folds.stratified_kfold(train, KEY, TARGET, 5, 10, 42).withColumn("label", F.col(TARGET))
     bases = {"ridge": mo.linear_factory("ridge", 10.0), "lasso": mo.linear_factory("lasso", 1e-3)}
-    oof, tst = ens.oof_predictions(mo.assemble(tr, features), bases, KEY, "fold", mo.assemble(test, features))
+    oof, tst = ens.oof_predictions(mo.assemble(tr, features).select(KEY, "fold", "features", "label"), bases, KEY, "fold", mo.assemble(test, features))
     oof = oof.join(tr.select(KEY, TARGET), KEY)
     if method == "stack":
         _, pred = ens.stack_meta(oof, tst, list(bases), TARGET, KEY, alpha=0.1)

@@ -175,7 +175,7 @@ def j01_ridge_fit_predict(spark, d):
 @register("j02_ols_cv")
 def j02_ols_cv(spark, d):
     train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
+    data = mo.assemble(train, MODEL_FEATS).select("features", "label", "fold")
     preds = mo.cv_predictions(data, mo.linear_factory("ols"), "fold")
     return mo.fold_rmse(preds, real_space=True, clip=(0.0, 15.0))
 
@@ -213,7 +213,7 @@ def j05_elasticnet_grid(spark, d):
 @register("j06_random_forest_cv")
 def j06_random_forest_cv(spark, d):
     train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
+    data = mo.assemble(train, MODEL_FEATS).select("features", "label", "fold")
     m, s = mo.cv_rmse(data, lambda: mo.make_tree("rf", **RF))
     return _cv_table(spark, [("random_forest", str(RF), m, s)])
 
@@ -221,7 +221,7 @@ def j06_random_forest_cv(spark, d):
 @register("j07_gbt_cv")
 def j07_gbt_cv(spark, d):
     train, _ = model_frame(spark, d)
-    data = mo.assemble(train, MODEL_FEATS)
+    data = mo.assemble(train, MODEL_FEATS).select("features", "label", "fold")
     rows = []
     for loss in ("squared", "absolute"):
         m, s = mo.cv_rmse(data, lambda loss=loss: mo.make_tree("gbt", lossType=loss, **GBT))
@@ -336,8 +336,8 @@ def _base_models():
 @register("k05_oof_predictions")
 def k05_oof_predictions(spark, d):
     train, test = model_frame(spark, d)
-    oof, tst = ens.oof_predictions(mo.assemble(train, MODEL_FEATS), _base_models(), "okey", "fold",
-                                   mo.assemble(test, MODEL_FEATS))
+    data = mo.assemble(train, MODEL_FEATS).select("okey", "fold", "features", "label")
+    oof, tst = ens.oof_predictions(data, _base_models(), "okey", "fold", mo.assemble(test, MODEL_FEATS))
     return oof.select(F.lit("oof").alias("part"), "*").unionByName(tst.select(F.lit("test").alias("part"), "*"))
 
 
@@ -356,8 +356,8 @@ def k06_cached_oof(spark, d):
 @register("k07_stacking_meta")
 def k07_stacking_meta(spark, d):
     train, test = model_frame(spark, d)
-    oof, tst = ens.oof_predictions(mo.assemble(train, MODEL_FEATS), _base_models(), "okey", "fold",
-                                   mo.assemble(test, MODEL_FEATS))
+    data = mo.assemble(train, MODEL_FEATS).select("okey", "fold", "features", "label")
+    oof, tst = ens.oof_predictions(data, _base_models(), "okey", "fold", mo.assemble(test, MODEL_FEATS))
     oof = oof.join(train.select("okey", "y"), "okey")
     _, pred = ens.stack_meta(oof, tst, list(_base_models()), "y", "okey", alpha=0.1)
     return pred
