@@ -91,10 +91,30 @@ def _estimator(factory: Callable, train: DataFrame):
 FIT_THREADS = 4
 
 
+#: Rows of a partition that the tasks of a fit read.
+FIT_ROWS, LEAST_FIT_ROWS = 50_000, 1_000
+
+
 def is_cached(df: DataFrame) -> bool:
     return df.storageLevel != StorageLevel.NONE
 
 
+def even_cache(df: DataFrame) -> DataFrame:
+    """``df`` cached in even partitions, as many as its rows fill or, if these are fewer, as the session has cores.
+
+    A fit runs some twenty jobs over its rows, and a job starts a task a partition: a table that comes out of a shuffle by few
+    keys has mostly empty ones, which cost more than the rows.  The caller releases the result."""
+    first = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = first.count()
+        parts = max(1, -(-n // FIT_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_FIT_ROWS)))
+        even = first.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        even.count()
+    finally:
+        first.unpersist()
+    return even
+
+
 def fit_folds(data: DataFrame, factories: Mapping[str, Callable], fold: str = "fold") -> dict[tuple, object]:
     """The fitted model of every (name, fold ``k``), on the rows with ``fold != k``.  ``data`` should be cached: every fit reads
     it several times.  The fits are independent and run from a small pool of driver threads."""

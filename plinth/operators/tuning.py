@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.operators.models import cv_fold_rmse, sample_space
+from plinth.operators.models import cv_fold_rmse, even_cache, sample_space
 
 COMPLETE, CUT, STOPPED = "complete", "cut", "stopped"
 #: Seconds between two cancellations after the deadline: a fit may start one more job just after the first.
@@ -105,7 +105,7 @@ def rung_search(data: DataFrame, space: Mapping[str, object], make: Callable[[Ma
         raise ValueError("eta must be at least 2")
     context = data.sparkSession.sparkContext
     start = time.monotonic()
-    data = data.persist()
+    data = even_cache(data)
     try:
         folds = [r[0] for r in data.where(F.col(fold).isNotNull()).select(fold).distinct().orderBy(fold).collect()]  # k values
         everything = [Trial(i, p) for i, p in enumerate(sample_space(space, trials, seed))]

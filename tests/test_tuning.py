@@ -119,3 +119,19 @@ def test_search_finds_the_better_model(spark):
     found = tuning.rung_search(data, {"alpha": [0.0, 50.0]}, lambda p: mo.linear_factory("lasso", p["alpha"]), 2, threads=2, eta=2)
     assert found[0].params == {"alpha": 0.0} and found[0].state == "complete" and found[0].rmse < 0.01
     assert found[1].state == "cut" and len(found[1].scores) == 1
+
+
+def test_fits_read_few_even_partitions(spark, monkeypatch):
+    rows = spark.range(4000).select((F.col("id") % 5).alias("fold"), F.col("id").cast("double").alias("x"), F.rand(3).alias("label"))
+    uneven = mo.assemble(rows, ["x"]).select("features", "label", "fold").repartition(60, "fold")
+    seen = []
+
+    def fit(data, factory, k, fold="fold", **kw):
+        sizes = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((data.rdd.getNumPartitions(), sum(sizes), max(sizes)))
+        return 0.0
+
+    monkeypatch.setattr(tuning, "cv_fold_rmse", fit)
+    tuning.rung_search(uneven, SPACE, lambda p: (lambda: p), trials=1, seed=1, threads=1)
+    most = spark.sparkContext.defaultParallelism
+    assert seen and all(parts <= most and n == 4000 and largest <= 2 * 4000 / parts for parts, n, largest in seen)
