@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.text import SPACE, Texts, chunks, field, small_side, span_hashes, sums, windows
+from plinth.llm.text import FILTER_BYTES, SPACE, Texts, chunks, field, small_side, span_hashes, sums, windows
 
 GRAM = 5
 BITS = 17
@@ -179,7 +179,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     ratio = fit(docs, labels)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=FILTER_BYTES):
             yield batch.filter(pa.array(measure(field(batch, "text"), ratio, threshold)["kept"]))
 
     return docs.mapInArrow(rows, docs.schema)

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1_000_000
+#: Bytes of text that a filter of documents measures at a time; it needs some 50 times as much for a moment.
+FILTER_BYTES = 250_000
+#: Bytes of an Arrow batch of documents between the JVM and a Python worker; each side holds one or two a task.
+BATCH_BYTES = 4 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -30,7 +34,9 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def worker_path(spark) -> None:
-    """Let Python workers import this package also when the driver's working folder is another one."""
+    """Let Python workers import this package also when the driver's working folder is another one, and bound the bytes of
+    the batches that they are sent (the session's bound on their rows lets whole documents add up)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.text import Texts, chunks, field, small_side, span_hashes
+from plinth.llm.text import FILTER_BYTES, Texts, chunks, field, small_side, span_hashes
 from plinth.llm.transducer import Transducer, countdown
 
 SYMBOLS = "OITPNQ"
@@ -307,7 +307,7 @@ def kept_documents(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=FILTER_BYTES):
             yield batch.filter(pa.array(model.score(field(batch, "text")) < 0.5))
 
     return docs.mapInArrow(rows, docs.schema)

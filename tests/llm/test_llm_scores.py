@@ -3,11 +3,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import MEDIUM, SMALL, documents, fold, frame, labels, lower, session, words  # noqa: F401
+from pyspark.sql import functions as F
 
 from plinth.llm import ngram_lm, quality, resample, toxicity
 from plinth.llm.elias_fano import EliasFano, Level, from_buffer, to_bytes
+from plinth.llm.text import BATCH_BYTES
 from plinth.llm.transducer import Transducer, countdown
 
 
@@ -293,3 +296,9 @@ def test_language_model_keeps_its_files(session, tmp_path):
 def test_language_model_beats_the_base_on_held_out_text(session):
     got = [r for r in ngram_lm.op4_ngram_lm(session, MEDIUM).collect() if r["held_out"]]
     assert sum(r["score"] for r in got) > 0.75 * sum(r["base_score"] for r in got)
+
+
+def test_batches_of_documents_are_bounded_by_bytes(session):
+    docs = session.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+    assert sum(r["n"] for r in sizes) >= 30_000_000 and max(r["n"] for r in sizes) <= BATCH_BYTES + 200_000
