@@ -80,6 +80,15 @@ def _unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _squeeze_sorted(hashes: np.ndarray) -> bytes:
+    """Ascending 64-bit hashes by their distances, whose upper bytes are mostly 0."""
+    return _squeeze(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def _unsqueeze_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unsqueeze(data)[0].view(np.uint64), dtype=np.uint64)
+
+
 def _binary(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())
 
@@ -105,7 +114,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             own = np.bincount(token, weights=np.repeat(learn, size), minlength=vocabulary.size).astype(np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array([task | number]), pa.array([ids], pa.list_(pa.int64())), pa.array([int(size.sum())]),
-                 pa.array([int(learn.sum())]), _binary([vocabulary.tobytes()]), _binary([_squeeze(own)]),
+                 pa.array([int(learn.sum())]), _binary([_squeeze_sorted(vocabulary)]), _binary([_squeeze(own)]),
                  _binary([_squeeze(size, learn.astype(np.int64), token)])],
                 ["block", "doc_ids", "tokens", "train_docs", "words", "counts", "body"])
 
@@ -144,18 +153,18 @@ def word_counts(table: DataFrame, parts: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = np.frombuffer(field(batch, "words")[i].as_buffer(), np.uint64)
+                words = _unsqueeze_sorted(field(batch, "words")[i].as_py())
                 (own,) = _unsqueeze(field(batch, "counts")[i].as_py())
                 cut = np.searchsorted(word_part(words, parts), np.arange(parts + 1))
                 used = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used.astype(np.int32)), pa.array([field(batch, "block")[i].as_py()] * used.size, pa.int64()),
-                     _binary([words[cut[p] : cut[p + 1]].tobytes() for p in used]),
+                     _binary([_squeeze_sorted(words[cut[p] : cut[p + 1]]) for p in used]),
                      _binary([_squeeze(own[cut[p] : cut[p + 1]]) for p in used])], ["part", "block", "words", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         part = group["part"][0].as_py()
-        words = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["words"].combine_chunks()]
+        words = [_unsqueeze_sorted(x) for x in group["words"].to_pylist()]
         own = [_unsqueeze(x)[0] for x in group["counts"].to_pylist()]
         word, place = np.unique(np.concatenate(words), return_inverse=True)
         count = np.bincount(place, weights=np.concatenate(own)).astype(np.int64)
@@ -198,6 +207,14 @@ class Unigrams:
 # 2. requests
 
 
+def _by_word(w: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The code of each distinct word, in the order of the words: a word's code is the same wherever it stands."""
+    own, place = np.unique(w, return_inverse=True)
+    out = np.empty(own.size, code.dtype)
+    out[place] = code
+    return out
+
+
 def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame:
     """(shard, block, kind, body): tokens with their contexts for the shards, and one row of plain sums a block."""
     shards = words.shards
@@ -252,7 +269,7 @@ def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame
                 if o.size or q.size:
                     r = row[q]
                     out.append((s, number_block, 0, _squeeze(
-                        np.diff(key[o], prepend=0), u[o], w[o], code[o], doc[o] * 2 + learn[o],
+                        np.diff(key[o], prepend=0), u[o], w[o], _by_word(w[o], code[o]), doc[o] * 2 + learn[o],
                         np.diff(hot_key[q], prepend=0), pair[r] % wide, n[r], code[hot[at]][r])))
         return pa.table({"shard": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([x[1] for x in out], pa.int64()),
                          "kind": pa.array([x[2] for x in out], pa.int32()), "body": _binary([x[3] for x in out])})
@@ -266,20 +283,21 @@ def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame
 
 def build_trie(key: np.ndarray, u: np.ndarray, w: np.ndarray, chance: np.ndarray, hot: tuple[np.ndarray, ...]) -> list[np.ndarray]:
     """The levels of a shard from its training tokens and the two-gram counts (key, w, n, chance) of split contexts."""
-    whole = ~np.isin(key, hot[0])
     size = int(max(w.max(initial=0), hot[1].max(initial=0))) + 1
     # every part of a split start has all its two-grams, which are its three-grams too; its keys come first
     begun = np.unique(hot[0][hot[0] >> _PARTS == _START])
     names = np.union1d(key, begun)
     place = np.searchsorted(names, key)
+    whole = ~np.isin(names, hot[0])[place]
     # two-grams of contexts that are not here at all come with split contexts; their keys hold no token
     known = np.isin(hot[0], names)
     hot_key, hot_w, hot_n, hot_chance = (x[known] for x in hot)
     cell = np.concatenate([place[whole] * size + w[whole], np.searchsorted(names, hot_key) * size + hot_w])
     n = np.concatenate([np.ones(int(whole.sum()), np.int64), hot_n])
-    pair, at, inverse = np.unique(cell, return_index=True, return_inverse=True)
+    pair, inverse = np.unique(cell, return_inverse=True)
     n2 = np.bincount(inverse, weights=n, minlength=pair.size)
-    p1 = np.concatenate([chance[whole], hot_chance])[at]
+    p1 = np.empty(pair.size)
+    p1[inverse] = np.concatenate([chance[whole], hot_chance])  # a word's probability is the same in all its rows
     context, word = pair // size, pair % size
     first = np.searchsorted(context, np.arange(names.size + 1))
     total, kinds = np.bincount(context, weights=n2, minlength=names.size), np.diff(first)
@@ -368,7 +386,8 @@ def shard_scores(asked: DataFrame, folder: str, keep: bool) -> DataFrame:
         del bodies
         if plain:
             key, hot_key = ([np.cumsum(c[j]) for _, c in plain] for j in (0, 5))
-            u, w, code, doc = (np.concatenate([c[j] for _, c in plain]) for j in (1, 2, 3, 4))
+            u, w, doc = (np.concatenate([c[j] for _, c in plain]) for j in (1, 2, 4))
+            code = np.concatenate([c[3][np.unique(c[2], return_inverse=True)[1]] for _, c in plain])
             hot = [np.concatenate([c[j] for _, c in plain]) for j in (6, 7, 8)]
             ends = np.cumsum([k.size for k in key])
             key, plain, names = np.concatenate(key), [name for name, _ in plain], None

@@ -298,6 +298,19 @@ def test_language_model_beats_the_base_on_held_out_text(session):
     assert sum(r["score"] for r in got) > 0.75 * sum(r["base_score"] for r in got)
 
 
+def test_language_model_sends_a_word_and_its_probability_once_a_message(session):
+    rng = random.Random(8)
+    docs = session.createDataFrame([(i, " ".join(f"y{int(rng.paretovariate(0.7)) % 5000}" for _ in range(400))) for i in range(100)], "doc_id long, text string")
+    table = ngram_lm.blocks(docs.coalesce(1))
+    (block,) = table.collect()
+    hashes = ngram_lm._unsqueeze_sorted(bytes(block["words"]))
+    assert (np.diff(hashes) > 0).all() and len(block["words"]) < 7.5 * hashes.size
+    words_of = ngram_lm.Unigrams(5000, block["tokens"], 100, 100, block["train_docs"], 3)
+    for r in ngram_lm.requests(table, ngram_lm.word_counts(table, 3), words_of).where("kind = 0").select("body").collect():
+        word, code = ngram_lm._unsqueeze(bytes(r["body"]))[2:4]
+        assert code.size == np.unique(word).size < word.size
+
+
 def test_batches_of_documents_are_bounded_by_bytes(session):
     docs = session.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
     sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
