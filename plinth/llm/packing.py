@@ -33,9 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm import pieces
 from plinth.llm.graph import written
 from plinth.llm.pieces import PieceIds
-from plinth.llm.text import chunks, field
+from plinth.llm.text import chunks, column_bytes, field, span_hashes, sums
+from plinth.llm.words import WordIds, cut, joined, odd_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -53,8 +55,9 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordTokenizer(PieceIds):
     """ids of texts by a tokenizer of lower-cased words; the library sees each distinct word once per worker.
 
-    Text is cut at white space (no token crosses it).  Pieces of plain Latin text are cut into words by the tokenizer's
-    own word pattern, restricted to those letters; any other piece goes to the library whole.
+    Plain Latin texts of a column are cut into words by their bytes, and words are known by 64-bit hashes.  Any other text is cut
+    at white space (no token crosses it); its pieces of plain Latin text are cut into words by the tokenizer's own word
+    pattern, restricted to those letters, and any other piece goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -68,6 +71,55 @@ class WordTokenizer(PieceIds):
         self.ends = np.zeros(max(known.values()) + 1, bool)
         self.ends[[i for token, i in known.items() if token.endswith("</w>")]] = True
         super().__init__(path)
+        self.words = WordIds(pieces.CACHE_PIECES)
+
+    def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each); a null text is empty."""
+        data, off = column_bytes(col)
+        n = off.size - 1
+        buf = np.append(np.insert(data, off[:-1], 32), np.uint8(32))
+        begin = off + np.arange(1, n + 2)
+        odd = np.unique(np.searchsorted(begin, odd_bytes(buf), "right") - 1)
+        for i in odd.tolist():
+            buf[begin[i] : begin[i + 1] - 1] = 32
+        buf, starts, ends = cut(buf)
+        ids, size = self._plain(buf, starts, ends)
+        count = sums(size, np.searchsorted(starts, begin))
+        if odd.size:
+            other, own = self.encode([col[i].as_py() for i in odd.tolist()])
+            plain, count[odd] = ids, own
+            of_odd = np.zeros(n, bool)
+            of_odd[odd] = True
+            of_odd = np.repeat(of_odd, count)
+            ids = np.empty(of_odd.size, np.uint16)
+            ids[of_odd], ids[~of_odd] = other, plain
+        return ids, count
+
+    def _plain(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = span_hashes(buf, starts, ends)
+        entry = self.words.find(key)
+        new, at = np.unique(key[entry < 0], return_index=True)
+        if new.size:
+            where = np.flatnonzero(entry < 0)[at]
+            if self.words.room(new.size):
+                entry = self.words.find(key)
+                new, at = np.unique(key[entry < 0], return_index=True)
+                where = np.flatnonzero(entry < 0)[at]
+            for a in range(0, new.size, 20_000):
+                part = where[a : a + 20_000]
+                self.words.add(new[a : a + 20_000], *self._ids_of_spans(buf, starts[part], ends[part]))
+            lost = np.flatnonzero(entry < 0)
+            entry[lost] = self.words.find(key[lost])
+        self.words.used(entry)
+        return self.words.taken(entry)
+
+    def _ids_of_spans(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        texts = joined(buf, starts, ends, JOINED)
+        ids = np.concatenate([np.array(e.ids, np.uint16) for e in self._encoded(texts)])
+        to = np.flatnonzero(self.ends[ids]) + 1
+        if to.size != starts.size:
+            return self.ids_of(" ".join(texts).split())
+        return ids, np.diff(to, prepend=0)
 
     def split(self, text: str) -> list[str]:
         if "<|" not in text and not _OTHER.search(text):
@@ -129,7 +181,7 @@ def blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
         held, tokens = [], 0
         for batch in chunks(batches):
-            ids, n = tokenizer.encode([x or "" for x in field(batch, "text").to_pylist()])
+            ids, n = tokenizer.encode_column(field(batch, "text"))
             ends = np.cumsum(n)
             for doc, a, b in zip(field(batch, "doc_id").to_pylist(), ends - n, ends):
                 own = np.append(ids[a:b], np.uint16(end_id))

@@ -127,6 +127,24 @@ def test_word_ids_equal_the_library():
         assert ids[a:b].tolist() == want.ids, text
 
 
+def test_words_cut_by_bytes_equal_the_library():
+    import pyarrow as pa
+
+    tokenizer, lib = packing.WordTokenizer(public_tokenizers.path(packing.TOKENIZER)), library(packing.TOKENIZER)
+    rng = random.Random(4)
+    signs = "aAbZ'strevlmdSTREVLMD019\u00b2\u00bc\u00aa\u00b5\u00df\u00d7\u00c0\u00de\u00fe\u00ff\u0100\u012e\u012f\u0130<|>.,-#\x1c\x85\xa0\t\n  \u6f22"
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(1500)] + ["".join(rng.choices("'stremvld s't", k=20)) for _ in range(1500)]
+    texts += [None, "", "it's 'tis we've''s"] + [f"a{chr(c)}b {chr(c)} 1{chr(c)}'{chr(c)}s" for c in range(0x140)] + odd_texts(500)
+    ids, n = tokenizer.encode_column(pa.array(texts))
+    ends = np.cumsum(n)
+    for text, a, b, want in zip(texts, ends - n, ends, lib.encode_batch([t or "" for t in texts], add_special_tokens=False)):
+        assert ids[a:b].tolist() == want.ids, text
+    tokenizer.words = packing.WordIds(30)
+    for text in texts[:300]:
+        ids, _ = tokenizer.encode_column(pa.array([text, text]))
+        assert ids.tolist() == 2 * lib.encode(text or "", add_special_tokens=False).ids and tokenizer.words.n <= 40
+
+
 def test_index_scores_are_bm25():
     rng = np.random.default_rng(0)
     lengths = rng.integers(3, 30, 12)
