@@ -23,6 +23,8 @@ class EliasFano:
         self.n, self.width, self.low, self.high = n, width, low, high
         ones = np.flatnonzero(np.unpackbits(high, bitorder="little"))[:n] if n else np.empty(0, np.int64)
         self.upper = ones - np.arange(n)
+        # how many values have upper bits below 0, 1, 2, ...: where the values with given upper bits begin
+        self.bucket = np.concatenate([[0], np.cumsum(np.bincount(self.upper, minlength=1)), [n]])
 
     @classmethod
     def build(cls, values: np.ndarray) -> list[np.ndarray]:
@@ -45,8 +47,10 @@ class EliasFano:
             return np.zeros(i.size, np.int64)
         words = np.ndarray((self.low.size - 7,), _WORD, buffer=self.low, strides=(1,))
         bit = i * self.width
-        got = words[bit >> 3] >> (bit & 7).astype(np.uint64)
-        return (got & np.uint64((1 << self.width) - 1)).astype(np.int64)
+        got = words[bit >> 3]
+        got >>= (bit & 7).view(np.uint64)
+        got &= np.uint64((1 << self.width) - 1)
+        return got.view(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return self.upper[i] << self.width | self._low(i)
@@ -54,15 +58,19 @@ class EliasFano:
     def successor(self, x: np.ndarray) -> np.ndarray:
         """The place of the first value that is not less than each ``x``."""
         high, low = x >> self.width, x & ((1 << self.width) - 1)
-        a, b = np.searchsorted(self.upper, high, "left"), np.searchsorted(self.upper, high, "right")
-        live = np.flatnonzero(a < b)
+        high = np.clip(high, 0, self.bucket.size - 2)
+        out, end = self.bucket[high], self.bucket[high + 1]
+        live = np.flatnonzero(out < end)
+        a, b, low = out[live], end[live], low[live]
         while live.size:
-            mid = (a[live] + b[live]) >> 1
-            less = self._low(mid) < low[live]
-            a[live] = np.where(less, mid + 1, a[live])
-            b[live] = np.where(less, b[live], mid)
-            live = live[a[live] < b[live]]
-        return a
+            mid = (a + b) >> 1
+            less = self._low(mid) < low
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            open_ = a < b
+            done, left = np.flatnonzero(~open_), np.flatnonzero(open_)
+            out[live.take(done)] = a.take(done)
+            live, a, b, low = (c.take(left) for c in (live, a, b, low))
+        return out
 
 
 def quantised(values: np.ndarray, bits: int = 8) -> list[np.ndarray]:
@@ -75,6 +83,12 @@ def quantised(values: np.ndarray, bits: int = 8) -> list[np.ndarray]:
     return [codes.astype(np.uint8), np.bincount(codes, weights=values, minlength=edges.size + 1) / count]
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, length) of each run of equal neighbours."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(values.size, 1), bool), values[1:] != values[:-1]]))
+    return values[first], np.diff(first, append=values.size)
+
+
 class Level:
     """The children of each node of the level above: monotone pointers, ids relative to their context.
 
@@ -102,8 +116,11 @@ class Level:
         ok = np.flatnonzero(context >= 0)
         if not ok.size or not self.ids.n:
             return out, rank
-        a, b = self.pointers.get(context[ok]), self.pointers.get(context[ok] + 1)
+        # tokens come by context: a run of equal ones is looked up once
+        own, run = runs(context[ok])
+        a, b = self.pointers.get(own), self.pointers.get(own + 1)
         base = np.where(a > 0, self.ids.get(np.maximum(a - 1, 0)) + 1, 0)
+        a, b, base = (np.repeat(x, run) for x in (a, b, base))
         target = base + ids[ok]
         at = self.ids.successor(target)
         inside = np.flatnonzero(at < b)

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.elias_fano import EliasFano, Level, from_buffer, quantised, to_bytes
+from plinth.llm.elias_fano import EliasFano, Level, from_buffer, quantised, runs, to_bytes
 from plinth.llm.graph import written
 from plinth.llm.text import Texts, chunks, field, mix
 from plinth.llm.warc import file_system
@@ -339,13 +339,14 @@ class Trie:
 
     def score(self, key: np.ndarray, u: np.ndarray, w: np.ndarray, log_chance: np.ndarray) -> np.ndarray:
         """log10 probability of each w after (u, the context of key)."""
-        at = self.names.successor(key)
+        own, run = runs(key)
+        at = self.names.successor(own)
         ok = np.flatnonzero(at < self.names.n)
-        context = np.full(key.size, -1)
-        ok = ok[self.names.get(at[ok]) == key[ok]]
-        context[ok] = at[ok]
-        out = log_chance.copy()
-        out[ok] += self.book[self.codes[context[ok]]]
+        ok = ok[self.names.get(at[ok]) == own[ok]]
+        context, weight = np.full(own.size, -1), np.zeros(own.size)
+        context[ok], weight[ok] = at[ok], self.book[self.codes[at[ok]]]
+        context = np.repeat(context, run)
+        out = log_chance + np.repeat(weight, run)
         place, rank = self.words.find(context, w)
         two = place >= 0
         out[two] = self.words.value(place[two])

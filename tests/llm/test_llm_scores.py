@@ -9,7 +9,7 @@ from llm_cases import MEDIUM, SMALL, documents, fold, frame, labels, lower, sess
 from pyspark.sql import functions as F
 
 from plinth.llm import ngram_lm, quality, resample, toxicity
-from plinth.llm.elias_fano import EliasFano, Level, from_buffer, to_bytes
+from plinth.llm.elias_fano import EliasFano, Level, from_buffer, runs, to_bytes
 from plinth.llm.text import BATCH_BYTES
 from plinth.llm.transducer import Transducer, countdown
 
@@ -201,6 +201,20 @@ def test_elias_fano_get_and_successor():
         assert np.array_equal(ef.successor(asked), np.searchsorted(values, asked, "left"))
 
 
+def test_elias_fano_reads_no_low_bits_outside_a_bucket():
+    rng = np.random.default_rng(2)
+    values = np.sort(np.concatenate([rng.integers(0, 10**9, 4000), np.full(3000, 77), 500 + np.arange(2000)]))
+    seq = EliasFano.load([x.view(np.uint8) for x in EliasFano.build(values)])
+    asked, low = np.concatenate([values, rng.integers(0, 2 * 10**9, 4000), [0, 2**40]]), []
+    plain = seq._low
+    seq._low = lambda i: low.append(i.size) or plain(i)
+    assert (seq.successor(asked) == np.searchsorted(values, asked)).all()
+    assert (seq.bucket[1:-1] == np.searchsorted(seq.upper, np.arange(seq.bucket.size - 2), "right")).all()
+    own, run = runs(np.array([3, 3, 1, 3, 3, 3]))
+    assert own.tolist() == [3, 1, 3] and run.tolist() == [2, 1, 3]
+    assert max(low) < asked.size
+
+
 def test_trie_level_finds_children_of_their_context_only():
     first, ids = np.array([0, 2, 3, 6]), np.array([4, 9, 4, 1, 4, 100])
     level = Level(Level.build(first, ids, np.log10(np.linspace(0.1, 0.6, 6))))
