@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm.text import releasing
 from plinth.session import scratch_path
 
 #: A key with more than this share of the rows is answered by broadcast; there are at most 1 / share of them.
@@ -75,7 +76,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     while True:
         parts = -(-n // LOCAL_EDGES)
         dealt = edges.coalesce(1) if parts <= 1 else edges.repartition(parts, "v")
-        edges = dealt.mapInArrow(_contract, "u long, v long")
+        edges = dealt.mapInArrow(releasing(_contract), "u long, v long")
         if parts <= 1:
             edges = written(spark, edges, "edges")
             break

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm.exact_dedup import one_row_each
 from plinth.llm.graph import answer, components, written
-from plinth.llm.text import Texts, chunks, field, mix, small_side, sums, windows
+from plinth.llm.text import Texts, chunks, field, mix, releasing, small_side, sums, windows
 
 SHINGLE = 5
 PERCENT = 80
@@ -81,7 +81,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                  pa.array(sums(mix(win ^ _SALT[0]), at).view(np.int64)), _lists(hashes.view(np.int64), 2 * SIDE)],
                 ["doc_id", "n_shingles", "set_a", "set_b", "hashes"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(rows), SIGNATURE)
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
 
     named = small_side(ids.select(F.col("id").alias("doc_id")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(named, "doc_id", "left_semi")
-    return texts.mapInArrow(rows, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+    return texts.mapInArrow(releasing(rows), "doc_id long, shingles binary").dropDuplicates(["doc_id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -129,7 +129,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(rows, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(releasing(rows), "a long, b long")
 
 
 def block_links(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from plinth.llm import pieces
 from plinth.llm.graph import written
 from plinth.llm.pieces import PieceIds
-from plinth.llm.text import chunks, column_bytes, field, span_hashes, sums
+from plinth.llm.text import chunks, column_bytes, field, releasing, span_hashes, sums
 from plinth.llm.words import WordIds, cut, joined, odd_bytes
 
 TOKENIZER = "word_bpe_49k.json"
@@ -193,7 +193,7 @@ def blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         if held:
             yield block(held)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SHARDS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(rows), SHARDS)
 
 
 def corpus_statistics(table: DataFrame) -> tuple[np.ndarray, int, int]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.text import FILTER_BYTES, SPACE, Texts, chunks, field, small_side, span_hashes, sums, windows
+from plinth.llm.text import FILTER_BYTES, SPACE, Texts, chunks, field, releasing, small_side, span_hashes, sums, windows
 
 GRAM = 5
 BITS = 17
@@ -77,7 +77,7 @@ def count_grams(docs: DataFrame, gram: int = GRAM, bits: int = BITS) -> DataFram
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(target[used])],
                                          ["bucket", "raw", "target"])
 
-    parts = docs.mapInArrow(count, "bucket int, raw long, target long")
+    parts = docs.mapInArrow(releasing(count), "bucket int, raw long, target long")
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -182,7 +182,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
         for batch in chunks(batches, most=FILTER_BYTES):
             yield batch.filter(pa.array(measure(field(batch, "text"), ratio, threshold)["kept"]))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(releasing(rows), docs.schema)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

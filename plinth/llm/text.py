@@ -6,8 +6,10 @@ empty.  ``chunks`` bounds how many bytes are expanded at once (a longer text is
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,26 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CH
             at = to
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system; the allocators keep it for later otherwise."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def releasing(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches that gives memory back when its task ends: a worker lives on from stage to stage."""
+
+    @functools.wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying; nulls are empty."""
     col = pc.fill_null(col, "")

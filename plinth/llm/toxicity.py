@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm.text import FILTER_BYTES, Texts, chunks, field, small_side, span_hashes
+from plinth.llm.text import FILTER_BYTES, Texts, chunks, field, releasing, small_side, span_hashes
 from plinth.llm.transducer import Transducer, countdown
 
 SYMBOLS = "OITPNQ"
@@ -144,7 +144,7 @@ def stem_counts(rows: DataFrame) -> DataFrame:
                     [pa.array(np.concatenate(hashes)), pa.array(names, pa.string()),
                      *(pa.array(np.concatenate(x)) for x in zip(*counts))], ["hash", "stem", "toxic", "clean"])
 
-    parts = rows.mapInArrow(count, "hash long, stem string, toxic long, clean long")
+    parts = rows.mapInArrow(releasing(count), "hash long, stem string, toxic long, clean long")
     return parts.groupBy("hash").agg(F.max("stem").alias("stem"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -283,7 +283,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # a bounded sample of each class, by a hash of the id
     bar = F.when(F.col("toxic") > 0, min(1.0, SAMPLE / n[True])).otherwise(min(1.0, SAMPLE / n[False]))
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < bar * 1_000_000)
-    got = sample.mapInArrow(features, "toxic int, feature array<long>, weight array<double>").collect()
+    got = sample.mapInArrow(releasing(features), "toxic int, feature array<long>, weight array<double>").collect()
     y = np.array([r["toxic"] > 0 for r in got], float)
     cells = [(i, j, v) for i, r in enumerate(got) for j, v in zip(r["feature"], r["weight"])]
     if y.min(initial=1) == y.max(initial=0):
@@ -310,7 +310,7 @@ def kept_documents(docs: DataFrame, model: Model) -> DataFrame:
         for batch in chunks(batches, most=FILTER_BYTES):
             yield batch.filter(pa.array(model.score(field(batch, "text")) < 0.5))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(releasing(rows), docs.schema)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

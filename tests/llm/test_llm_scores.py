@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm import ngram_lm, quality, resample, toxicity
 from plinth.llm.elias_fano import EliasFano, Level, from_buffer, runs, to_bytes
-from plinth.llm.text import BATCH_BYTES
+from plinth.llm.text import BATCH_BYTES, releasing
 from plinth.llm.transducer import Transducer, countdown
 
 
@@ -329,3 +329,21 @@ def test_batches_of_documents_are_bounded_by_bytes(session):
     docs = session.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
     sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
     assert sum(r["n"] for r in sizes) >= 30_000_000 and max(r["n"] for r in sizes) <= BATCH_BYTES + 200_000
+
+
+def test_a_task_gives_freed_memory_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def rows(batches):
+        held = [np.ones(1 << 12) for _ in range(8_000)]  # 32 kB each, so not mapped on their own
+        last = np.ones(1 << 12)
+        yield from batches
+        seen.append(resident())
+        del held
+        kept.append(last)
+
+    seen, kept, before = [], [], resident()
+    assert list(releasing(rows)(iter([1, 2]))) == [1, 2]
+    assert seen[0] - before > 200_000_000 and resident() - before < 60_000_000
