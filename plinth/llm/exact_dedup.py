@@ -55,7 +55,8 @@ class DigestIndex:
         self.path = path or scratch_path(spark, "digest-index")
         self.buckets = buckets
         if not spark.catalog.tableExists(self.name):
-            empty = spark.createDataFrame([], "text_sha256 string, keep_id long, group_size long")
+            # no rows by an expression: rows from a Python list start further workers on every executor
+            empty = spark.range(0).select(F.lit("").alias("text_sha256"), F.col("id").alias("keep_id"), F.col("id").alias("group_size"))
             self._write(empty)
 
     def _write(self, rows: DataFrame) -> None:

@@ -15,10 +15,15 @@ from plinth.session import scratch_path
 HOT_SHARE = 0.001
 
 
-def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+#: For tables of a few wide rows: a Parquet writer otherwise holds 100 rows before it closes a page, whatever their bytes.
+WIDE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+             "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1"}
+
+
+def written(spark: SparkSession, rows: DataFrame, name: str, options: dict[str, str] = {}) -> DataFrame:
     """The rows as a table in the shared scratch folder: computed once, lineage cut, safe against lost executors."""
     path = scratch_path(spark, name)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

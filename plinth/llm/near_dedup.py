@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm.exact_dedup import one_row_each
 from plinth.llm.graph import answer, components, written
-from plinth.llm.text import Texts, chunks, field, mix, releasing, small_side, sums, windows
+from plinth.llm.text import FILTER_BYTES, Texts, chunks, field, mix, releasing, small_side, sums, windows
 
 SHINGLE = 5
 PERCENT = 80
@@ -67,7 +67,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Set size, set digest and the ``2 * SIDE`` hashes of each document (null without shingles)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=FILTER_BYTES):
             win, at = _sets(field(batch, "text"), shingle)
             n = np.diff(at)
             some = np.flatnonzero(n)
@@ -103,7 +103,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, shingles): the sorted distinct shingle hashes of the named documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=FILTER_BYTES):
             win, at = _sets(field(batch, "text"), shingle)
             sets = [win[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([field(batch, "doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])

@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm import pieces
-from plinth.llm.graph import written
+from plinth.llm.graph import WIDE_ROWS, written
 from plinth.llm.pieces import PieceIds
-from plinth.llm.text import chunks, column_bytes, field, releasing, span_hashes, sums
+from plinth.llm.text import FILTER_BYTES, chunks, column_bytes, field, releasing, releasing_group, span_hashes, sums
 from plinth.llm.words import WordIds, cut, joined, odd_bytes
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,8 @@ WINDOW = 2048
 SHARD_DOCS = 1024
 #: Words that go to the library as one text.
 JOINED = 500
+#: New words that are learned at a time; the library's results take some 500 bytes a word.
+NEW_WORDS = 5_000
 SHARD_TOKENS = 2_000_000
 K1, B = 1.2, 0.75
 BLOCK_DOCS, BLOCK_TOKENS = 1024, 2_000_000
@@ -105,9 +107,9 @@ class WordTokenizer(PieceIds):
                 entry = self.words.find(key)
                 new, at = np.unique(key[entry < 0], return_index=True)
                 where = np.flatnonzero(entry < 0)[at]
-            for a in range(0, new.size, 20_000):
-                part = where[a : a + 20_000]
-                self.words.add(new[a : a + 20_000], *self._ids_of_spans(buf, starts[part], ends[part]))
+            for a in range(0, new.size, NEW_WORDS):
+                part = where[a : a + NEW_WORDS]
+                self.words.add(new[a : a + NEW_WORDS], *self._ids_of_spans(buf, starts[part], ends[part]))
             lost = np.flatnonzero(entry < 0)
             entry[lost] = self.words.find(key[lost])
         self.words.used(entry)
@@ -180,7 +182,7 @@ def blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 ["doc_ids", "lengths", "ids", "terms", "counts"])
 
         held, tokens = [], 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=FILTER_BYTES):
             ids, n = tokenizer.encode_column(field(batch, "text"))
             ends = np.cumsum(n)
             for doc, a, b in zip(field(batch, "doc_id").to_pylist(), ends - n, ends):
@@ -287,10 +289,12 @@ class Index:
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean: float):
         n = lengths.size
-        owner = np.repeat(np.arange(n), lengths)
-        cell, tf = np.unique(ids.astype(np.int64) * n + owner, return_counts=True)
-        self.n, self.doc = n, cell % n
-        term = cell // n
+        kind = np.uint32 if n <= 65536 else np.int64  # 16 bits of the id, the rest for the document
+        cell = np.repeat(np.arange(n, dtype=kind), lengths)
+        cell += ids.astype(kind) * kind(n)
+        cell, tf = np.unique(cell, return_counts=True)
+        self.n, self.doc = n, (cell % kind(n)).astype(np.int64)
+        term = cell // kind(n)
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / mean))
         self.terms, self.at = np.unique(term, return_index=True)
         self.at = np.append(self.at, cell.size)
@@ -361,7 +365,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
          shard_docs: int = SHARD_DOCS) -> DataFrame:
     """The pieces of all packed sequences; ``with_ids`` adds each piece's ids as an array."""
     spark = docs.sparkSession
-    table = written(spark, blocks(docs, tokenizer or public_tokenizers.path(TOKENIZER), end_id), "tokenised")
+    table = written(spark, blocks(docs, tokenizer or public_tokenizers.path(TOKENIZER), end_id), "tokenised", WIDE_ROWS)
     n, total, tokens = corpus_statistics(table)
     idf = np.log1p((total - n + 0.5) / (n + 0.5))
     mean = tokens / max(total, 1)
@@ -393,7 +397,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
         columns = {name: pa.array(x, pa.int64()) for name, x in out.items()}
         return pa.table(columns | ({"ids": pa.array(cut, pa.list_(pa.int32()))} if with_ids else {}))
 
-    return dealt(table, place, first, parts).groupBy("shard").applyInArrow(packed, PIECES + ", ids array<int>" * with_ids)
+    return dealt(table, place, first, parts).groupBy("shard").applyInArrow(releasing_group(packed), PIECES + ", ids array<int>" * with_ids)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1_000_000
-#: Bytes of text that a filter of documents measures at a time; it needs some 50 times as much for a moment.
+#: Bytes of text that a stage of the pipeline works on at a time; it needs some 50 times as much for a moment.
 FILTER_BYTES = 250_000
 #: Bytes of an Arrow batch of documents between the JVM and a Python worker; each side holds one or two a task.
 BATCH_BYTES = 4 << 20
+#: Powers are kept in multiples of this number, 16 bytes each.
+POWERS = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -86,6 +88,19 @@ def releasing(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     return run
 
 
+def releasing_group(rows: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """A function of one group that gives memory back after each group."""
+
+    @functools.wraps(rows)
+    def run(group: pa.Table) -> pa.Table:
+        try:
+            return rows(group)
+        finally:
+            give_back()
+
+    return run
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying; nulls are empty."""
     col = pc.fill_null(col, "")
@@ -110,7 +125,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers[0].size < n:
-        n = max(n, CHUNK_BYTES + 65536)
+        n = -(-n // POWERS) * POWERS
         for k, base in enumerate((_BASE, _INVERSE)):
             p = np.full(n, base, np.uint64)
             p[0] = 1

@@ -69,6 +69,13 @@ def joined(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) ->
     return [data[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+def _longer(values: np.ndarray, size: int) -> np.ndarray:
+    """The values with room behind them, whose memory is not taken before it is used."""
+    out = np.empty(size, values.dtype)
+    out[: values.size] = values
+    return out
+
+
 class WordIds:
     """Token ids of words by their 64-bit hashes: at most ``most`` words, or what one batch needs.
 
@@ -136,10 +143,10 @@ class WordIds:
         ends = self.start[n] + np.cumsum(size, dtype=np.int64)
         last = int(ends[-1]) if ends.size else int(self.start[n])
         if last > self.ids.size:
-            self.ids = np.resize(self.ids, max(2 * self.ids.size, last))
+            self.ids = _longer(self.ids, max(2 * self.ids.size, last))
         if to > self.key.size:
             most = max(2 * self.key.size, to)
-            self.key, self.uses, self.start = np.resize(self.key, most), np.resize(self.uses, most), np.resize(self.start, most + 1)
+            self.key, self.uses, self.start = _longer(self.key, most), _longer(self.uses, most), _longer(self.start, most + 1)
         self.ids[self.start[n] : last] = ids
         self.key[n:to], self.uses[n:to], self.start[n + 1 : to + 1] = key, 0, ends
         self.n = to

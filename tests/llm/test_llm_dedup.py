@@ -2,8 +2,10 @@ import hashlib
 import random
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from llm_cases import MEDIUM, SMALL, SPACE, documents, frame, lower, prose, session, words  # noqa: F401
+from pyspark.sql import functions as F
 
 from plinth.llm import exact_dedup, graph, near_dedup
 from plinth.llm.graph import components
@@ -38,6 +40,24 @@ def test_exact_matches_sql(session):
     assert sorted(map(tuple, exact_dedup.op5_exact_dedup(session, SMALL).collect())) == want
 
 
+def test_a_new_index_starts_no_python(session, tmp_path, monkeypatch):
+    def refused(*args, **named):
+        raise AssertionError("rows from a Python list start workers on every executor")
+
+    monkeypatch.setattr(type(session), "createDataFrame", refused)
+    index = exact_dedup.DigestIndex(session, path=str(tmp_path / "index"))
+    assert index.table().dtypes == [("text_sha256", "string"), ("keep_id", "bigint"), ("group_size", "bigint")]
+    assert index.table().count() == 0
+
+
+def test_tables_of_wide_rows_are_written_row_by_row(session):
+    rows = session.range(0, 40, 1, 1).select("id", F.expr("cast(repeat(cast(id as string), 100000) as binary)").alias("wide"))
+    written = graph.written(session, rows, "wide", graph.WIDE_ROWS | {"parquet.block.size": "500000"})
+    (path,) = written.inputFiles()
+    assert pq.ParquetFile(path.removeprefix("file://")).metadata.num_row_groups > 4
+    assert sorted(map(tuple, written.select("id", F.length("wide")).collect())) == [(i, 100_000 * len(str(i))) for i in range(40)]
+
+
 def test_index_persists_and_appends(session):
     index = exact_dedup.DigestIndex(session)
     docs = lambda rows: session.createDataFrame(rows, "doc_id long, text string")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm import ngram_lm, quality, resample, toxicity
 from plinth.llm.elias_fano import EliasFano, Level, from_buffer, runs, to_bytes
-from plinth.llm.text import BATCH_BYTES, releasing
+from plinth.llm.text import BATCH_BYTES, releasing, releasing_group
 from plinth.llm.transducer import Transducer, countdown
 
 
@@ -347,3 +347,19 @@ def test_a_task_gives_freed_memory_back():
     seen, kept, before = [], [], resident()
     assert list(releasing(rows)(iter([1, 2]))) == [1, 2]
     assert seen[0] - before > 200_000_000 and resident() - before < 60_000_000
+
+
+def test_a_group_gives_freed_memory_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def rows(group):
+        held = [np.ones(1 << 12) for _ in range(8_000)]  # 32 kB each, so not mapped on their own
+        kept.append(np.ones(1 << 12))
+        seen.append(resident())
+        return group if len(held) else None
+
+    seen, kept, before = [], [], resident()
+    assert releasing_group(rows)("group") == "group"
+    assert seen[0] - before > 200_000_000 and resident() - before < 60_000_000
