@@ -105,7 +105,7 @@ class Level:
     @classmethod
     def build(cls, first: np.ndarray, ids: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
         """``first``: where each context's children begin, and their number; ``ids`` increase in a context."""
-        top = ids[first[1:] - 1] + 1
+        top = np.where(np.diff(first) > 0, ids[first[1:] - 1] + 1, 0) if ids.size else np.zeros(first.size - 1, np.int64)
         base = np.cumsum(top) - top
         shifted = ids + np.repeat(base, np.diff(first))
         return [*EliasFano.build(first), *EliasFano.build(shifted), *quantised(values)]

@@ -6,16 +6,20 @@ fold, over their whole texts; every document is scored.
 
 All data moves in blocks of about ``BLOCK_TOKENS`` tokens and in as many shards as the tokens need at
 ``SHARD_TOKENS`` each, so memory does not depend on the input as long as no pair of words (u, v) has more
-than a shard's tokens after it (they go to one shard; the start of a text is split):
+than a shard's tokens after it (they go to one shard; the start of a text is split).  A task has up to
+``GROUP_SHARDS`` shards one after the other, so a block sends that many times fewer, larger messages:
 
-1. A block lists its distinct words and counts them.  Word counts are summed by hash shard (a word costs
-   a row a block, however frequent) and every block gets back its words' counts and compact ids.
+1. A block lists its distinct words and counts them.  Word counts are summed by hash part (a word costs
+   a row a block, however frequent) and every block gets back its words' counts and compact ids, in a file
+   for the blocks of one task.
 2. Each block sends every token with its two predecessors to the shard of the middle word: the shard
    has all there is about that word as a context.  A context word with more than half a shard's tokens
-   is split by the word before it; its two-gram counts, added up per block, then go to all its parts.
-   The start of a text, which has no such word, is split by document: its two-grams are its three-grams.
-3. A shard counts, builds the trie of its contexts in a file of the shared folder, maps it into memory and
-   looks its tokens up; it returns the sum of log probabilities per document and block.
+   is split by the word before it, within one group of shards if that holds all its parts.  The two-grams of
+   words with parts in several groups are added up before, in a folder by context word.  The start of a text,
+   which has no such word, is split by document: its two-grams are its three-grams.
+3. A group adds up the two-grams of the words split within it.  A shard then counts, builds the trie of its contexts in
+   a file of the shared folder, maps it into memory and looks its distinct three-grams up; a group returns the
+   sum of log probabilities per document and block.
 
 Trie levels: context words; their successors (two-grams, with the smoothed probability); the words before
 them (with the weight of the back-off); three-grams, whose word is stored as its place among the
@@ -32,26 +36,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm.elias_fano import EliasFano, Level, from_buffer, quantised, runs, to_bytes
-from plinth.llm.graph import written
-from plinth.llm.text import Texts, chunks, field, mix
+from plinth.llm.graph import WIDE_ROWS, written
+from plinth.llm.text import Texts, chunks, field, mix, releasing, releasing_group
 from plinth.llm.warc import file_system
 from plinth.session import scratch_path
 
 FOLDS = 10
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 1_500_000
 SHARD_TOKENS = 1_000_000
+#: A task has several shards, up to so many, where there are more than ``GROUPS`` groups of them.
+GROUP_SHARDS, GROUPS = 8, 64
+#: So many shards' tokens are counted by one word part.
+PART_SHARDS = 8
+#: Rows of two-grams of words with parts in several groups that one task adds up.
+WIDE_PAIRS = 2_000_000
 DISCOUNT_2, DISCOUNT_3 = 0.75, 0.9
 _END = np.uint64(0x5DEECE66D1CE4E5B)
 #: Ids of what stands before a text and of words without training count; other words have larger ones.
 _START, _UNKNOWN, _FIRST = 0, 1, 2
-_PARTS = 24  # bits of a context key for the part of a split context
-_STEP = 4096.0  # of a word's log10 probability on its way to the shards
+_PARTS = 24  # bits of a context key for the part of a split context, from 1; 0: it is not split
+_WIDE = 1 << 23  # added to the part if the context has parts in several groups
+_STEP = 4096.0  # of a word's log10 probability on its way to the shards, and of a sum on its way back from several groups
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -67,16 +79,19 @@ def _squeeze(*columns: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _unsqueeze(data: bytes) -> list[np.ndarray]:
-    out, at = [], 0
+def _unsqueeze(data: bytes, only: tuple[int, ...] | None = None, part: slice = slice(None)) -> list[np.ndarray]:
+    """The columns, or ``part`` of those in ``only``."""
+    out, at, k = [], 0, 0
     while at < len(data):
         n, width, size = np.frombuffer(data, np.int64, 3, at).tolist()
         at += 24
-        planes = np.frombuffer(pa.decompress(data[at : at + size], n * width, codec="zstd"), np.uint8).reshape(width, n)
-        full = np.zeros((n, 8), np.uint8)
-        full[:, :width] = planes.T
-        out.append(full.view("<u8").ravel().astype(np.int64))
+        if only is None or k in only:
+            planes = np.frombuffer(pa.decompress(data[at : at + size], n * width, codec="zstd"), np.uint8).reshape(width, n)[:, part]
+            full = np.zeros((planes.shape[1], 8), np.uint8)
+            full[:, :width] = planes.T
+            out.append(full.view("<i8").ravel())
         at += size
+        k += 1
     return out
 
 
@@ -93,6 +108,59 @@ def _binary(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())
 
 
+def _bytes(column: pa.ChunkedArray) -> list[memoryview]:
+    """The values of a binary column without copying."""
+    out = []
+    for chunk in column.chunks:
+        _, offsets, data = chunk.buffers()
+        off = np.frombuffer(offsets, np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].tolist()
+        view = memoryview(data if data is not None else b"")
+        out += [view[a:b] for a, b in zip(off, off[1:])]
+    return out
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal neighbours begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(values.size, 1), bool), values[1:] != values[:-1]]))
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in ascending order, how often)."""
+    values = np.sort(values)
+    at = _starts(values)
+    return values[at], np.diff(at, append=values.size)
+
+
+def _placed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in ascending order, the place of each value among them)."""
+    bits = values.size.bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 63:
+        return np.unique(values, return_inverse=True)
+    # a sort of values with their places in the lower bits is faster than a sort of places
+    packed = np.sort(values << bits | np.arange(values.size))
+    at, packed = packed & ((1 << bits) - 1), packed >> bits
+    new = np.ones(packed.size, bool)
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
+    place = np.empty(packed.size, np.int64)
+    place[at] = np.cumsum(new) - 1
+    return packed[new], place
+
+
+def _placed_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_placed`` for 64-bit hashes: sorted by their upper bits, which tell them apart, or in full."""
+    bits = np.uint64(hashes.size.bit_length())
+    packed = np.sort(hashes >> bits << bits | np.arange(hashes.size, dtype=np.uint64))
+    at = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    upper, full = packed >> bits, hashes[at]
+    new = np.ones(full.size, bool)
+    np.not_equal(full[1:], full[:-1], out=new[1:])
+    if (new[1:] & (upper[1:] == upper[:-1])).any():
+        return np.unique(hashes, return_inverse=True)
+    place = np.empty(full.size, np.int64)
+    place[at] = np.cumsum(new) - 1
+    return full[new], place
+
+
 # 1. blocks and word counts
 
 
@@ -110,7 +178,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             nonlocal number
             number += 1
             size, learn = np.concatenate(sizes), np.concatenate(train)
-            vocabulary, token = np.unique(np.concatenate(words), return_inverse=True)
+            vocabulary, token = _placed_hashes(np.concatenate(words))
             own = np.bincount(token, weights=np.repeat(learn, size), minlength=vocabulary.size).astype(np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array([task | number]), pa.array([ids], pa.list_(pa.int64())), pa.array([int(size.sum())]),
@@ -147,7 +215,7 @@ def word_part(words: np.ndarray, parts: int) -> np.ndarray:
 def word_counts(table: DataFrame, parts: int) -> DataFrame:
     """For each block and word part: ids and training counts of the block's words, in the block's order.
 
-    The rows of block -1 hold each part's statistics: words, tokens, words seen once and twice.
+    The rows of block -1 hold each part's statistics: words, tokens, words seen once and twice; the highest count.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +234,7 @@ def word_counts(table: DataFrame, parts: int) -> DataFrame:
         part = group["part"][0].as_py()
         words = [_unsqueeze_sorted(x) for x in group["words"].to_pylist()]
         own = [_unsqueeze(x)[0] for x in group["counts"].to_pylist()]
-        word, place = np.unique(np.concatenate(words), return_inverse=True)
+        word, place = _placed_hashes(np.concatenate(words))
         count = np.bincount(place, weights=np.concatenate(own)).astype(np.int64)
         rank = np.empty(word.size, np.int64)
         rank[np.argsort(-count, kind="stable")] = np.arange(word.size)
@@ -174,7 +242,7 @@ def word_counts(table: DataFrame, parts: int) -> DataFrame:
         ends = np.cumsum([w.size for w in words])
         back = [_squeeze(ids[place[b - w.size : b]], count[place[b - w.size : b]]) for w, b in zip(words, ends)]
         seen = count[count > 0]
-        back.append(_squeeze(np.array([seen.size, seen.sum(), (seen == 1).sum(), (seen == 2).sum()])))
+        back.append(_squeeze(np.array([seen.size, seen.sum(), (seen == 1).sum(), (seen == 2).sum()]), seen.max(initial=0, keepdims=True)))
         return pa.table({"block": pa.array([*group["block"].to_pylist(), -1], pa.int64()),
                          "part": pa.array([part] * len(back), pa.int32()), "counts": _binary(back)})
 
@@ -182,11 +250,25 @@ def word_counts(table: DataFrame, parts: int) -> DataFrame:
     return asked.groupBy("part").applyInArrow(add, "block long, part int, counts binary")
 
 
+def group_size(shards: int) -> int:
+    """How many shards a task has."""
+    return min(GROUP_SHARDS, max(1, shards // GROUPS))
+
+
+def paged(spark: SparkSession, counted: DataFrame) -> str:
+    """The folder of ``word_counts``, in a folder ``page=`` for the blocks of one task (-1: the statistics)."""
+    path = scratch_path(spark, "lm-words")
+    counted.withColumn("page", F.expr("shiftright(block, 32)")).repartition("page").write.options(**WIDE_ROWS).partitionBy("page").parquet(path)
+    return path
+
+
 class Unigrams:
     """Word probabilities from the corpus's count statistics (absolute discounting; the rest is the unknown word's)."""
 
     def __init__(self, words: int, tokens: int, once: int, twice: int, train_docs: int, shards: int):
-        self.words, self.tokens, self.train_docs, self.shards = words, tokens, train_docs, shards
+        self.words, self.tokens, self.train_docs = words, tokens, train_docs
+        self.group = group_size(shards)
+        self.shards = -(-shards // self.group) * self.group
         self.discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
 
     def probability(self, count: np.ndarray) -> np.ndarray:
@@ -203,130 +285,293 @@ class Unigrams:
             return np.ones_like(count)
         return np.maximum(1, -(-count * 2 * self.shards // max(self.tokens, 1)))
 
+    def homes(self, names: np.ndarray, split: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The shards of parts of context words: one after the other, within one group if all parts fit in."""
+        base = (mix((names << _PARTS).astype(np.uint64)) % np.uint64(self.shards)).astype(np.int64)
+        near = base // self.group * self.group + (base + part) % self.group
+        return np.where(split <= self.group, near, (base + part) % self.shards)
+
 
 # 2. requests
 
 
-def _by_word(w: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """The code of each distinct word, in the order of the words: a word's code is the same wherever it stands."""
-    own, place = np.unique(w, return_inverse=True)
-    out = np.empty(own.size, code.dtype)
-    out[place] = code
-    return out
+class Block:
+    """A block's tokens as places among its words by id; place 0 is the start of a text, unknown words have one id."""
 
+    def __init__(self, body: bytes, answers: list[tuple[int, bytes]], words: Unigrams):
+        self.size, self.train, token = _unsqueeze(body)
+        # a block's words are sorted by hash, and so are its answers, part by part
+        number, seen = (np.concatenate(x) for x in zip(*(_unsqueeze(x) for _, x in sorted(answers))))
+        known, place = _placed(number)
+        self.names, self.count = np.append(_START, known), np.zeros(known.size + 1, np.int64)
+        self.count[place + 1] = seen
+        before = self.count.copy()
+        before[0] = words.train_docs
+        self.split = words.parts(before)
+        self.token = (place + 1)[token]
+        self.doc = np.repeat(np.arange(self.size.size), self.size)
+        self.first = np.cumsum(self.size) - self.size
+        self.v = np.empty_like(self.token)
+        self.v[1:] = self.token[:-1]
+        self.v[self.first] = 0
+
+
+def _blocks_with_words(table: DataFrame, folder: str, words: Unigrams, use, schema: str) -> DataFrame:
+    """The rows that ``use`` makes of each block (its number and the ``Block``); ``folder``: see ``paged``."""
 
-def requests(table: DataFrame, counted: DataFrame, words: Unigrams) -> DataFrame:
-    """(shard, block, kind, body): tokens with their contexts for the shards, and one row of plain sums a block."""
-    shards = words.shards
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = file_system(folder)
+        page, answers = None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = field(batch, "block")[i].as_py()
+                if number >> 32 != page:
+                    page, answers = number >> 32, {}
+                    got = pq.read_table(f"{path}/page={page}", columns=["block", "part", "counts"], filesystem=store, partitioning=None)
+                    for block, part, counts in zip(*(got[c].to_pylist() for c in ("block", "part", "counts"))):
+                        answers.setdefault(block, []).append((part, counts))
+                    del got
+                yield use(number, Block(field(batch, "body")[i].as_py(), answers.pop(number), words))
+
+    return table.select("block", "body").mapInArrow(releasing(rows), schema)
+
+
+def wide_pairs(table: DataFrame, folder: str, words: Unigrams) -> str:
+    """The folder of all two-grams of words with parts in several groups, in a folder ``v=`` for each such word."""
+    tasks = max(1, words.tokens // WIDE_PAIRS)
+
+    def count(number: int, b: Block) -> pa.RecordBatch:
+        at = np.flatnonzero((b.split > words.group)[b.v] & (b.train > 0)[b.doc])
+        low = int(b.names.size).bit_length()
+        pair, n = _counted(b.v[at] << low | b.token[at])
+        v, w = pair >> low, b.names[pair & ((1 << low) - 1)]
+        # a word's two-grams go to few tasks
+        spread = np.maximum(1, -(-(np.where(v == 0, words.train_docs, b.count[v])) // WIDE_PAIRS)).astype(np.uint64)
+        v = b.names[v]
+        task = ((mix(v.astype(np.uint64)) + mix(w.astype(np.uint64)) % spread) % np.uint64(tasks)).astype(np.int64)
+        order = np.argsort(task, kind="stable")
+        used = _starts(task[order])
+        rows = [_squeeze(v[o], w[o], n[o]) for o in np.split(order, used[1:])] if order.size else []
+        return pa.RecordBatch.from_arrays([pa.array(task[order][used], pa.int64()), _binary(rows)], ["task", "body"])
 
-    def route(block: pa.Table, answers: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int, bytes]] = []
-        # a block's words are sorted by hash, and so are its answers, part by part
-        own = [_unsqueeze(x) for _, x in sorted(zip(answers["part"].to_pylist(), answers["counts"].to_pylist()))]
-        number, seen = (np.concatenate(x) for x in zip(*own))
-        for i in range(block.num_rows):
-            size, train, token = _unsqueeze(block["body"][i].as_py())
-            number_block = block["block"][i].as_py()
-            w, count = number[token], seen[token]
-            doc = np.repeat(np.arange(size.size), size)
-            first = np.cumsum(size) - size
-            v, u = np.empty_like(w), np.empty_like(w)
-            v[1:], u[2:] = w[:-1], w[:-2]
-            before = np.empty_like(count)
-            before[1:] = count[:-1]
-            v[first], before[first] = _START, words.train_docs
-            u[first] = _START
-            second = first[size > 1] + 1
-            u[second] = _START
-            chance = words.probability(count)
-            sums = [np.bincount(doc, weights=x, minlength=size.size) for x in
-                    (count > 0, words.base(count), np.where(v == _UNKNOWN, np.log10(chance), 0.0))]
-            learn = train[doc]
-            text = np.concatenate([size.astype(float), *sums, train.astype(float)]).tobytes()
-            out.append((number_block % shards, number_block, 1, text))
-            code = np.minimum(np.round(-np.log10(chance) * _STEP), 65535).astype(np.int64)
-            split = words.parts(before)
-            # all first words have one (u, v): they are dealt by document
-            dealt = np.where(v == _START, doc, u).astype(np.uint64)
-            key = v << _PARTS | (mix(dealt) % split.astype(np.uint64)).astype(np.int64)
-            asked = np.flatnonzero(v != _UNKNOWN)
-            home = (mix(key.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-            order = asked[np.lexsort((key[asked], home[asked]))]
-            # two-grams of split contexts: counted in the block, for every part
-            hot = np.flatnonzero((split > 1) & (learn > 0))
-            names, place = np.unique(v[hot], return_inverse=True)
-            wide = int(w.max(initial=0)) + 1
-            pair, at, n = np.unique(place * wide + w[hot], return_index=True, return_counts=True)
-            times = split[hot[at]]
-            row = np.repeat(np.arange(times.size), times)
-            hot_key = names[pair // wide][row] << _PARTS | (np.arange(row.size) - np.repeat(np.cumsum(times) - times, times))
-            hot_home = (mix(hot_key.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-            hot_order = np.lexsort((hot_key, hot_home))
-            cut = np.searchsorted(home[order], np.arange(shards + 1))
-            hot_cut = np.searchsorted(hot_home[hot_order], np.arange(shards + 1))
-            for s in range(shards):
-                o, q = order[cut[s] : cut[s + 1]], hot_order[hot_cut[s] : hot_cut[s + 1]]
-                if o.size or q.size:
-                    r = row[q]
-                    out.append((s, number_block, 0, _squeeze(
-                        np.diff(key[o], prepend=0), u[o], w[o], _by_word(w[o], code[o]), doc[o] * 2 + learn[o],
-                        np.diff(hot_key[q], prepend=0), pair[r] % wide, n[r], code[hot[at]][r])))
-        return pa.table({"shard": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([x[1] for x in out], pa.int64()),
-                         "kind": pa.array([x[2] for x in out], pa.int32()), "body": _binary([x[3] for x in out])})
-
-    left = table.select("block", "body").groupBy("block")
-    return left.cogroup(counted.where("block >= 0").groupBy("block")).applyInArrow(route, "shard int, block long, kind int, body binary")
+    def add(group: pa.Table) -> pa.Table:
+        v, w, n = (np.concatenate(x) for x in zip(*(_unsqueeze(x) for x in _bytes(group["body"]))))
+        size = int(w.max()) + 1
+        pair, place = _placed(v * size + w)
+        n = np.bincount(place, weights=n).astype(np.int64)
+        at = _starts(pair // size)
+        rows = [_squeeze(np.diff(x % size, prepend=0), y) for x, y in zip(np.split(pair, at[1:]), np.split(n, at[1:]))]
+        return pa.table({"v": pa.array(pair[at] // size, pa.int64()), "body": _binary(rows)})
+
+    path = scratch_path(table.sparkSession, "lm-pairs")
+    asked = _blocks_with_words(table, folder, words, count, "task long, body binary")
+    got = asked.groupBy("task").applyInArrow(releasing_group(add), "v long, body binary")
+    got.repartition("v").write.options(**WIDE_ROWS).partitionBy("v").parquet(path)
+    return path
+
+
+def requests(table: DataFrame, counted: DataFrame | str, words: Unigrams) -> DataFrame:
+    """(shard, block, kind, body): tokens with their contexts for the groups of shards, and one row of plain sums a block.
+
+    ``counted``: the rows of ``word_counts``, or the folder where ``paged`` wrote them.  ``shard``: the group.
+    """
+    group, groups = words.group, words.shards // words.group
+
+    def route(number: int, b: Block) -> pa.RecordBatch:
+        size, train, names, count, split, token, doc, v = b.size, b.train, b.names, b.count, b.split, b.token, b.doc, b.v
+        u = np.empty_like(token)
+        u[2:] = token[:-2]
+        u[b.first] = 0
+        u[b.first[size > 1] + 1] = 0
+        chance = words.probability(count)
+        alone = names[v] == _UNKNOWN
+        sums = [np.bincount(doc, weights=x, minlength=size.size) for x in
+                ((count > 0)[token], words.base(count)[token], np.where(alone, np.log10(chance)[token], 0.0))]
+        text = np.concatenate([size.astype(float), *sums, train.astype(float)]).tobytes()
+        code = np.minimum(np.round(-np.log10(chance) * _STEP), 65535).astype(np.int64)
+        # the parts of contexts, which are in the order of their keys, and their places by shard and key
+        begin = np.cumsum(split) - split
+        of = np.repeat(np.arange(split.size), split)
+        part = np.arange(of.size) - begin[of]
+        part_key = names[of] << _PARTS | np.where(split[of] > 1, part + 1, 0) | np.where(split[of] > group, _WIDE, 0)
+        home = words.homes(names[of], split[of], part)
+        by_home = np.argsort(home, kind="stable")
+        rank = np.empty_like(by_home)
+        rank[by_home] = np.arange(by_home.size)
+        # all first words have one (u, v): they are dealt by document
+        cell = begin[v]
+        many = np.flatnonzero((split > 1)[v])
+        dealt = np.where(v[many] == 0, doc[many], names[u[many]]).astype(np.uint64)
+        cell[many] += (mix(dealt) % split[v[many]].astype(np.uint64)).astype(np.int64)
+        asked = np.flatnonzero(~alone)
+        bits = token.size.bit_length()
+        packed = np.sort(rank[cell[asked]] << bits | asked)
+        order, key = packed & ((1 << bits) - 1), part_key[by_home[packed >> bits]]
+        cut = np.searchsorted(packed, np.searchsorted(home[by_home], np.arange(words.shards + 1)) << bits)
+        del packed, cell, asked
+        step = np.diff(key, prepend=0)
+        whole = cut[:-1][np.diff(cut) > 0]
+        step[whole] = key[whole]
+        own = (doc * 2 + train[doc])[order]
+        u, w = names[u[order]], token[order]
+        out = [(number % groups, 1, text)]
+        for s in range(groups):
+            at = cut[s * group : (s + 1) * group + 1]
+            if at[0] < at[-1]:
+                o = slice(at[0], at[-1])
+                out.append((s, 0, _squeeze(step[o], u[o], names[w[o]], code[_counted(w[o])[0]], own[o], np.diff(at))))
+        shard, kind, body = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([number] * len(out), pa.int64()), pa.array(kind, pa.int32()),
+                                           _binary(body)], ["shard", "block", "kind", "body"])
+
+    folder = counted if isinstance(counted, str) else paged(table.sparkSession, counted)
+    return _blocks_with_words(table, folder, words, route, "shard int, block long, kind int, body binary")
 
 
 # 3. tries
 
 
-def build_trie(key: np.ndarray, u: np.ndarray, w: np.ndarray, chance: np.ndarray, hot: tuple[np.ndarray, ...]) -> list[np.ndarray]:
-    """The levels of a shard from its training tokens and the two-gram counts (key, w, n, chance) of split contexts."""
-    size = int(max(w.max(initial=0), hot[1].max(initial=0))) + 1
-    # every part of a split start has all its two-grams, which are its three-grams too; its keys come first
-    begun = np.unique(hot[0][hot[0] >> _PARTS == _START])
-    names = np.union1d(key, begun)
-    place = np.searchsorted(names, key)
-    whole = ~np.isin(names, hot[0])[place]
-    # two-grams of contexts that are not here at all come with split contexts; their keys hold no token
-    known = np.isin(hot[0], names)
-    hot_key, hot_w, hot_n, hot_chance = (x[known] for x in hot)
-    cell = np.concatenate([place[whole] * size + w[whole], np.searchsorted(names, hot_key) * size + hot_w])
-    n = np.concatenate([np.ones(int(whole.sum()), np.int64), hot_n])
-    pair, inverse = np.unique(cell, return_inverse=True)
-    n2 = np.bincount(inverse, weights=n, minlength=pair.size)
-    p1 = np.empty(pair.size)
-    p1[inverse] = np.concatenate([chance[whole], hot_chance])  # a word's probability is the same in all its rows
-    context, word = pair // size, pair % size
+class Messages:
+    """The messages of blocks to one group of shards, kept compressed."""
+
+    def __init__(self, bodies: list[memoryview], shards: int, wide: str | None):
+        self.bodies, self.wide = bodies, wide
+        self.cuts: list[list[int]] = []
+        #: The documents of each message; they are numbered from one message to the next.
+        self.docs: list[np.ndarray] = []
+        #: All words of the group and the codes of their probabilities.
+        self.words, self.codes = np.empty(0, np.int64), np.empty(0, np.int64)
+        more = []
+        for body in bodies:
+            w, code, own, sizes = _unsqueeze(body, (2, 3, 4, 5))
+            more.append((_counted(w)[0], code))
+            if sum(x[0].size for x in more) > SHARD_TOKENS:
+                more = self._add_words(more)
+            self.docs.append(np.flatnonzero(np.bincount(own >> 1)))
+            self.cuts.append([0, *np.cumsum(sizes).tolist()])
+        self._add_words(more)
+        self.first = np.cumsum([0, *(d.size for d in self.docs)])
+        self.size = int(self.words.max(initial=0)) + 1
+        #: The two-grams of words split within the group, and how often they were trained on.
+        self.pair, self.count = np.empty(0, np.int64), np.empty(0)
+        for j in range(shards if shards > 1 else 0):
+            key, _, w, own, _ = self.tokens(j)
+            part = key & ((1 << _PARTS) - 1)
+            near = np.flatnonzero((part > 0) & (part < _WIDE) & (own & 1 > 0))
+            pair, n = _counted((key[near] >> _PARTS) * self.size + w[near])
+            self.pair, place = _placed(np.concatenate([self.pair, pair]))
+            self.count = np.bincount(place, weights=np.concatenate([self.count, n]), minlength=self.pair.size)
+
+    def _add_words(self, more: list[tuple[np.ndarray, np.ndarray]]) -> list:
+        code = np.concatenate([self.codes, *(c for _, c in more)])
+        self.words, place = _placed(np.concatenate([self.words, *(w for w, _ in more)]))
+        self.codes = np.empty(self.words.size, np.int64)
+        self.codes[place] = code
+        return []
+
+    def tokens(self, shard: int) -> tuple[np.ndarray, ...]:
+        """(key, u, w, document of the block and whether it is trained on, document of the group) of the shard's tokens."""
+        key, u, w, own, doc = [], [], [], [], []
+        for body, cut, docs, first in zip(self.bodies, self.cuts, self.docs, self.first.tolist()):
+            if cut[shard] == cut[shard + 1]:
+                continue
+            got = _unsqueeze(body, (0, 1, 2, 4), slice(cut[shard], cut[shard + 1]))
+            place = np.empty(docs[-1] + 1, np.int64)
+            place[docs] = np.arange(first, first + docs.size)
+            key.append(np.cumsum(got[0]))
+            u.append(got[1])
+            w.append(got[2])
+            own.append(got[3])
+            doc.append(place[got[3] >> 1])
+        return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (key, u, w, own, doc))
+
+    def two_grams(self, name: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(words in ascending order, counts) after a split word, in the whole corpus."""
+        if not wide:
+            a, b = np.searchsorted(self.pair, [name * self.size, (name + 1) * self.size])
+            return self.pair[a:b] - name * self.size, self.count[a:b]
+        store, path = file_system(self.wide)
+        if store.get_file_info(f"{path}/v={name}").type == fs.FileType.NotFound:  # never before a word of training
+            return np.empty(0, np.int64), np.empty(0)
+        rows = pq.read_table(f"{path}/v={name}", columns=["body"], filesystem=store, partitioning=None)["body"]
+        step, n = zip(*(_unsqueeze(x) for x in _bytes(rows)))
+        word, n = np.concatenate([np.cumsum(x) for x in step]), np.concatenate(n)
+        if len(step) > 1:
+            order = np.argsort(word)
+            word, n = word[order], n[order]
+        return word, n.astype(float)
+
+
+def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The place of each value in an ascending table, or -1."""
+    at = np.searchsorted(table, values)
+    at[at == table.size] = 0
+    return np.where(table[at] == values, at, -1) if table.size else np.full(values.size, -1)
+
+
+class Grams:
+    """The distinct contexts, two-grams, histories and three-grams of a shard's tokens, and how often they were trained on.
+
+    A context's two-gram counts are those of the whole word if it is split; the two-grams are those of the tokens.
+    """
+
+    def __init__(self, key: np.ndarray, u: np.ndarray, w: np.ndarray, learn: np.ndarray, group: Messages):
+        own, run = runs(key)
+        self.names, context = _placed(own)
+        context = np.repeat(context, run)
+        size, n = group.size, self.names.size
+        pair, in_pair = _placed(context * size + w)
+        self.context, self.word = pair // size, pair % size
+        self.n2 = np.bincount(in_pair, weights=learn, minlength=pair.size)
+        self.kinds2 = np.bincount(self.context[self.n2 > 0], minlength=n)
+        self.total2 = np.bincount(self.context, weights=self.n2, minlength=n)
+        part = self.names & ((1 << _PARTS) - 1)
+        bound = np.searchsorted(self.context, np.arange(n + 1))
+        for i in np.flatnonzero(part).tolist():
+            word, count = group.two_grams(int(self.names[i]) >> _PARTS, bool(part[i] >= _WIDE))
+            at = _lookup(word, self.word[bound[i] : bound[i + 1]])
+            self.n2[bound[i] : bound[i + 1]] = np.where(at >= 0, count[at], 0) if count.size else 0
+            self.kinds2[i], self.total2[i] = word.size, count.sum()
+        word, place = _placed(self.word)
+        self.log_chance = -group.codes[np.searchsorted(group.words, word)][place] / _STEP
+        spread = int(u.max(initial=0)) + 1
+        history, in_history = _placed(context * spread + u)
+        self.above, self.before = history // spread, history % spread
+        self.total3 = np.bincount(in_history, weights=learn, minlength=history.size)
+        triple, self.of = _placed(in_history * pair.size + in_pair)
+        self.history, self.pair = triple // max(pair.size, 1), triple % max(pair.size, 1)
+        self.n3 = np.bincount(self.of, weights=learn, minlength=triple.size)
+        self.kinds3 = np.bincount(self.history[self.n3 > 0], minlength=history.size)
+        # the start of a text is split by document: its two-grams are its three-grams
+        begun = (self.names >> _PARTS == _START) & (part > 0)
+        if begun.any():
+            whole = begun[self.above]
+            self.total3[whole], self.kinds3[whole] = self.total2[self.above[whole]], self.kinds2[self.above[whole]]
+            same = whole[self.history]
+            self.n3[same] = self.n2[self.pair[same]]
+
+
+def build_trie(g: Grams) -> list[np.ndarray]:
+    """The levels of a shard: what was trained on."""
+    names, pairs, histories, triples = (np.flatnonzero(x > 0) for x in (g.total2, g.n2, g.total3, g.n3))
+    rank = np.empty(g.names.size, np.int64)
+    rank[names] = np.arange(names.size)
+    total, context = g.total2[names], rank[g.context[pairs]]
+    weight2 = DISCOUNT_2 * g.kinds2[names] / total
+    p2 = np.empty(g.n2.size)
+    p2[pairs] = (g.n2[pairs] - DISCOUNT_2) / total[context] + weight2[context] * 10 ** g.log_chance[pairs]
     first = np.searchsorted(context, np.arange(names.size + 1))
-    total, kinds = np.bincount(context, weights=n2, minlength=names.size), np.diff(first)
-    weight2 = DISCOUNT_2 * kinds / np.maximum(total, 1)
-    p2 = (n2 - DISCOUNT_2) / total[context] + weight2[context] * p1
-    # words before each context word, and three-grams under them
-    if begun.size:
-        later = place >= begun.size
-        place, u, w = place[later], u[later], w[later]
-    spread = int(u.max(initial=0)) + 1
-    history, of = np.unique(place * spread + u, return_inverse=True)
-    history, of = np.concatenate([np.arange(begun.size) * spread + _START, history]), of + begun.size
-    child = np.searchsorted(pair, place * size + w) - first[place]
-    wide = int(max(child.max(initial=0), kinds[: begun.size].max(initial=0))) + 1
-    triple, n3 = np.unique(of * wide + child, return_counts=True)
-    starts = np.arange(first[begun.size])
-    triple = np.concatenate([context[starts] * wide + starts - first[context[starts]], triple])
-    n3 = np.concatenate([n2[starts], n3])
-    owner = triple // wide
-    begin = np.searchsorted(owner, np.arange(history.size + 1))
-    total3, kinds3 = np.bincount(of, minlength=history.size).astype(float), np.diff(begin)
-    total3[: begun.size] = total[: begun.size]
-    weight3 = DISCOUNT_3 * kinds3 / np.maximum(total3, 1)
-    above = history // spread
-    p3 = (n3 - DISCOUNT_3) / total3[owner] + weight3[owner] * p2[first[above[owner]] + triple % wide]
-    return [*EliasFano.build(names), *quantised(np.log10(weight2)),
-            *Level.build(first, word, np.log10(p2)),
-            *Level.build(np.searchsorted(above, np.arange(names.size + 1)), history % spread, np.log10(weight3)),
-            *Level.build(begin, triple % wide, np.log10(p3))]
+    place, among = np.empty(g.n2.size, np.int64), np.empty(g.total3.size, np.int64)
+    place[pairs] = np.arange(pairs.size) - first[context]
+    among[histories] = np.arange(histories.size)
+    above, of = rank[g.above[histories]], among[g.history[triples]]
+    weight3 = DISCOUNT_3 * g.kinds3[histories] / g.total3[histories]
+    below = g.pair[triples]
+    p3 = (g.n3[triples] - DISCOUNT_3) / g.total3[histories][of] + weight3[of] * p2[below]
+    return [*EliasFano.build(g.names[names]), *quantised(np.log10(weight2)),
+            *Level.build(first, g.word[pairs], np.log10(p2[pairs])),
+            *Level.build(np.searchsorted(above, np.arange(names.size + 1)), g.before[histories], np.log10(weight3)),
+            *Level.build(np.searchsorted(of, np.arange(histories.size + 1)), place[below], np.log10(p3))]
 
 
 class Trie:
@@ -337,24 +582,24 @@ class Trie:
         self.codes, self.book = parts[3].view(np.uint8), parts[4].view(np.float64)
         self.words, self.histories, self.triples = (Level(parts[a : a + Level.PARTS]) for a in (5, 13, 21))
 
-    def score(self, key: np.ndarray, u: np.ndarray, w: np.ndarray, log_chance: np.ndarray) -> np.ndarray:
-        """log10 probability of each w after (u, the context of key)."""
-        own, run = runs(key)
-        at = self.names.successor(own)
+    def score(self, g: Grams) -> np.ndarray:
+        """log10 probability of the last word of each three-gram after the other two."""
+        at = self.names.successor(g.names)
         ok = np.flatnonzero(at < self.names.n)
-        ok = ok[self.names.get(at[ok]) == own[ok]]
-        context, weight = np.full(own.size, -1), np.zeros(own.size)
+        ok = ok[self.names.get(at[ok]) == g.names[ok]]
+        context, weight = np.full(g.names.size, -1), np.zeros(g.names.size)
         context[ok], weight[ok] = at[ok], self.book[self.codes[at[ok]]]
-        context = np.repeat(context, run)
-        out = log_chance + np.repeat(weight, run)
-        place, rank = self.words.find(context, w)
-        two = place >= 0
-        out[two] = self.words.value(place[two])
-        history, _ = self.histories.find(context, u)
-        back = history >= 0
-        out[back] += self.histories.value(history[back])
-        three, _ = self.triples.find(np.where(two, history, -1), np.maximum(rank, 0))
-        hit = three >= 0
+        two = g.log_chance + weight[g.context]
+        place, rank = self.words.find(context[g.context], g.word)
+        hit = np.flatnonzero(place >= 0)
+        two[hit] = self.words.value(place[hit])
+        history, _ = self.histories.find(context[g.above], g.before)
+        back, hit = np.zeros(history.size), np.flatnonzero(history >= 0)
+        back[hit] = self.histories.value(history[hit])
+        out = two[g.pair] + back[g.history]
+        ranks = rank[g.pair]
+        three, _ = self.triples.find(np.where(ranks >= 0, history[g.history], -1), np.maximum(ranks, 0))
+        hit = np.flatnonzero(three >= 0)
         out[hit] = self.triples.value(three[hit])
         return out
 
@@ -376,42 +621,41 @@ def open_trie(store: fs.FileSystem, path: str) -> Trie:
     return Trie(from_buffer(data))
 
 
-def shard_scores(asked: DataFrame, folder: str, keep: bool) -> DataFrame:
-    """(block, kind, docs, sums): log probabilities by document of each block, from each shard's trie."""
+def shard_scores(asked: DataFrame, folder: str, keep: bool, words: Unigrams, wide: str | None) -> DataFrame:
+    """(block, kind, docs, sums): log probabilities by document of each block, from the tries of each group of shards."""
+    size, single = words.group, words.shards == words.group
 
     def score(group: pa.Table) -> pa.Table:
-        shard = group["shard"][0].as_py()
-        names, kinds, bodies = (group[c].to_pylist() for c in ("block", "kind", "body"))
-        out = [(b, 1, b"", x) for b, k, x in zip(names, kinds, bodies) if k]
-        plain = [(b, _unsqueeze(x)) for b, k, x in zip(names, kinds, bodies) if not k]
-        del bodies
-        if plain:
-            key, hot_key = ([np.cumsum(c[j]) for _, c in plain] for j in (0, 5))
-            u, w, doc = (np.concatenate([c[j] for _, c in plain]) for j in (1, 2, 4))
-            code = np.concatenate([c[3][np.unique(c[2], return_inverse=True)[1]] for _, c in plain])
-            hot = [np.concatenate([c[j] for _, c in plain]) for j in (6, 7, 8)]
-            ends = np.cumsum([k.size for k in key])
-            key, plain, names = np.concatenate(key), [name for name, _ in plain], None
-            log_chance = -code / _STEP
-            learn = (doc & 1) > 0
-            parts = build_trie(key[learn], u[learn], w[learn], 10 ** log_chance[learn],
-                               (np.concatenate(hot_key), hot[0], hot[1], 10 ** (-hot[2] / _STEP)))
-            attempt = TaskContext.get().taskAttemptId()
-            store, path = store_trie(parts, folder, f"shard-{shard}.trie" if keep else f"shard-{shard}-{attempt}.trie")
-            del parts
+        number = group["shard"][0].as_py()
+        names, kinds, bodies = group["block"].to_pylist(), group["kind"].to_pylist(), _bytes(group["body"])
+        out = [(b, 1, b"", bytes(x)) for b, k, x in zip(names, kinds, bodies) if k]
+        plain = [(b, x) for b, k, x in zip(names, kinds, bodies) if not k]
+        attempt = TaskContext.get().taskAttemptId()
+        messages = Messages([x for _, x in plain], size, wide)
+        sums = np.zeros(int(messages.first[-1]))
+        for j in range(size):
+            key, u, w, own, doc = messages.tokens(j)
+            if not key.size:
+                continue
+            grams = Grams(key, u, w, (own & 1).astype(float), messages)
+            del key, u, w, own
+            shard = number * size + j
+            store, path = store_trie(build_trie(grams), folder, f"shard-{shard}.trie" if keep else f"shard-{shard}-{attempt}.trie")
             try:
-                got = open_trie(store, path).score(key, u, w, log_chance)
+                got = open_trie(store, path).score(grams)
             finally:
                 if not keep:
                     store.delete_file(path)
-            for name, a, b in zip(plain, np.append(0, ends[:-1]), ends):
-                own, where = np.unique(doc[a:b] >> 1, return_inverse=True)
-                if own.size:
-                    out.append((name, 0, _squeeze(own), np.bincount(where, weights=got[a:b]).astype(np.float32).tobytes()))
+            sums += np.bincount(doc, weights=got[grams.of], minlength=sums.size)
+            del got, grams, doc
+        for (name, _), docs, a, b in zip(plain, messages.docs, messages.first.tolist(), messages.first[1:].tolist()):
+            if docs.size:
+                part = sums[a:b].astype(np.float32).tobytes() if single else _squeeze(np.round(np.maximum(-sums[a:b], 0) * _STEP).astype(np.int64))
+                out.append((name, 0, _squeeze(docs), part))
         return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "kind": pa.array([x[1] for x in out], pa.int32()),
                          "docs": _binary([x[2] for x in out]), "sums": _binary([x[3] for x in out])})
 
-    return asked.groupBy("shard").applyInArrow(score, "block long, kind int, docs binary, sums binary")
+    return asked.groupBy("shard").applyInArrow(releasing_group(score), "block long, kind int, docs binary, sums binary")
 
 
 def score_documents(docs: DataFrame, model_dir: str | None = None) -> DataFrame:
@@ -420,22 +664,26 @@ def score_documents(docs: DataFrame, model_dir: str | None = None) -> DataFrame:
     ``model_dir``: a shared folder that keeps the shards' trie files; else they go when a shard is done.
     """
     spark = docs.sparkSession
-    table = written(spark, blocks(docs), "lm-blocks")
+    table = written(spark, blocks(docs), "lm-blocks", WIDE_ROWS)
     total = table.agg(F.sum("tokens"), F.sum("train_docs")).first()
     shards = max(1, -(-(total[0] or 0) // SHARD_TOKENS))
-    counted = written(spark, word_counts(table, shards), "lm-words")
+    folder = paged(spark, word_counts(table, -(-shards // PART_SHARDS)))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.zeros(4, np.int64)
+        got, top = np.zeros(4, np.int64), 0
         for batch in batches:
             for x in field(batch, "counts").to_pylist():
-                got += _unsqueeze(x)[0]
-        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in got], list("abcd"))
+                own, most = _unsqueeze(x)
+                got, top = got + own, max(top, int(most[0]))
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (*got, top)], list("abcde"))
 
-    seen = counted.where("block = -1").select("counts").mapInArrow(add, "a long, b long, c long, d long")
-    figures = [x or 0 for x in seen.agg(*(F.sum(c) for c in "abcd")).first()]
+    seen = spark.read.schema("block long, part int, counts binary, page long").parquet(folder).where("page = -1").select("counts").mapInArrow(add, "a long, b long, c long, d long, e long")
+    *figures, top = (x or 0 for x in seen.agg(*(F.sum(c) for c in "abcd"), F.max("e")).first())
     words = Unigrams(*figures, total[1] or 0, shards)
-    answered = shard_scores(requests(table, counted, words), model_dir or scratch_path(spark, "lm-tries"), model_dir is not None)
+    most = words.parts(np.array([max(top, words.train_docs)]))[0]
+    wide = wide_pairs(table, folder, words) if most > words.group else None
+    answered = shard_scores(requests(table, folder, words), model_dir or scratch_path(spark, "lm-tries"), model_dir is not None, words, wide)
+    single = words.shards == words.group
 
     def finish(block: pa.Table, sums: pa.Table) -> pa.Table:
         names = block["doc_ids"][0].as_py()
@@ -446,7 +694,7 @@ def score_documents(docs: DataFrame, model_dir: str | None = None) -> DataFrame:
                 size, known, base, direct, train = np.frombuffer(x).reshape(5, n)
                 score += direct
             else:
-                score[_unsqueeze(own)[0]] += np.frombuffer(x, np.float32)
+                score[_unsqueeze(own)[0]] += np.frombuffer(x, np.float32) if single else _unsqueeze(x)[0] / -_STEP
         return pa.table({"doc_id": pa.array(names, pa.int64()), "held_out": pa.array(train == 0),
                          "n_tokens": pa.array(size.astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
                          "train_tokens": pa.array([words.tokens] * n, pa.int64()), "base_score": pa.array(base), "score": pa.array(score)})

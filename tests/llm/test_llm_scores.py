@@ -270,6 +270,49 @@ def test_language_model_against_brute_force(session, monkeypatch, shard, block):
         assert abs(a[6] - b[6]) <= 0.08 * b[2] + 0.05, (a, b)  # 8-bit probabilities
 
 
+@pytest.mark.parametrize("shard,groups", [(1_200, 3), (600, 8)])
+def test_language_model_in_groups_of_shards_against_brute_force(session, monkeypatch, shard, groups):
+    rng = random.Random(12)
+    common = ["the", "of", *"abcdefghij"]
+    rows = documents() + [(5_000 + i, " ".join(rng.choice(common[: 1 + rng.randrange(12)]) if rng.random() < 0.7 else f"z{rng.randrange(300)}"
+                                               for _ in range(rng.randint(0, 30)))) for i in range(600)]
+    for name, value in (("SHARD_TOKENS", shard), ("BLOCK_TOKENS", 900), ("GROUPS", groups), ("GROUP_SHARDS", 4), ("PART_SHARDS", 3), ("WIDE_PAIRS", 500)):
+        monkeypatch.setattr(ngram_lm, name, value, raising=False)
+    want, _ = brute_lm(rows)
+    key = lambda r: (str(r[0]), r[2], round(r[5], 6))
+    got = ngram_lm.score_documents(frame(session, rows)).collect()
+    assert len(got) == len(want)
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-6)
+        assert abs(a[6] - b[6]) <= 0.08 * b[2] + 0.05, (a, b)  # 8-bit probabilities
+
+
+def test_language_model_messages_do_not_multiply_with_the_shards(session):
+    rng = random.Random(9)
+    docs = session.createDataFrame([(i, " ".join(f"y{int(rng.paretovariate(0.5)) % 3000}" for _ in range(300))) for i in range(150)], "doc_id long, text string")
+    table = ngram_lm.blocks(docs.coalesce(1))
+    (block,) = table.collect()
+    sizes = []
+    for shards in (8, 1024):
+        words_of = ngram_lm.Unigrams(3000, block["tokens"], 100, 100, block["train_docs"], shards)
+        rows = ngram_lm.requests(table, ngram_lm.word_counts(table, 2), words_of).where("kind = 0").collect()
+        columns = [ngram_lm._unsqueeze(bytes(r["body"])) for r in rows]
+        assert 0.98 * block["tokens"] < sum(c[0].size for c in columns) <= block["tokens"]  # not those after an unknown word
+        sizes.append((len(rows), sum(x.size for c in columns for x in c)))
+    assert sizes[1][0] <= 128 and sizes[1][1] < 1.5 * sizes[0][1]
+
+
+def test_words_of_64_bit_hashes_get_their_places():
+    rng = np.random.default_rng(4)
+    for hashes in (rng.integers(0, 2**64, 5000, dtype=np.uint64), rng.integers(0, 2**64, 40, dtype=np.uint64)[rng.integers(0, 40, 3000)],
+                   np.uint64(7) << np.uint64(40) | rng.integers(0, 9, 500, dtype=np.uint64), np.empty(0, np.uint64)):
+        for got, want in zip(ngram_lm._placed_hashes(hashes), np.unique(hashes, return_inverse=True)):
+            assert np.array_equal(got, want)
+    for values in (rng.integers(0, 2**62, 900), rng.integers(0, 50, 900), np.empty(0, np.int64)):
+        for got, want in zip(ngram_lm._placed(values), np.unique(values, return_inverse=True)):
+            assert np.array_equal(got, want)
+
+
 def test_language_model_splits_the_start_of_texts(session, monkeypatch):
     rng = random.Random(6)
     rows = [(i, " ".join([rng.choice(["the", "the", "a", f"x{i % 40}"]), *rng.choices("abcdefgh", k=rng.randint(0, 3))])) for i in range(900)]
