@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _WORD = np.dtype("<u8")
+#: So many children are looked up at a time.
+SLICE = 1 << 17
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -113,9 +115,15 @@ class Level:
     def find(self, context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place among all children or -1, place among the context's) of a child; context -1 has none."""
         out, rank = np.full(ids.size, -1), np.full(ids.size, -1)
+        for at in range(0, ids.size if self.ids.n else 0, SLICE):
+            part = slice(at, at + SLICE)
+            self._find(context[part], ids[part], out[part], rank[part])
+        return out, rank
+
+    def _find(self, context: np.ndarray, ids: np.ndarray, out: np.ndarray, rank: np.ndarray) -> None:
         ok = np.flatnonzero(context >= 0)
-        if not ok.size or not self.ids.n:
-            return out, rank
+        if not ok.size:
+            return
         # tokens come by context: a run of equal ones is looked up once
         own, run = runs(context[ok])
         a, b = self.pointers.get(own), self.pointers.get(own + 1)
@@ -126,7 +134,6 @@ class Level:
         inside = np.flatnonzero(at < b)
         hit = inside[self.ids.get(at[inside]) == target[inside]]
         out[ok[hit]], rank[ok[hit]] = at[hit], at[hit] - a[hit]
-        return out, rank
 
     def value(self, place: np.ndarray) -> np.ndarray:
         return self.book[self.codes[place]]

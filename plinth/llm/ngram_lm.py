@@ -52,7 +52,7 @@ FOLDS = 10
 BLOCK_TOKENS = 1_500_000
 SHARD_TOKENS = 1_000_000
 #: A task has several shards, up to so many, where there are more than ``GROUPS`` groups of them.
-GROUP_SHARDS, GROUPS = 8, 64
+GROUP_SHARDS, GROUPS = 4, 64
 #: So many shards' tokens are counted by one word part.
 PART_SHARDS = 8
 #: Rows of two-grams of words with parts in several groups that one task adds up.
@@ -445,7 +445,7 @@ class Messages:
         for body in bodies:
             w, code, own, sizes = _unsqueeze(body, (2, 3, 4, 5))
             more.append((_counted(w)[0], code))
-            if sum(x[0].size for x in more) > SHARD_TOKENS:
+            if sum(x[0].size for x in more) > SHARD_TOKENS // 4:
                 more = self._add_words(more)
             self.docs.append(np.flatnonzero(np.bincount(own >> 1)))
             self.cuts.append([0, *np.cumsum(sizes).tolist()])
@@ -455,12 +455,14 @@ class Messages:
         #: The two-grams of words split within the group, and how often they were trained on.
         self.pair, self.count = np.empty(0, np.int64), np.empty(0)
         for j in range(shards if shards > 1 else 0):
-            key, _, w, own, _ = self.tokens(j)
-            part = key & ((1 << _PARTS) - 1)
-            near = np.flatnonzero((part > 0) & (part < _WIDE) & (own & 1 > 0))
-            pair, n = _counted((key[near] >> _PARTS) * self.size + w[near])
-            self.pair, place = _placed(np.concatenate([self.pair, pair]))
-            self.count = np.bincount(place, weights=np.concatenate([self.count, n]), minlength=self.pair.size)
+            for key, u, w, own, doc in self.tokens(j):
+                del u, doc
+                part = key & ((1 << _PARTS) - 1)
+                near = np.flatnonzero((part > 0) & (part < _WIDE) & (own & 1 > 0))
+                pair, n = _counted((key[near] >> _PARTS) * self.size + w[near])
+                del key, w, own, part, near
+                self.pair, place = _placed(np.concatenate([self.pair, pair]))
+                self.count = np.bincount(place, weights=np.concatenate([self.count, n]), minlength=self.pair.size)
 
     def _add_words(self, more: list[tuple[np.ndarray, np.ndarray]]) -> list:
         code = np.concatenate([self.codes, *(c for _, c in more)])
@@ -469,21 +471,35 @@ class Messages:
         self.codes[place] = code
         return []
 
-    def tokens(self, shard: int) -> tuple[np.ndarray, ...]:
-        """(key, u, w, document of the block and whether it is trained on, document of the group) of the shard's tokens."""
-        key, u, w, own, doc = [], [], [], [], []
-        for body, cut, docs, first in zip(self.bodies, self.cuts, self.docs, self.first.tolist()):
-            if cut[shard] == cut[shard + 1]:
-                continue
-            got = _unsqueeze(body, (0, 1, 2, 4), slice(cut[shard], cut[shard + 1]))
-            place = np.empty(docs[-1] + 1, np.int64)
-            place[docs] = np.arange(first, first + docs.size)
-            key.append(np.cumsum(got[0]))
-            u.append(got[1])
-            w.append(got[2])
-            own.append(got[3])
-            doc.append(place[got[3] >> 1])
-        return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (key, u, w, own, doc))
+    def tokens(self, shard: int) -> Iterator[list[np.ndarray]]:
+        """(key, u, w, document of the block and whether it is trained on, document of the group) of the shard's tokens.
+
+        A shard that came out larger than planned is given in several ranges of keys: contexts don't depend on each other.
+        """
+        here = [(body, slice(cut[shard], cut[shard + 1]), docs, first) for body, cut, docs, first in
+                zip(self.bodies, self.cuts, self.docs, self.first.tolist()) if cut[shard] < cut[shard + 1]]
+        size = sum(x.stop - x.start for _, x, *_ in here)
+        ranges = -(-size // SHARD_TOKENS)
+        bounds = []
+        if ranges > 1:
+            every = np.sort(np.concatenate([np.cumsum(_unsqueeze(body, (0,), x)[0]) for body, x, *_ in here]))
+            bounds = np.unique(every[np.arange(1, ranges) * size // ranges]).tolist()
+            del every
+        for low, high in zip([0, *bounds], [*bounds, 1 << 63]):
+            out = []
+            for body, x, docs, first in here:
+                key = np.cumsum(_unsqueeze(body, (0,), x)[0])
+                a = int(np.searchsorted(key, low)) if low else 0
+                b = int(np.searchsorted(key, high)) if high < 1 << 63 else key.size
+                if a < b:
+                    u, w, own = _unsqueeze(body, (1, 2, 4), slice(x.start + a, x.start + b))
+                    place = np.empty(docs[-1] + 1, np.int64)
+                    place[docs] = np.arange(first, first + docs.size)
+                    out.append((key[a:b], u, w, own, place[own >> 1]))
+            if out:
+                whole = [[np.concatenate(c) for c in zip(*out)]]
+                del out
+                yield whole.pop()  # not held here
 
     def two_grams(self, name: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
         """(words in ascending order, counts) after a split word, in the whole corpus."""
@@ -515,12 +531,17 @@ class Grams:
     A context's two-gram counts are those of the whole word if it is split; the two-grams are those of the tokens.
     """
 
-    def __init__(self, key: np.ndarray, u: np.ndarray, w: np.ndarray, learn: np.ndarray, group: Messages):
-        own, run = runs(key)
-        self.names, context = _placed(own)
+    def __init__(self, tokens: list[np.ndarray], group: Messages):
+        key, u, w, own, self.doc = tokens
+        tokens.clear()
+        learn = (own & 1).astype(float)
+        first, run = runs(key)
+        self.names, context = _placed(first)
         context = np.repeat(context, run)
+        del key, own, first, run
         size, n = group.size, self.names.size
         pair, in_pair = _placed(context * size + w)
+        del w
         self.context, self.word = pair // size, pair % size
         self.n2 = np.bincount(in_pair, weights=learn, minlength=pair.size)
         self.kinds2 = np.bincount(self.context[self.n2 > 0], minlength=n)
@@ -536,9 +557,12 @@ class Grams:
         self.log_chance = -group.codes[np.searchsorted(group.words, word)][place] / _STEP
         spread = int(u.max(initial=0)) + 1
         history, in_history = _placed(context * spread + u)
+        del u, context
         self.above, self.before = history // spread, history % spread
         self.total3 = np.bincount(in_history, weights=learn, minlength=history.size)
-        triple, self.of = _placed(in_history * pair.size + in_pair)
+        in_pair += in_history * pair.size
+        triple, self.of = _placed(in_pair)
+        del in_pair, in_history
         self.history, self.pair = triple // max(pair.size, 1), triple % max(pair.size, 1)
         self.n3 = np.bincount(self.of, weights=learn, minlength=triple.size)
         self.kinds3 = np.bincount(self.history[self.n3 > 0], minlength=history.size)
@@ -634,20 +658,19 @@ def shard_scores(asked: DataFrame, folder: str, keep: bool, words: Unigrams, wid
         messages = Messages([x for _, x in plain], size, wide)
         sums = np.zeros(int(messages.first[-1]))
         for j in range(size):
-            key, u, w, own, doc = messages.tokens(j)
-            if not key.size:
-                continue
-            grams = Grams(key, u, w, (own & 1).astype(float), messages)
-            del key, u, w, own
-            shard = number * size + j
-            store, path = store_trie(build_trie(grams), folder, f"shard-{shard}.trie" if keep else f"shard-{shard}-{attempt}.trie")
-            try:
-                got = open_trie(store, path).score(grams)
-            finally:
-                if not keep:
-                    store.delete_file(path)
-            sums += np.bincount(doc, weights=got[grams.of], minlength=sums.size)
-            del got, grams, doc
+            k = 0
+            for got in messages.tokens(j):
+                grams = Grams(got, messages)
+                name = f"shard-{number * size + j}" + (f"-{k}" if k else "")
+                store, path = store_trie(build_trie(grams), folder, f"{name}.trie" if keep else f"{name}-{attempt}.trie")
+                try:
+                    got = open_trie(store, path).score(grams)
+                finally:
+                    if not keep:
+                        store.delete_file(path)
+                sums += np.bincount(grams.doc, weights=got[grams.of], minlength=sums.size)
+                k += 1
+                del got, grams
         for (name, _), docs, a, b in zip(plain, messages.docs, messages.first.tolist(), messages.first[1:].tolist()):
             if docs.size:
                 part = sums[a:b].astype(np.float32).tobytes() if single else _squeeze(np.round(np.maximum(-sums[a:b], 0) * _STEP).astype(np.int64))
