@@ -112,8 +112,11 @@ def _bytes(column: pa.ChunkedArray) -> list[memoryview]:
     """The values of a binary column without copying."""
     out = []
     for chunk in column.chunks:
+        if not len(chunk):
+            continue
         _, offsets, data = chunk.buffers()
-        off = np.frombuffer(offsets, np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].tolist()
+        kind = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+        off = np.frombuffer(offsets, kind)[chunk.offset : chunk.offset + len(chunk) + 1].tolist()
         view = memoryview(data if data is not None else b"")
         out += [view[a:b] for a, b in zip(off, off[1:])]
     return out
